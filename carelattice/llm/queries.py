@@ -7,9 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import table
+from .common import held_out, table
 from .exact_dedup import exact_dedup
+from .licenses import license_scan
 from .packing import pack
+from .toxicity import HELD_OUT as TOXIC_HELD_OUT
+from .toxicity import toxicity
 
 
 def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -20,8 +23,17 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+    return scored.select(F.col("id").alias("doc_id"), held_out("id", *TOXIC_HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
+
+
+def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return license_scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op4_exact_dedup": op4_exact_dedup}
+    return {"op1_pack": op1_pack, "op4_exact_dedup": op4_exact_dedup, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
 
 
 OP4_SQL = """
