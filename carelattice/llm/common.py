@@ -40,7 +40,7 @@ def checkpoint(df: DataFrame) -> DataFrame:
 
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     """Shuffle partitions for data derived from df: follows the session and the size Spark knows of."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().longValue())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return max(least, min(size // bytes_each + 1, 100_000)) if size < 1 << 60 else least
 

@@ -11,6 +11,7 @@ from .common import held_out, table
 from .exact_dedup import exact_dedup
 from .licenses import license_scan
 from .packing import pack
+from .substring_dedup import substring_dedup
 from .toxicity import HELD_OUT as TOXIC_HELD_OUT
 from .toxicity import toxicity
 
@@ -23,6 +24,10 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
+
+
 def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     scored = toxicity(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
     return scored.select(F.col("id").alias("doc_id"), held_out("id", *TOXIC_HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
@@ -33,7 +38,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op4_exact_dedup": op4_exact_dedup, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
+    return {"op1_pack": op1_pack, "op4_exact_dedup": op4_exact_dedup, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
 
 
 OP4_SQL = """
