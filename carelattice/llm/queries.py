@@ -11,6 +11,7 @@ from .common import held_out, table
 from .exact_dedup import exact_dedup
 from .licenses import license_scan
 from .packing import pack
+from .ppm import score as ppm_score
 from .substring_dedup import substring_dedup
 from .toxicity import HELD_OUT as TOXIC_HELD_OUT
 from .toxicity import toxicity
@@ -20,6 +21,10 @@ def op1_pack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack(table(spark, sf_dir, "documents")).select("doc_id", "piece", "start", "length", "ids_crc32", "sequence_id", "offset")
 
 
+def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ppm_score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
@@ -38,7 +43,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op4_exact_dedup": op4_exact_dedup, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
+    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op4_exact_dedup": op4_exact_dedup, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
 
 
 OP4_SQL = """
