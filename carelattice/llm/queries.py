@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .common import held_out, table
 from .exact_dedup import exact_dedup
 from .licenses import license_scan
+from .near_dedup import near_duplicates
 from .packing import pack
 from .ppm import score as ppm_score
 from .substring_dedup import substring_dedup
@@ -25,6 +26,10 @@ def op2_ppm(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ppm_score(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
+def op3_near_duplicates(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
+
+
 def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
@@ -43,7 +48,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op4_exact_dedup": op4_exact_dedup, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
+    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op3_near_duplicates": op3_near_duplicates, "op4_exact_dedup": op4_exact_dedup, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
 
 
 OP4_SQL = """
