@@ -15,7 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import partitions_for, slices
+from .common import mix, partitions_for, slices
 
 #: Keys that a map task gathers before it sends them.
 CHUNK = 2_000_000
@@ -46,38 +46,43 @@ def _groups(keys: np.ndarray, ids: np.ndarray, earlier: bool) -> tuple[np.ndarra
     return k[starts], least, d[told], k[told]
 
 
-def _answers(ids: np.ndarray, keys: np.ndarray) -> Iterator[tuple[int, bytes]]:
+def _packed(keys: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
+    """Keys in the order of their ids, the ids and how many keys each has."""
     order = np.argsort(ids, kind="stable")
-    ids, keys = ids[order], keys[order]
-    cuts = np.flatnonzero(np.diff(ids)) + 1
-    for a, b in zip([0, *cuts.tolist()], [*cuts.tolist(), len(ids)], strict=True):
+    found, runs = np.unique(ids, return_counts=True)
+    return pack7(keys[order]), runs.astype("<u4").tobytes(), found.astype("<i8").tobytes()
+
+
+def _by_document(keys: np.ndarray, ids: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
+    """Answers dealt by document: one row for each of `parts` groups of ids, whatever the number of ids."""
+    part = (mix(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
+    order = np.argsort(part, kind="stable")
+    keys, ids, part = keys[order], ids[order], part[order]
+    edges = np.searchsorted(part, np.arange(parts + 1))
+    for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
         if b > a:
-            yield int(ids[a]), pack7(keys[a:b])
+            yield i, *_packed(keys[a:b], ids[a:b])
 
 
 def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier: bool) -> DataFrame:
-    """id, keys (packed, 7 bytes each): several rows a document. rows: id, text.
+    """id, keys (packed, 7 bytes each): one row for each document that has any. rows: id, text.
 
     earlier: keys of which a document with a smaller id has a copy; otherwise those that any other id has.
     """
     parts = partitions_for(rows)
-    schema = "part int, id long, keys binary, runs binary, ids binary"
-    kinds = [pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+    columns = {"part": pa.int32(), "told": pa.bool_(), "keys": pa.binary(), "runs": pa.binary(), "ids": pa.binary()}
+    schema = "part int, told boolean, keys binary, runs binary, ids binary"
 
-    def batch_of(out: list[tuple]) -> pa.RecordBatch:
-        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=[x.split()[0] for x in schema.split(", ")])
+    def batches_of(out: list[tuple]) -> Iterator[pa.RecordBatch]:
+        for i in range(0, len(out), 500):
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out[i : i + 500], strict=True), columns.values(), strict=True)], names=list(columns))
 
     def send(keys: list[np.ndarray], ids: list[int], sizes: list[int]) -> Iterator[pa.RecordBatch]:
         k, d, told, told_keys = _groups(np.concatenate(keys), np.repeat(np.array(ids, np.int64), sizes), earlier)
-        out = [(one % parts, one, packed, None, None) for one, packed in _answers(told, told_keys)]
-        edges = np.searchsorted((k >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1)) if len(k) else np.zeros(parts + 1, int)
-        for part, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
-            if b > a:
-                order = np.argsort(d[a:b], kind="stable")
-                found, runs = np.unique(d[a:b], return_counts=True)
-                out.append((part, None, pack7(k[a:b][order]), runs.astype("<u4").tobytes(), found.astype("<i8").tobytes()))
-        for i in range(0, len(out), 2000):
-            yield batch_of(out[i : i + 2000])
+        out = [(i, True, *x) for i, *x in _by_document(told_keys, told, parts)]
+        edges = np.searchsorted((k >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
+        out += [(i, False, *_packed(k[a:b], d[a:b])) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if b > a]
+        yield from batches_of(out)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         keys, ids, sizes, count = [], [], [], 0
@@ -96,28 +101,37 @@ def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier:
             yield from send(keys, ids, sizes)
 
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # part and the upper bits: keys of two parts may meet in one partition only if they are told apart
         held: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
         for batch in batches:
             ready = []
-            for part, one, packed, runs, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-                if one is not None:
-                    ready.append((one, packed))
+            for part, told, packed, runs, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if told:
+                    ready.append((part, True, packed, runs, ids))
                 else:
                     k, d = held.setdefault(part, ([], []))
                     k.append(unpack7(packed))
                     d.append(np.repeat(np.frombuffer(ids, "<i8"), np.frombuffer(runs, "<u4")))
-            if ready:
-                yield answer(ready)
+            yield from batches_of(ready)
         for part in list(held):
             k, d = held.pop(part)
             _, _, told, told_keys = _groups(np.concatenate(k), np.concatenate(d), earlier)
-            ready = list(_answers(told, told_keys))
-            for i in range(0, len(ready), 5000):
-                yield answer(ready[i : i + 5000])
+            yield from batches_of([(i, True, *x) for i, *x in _by_document(told_keys, told, parts)])
 
-    def answer(ready: list[tuple[int, bytes]]) -> pa.RecordBatch:
-        ids, packed = zip(*ready, strict=True)
-        return pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(packed, pa.binary())], names=["id", "keys"])
-
-    return rows.mapInArrow(gather, schema).repartitionById(parts, "part").mapInArrow(meet, "id long, keys binary")
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        k, d = [], []
+        for batch in batches:
+            for packed, runs, ids in zip(*(batch.column(c).to_pylist() for c in ("keys", "runs", "ids")), strict=True):
+                k.append(unpack7(packed))
+                d.append(np.repeat(np.frombuffer(ids, "<i8"), np.frombuffer(runs, "<u4")))
+        if not k:
+            return
+        keys, ids = np.concatenate(k), np.concatenate(d)
+        order = np.argsort(ids, kind="stable")
+        keys, ids = keys[order], ids[order]
+        starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])).tolist()
+        for i in range(0, len(starts), 2000):
+            part = [*starts[i : i + 2001], len(ids)][:2001]
+            yield pa.RecordBatch.from_arrays([pa.array(ids[part[:-1]]), pa.array([pack7(np.unique(keys[a:b])) for a, b in zip(part[:-1], part[1:], strict=True)], pa.binary())], names=["id", "keys"])
+
+    dealt = rows.mapInArrow(gather, schema).repartitionById(parts, "part").mapInArrow(meet, schema)
+    return dealt.repartitionById(parts, "part").mapInArrow(join, "id long, keys binary")

@@ -19,7 +19,6 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
 
 from .common import checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, restore_id, rolling, slices, split_words
 from .shared_keys import LOW, shared_keys, unpack7
@@ -68,7 +67,7 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 spans, kept = [], None
                 if told and text is not None:
                     words = split_words(text)
-                    hit = np.isin(rolling(hash_words(words), window) & LOW, np.concatenate([unpack7(x) for x in told]))
+                    hit = np.isin(rolling(hash_words(words), window) & LOW, unpack7(told))
                     spans = intervals(np.flatnonzero(hit), window)
                     kept = b" ".join(without(words, spans))
                     digest = hashlib.sha256(kept).digest()
@@ -82,6 +81,5 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             )
 
     read = rows.withColumn("at", filter_position()).mapInArrow(first, "id long, n_words long, digest binary, text string")
-    told = found.groupBy("id").agg(F.collect_list("keys").alias("told"))  # at most one row a chunk and partition each
     schema = "id long, n_words long, n_removed long, spans array<struct<first:int,stop:int>>, kept_sha256 string" + ", text string" * with_text
-    return read.join(told, "id", "left").mapInArrow(last, schema).withColumn("id", restore_id())
+    return read.join(found.withColumnRenamed("keys", "told"), "id", "left").mapInArrow(last, schema).withColumn("id", restore_id())
