@@ -8,7 +8,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .common import held_out, table
+from .decontamination import contaminated
 from .exact_dedup import exact_dedup
+from .html_text import extract
 from .licenses import license_scan
 from .near_dedup import near_duplicates
 from .packing import pack
@@ -34,6 +36,12 @@ def op4_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "keep_id", "group_size", "kept", F.lower(F.hex("digest")).alias("text_sha256"))
 
 
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = contaminated(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    items = F.array_sort(F.array_distinct(F.transform("spans", lambda s: s["item"])))
+    return found.select(F.col("id").alias("doc_id"), (F.size("spans") > 0).alias("contaminated"), items.alias("item_ids"), F.size("spans").alias("n_spans"))
+
+
 def op6_substrings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return substring_dedup(table(spark, sf_dir, "documents")).select(F.col("id").alias("doc_id"), "n_words", "n_removed", "kept_sha256")
 
@@ -43,12 +51,17 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), held_out("id", *TOXIC_HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
+def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
+    pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
+    return extract(pages).withColumn("n_chars", F.length("text").cast("long"))
+
+
 def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
     return license_scan(table(spark, sf_dir, "documents")).withColumnRenamed("id", "doc_id")
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op3_near_duplicates": op3_near_duplicates, "op4_exact_dedup": op4_exact_dedup, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op10_licenses": op10_licenses}
+    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op3_near_duplicates": op3_near_duplicates, "op4_exact_dedup": op4_exact_dedup, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op9_html": op9_html, "op10_licenses": op10_licenses}
 
 
 OP4_SQL = """
