@@ -71,10 +71,12 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """The rows of docs that exact_dedup keeps, with all their columns."""
-    text = F.coalesce(F.col(text_col), F.lit(""))
-    groups = exact_dedup(docs, id_col, text_col)
-    if docs.filter(F.col(id_col).isNull()).isEmpty() and groups.groupBy("id", "digest").count().filter("count > 1").isEmpty():
-        lost = groups.filter("not kept").select(F.col("id").alias("_lost"))
-        return docs.join(lost, docs[id_col] == F.col("_lost"), "left_anti")
-    kept = groups.filter("kept").select(F.col("id").alias("_kept"), F.col("digest").alias("_of")).distinct()
-    return docs.withColumn("_digest", sha256(text)).join(kept, (F.col("_digest") == F.col("_of")) & F.col("_kept").eqNullSafe(F.col(id_col))).drop("_kept", "_of").dropDuplicates([id_col, "_digest"]).drop("_digest")
+    no_null = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
+    groups = exact_dedup(docs, id_col, text_col).groupBy(F.coalesce("id", F.lit(LOWEST)).alias("_id"), F.col("digest").alias("_of"))
+    seen = checkpoint(groups.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")).filter("not _kept or _rows > 1"))
+    lost = seen.filter("not _kept").select("_id", "_of")
+    out = docs.withColumn("_digest", sha256(F.coalesce(F.col(text_col), F.lit(""))))
+    out = out.join(lost, (no_null == F.col("_id")) & (F.col("_digest") == F.col("_of")), "left_anti")
+    if not seen.filter("_kept").isEmpty():  # repeated rows, of which one stays
+        out = out.dropDuplicates([id_col, "_digest"])
+    return out.drop("_digest")

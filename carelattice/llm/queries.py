@@ -16,6 +16,7 @@ from .near_dedup import near_duplicates
 from .packing import pack
 from .ppm import score as ppm_score
 from .substring_dedup import substring_dedup
+from .suffix_dedup import repeated_passages
 from .toxicity import HELD_OUT as TOXIC_HELD_OUT
 from .toxicity import toxicity
 
@@ -51,6 +52,11 @@ def op7_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     return scored.select(F.col("id").alias("doc_id"), held_out("id", *TOXIC_HELD_OUT).alias("held_out"), "score", (F.col("score") >= 0.5).cast("int").alias("predicted"), F.size("passages").alias("n_passages"))
 
 
+def op8_suffix_passages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    spans = repeated_passages(table(spark, sf_dir, "documents"))
+    return spans.select(F.col("id").alias("doc_id"), F.col("first").alias("first_word"), F.col("stop").alias("stop_word"), F.col("partner").alias("partner_id"))
+
+
 def op9_html(spark: SparkSession, sf_dir: str) -> DataFrame:
     pages = table(spark, sf_dir, "pages").select("page_id", "url", "html")
     return extract(pages).withColumn("n_chars", F.length("text").cast("long"))
@@ -61,7 +67,7 @@ def op10_licenses(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op3_near_duplicates": op3_near_duplicates, "op4_exact_dedup": op4_exact_dedup, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op9_html": op9_html, "op10_licenses": op10_licenses}
+    return {"op1_pack": op1_pack, "op2_ppm": op2_ppm, "op3_near_duplicates": op3_near_duplicates, "op4_exact_dedup": op4_exact_dedup, "op5_decontamination": op5_decontamination, "op6_substrings": op6_substrings, "op7_toxicity": op7_toxicity, "op8_suffix_passages": op8_suffix_passages, "op9_html": op9_html, "op10_licenses": op10_licenses}
 
 
 OP4_SQL = """
