@@ -1,0 +1,36 @@
+"""Connected components, and the shared folder that iterative operators write to."""
+
+from __future__ import annotations
+
+import tempfile
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+
+def ensure_checkpoint_dir(spark: SparkSession) -> None:
+    """Use the cluster's spark.checkpoint.dir; set a folder only where it names none."""
+    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
+        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+
+
+def checkpoint(df: DataFrame) -> DataFrame:
+    ensure_checkpoint_dir(df.sparkSession)
+    return df.checkpoint(eager=True)
+
+
+def label_components(edges: DataFrame) -> DataFrame:
+    """node, component (the least node) for all nodes of undirected edges a, b.
+
+    Labels spread along edges and then jump to their own label's label, so long chains close in few rounds.
+    """
+    both = checkpoint(edges.select("a", "b").union(edges.select("b", "a")).filter("a <> b").distinct())
+    labels = checkpoint(both.groupBy("a").agg(F.min("b").alias("least")).select(F.col("a").alias("node"), F.least("a", "least").alias("label")))
+    while True:
+        heard = both.join(labels, F.col("b") == F.col("node")).groupBy("a").agg(F.min("label").alias("heard"))
+        spread = labels.join(heard, F.col("node") == F.col("a")).select("node", F.least("label", "heard").alias("label"), F.col("label").alias("before"))
+        jump = spread.select(F.col("node").alias("via"), F.col("label").alias("next"))
+        now = checkpoint(spread.join(jump, F.col("label") == F.col("via")).select("node", F.least("label", "next").alias("label"), "before"))
+        labels = now.select("node", "label")
+        if now.filter("label <> before").isEmpty():
+            return labels.withColumnRenamed("label", "component")
