@@ -16,11 +16,13 @@ IDENTIFIER_SYSTEM = "urn:system:eclinicalworks"
 
 def payload_rows(batches: DataFrame, columns: tuple[str, ...], payload: str = "raw_content") -> DataFrame:
     """The rows of stored CSV texts (header line first), with row_idx from 1. Line breaks within quotes belong to their field."""
-    # a line ends at a break that an even number of quotes precedes
-    lines = F.split(F.regexp_replace(F.regexp_replace(payload, r"\r\n?", "\n"), r"\n(?=(?:[^\"]*\"[^\"]*\")*[^\"]*$)", "\x1e"), "\x1e")
+    # breaks within quotes (odd parts of the text cut at quotes) are marked, so that the rest end lines
+    text = F.regexp_replace(payload, r"\r\n?", "\n")
+    marked = F.array_join(F.transform(F.split(text, '"'), lambda x, i: F.when(i % 2 == 1, F.translate(x, "\n", "\x1e")).otherwise(x)), '"')
     schema = ", ".join(f"`{c}` string" for c in columns)
-    rows = batches.select(*(c for c in batches.columns if c != payload), F.posexplode(lines).alias("row_idx", "_line")).filter("row_idx > 0 and trim(_line) <> ''")
-    return rows.withColumn("_row", F.from_csv("_line", F.lit(schema), {"escape": '"', "multiLine": "true"})).select(*(c for c in rows.columns if c != "_line"), "_row.*")
+    rows = batches.select(*(c for c in batches.columns if c != payload), F.posexplode(F.split(marked, "\n")).alias("row_idx", "_line")).filter("row_idx > 0 and trim(_line) <> ''")
+    rows = rows.withColumn("_row", F.from_csv("_line", F.lit(schema), {"escape": '"'}))
+    return rows.select(*(c for c in rows.columns if c not in ("_line", "_row")), *(F.translate(F.col("_row")[c], "\x1e", "\n").alias(c) for c in columns))
 
 
 def csv_batches(rows: DataFrame, keys: list[str], errors: DataFrame) -> DataFrame:

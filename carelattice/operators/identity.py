@@ -61,13 +61,13 @@ def resolve(records: DataFrame, order: str = "arrival_seq", seeds: DataFrame | N
     """records with umpi, match_method, match_confidence, is_new_record, matched_on.
 
     records: order (a distinct number of arrival) and whatever of the matching fields there is. seeds: known persons,
-    with the same fields and umpi, in the order of seq; their keys come first (the latest of equal ones counts).
+    with the same fields, umpi and a distinct non-negative seq; their keys come first (the latest of equal ones counts).
     """
     df = match_keys(records).withColumn("record_id", F.col(order).cast("long"))
     keys = ["k1", "k2", "k3", "k4"]
     work = df.select("record_id", F.lit(None).cast("string").alias("fixed"), *keys)
     if seeds is not None:
-        known = match_keys(seeds).select((-F.lit(1 << 62) + F.row_number().over(_by("seq"))).alias("record_id"), F.col("umpi").alias("fixed"), *keys)
+        known = match_keys(seeds).select((F.col("seq").cast("long") - F.lit(1 << 62)).alias("record_id"), F.col("umpi").alias("fixed"), *keys)
         work = work.unionByName(known)
     work = checkpoint(work)
     edges = work.select("record_id", F.explode(F.filter(F.array(*keys), lambda k: k.isNotNull())).alias("key"))
@@ -105,12 +105,6 @@ def resolve(records: DataFrame, order: str = "arrival_seq", seeds: DataFrame | N
     return df.drop(*keys).join(result, "record_id").drop("record_id")
 
 
-def _by(column: str):
-    from pyspark.sql import Window
-
-    return Window.orderBy(column)
-
-
 def crosswalk(resolved: DataFrame) -> DataFrame:
     """One row for each source record."""
     wanted = ["umpi", "tenant_id", "source_system", "source_id", "source_mrn", "match_method", "match_confidence"]
