@@ -77,7 +77,7 @@ def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SL
 class WordHashes(dict):
     """64-bit hashes of byte strings, remembered up to a bounded number of entries."""
 
-    LIMIT = 400_000
+    LIMIT = 250_000
 
     def __missing__(self, word: bytes) -> int:
         if len(self) >= self.LIMIT:
