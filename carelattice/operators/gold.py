@@ -67,7 +67,7 @@ def first_rows(rows: DataFrame, key: str = "umpi", order: str = "arrival_seq") -
 def patient_summary(patients: DataFrame, encounters: DataFrame, diagnoses: DataFrame, as_of: dt.date) -> DataFrame:
     """One row for each patient: each child table is aggregated by patient before it is joined."""
     flags = diagnosis_flags(diagnoses)
-    people = first_rows(patients)
+    people = first_rows(patients.select("umpi", "arrival_seq", "tenant_id", "given_name", "family_name", "birth_date", "gender", "postal_code"))
     out = people.join(utilization(encounters, as_of), "umpi", "left").join(pcp_attribution(encounters, as_of), "umpi", "left").join(flags, "umpi", "left")
     out = out.fillna(False, [*CHARLSON, *(f"has_{n.lower()}" for n in CHRONIC)]).fillna(0, ["encounters_12m", "ed_visits_12m", "inpatient_days_12m"])
     name = F.nullif(F.trim(F.concat(F.coalesce("given_name", F.lit("")), F.lit(" "), F.coalesce("family_name", F.lit("")))), F.lit(""))

@@ -83,7 +83,7 @@ _CSV_DQ = """SELECT row_idx, c, 'CSV_MISSING_REQUIRED_FIELD' AS error_code, 'las
   UNION ALL SELECT row_idx, c, 'CSV_DUPLICATE_RECORD', 'patient_id' FROM csvp WHERE again = 1
   UNION ALL SELECT row_idx, c, 'CSV_MALFORMED_DOB', 'dob' FROM csvp WHERE c % 20 = 5"""
 _MPI = """SELECT source_id, sha256('umpi~' || c_custkey) AS umpi, CASE WHEN b = 0 THEN 'NEW_RECORD' WHEN ssn_last4 IS NOT NULL THEN 'SSN4_DOB_NAME' ELSE 'DOB_NAME_ZIP' END AS match_method,
-  CASE WHEN b = 0 THEN 0.0 WHEN ssn_last4 IS NOT NULL THEN 1.0 ELSE 0.95 END AS match_confidence, b = 0 AS is_new_record, tenant_id, family_name, given_name
+  (CASE WHEN b = 0 THEN 0.0 WHEN ssn_last4 IS NOT NULL THEN 1.0 ELSE 0.95 END)::DOUBLE AS match_confidence, b = 0 AS is_new_record, tenant_id, family_name, given_name
   FROM (SELECT *, (CASE WHEN b = 0 THEN 'A' ELSE 'B' END) || umpi AS source_id FROM patients, (VALUES (0), (1)) v(b))"""
 
 
@@ -99,7 +99,7 @@ def sql() -> dict[str, str]:
         "readmission_30d": _with("adt", "diagnoses") + f""", r AS ({_READMIT}), dx AS (SELECT encounter_id, icd AS primary_dx, row_number() OVER (PARTITION BY encounter_id ORDER BY seq DESC) AS n FROM diagnoses WHERE diagnosis_rank = 1 AND clinical_status = 'active'),
             h AS (SELECT *, event_type = 'A01' AND prior IS NOT NULL AND epoch_us(moment) - epoch_us(prior) <= 2592000000000 AS hit FROM r)
             SELECT sha256(umpi) AS patient_hash, encounter_id, event_type, {_case("event_type", ADT_LABELS)} AS event_label, {_case("event_type", ADT_COARSE)} AS event_category, strftime(moment, {_TS}) AS event_datetime, hit AS is_readmission_30d,
-            CASE WHEN hit THEN strftime(date_trunc('day', prior), {_TS}) END AS prior_discharge_datetime, CASE WHEN hit THEN round((epoch_us(moment) - epoch_us(date_trunc('day', prior)::TIMESTAMP)) / 86400000000.0, 6) END AS days_since_prior_discharge, primary_dx
+            CASE WHEN hit THEN strftime(date_trunc('day', prior), {_TS}) END AS prior_discharge_datetime, CASE WHEN hit THEN round((epoch_us(moment) - epoch_us(date_trunc('day', prior)::TIMESTAMP)) / 86400000000.0, 6)::DOUBLE END AS days_since_prior_discharge, primary_dx
             FROM h LEFT JOIN dx ON h.encounter_id = dx.encounter_id AND n = 1""".replace("SELECT sha256(umpi) AS patient_hash, encounter_id", "SELECT sha256(umpi) AS patient_hash, h.encounter_id"),
         "event_readmission": f"""WITH adt AS (SELECT event_id, user_id AS umpi, CASE event_type WHEN 'purchase' THEN 'A01' WHEN 'error' THEN 'A03' END AS event_type, ts AS moment FROM events WHERE event_type IN ('purchase', 'error')),
             r AS (SELECT event_id, umpi, event_type, moment, max(CASE WHEN event_type = 'A03' THEN moment END) OVER (PARTITION BY umpi ORDER BY epoch_us(moment) RANGE BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS prior FROM adt)
@@ -116,7 +116,7 @@ def sql() -> dict[str, str]:
         "rxnorm_map": f"SELECT p_partkey, {_case(f'lower({_list(DRUGS)}[(p_partkey % 7)::INT + 1])', RXNORM)} AS rxnorm_code FROM part",
         "snomed_map": _with("diagnoses") + f"SELECT icd AS icd10_code, {_case('icd', SNOMED)} AS snomed_code, count(*) AS n FROM diagnoses GROUP BY 1, 2",
         "unmapped_codes": _with("coded") + "SELECT source_display, 'UNKNOWN' AS source_code, count(*) AS occurrences FROM coded WHERE loinc_code IS NULL GROUP BY 1",
-        "normalization_log": _with("coded") + "SELECT source_record_id, source_display, loinc_code AS target_code, CASE WHEN loinc_code IS NULL THEN 'UNMAPPED' ELSE 'TERMINOLOGY_SERVICE' END AS normalization_method, CASE WHEN loinc_code IS NULL THEN 0.0 ELSE 1.0 END AS confidence FROM coded",
+        "normalization_log": _with("coded") + "SELECT source_record_id, source_display, loinc_code AS target_code, CASE WHEN loinc_code IS NULL THEN 'UNMAPPED' ELSE 'TERMINOLOGY_SERVICE' END AS normalization_method, (CASE WHEN loinc_code IS NULL THEN 0.0 ELSE 1.0 END)::DOUBLE AS confidence FROM coded",
         "hl7_split": "SELECT floor(o_orderkey / 100)::BIGINT AS batch, count(*) AS messages FROM orders GROUP BY 1",
         "hl7_msh": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, 'APP' || (k % 3) AS sending_application, CASE WHEN c % 50 = 4 THEN '' ELSE 'FAC' || (k % 6) END AS sending_facility, '2.5.1' AS hl7_version, strftime(moment, {_TS}) AS message_datetime FROM msgs",
         "hl7_ztn": _with("msgs") + "SELECT 'MSG' || k AS message_control_id, CASE WHEN k % 7 <> 0 THEN 'TENANT_' || (c_nationkey % 4) END AS tenant, CASE WHEN k % 7 <> 0 THEN 'SYS' || (k % 2) END AS source, CASE WHEN k % 7 <> 0 THEN 'B1' END AS batch FROM msgs",
@@ -127,12 +127,12 @@ def sql() -> dict[str, str]:
         "bronze_counts": _with("msgs") + f"SELECT CASE WHEN c % 50 = 4 THEN '' ELSE 'FAC' || (k % 6) END AS sending_facility, 'PASS' AS validation_status, 'ADT' AS message_type, CASE WHEN a01 THEN 'A01' ELSE 'A03' END AS message_event, count(*) AS messages, count(*) AS with_tenant FROM msgs GROUP BY ALL",
         "hl7_encounters": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, 'MRN' || c AS mrn, CASE k % 5 WHEN 0 THEN 'IMP' WHEN 1 THEN 'AMB' WHEN 2 THEN 'EMER' WHEN 3 THEN 'AMB' END AS encounter_class, CASE WHEN a01 THEN 'in-progress' ELSE 'finished' END AS encounter_status, CASE WHEN a01 THEN strftime(moment, {_TS}) END AS period_start, CASE WHEN NOT a01 THEN strftime(moment, {_TS}) END AS period_end, 'FAC' || (k % 6) AS facility, 'ATT-' || (k % 10) AS attending_provider_npi FROM msgs",
         "hl7_conditions": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, dx AS icd10_code, 'active' AS clinical_status, strftime(moment, {_TS}) AS onset FROM msgs WHERE a01",
-        "oru_observations": _with("msgs") + "SELECT 'MSG' || k AS message_control_id, '4548-4' AS source_code, round(4 + k % 50 / 10.0, 1) AS value_quantity, '%' AS value_unit, 4.0 AS reference_range_low, 5.6 AS reference_range_high, 'H' AS interpretation_code, 'F' AS observation_status FROM msgs WHERE k % 11 = 0",
+        "oru_observations": _with("msgs") + "SELECT 'MSG' || k AS message_control_id, '4548-4' AS source_code, round(4 + k % 50 / 10.0, 1)::DOUBLE AS value_quantity, '%' AS value_unit, 4.0::DOUBLE AS reference_range_low, 5.6::DOUBLE AS reference_range_high, 'H' AS interpretation_code, 'F' AS observation_status FROM msgs WHERE k % 11 = 0",
         "fhir_bundles": _with("msgs") + f"SELECT 'B' || k AS bundle_id, {_FHIR_TENANT} AS tenant_id, 'EHR' || (k % 2) AS source_system, concat_ws(',', CASE WHEN k % 13 = 0 THEN 'Basic' END, CASE WHEN n > 0 THEN 'Condition' END, 'Encounter', CASE WHEN n > 0 THEN 'Observation' END, 'Patient') AS resource_types FROM msgs LEFT JOIN (SELECT l_orderkey, count(*) AS n FROM lineitem GROUP BY 1) ON k = l_orderkey",
         "fhir_resources": _with("msgs") + "SELECT resource_type, supported, count(*) AS n, count(*) FILTER (first) AS with_payload FROM (SELECT 'Patient' AS resource_type, true AS supported, true AS first FROM msgs UNION ALL SELECT 'Encounter', true, false FROM msgs UNION ALL SELECT 'Basic', false, false FROM msgs WHERE k % 13 = 0 UNION ALL SELECT 'Condition', true, false FROM lineitem JOIN msgs ON k = l_orderkey UNION ALL SELECT 'Observation', true, false FROM lineitem JOIN msgs ON k = l_orderkey) GROUP BY 1, 2",
         "fhir_patients": _with("msgs") + "SELECT DISTINCT 'P' || lpad(c::VARCHAR, 9, '0') AS source_id, 'MRN' || c AS source_mrn, 'F' || (c % 97) AS family_name, 'G' || (c % 53) AS given_name, CASE WHEN c % 40 <> 9 THEN strftime(born, '%Y-%m-%d') END AS birth_date, (70000 + c % 500)::VARCHAR AS postal_code FROM msgs",
         "fhir_observations": _with("coded") + f"SELECT source_record_id, umpi, CASE WHEN seq % 10 = 1 THEN '4548-4' ELSE loinc_code END AS loinc_code, CASE WHEN seq % 10 = 1 THEN 'SOURCE_LOINC' WHEN loinc_code IS NULL THEN 'UNMAPPED' ELSE 'TERMINOLOGY_SERVICE' END AS normalization_method, value_quantity, '%' AS value_unit, strftime(effective, {_TS}) AS effective FROM coded",
-        "fhir_encounters": _with("msgs") + f"SELECT 'E' || k AS source_record_id, 'P' || lpad(c::VARCHAR, 9, '0') AS umpi, CASE WHEN a01 THEN 'IMP' ELSE 'AMB' END AS encounter_class, strftime(moment, {_TS}) AS period_start, round(k % 9 * 0.5, 6) AS length_of_stay_hours, 'FAC-' || (k % 6) AS facility_name FROM msgs",
+        "fhir_encounters": _with("msgs") + f"SELECT 'E' || k AS source_record_id, 'P' || lpad(c::VARCHAR, 9, '0') AS umpi, CASE WHEN a01 THEN 'IMP' ELSE 'AMB' END AS encounter_class, strftime(moment, {_TS}) AS period_start, round(k % 9 * 0.5, 6)::DOUBLE AS length_of_stay_hours, 'FAC-' || (k % 6) AS facility_name FROM msgs",
         "fhir_conditions": _with("diagnoses") + "SELECT 'C' || seq AS source_record_id, umpi, icd AS icd10_code, clinical_status, 'primary' AS condition_category FROM diagnoses",
         "fhir_dq": _with("msgs") + "SELECT 'FHIR_MISSING_TENANT' AS error_code, 'B' || k AS source_record_id FROM msgs WHERE k % 17 = 0 UNION ALL SELECT 'FHIR_MISSING_BIRTH_DATE', 'B' || k || '/P' || lpad(c::VARCHAR, 9, '0') FROM msgs WHERE c % 40 = 9",
         "csv_patients": _with("csvp") + "SELECT 'PT' || c AS source_mrn, CASE WHEN c % 25 <> 3 THEN 'G' || (c % 53) END AS given_name, CASE WHEN c % 25 <> 4 THEN 'F' || (c % 97) END AS family_name, CASE WHEN c % 20 <> 5 THEN strftime(born, '%Y-%m-%d') END AS birth_date, c || ' Main St, Apt 1' AS address_line, 'Tulsa' AS city, CASE WHEN c % 60 <> 8 THEN (70000 + c % 500)::VARCHAR END AS postal_code FROM csvp",
@@ -149,8 +149,8 @@ def sql() -> dict[str, str]:
         "mpi_resolve": _with("patients") + f"SELECT source_id, umpi, match_method, match_confidence, is_new_record FROM ({_MPI})",
         "mpi_crosswalk": _with("patients") + f"SELECT umpi, count(*) AS records, count(DISTINCT substr(source_id, 1, 1)) AS systems FROM ({_MPI}) GROUP BY 1",
         "mpi_index": _with("patients") + f"SELECT umpi, tenant_id, family_name, given_name, 1 AS linked_record_count FROM ({_MPI}) WHERE is_new_record",
-        "dq_scorecard": _with("patients", "coded", "diagnoses") + f""", o AS (SELECT tenant_id, round(100.0 * count(loinc_code) / count(*), 4) AS pct_loinc_coverage, count(*) - count(loinc_code) AS unmapped_code_count FROM coded GROUP BY 1), d AS (SELECT tenant_id, round(100.0 * count(*) FILTER (regexp_matches(icd, '^[A-Z][0-9]')) / count(*), 4) AS pct_icd10_coverage FROM diagnoses GROUP BY 1),
-            p AS (SELECT tenant_id, count(*) AS patient_count, 100.0 AS pct_complete_demographics, 50.0 AS mpi_match_rate FROM patients GROUP BY 1) SELECT * FROM p LEFT JOIN o USING (tenant_id) LEFT JOIN d USING (tenant_id)""",
+        "dq_scorecard": _with("patients", "coded", "diagnoses") + f""", o AS (SELECT tenant_id, round(100.0 * count(loinc_code) / count(*), 4)::DOUBLE AS pct_loinc_coverage, count(*) - count(loinc_code) AS unmapped_code_count FROM coded GROUP BY 1), d AS (SELECT tenant_id, round(100.0 * count(*) FILTER (regexp_matches(icd, '^[A-Z][0-9]')) / count(*), 4)::DOUBLE AS pct_icd10_coverage FROM diagnoses GROUP BY 1),
+            p AS (SELECT tenant_id, count(*) AS patient_count, 100.0::DOUBLE AS pct_complete_demographics, 50.0::DOUBLE AS mpi_match_rate FROM patients GROUP BY 1) SELECT * FROM p LEFT JOIN o USING (tenant_id) LEFT JOIN d USING (tenant_id)""",
         "patient_observation_preview": _with("patients", "coded") + f"SELECT p.umpi, family_name, source_display, value_quantity, strftime(effective, {_TS}) AS effective FROM patients p LEFT JOIN coded o ON p.umpi = o.umpi",
         "union_conditions": _with("diagnoses", "msgs") + "SELECT source, icd10_code, count(*) AS n FROM (SELECT 'FHIR' AS source, icd AS icd10_code FROM diagnoses UNION ALL SELECT 'HL7', dx FROM msgs WHERE a01) GROUP BY 1, 2",
     }

@@ -5,6 +5,7 @@ Fixed values: column names, types and order are the tables' interface.
 
 from __future__ import annotations
 
+from pyspark.sql import types as T
 from pyspark.sql.types import StructType
 
 _RUN = "pipeline_run_id string"
@@ -32,7 +33,17 @@ _DEFINITIONS = {
     "export_uscdi_v3_patient": f"export_id string, umpi string, tenant_id string, uscdi_payload string, missing_elements array<string>, qhin_ready boolean, uscdi_version string, exported_at timestamp, {_RUN}",
 }
 
-TABLES: dict[str, StructType] = {name: StructType.fromDDL(columns) for name, columns in _DEFINITIONS.items()}
+_TYPES = {
+    "string": T.StringType(), "int": T.IntegerType(), "bigint": T.LongType(), "double": T.DoubleType(), "boolean": T.BooleanType(), "date": T.DateType(), "timestamp": T.TimestampType(),
+    "array<string>": T.ArrayType(T.StringType()), "map<string,boolean>": T.MapType(T.StringType(), T.BooleanType()),
+}
+
+
+def _schema(columns: str) -> StructType:
+    return StructType([T.StructField(name, _TYPES[kind]) for name, kind in (c.split(" ") for c in columns.split(", "))])
+
+
+TABLES: dict[str, StructType] = {name: _schema(columns) for name, columns in _DEFINITIONS.items()}
 
 LAYERS = {
     "bronze": [n for n in TABLES if n.startswith(("ingest_", "audit_"))],
