@@ -34,24 +34,23 @@ def characters(text: str) -> np.ndarray:
     return np.frombuffer(" ".join(text.lower().split()).encode("utf-32-le", "surrogatepass"), "<u4")
 
 
-def qgrams(chars: np.ndarray, q: int = Q) -> np.ndarray:
-    """Hashes of all q-grams, by doubling."""
+def qgrams(chars: np.ndarray, q: int = Q, kind: type = np.uint64) -> np.ndarray:
+    """Polynomial hashes of all q-grams, by doubling, modulo 2^64 (or what kind holds)."""
     if len(chars) < q:
-        return np.empty(0, np.uint64)
-    base, have, h = 0x9E3779B97F4A7C15, 1, chars.astype(np.uint64)
+        return np.empty(0, kind)
+    base, whole = 0x9E3779B97F4A7C15, 1 << (8 * np.dtype(kind).itemsize)
+    have, h = 1, chars.astype(kind)
     powers, out, done = {1: h}, None, 0
     while have * 2 <= q:
-        factor = np.uint64(pow(base, have, 1 << 64))
-        h = h[: len(h) - have] * factor + h[have:]
+        h = h[: len(h) - have] * kind(pow(base, have, whole)) + h[have:]
         have *= 2
         powers[have] = h
     for size in sorted(powers, reverse=True):
         if q - done >= size:
-            n = len(chars) - q + 1
-            part = powers[size][done : done + n]
-            out = part.copy() if out is None else out * np.uint64(pow(base, size, 1 << 64)) + part
+            part = powers[size][done : done + len(chars) - q + 1]
+            out = part.copy() if out is None else out * kind(pow(base, size, whole)) + part
             done += size
-    return mix(out)
+    return out
 
 
 def patterns(length: int) -> list[tuple[int, int]]:
@@ -72,46 +71,67 @@ class Index:
 
     def __init__(self, items: list[tuple[int, str]]):
         self.ids, self.chars = [i for i, _ in items], [characters(t) for _, t in items]
-        grams = [qgrams(c) for c in self.chars]
+        grams = [mix(qgrams(c)) for c in self.chars]
         keys = np.concatenate([*grams, np.empty(0, np.uint64)])
         item = np.repeat(np.arange(len(grams)), [len(g) for g in grams])
         place = np.concatenate([*(np.arange(len(g)) for g in grams), np.empty(0, np.int64)])
         order = np.argsort(keys, kind="stable")
         self.keys, self.item, self.place = keys[order], item[order].astype(np.int64), place[order].astype(np.int64)
         self.some = np.zeros(1 << _BITS, bool)
-        self.some[(self.keys >> np.uint64(64 - _BITS)).astype(np.int64)] = True
+        for c in self.chars:
+            self.some[self._slots(c)] = True
+        self.patterns = [[(a, b, self._bound(b - a)) for a, b in patterns(len(c))] for c in self.chars]
+        self.need = np.array([min((n for *_, n in p), default=1 << 30) for p in self.patterns], np.int64)
+        self.least = int(self.need.min(initial=1 << 30))
         self.reach = max(1, *(budget(b - a) for c in self.chars for a, b in patterns(len(c)))) if any(len(c) >= Q for c in self.chars) else 1
 
+    @staticmethod
+    def _slots(chars: np.ndarray) -> np.ndarray:
+        """Places of all q-grams in the table that tells which may be an item's: 32-bit arithmetic, as most stop here."""
+        return (qgrams(chars, Q, np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(32 - _BITS)
+
+    def search(self, texts: list[str]) -> list[list[tuple[int, int, int, int]]]:
+        """find() for each text; texts are screened together, and those with too few possible q-grams end there."""
+        folded = [" ".join(t.lower().split()) for t in texts]
+        sizes = np.array([len(t) + 1 for t in folded])
+        joined = np.frombuffer("\0".join(folded).encode("utf-32-le", "surrogatepass"), "<u4")  # no item has a NUL
+        at = np.flatnonzero(self.some[self._slots(joined)]) if len(self.keys) else np.empty(0, np.int64)
+        hits = np.bincount(np.searchsorted(np.cumsum(sizes), at, "right"), minlength=len(texts))
+        return [self.find(np.frombuffer(t.encode("utf-32-le", "surrogatepass"), "<u4")) if n >= self.least else [] for t, n in zip(folded, hits.tolist(), strict=True)]
+
     def find(self, chars: np.ndarray) -> list[tuple[int, int, int, int]]:
         """Verified places: item, first and stop in the text's characters, edits; the best of each pattern's band."""
-        grams = qgrams(chars)
-        at = np.flatnonzero(self.some[(grams >> np.uint64(64 - _BITS)).astype(np.int64)])
-        low, high = np.searchsorted(self.keys, grams[at]), np.searchsorted(self.keys, grams[at], "right")
+        at = np.flatnonzero(self.some[self._slots(chars)])
+        grams = mix(qgrams(chars)[at])
+        low, high = np.searchsorted(self.keys, grams), np.searchsorted(self.keys, grams, "right")
         n = high - low
         if not n.sum():
             return []
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
         which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         item, place, diagonal = self.item[which], self.place[which], np.repeat(at, n) - self.place[which]
-        width, found = 2 * self.reach, []
+        width, found, seen = 2 * self.reach, [], set()
         for shift in (0, self.reach):
             band = (diagonal + shift) // width
             order = np.lexsort((place, band, item))
             i, b = item[order], band[order]
             starts = np.flatnonzero(np.concatenate([[True], (i[1:] != i[:-1]) | (b[1:] != b[:-1])]))
-            for s, e in zip(starts.tolist(), [*starts[1:].tolist(), len(order)], strict=True):
-                which_item = int(i[s])
-                lengths = patterns(len(self.chars[which_item]))
-                if e - s < min(self._bound(y - x) for x, y in lengths):
-                    continue
-                places = place[order[s:e]]
-                for x, y in lengths:
+            stops = np.append(starts[1:], len(order))
+            enough = stops - starts >= self.need[i[starts]]
+            for s, e in zip(starts[enough].tolist(), stops[enough].tolist(), strict=True):
+                which_item, places = int(i[s]), place[order[s:e]]
+                for x, y, need in self.patterns[which_item]:
                     a, z = np.searchsorted(places, [x, y - Q + 1])
-                    if len(np.unique(places[a:z])) >= self._bound(y - x):
-                        d = diagonal[order[s + a : s + z]]
-                        first, edits = self._align(self.chars[which_item][x:y], chars, int(d.min()) + x, int(d.max()) + x)
-                        if edits <= budget(y - x):
-                            found.append((self.ids[which_item], first, first + (y - x), edits))
+                    if z - a < need or len(np.unique(places[a:z])) < need:
+                        continue
+                    d = diagonal[order[s + a : s + z]]
+                    low, high = int(d.min()) + x, int(d.max()) + x
+                    if (which_item, x, low, high) in seen:  # the other banding had the same place
+                        continue
+                    seen.add((which_item, x, low, high))
+                    first, edits = self._align(self.chars[which_item][x:y], chars, low, high)
+                    if edits <= budget(y - x):
+                        found.append((self.ids[which_item], first, first + (y - x), edits))
         return sorted(set(found))
 
     @staticmethod
@@ -156,9 +176,8 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                out = []
-                for text, before in zip(batch.column("text").to_pylist(), batch.column("spans").to_pylist(), strict=True):
-                    out.append((before or []) + [dict(zip(("item", "first", "stop", "edits"), x, strict=True)) for x in index.value.find(characters(text))])
+                found = index.value.search(batch.column("text").to_pylist())
+                out = [(before or []) + [dict(zip(("item", "first", "stop", "edits"), x, strict=True)) for x in spans] for before, spans in zip(batch.column("spans").to_pylist(), found, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(out, kind)], names=["id", "text", "spans"])
 
         rows = rows.mapInArrow(run, f"id long, text string, {spans}")
@@ -172,7 +191,7 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, text_col):
-                yield batch.filter(pa.array([not index.value.find(characters(t or "")) for t in batch.column(text_col).to_pylist()], pa.bool_()))
+                yield batch.filter(pa.array([not x for x in index.value.search([t or "" for t in batch.column(text_col).to_pylist()])], pa.bool_()))
 
         docs = docs.mapInArrow(run, docs.schema)
     return docs
