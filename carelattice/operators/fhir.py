@@ -24,6 +24,7 @@ RESOURCE = f"""struct<
   clinicalStatus:{_CODEABLE},verificationStatus:{_CODEABLE},onsetDateTime:string,abatementDateTime:string>""".replace("\n", "").replace("  ", "")
 BUNDLE = f"struct<resourceType:string,id:string,type:string,timestamp:string,meta:struct<lastUpdated:string,tag:array<{_CODING}>>,entry:array<struct<fullUrl:string,resource:{RESOURCE}>>>"
 
+# The default tag systems of tenant and source; both are parameters.
 TENANT_TAG = "https://oklahoma-hdu.example.org/tags/tenant"
 SOURCE_TAG = "https://oklahoma-hdu.example.org/tags/source"
 
@@ -39,8 +40,9 @@ def tenant(bundle: Column, default: str | None = None, uri: str = TENANT_TAG) ->
 
 
 def source(bundle: Column, uri: str = TENANT_TAG) -> Column:
-    """The first tag with a code that isn't the tenant's."""
-    return F.get(F.filter(bundle["meta"]["tag"], lambda t: (F.coalesce(t["system"], F.lit("")) != uri) & (F.coalesce(t["code"], F.lit("")) != "")), F.lit(0))["code"]
+    """The source tag's code, else that of the first other tag with a code that isn't the tenant's."""
+    named = _tag(bundle["meta"]["tag"], SOURCE_TAG)["code"]
+    return F.coalesce(named, F.get(F.filter(bundle["meta"]["tag"], lambda t: (F.coalesce(t["system"], F.lit("")) != uri) & (F.coalesce(t["code"], F.lit("")) != "")), F.lit(0))["code"])
 
 
 def parse_bundles(bundles: DataFrame, default_tenant: str | None = None, raw: str = "raw_bundle", uri: str = TENANT_TAG) -> DataFrame:

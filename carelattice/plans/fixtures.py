@@ -10,9 +10,10 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from carelattice.operators.fhir import TENANT_TAG
+
 AS_OF = dt.date(2001, 8, 1)
 YEAR = 2000
-TENANT_TAG = "https://oklahoma-hdu.example.org/tags/tenant"
 
 # The diagnosis codes and test names that rows are given by key.
 CODES = "I21.9 I50.9 I70.0 I63.9 F03.90 J44.1 M05.9 K25.0 K70.3 E11.9 E11.21 G81.9 N18.3 C50.9 K72.1 C78.0 B20 I10 F32.9 E08.9 I25.2 I73.9 G45.9 J43.9 M35.0 N18.4 Z23 M54.5 INVALID_DX_99 E10.9".split()
@@ -103,7 +104,7 @@ def hl7_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     facility = F.when(c % 50 == 4, "").otherwise(_num(k % 6, "FAC"))
     line = lambda *x: F.concat_ws("|", *(F.lit(v) if isinstance(v, str) else v for v in x))
     parts = [
-        line("MSH", "^~\\&", _num(k % 3, "APP"), facility, "HDU", "STATE", at, "", F.concat(F.lit("ADT^"), event, F.lit("^ADT_A01")), _num(k, "MSG"), "P", "2.5.1"),
+        line("MSH", "^~\\&", _num(k % 3, "APP"), facility, "HUB", "STATE", at, "", F.concat(F.lit("ADT^"), event, F.lit("^ADT_A01")), _num(k, "MSG"), "P", "2.5.1"),
         line("EVN", event, at),
         line("PID", "1", "", F.concat(_num(c, "MRN"), F.lit("^^^"), _num(k % 6, "FAC"), F.lit("^MR")), "", name, "", born, sex),
         line("PV1", "1", pick(("I", "O", "E", "R", "Q"), k % 5), F.concat(F.lit("W^1^2^"), _num(k % 6, "FAC")), "", "", "", F.concat(_num(k % 10, "ATT-NPI-"), F.lit("^Dr "), _num(k % 10))),

@@ -15,7 +15,7 @@ from carelattice.operators import csvbatch, dq, fhir, gold, governance, hl7, ide
 from carelattice.schemas import LAYERS, TABLES
 from carelattice.sources.files import split_bundles, split_messages
 
-ADT = "MSH|^~\\&|EPIC|INTEGRIS|HDU|STATE|20240315082301||ADT^A01^ADT_A01|MSG1|P|2.5.1\rEVN|A01|20240315082000\rPID|1||MRN1^^^INTEGRIS^MR~XXXXX1234^^^X^SS||Ramirez^Maria^L||19580412|F\rPV1|1|I|ICU^1^2^INTEGRIS||||ATT-NPI-77^Lee\rDG1|1||I21.9^MI^ICD10\rZTN|TENANT_ID=INTEGRIS_BAPTIST|SOURCE_SYSTEM=EPIC_1|FEED_TYPE=ADT"
+ADT = "MSH|^~\\&|EPIC|WESTFAC|HUB|STATE|20240315082301||ADT^A01^ADT_A01|MSG1|P|2.5.1\rEVN|A01|20240315082000\rPID|1||MRN1^^^WESTFAC^MR~XXXXX1234^^^X^SS||Alvarez^Elena^L||19580412|F\rPV1|1|I|ICU^1^2^WESTFAC||||ATT-NPI-77^Lee\rDG1|1||I21.9^MI^ICD10\rZTN|TENANT_ID=WEST_CLINIC|SOURCE_SYSTEM=EPIC_1|FEED_TYPE=ADT"
 
 
 def one(spark, value, expr, kind="string"):
@@ -52,13 +52,13 @@ def test_prefixes_and_names(spark):
 def test_hl7_message(spark):
     df = spark.createDataFrame([(ADT,), ("NOT_A_VALID_HL7_MESSAGE",), (ADT.split("\rZTN")[0],)], "raw_message string")
     good, bad, plain = hl7.parse_messages(df).collect()
-    assert (good.tenant_id, good.source_system, good.feed_type, good.message_type, good.message_event, good.validation_status) == ("INTEGRIS_BAPTIST", "EPIC_1", "ADT", "ADT", "A01", "PASS")
+    assert (good.tenant_id, good.source_system, good.feed_type, good.message_type, good.message_event, good.validation_status) == ("WEST_CLINIC", "EPIC_1", "ADT", "ADT", "A01", "PASS")
     assert good.message_datetime == dt.datetime(2024, 3, 15, 8, 23, 1) and good.raw_message == ADT
     assert (bad.validation_status, bad.tenant_id, bad.raw_message) == ("ERROR", "UNKNOWN", "NOT_A_VALID_HL7_MESSAGE") and bad.error
-    assert plain.tenant_id == "INTEGRIS"
+    assert plain.tenant_id == "WESTFAC"
     assert hl7.parse_messages(df, "DEFAULT").collect()[2].tenant_id == "DEFAULT"
     adt = hl7.parse_adt(hl7.parse_messages(df)).first()
-    assert (adt.mrn, adt.family_name, adt.given_name, adt.birth_date, adt.encounter_class, adt.attending_provider_npi, adt.icd10_code) == ("MRN1", "Ramirez", "Maria", dt.date(1958, 4, 12), "IMP", "ATT-77", "I21.9")
+    assert (adt.mrn, adt.family_name, adt.given_name, adt.birth_date, adt.encounter_class, adt.attending_provider_npi, adt.icd10_code) == ("MRN1", "Alvarez", "Elena", dt.date(1958, 4, 12), "IMP", "ATT-77", "I21.9")
 
 
 def test_split_messages(spark):
@@ -68,7 +68,7 @@ def test_split_messages(spark):
 
 
 def test_hl7_findings(spark):
-    bad = [ADT.replace("19580412", d) for d in ("00000000", "19991399", "20001432", "99999999", "20191301", "1958-04")] + [ADT.replace("Ramirez^Maria^L", "^"), ADT.replace("|F\r", "|X\r"), ADT.replace("|INTEGRIS|HDU", "||HDU"), "junk", ADT]
+    bad = [ADT.replace("19580412", d) for d in ("00000000", "19991399", "20001432", "99999999", "20191301", "1958-04")] + [ADT.replace("Alvarez^Elena^L", "^"), ADT.replace("|F\r", "|X\r"), ADT.replace("|WESTFAC|HUB", "||HUB"), "junk", ADT]
     parsed = hl7.parse_adt(hl7.parse_messages(spark.createDataFrame([(b,) for b in bad], "raw_message string")))
     got = {r.error_code: r.issue_count for r in dq.counts(dq.hl7_findings(parsed)).collect()}
     assert got == {"HL7_MALFORMED_DOB": 6, "HL7_MISSING_PID5": 1, "HL7_INVALID_GENDER": 1, "HL7_MISSING_MSH4": 1, "HL7_PARSE_FAILURE": 1}
@@ -77,7 +77,7 @@ def test_hl7_findings(spark):
 BUNDLE = {
     "resourceType": "Bundle", "id": "b1", "type": "transaction", "meta": {"tag": [{"system": fhir.TENANT_TAG, "code": "T1"}, {"system": "urn:s", "code": "EHR"}]},
     "entry": [
-        {"resource": {"resourceType": "Patient", "id": "p1", "name": [{"use": "nickname", "family": "N"}, {"use": "official", "family": "Ramirez", "given": ["Maria"]}], "birthDate": "1958-04-12", "gender": "female", "identifier": [{"type": {"coding": [{"code": "MR"}]}, "system": "urn:mrn", "value": "M1"}, {"type": {"coding": [{"code": "SS"}]}, "value": "123-45-6789"}]}},
+        {"resource": {"resourceType": "Patient", "id": "p1", "name": [{"use": "nickname", "family": "N"}, {"use": "official", "family": "Alvarez", "given": ["Elena"]}], "birthDate": "1958-04-12", "gender": "female", "identifier": [{"type": {"coding": [{"code": "MR"}]}, "system": "urn:mrn", "value": "M1"}, {"type": {"coding": [{"code": "SS"}]}, "value": "123-45-6789"}]}},
         {"resource": {"resourceType": "Encounter", "id": "e1", "status": "finished", "class": {"code": "IMP"}, "subject": {"reference": "urn:uuid:p1"}, "period": {"start": "2024-03-15T08:00:00+05:00", "end": "2024-03-15T09:30:00Z"}}},
         {"resource": {"resourceType": "Observation", "id": "o1", "status": "final", "code": {"coding": [{"system": "http://loinc.org", "code": "4548-4"}], "text": "HbA1c"}, "subject": {"reference": "Patient/p1"}, "effectiveDateTime": "2024-03-15", "valueQuantity": {"value": 8.2, "unit": "%"}, "interpretation": [{"coding": [{"code": "H"}]}]}},
         {"resource": {"resourceType": "Observation", "id": "o2", "status": "final", "code": {"text": "mystery"}, "subject": {"reference": "Patient/p1"}, "valueQuantity": {"value": 42.0}}},
@@ -97,7 +97,7 @@ def test_fhir(spark):
     assert fhir.skipped_types(res.filter("validation_status = 'PASS'")).first().skipped_types == ["Basic"]
     assert [r.entry_index for r in res.filter("bundle_payload is not null and validation_status = 'PASS'").collect()] == [0]
     p = fhir.patient_identities(res).first()
-    assert (p.family_name, p.given_name, p.source_mrn, p.source_identifier_system, p.ssn_last4, p.birth_date) == ("Ramirez", "Maria", "M1", "urn:mrn", "6789", dt.date(1958, 4, 12))
+    assert (p.family_name, p.given_name, p.source_mrn, p.source_identifier_system, p.ssn_last4, p.birth_date) == ("Alvarez", "Elena", "M1", "urn:mrn", "6789", dt.date(1958, 4, 12))
     obs = {r.source_record_id: r for r in terminology.normalize_observations(fhir.observations(res)).collect()}
     assert (obs["o1"].loinc_code, obs["o1"].normalization_method, obs["o1"].value_quantity, obs["o1"].value_unit, obs["o1"].interpretation_code) == ("4548-4", "SOURCE_LOINC", 8.2, "%", "H")
     assert (obs["o2"].loinc_code, obs["o2"].normalization_method, obs["o2"].value_quantity) == (None, "UNMAPPED", 42.0)

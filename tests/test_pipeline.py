@@ -20,7 +20,7 @@ SF = "/root/testdata/sf0.001"
 
 
 def test_run(spark, tmp_path):
-    for name, text in {"hl7/a.txt": ADT.replace("\r", "\n") + "\n\nMSH broken", "fhir/b.json": json.dumps([BUNDLE]), "p/p.csv": "patient_id,first_name,last_name,dob,gender,ssn_last4,address,city,state,zip,phone,pcp_npi,insurance_id,last_visit_date,primary_dx_icd10\nPT1,Maria,Ramirez,1958-04-12,F,6789,\"1 A St, 2\",Tulsa,OK,74101,,NPI-1,I1,2024-01-01,I10\n", "l/l.csv": "result_id,patient_id,collection_date,test_code,test_name,result_value,result_unit,reference_range_low,reference_range_high,abnormal_flag,ordering_provider_npi,status\nR1,PT1,2024-05-05,A1C,Hb,7.1,%,4,6,,N,final\nR2,PT9,2024-05-05,Q,zzz,POS,%,4,6,,N,final\n"}.items():
+    for name, text in {"hl7/a.txt": ADT.replace("\r", "\n") + "\n\nMSH broken", "fhir/b.json": json.dumps([BUNDLE]), "p/p.csv": "patient_id,first_name,last_name,dob,gender,ssn_last4,address,city,state,zip,phone,pcp_npi,insurance_id,last_visit_date,primary_dx_icd10\nPT1,Elena,Alvarez,1958-04-12,F,6789,\"1 A St, 2\",Tulsa,OK,74101,,NPI-1,I1,2024-01-01,I10\n", "l/l.csv": "result_id,patient_id,collection_date,test_code,test_name,result_value,result_unit,reference_range_low,reference_range_high,abnormal_flag,ordering_provider_npi,status\nR1,PT1,2024-05-05,A1C,Hb,7.1,%,4,6,,N,final\nR2,PT9,2024-05-05,Q,zzz,POS,%,4,6,,N,final\n"}.items():
         (tmp_path / name).parent.mkdir(exist_ok=True)
         (tmp_path / name).write_text(text)
     db = "run_test"
@@ -49,7 +49,7 @@ def test_streams(spark, tmp_path):
     (source / "b.txt").write_text(ADT.replace("\r", "\n"))
     query = feeds.distinct_messages(feeds.hl7_stream(spark, str(source))).writeStream.format("memory").queryName("messages").trigger(availableNow=True).start()
     query.awaitTermination()
-    assert [r.family_name for r in spark.table("messages").collect()] == ["Ramirez"]
+    assert [r.family_name for r in spark.table("messages").collect()] == ["Alvarez"]
     t = dt.datetime(2024, 1, 1)
     events = [("u", "A03", t), ("u", "A01", t + dt.timedelta(days=10)), ("u", "A01", t + dt.timedelta(days=31)), ("v", "A01", t)]
     path = str(tmp_path / "events")
