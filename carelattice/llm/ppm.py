@@ -7,9 +7,12 @@ its suffix, exclusion and escape together are one factor for each context, so th
 the longest context which knows it times the factors of the longer ones: table look-ups, done for whole slices of text
 with numpy.
 
-What is broadcast has a fixed capacity: NODES nodes of the trie (the most frequent ones; contexts of up to two bytes are
-always complete) and HEAD words. Words beyond these are looked up by a join with the whole table of counts, so the
-unigram base is exact for any vocabulary.
+Every node is kept. Contexts of three bytes and more are dealt by their last three bytes, so that a part of the trie
+holds all that its probabilities depend on (with the contexts of up to two bytes, which every part gets). What is
+broadcast has a fixed capacity and only saves look-ups: the probabilities, from the whole trie, of the NODES most
+frequent runs, and HEAD words. Places with other runs go to the part of the trie that knows them, packed for many
+documents at once, and come back as sums; other words are joined with the whole table of counts. So neither score
+depends on these sizes.
 
 A text is scored as its words, lower-cased, each followed by a space or, the last, by the end symbol.
 
@@ -21,20 +24,25 @@ from __future__ import annotations
 
 import math
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, hash_words, id_and_text, held_out, mix, restore_id, slices
+from .common import checkpoint, hash_words, id_and_text, held_out, mix, partitions_for, restore_id, slices
 
 ORDER = 5
 NODES = 1_600_000
 HEAD = 1_000_000
+#: Contexts of fewer bytes than this are given to every part of the trie.
+TOP = 3
+#: Places (or runs) that a task gathers before it sends them to the parts of the trie.
+PLACES = 1 << 20
 #: Bytes of text that are counted or scored at once: a dozen arrays of eight bytes for each.
 SLICE = 1 << 18
 HELD_OUT = (7, 2)
@@ -191,9 +199,13 @@ def train(codes: list[np.ndarray], counts: list[np.ndarray]) -> Model:
 
 def log_probabilities(model: Model, data: np.ndarray, places: np.ndarray) -> np.ndarray:
     """log10 probability of the bytes at these places, each given the `order` bytes before it."""
-    code = grams(data, places, model.order)
-    out = np.zeros(len(places))
-    left = np.arange(len(places))
+    return log_of(model, grams(data, places, model.order))
+
+
+def log_of(model: Model, code: np.ndarray) -> np.ndarray:
+    """log10 probability of the last byte of each run, given the bytes before it."""
+    out = np.zeros(len(code))
+    left = np.arange(len(code))
     for j in range(model.order, -1, -1):
         mine = code[left] & np.uint64((1 << (8 * (j + 1))) - 1)
         at = model.symbols[j].find(mine)
@@ -221,24 +233,117 @@ def _threshold(sizes: DataFrame, most: int) -> int:
     return least
 
 
+def _part(code: np.ndarray, parts: int) -> np.ndarray:
+    """The part of the trie that a run belongs to: by the last TOP bytes of its context."""
+    context = (code >> np.uint64(8)) & np.uint64((1 << (8 * TOP)) - 1)
+    return ((mix(context + np.uint64(1)) >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int32)
+
+
+def _dealt(code: np.ndarray, parts: int, *others: np.ndarray) -> Iterator[tuple]:
+    """part, runs and what belongs to them, in order, for each part that has any."""
+    part = _part(code, parts)
+    order = np.argsort(part, kind="stable")
+    edges = np.searchsorted(part[order], np.arange(parts + 1))
+    for i in np.flatnonzero(np.diff(edges)).tolist():
+        at = order[edges[i] : edges[i + 1]]
+        yield i, code[at], *(x[at] for x in others)
+
+
+def _part_model(top: list[tuple[np.ndarray, np.ndarray]], code: np.ndarray, count: np.ndarray, order: int) -> Model:
+    """The model of a part: all of its runs of order + 1 bytes, and the complete low orders."""
+    levels = [*top]
+    for j in range(len(top), order + 1):
+        levels.append(_merge(code & np.uint64((1 << (8 * (j + 1))) - 1), count))
+    return train([c for c, _ in levels], [n for _, n in levels])
+
+
+#: Rows on their way to the parts of the trie: documents; runs with their counts; places with their documents' uids.
+_KINDS = {
+    "part": pa.int32(), "uid": pa.int64(), "id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
+    "logs": pa.float64(), "score": pa.float64(), "rare": pa.list_(pa.binary()), "asked": pa.bool_(), "codes": pa.binary(), "numbers": pa.binary(),
+}
+_ROWS = "part int, uid long, id long, held_out boolean, n_tokens long, n_known long, logs double, score double, rare array<binary>, asked boolean, codes binary, numbers binary"
+
+
+def _rows(**columns) -> pa.RecordBatch:
+    n = len(next(iter(columns.values())))
+    return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in _KINDS.items()], names=list(_KINDS))
+
+
+def _send(held: list[tuple[np.ndarray, np.ndarray]], parts: int, asked: bool) -> pa.RecordBatch:
+    """What is held, as one row for each part."""
+    dealt = list(_dealt(np.concatenate([h[0] for h in held]), parts, np.concatenate([h[1] for h in held])))
+    held.clear()
+    return _rows(part=[x[0] for x in dealt], asked=[asked] * len(dealt), codes=[x[1].tobytes() for x in dealt], numbers=[x[2].tobytes() for x in dealt])
+
+
+def _pack(parts: int):
+    """Runs and counts by part."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, size = [], 0
+        for batch in batches:
+            if batch.num_rows:
+                held.append((batch.column("gram").to_numpy().view(np.uint64), batch.column("n").to_numpy()))
+                size += batch.num_rows
+            if size >= PLACES:
+                yield _send(held, parts, False)
+                size = 0
+        if held:
+            yield _send(held, parts, False)
+
+    return run
+
+
+def _met(batches: Iterator[pa.RecordBatch], documents: list[pa.RecordBatch] | None = None) -> Iterator[tuple]:
+    """Runs, counts, places and their documents' uids of each part; other rows are added to documents."""
+    held: dict[int, tuple[list, list, list, list]] = {}
+    for batch in batches:
+        packed = pc.is_valid(batch.column("codes"))
+        if documents is not None:
+            documents.append(batch.filter(pc.invert(packed)))
+        batch = batch.filter(packed)
+        for part, asked, codes, numbers in zip(*(batch.column(c).to_pylist() for c in ("part", "asked", "codes", "numbers")), strict=True):
+            own = held.setdefault(part, ([], [], [], []))
+            own[2 * asked].append(codes)
+            own[2 * asked + 1].append(numbers)
+        yield ()
+    for part in list(held):
+        own = [b"".join(x) for x in held.pop(part)]
+        yield tuple(np.frombuffer(x, k) for x, k in zip(own, (np.uint64, np.int64, np.uint64, np.int64), strict=True))
+
+
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, nodes: int = NODES, head: int = HEAD) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
     rows = id_and_text(docs.withColumn("_held", held_out(id_col, *HELD_OUT)), id_col, text_col)
     train_rows = id_and_text(docs.filter(~held_out(id_col, *HELD_OUT)), id_col, text_col)
+    parts = partitions_for(rows)
     counts = checkpoint(train_rows.select("text").mapInArrow(_count(order), "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n")))
     words = counts.filter("word is not null").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
     base = math.log10(total + distinct + 1)
 
-    # the trie: counts of all orders from those of the longest
-    levels = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col("gram").bitwiseAND((1 << (8 * (j + 1))) - 1).alias("code")) for j in range(order + 1)])).alias("x")
-    trie = checkpoint(counts.filter("word is null").select(levels, "n").select("x.*", "n").groupBy("j", "code").agg(F.sum("n").alias("n")))
-    least = _threshold(trie.filter("j > 2").groupBy("n").agg(F.count("*").alias("rows")), nodes)
-    kept = trie.filter((F.col("j") <= 2) | (F.col("n") >= least)).toArrow()
-    j, code, n = (kept.column(c).to_numpy() for c in ("j", "code", "n"))
-    model = train([code[j == i].view(np.uint64) for i in range(order + 1)], [n[j == i] for i in range(order + 1)])
-    del kept, j, code, n
+    # the low orders of the trie, whole
+    runs = counts.filter("word is null").select("gram", "n")
+    levels = F.explode(F.array(*[F.struct(F.lit(j).alias("j"), F.col("gram").bitwiseAND((1 << (8 * (j + 1))) - 1).alias("code")) for j in range(min(TOP, order + 1))])).alias("x")
+    low = runs.select(levels, "n").select("x.*", "n").groupBy("j", "code").agg(F.sum("n").alias("n")).toArrow()
+    j, code, n = (low.column(c).to_numpy() for c in ("j", "code", "n"))
+    complete = spark.sparkContext.broadcast([(code[j == i].view(np.uint64), n[j == i]) for i in range(min(TOP, order + 1))])
+    del low, j, code, n
+    dealt = runs.mapInArrow(_pack(parts), _ROWS)
+
+    # the runs that most places are
+    least = _threshold(runs.groupBy("n").agg(F.count("*").alias("rows")), nodes)
+
+    def frequent_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for met in _met(batches):
+            if met and (met[1] >= least).any():
+                some = met[0][met[1] >= least]
+                values = log_of(_part_model(complete.value, met[0], met[1], order), some)
+                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(values)], names=["code", "value"])
+
+    cached = dealt.repartitionById(parts, "part").mapInArrow(frequent_runs, "code long, value double").toArrow()
 
     # the words that most tokens are
     limit = _threshold(words.groupBy("n").agg(F.count("*").alias("rows")), head)
@@ -248,12 +353,13 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
             yield pa.RecordBatch.from_arrays([pa.array(hash_words(b.column("word").to_pylist()).view(np.int64)), b.column("n")], names=["h", "n"])
 
     top = words.filter(F.col("n") >= limit).mapInArrow(hashed, "h long, n long").toArrow()
-    shared = spark.sparkContext.broadcast((model, Table(*_logs(top))))
-    del top, model
+    shared = spark.sparkContext.broadcast((Table(cached.column("code").to_numpy().view(np.uint64), cached.column("value").to_numpy()), Table(*_logs(top))))
+    del top, cached
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequent = shared.value
         uid = TaskContext.get().partitionId() << 33
+        held, size = [], 0
         for batch in slices(batches, most=SLICE):
             texts, own, sizes = [], [], []
             for text in batch.column("text").to_pylist():
@@ -268,23 +374,48 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
             # words beyond the broadcast ones; those are joined below
             rare = [[own[i] for i in (np.flatnonzero(at[b - s : b] < 0) + b - s).tolist()] for s, b in zip(sizes, ends.tolist(), strict=True)]
             data, real = stream(texts, order)
-            places = np.flatnonzero(real)
-            p = np.add.reduceat(log_probabilities(known, data, places), np.concatenate([[0], np.cumsum([len(t) for t in texts])[:-1]]))
-            m = len(texts)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(np.arange(uid, uid + m)), batch.column("id"), batch.column("held"), pa.array(sizes, pa.int64()), pa.array([s - len(r) for s, r in zip(sizes, rare, strict=True)], pa.int64()), pa.array(np.add.reduceat(logs, ends - sizes).astype(float)), pa.array(p), pa.array(rare, pa.list_(pa.binary()))],
-                names=["uid", "id", "held_out", "n_tokens", "n_known", "logs", "score", "rare"],
-            )
+            code = grams(data, np.flatnonzero(real), order)
+            m, lengths = len(texts), np.array([len(t) for t in texts])
+            at = known.find(code)
+            p = np.add.reduceat(np.where(at >= 0, known.values[np.maximum(at, 0)] if len(known.values) else 0.0, 0.0), np.cumsum(lengths) - lengths)
+            # places beyond the broadcast ones; their part of the trie is asked
+            left = np.flatnonzero(at < 0)
+            if len(left):
+                held.append((code[left], np.repeat(np.arange(uid, uid + m), lengths)[left]))
+                size += len(left)
+            if size >= PLACES:
+                yield _send(held, parts, True)
+                size = 0
+            yield _rows(
+                part=np.arange(uid, uid + m) % parts, uid=np.arange(uid, uid + m), id=batch.column("id"), held_out=batch.column("held"), n_tokens=sizes,
+                n_known=[s - len(r) for s, r in zip(sizes, rare, strict=True)], logs=np.add.reduceat(logs, ends - sizes).astype(float), score=p, rare=rare,
+            )
             uid += m
+        if held:
+            yield _send(held, parts, True)
+
+    def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        documents: list[pa.RecordBatch] = []
+        for met in _met(batches, documents):
+            while documents:
+                yield documents.pop()
+            if met and len(met[2]):
+                codes, back = np.unique(met[2], return_inverse=True)
+                values = log_of(_part_model(complete.value, met[0], met[1], order), codes)
+                uids, at = np.unique(met[3], return_inverse=True)
+                yield _rows(uid=uids, score=np.bincount(at, values[back]), asked=np.ones(len(uids), bool))
 
     rows = rows.withColumn("held", held_out(F.when(F.col("id") != (1 << 63) - 1, F.col("id")), *HELD_OUT))
-    seen = checkpoint(rows.mapInArrow(look, "uid long, id long, held_out boolean, n_tokens long, n_known long, logs double, score double, rare array<binary>"))
+    seen = checkpoint(rows.mapInArrow(look, _ROWS).unionByName(dealt).repartitionById(parts, "part").mapInArrow(ask, _ROWS).drop("part", "codes", "numbers"))
+    answers = seen.filter("asked").select("uid", F.lit(0).cast("long").alias("times"), F.lit(0.0).alias("word_logs"), F.col("score").alias("more_score"))
+    seen = seen.filter("asked is null").drop("asked")
     found = seen.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word").agg(F.count("*").alias("times")).join(words, "word")
-    found = found.groupBy("uid").agg(F.sum("times").alias("more"), F.sum(F.col("times") * F.log10(F.col("n") + 1)).alias("more_logs"))
-    out = seen.drop("rare").join(found, "uid", "left").fillna(0, ["more", "more_logs"])
+    found = found.select("uid", "times", (F.col("times") * F.log10(F.col("n") + 1)).alias("word_logs"), F.lit(0.0).alias("more_score")).unionByName(answers)
+    found = found.groupBy("uid").agg(F.sum("times").alias("more"), F.sum("word_logs").alias("more_logs"), F.sum("more_score").alias("more_score"))
+    out = seen.drop("rare").join(found, "uid", "left").fillna(0, ["more", "more_logs", "more_score"])
     return out.select(
         restore_id().alias("id"), "held_out", "n_tokens", (F.col("n_known") + F.col("more")).alias("n_known"), F.lit(total).cast("long").alias("train_tokens"),
-        (F.col("logs") + F.col("more_logs") - F.col("n_tokens") * F.lit(base)).alias("base_score"), "score",
+        (F.col("logs") + F.col("more_logs") - F.col("n_tokens") * F.lit(base)).alias("base_score"), (F.col("score") + F.col("more_score")).alias("score"),
     )
 
 

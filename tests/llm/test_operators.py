@@ -144,6 +144,41 @@ def test_ppm_probabilities_sum_to_one():
         assert abs((10**p).sum() - 1) < 1e-4
 
 
+def test_ppm_keeps_every_node(spark):
+    rng = random.Random(9)
+    rows = [(i, " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(2, 9))) for _ in range(40)), "en", "s", 0) for i in range(40)]
+    d = spark.createDataFrame([*rows, (None, None, None, None, None)], DOCS)
+    tokens = [(i, (t or "").encode().split(), zlib.crc32(("" if i is None else str(i)).encode()) % 7 == 2) for i, t, *_ in [*rows, (None, None)]]
+    # the trie of all training texts, read byte by byte
+    trie = collections.defaultdict(collections.Counter)
+    for _, own, held in tokens:
+        data = b"\n" * ppm.ORDER + ppm.text_bytes(own)
+        for at in range(ppm.ORDER, len(data) if not held else 0):
+            for j in range(ppm.ORDER + 1):
+                trie[data[at - j : at]][data[at]] += 1
+
+    def log_of(context, symbol):
+        out, excluded = 0.0, set()
+        for j in range(ppm.ORDER, -1, -1):
+            if j and context[ppm.ORDER - j :] not in trie:
+                continue
+            known = trie[context[ppm.ORDER - j :]]
+            total, kinds = sum(n for s, n in known.items() if s not in excluded), len(known)
+            if symbol in known:
+                return out + math.log10(known[symbol] / (total + kinds))
+            out += math.log10(kinds / (total + kinds))
+            excluded |= known.keys()
+        return out - math.log10(256 - len(known))
+
+    expected = {}
+    for i, own, _ in tokens:
+        data = b"\n" * ppm.ORDER + ppm.text_bytes(own)
+        expected[i] = sum(log_of(data[at - ppm.ORDER : at], data[at]) for at in range(ppm.ORDER, len(data)))
+    for nodes in (0, 300, ppm.NODES):
+        got = {r.id: r.score for r in ppm.score(d, nodes=nodes).collect()}
+        assert got == pytest.approx(expected, abs=1e-3), nodes
+
+
 def test_near_duplicates(docs, texts):
     got = {r.id: r for r in near_duplicates(docs).collect() if r.id is not None}
     assert got[8].class_id == got[9].class_id == got[11].class_id == 0 and got[0].kept and got[0].class_size == 4
