@@ -92,12 +92,15 @@ def common(a: bytes, b: bytes) -> int:
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Rows in order: each neighbour pair of different documents that matches LENGTH words gives both their spans.
 
-    The last rows of the latest two documents are kept, so copies of a passage within one document don't hide another's.
-    The first and last rows of a task are handed on too (with their words) for the comparison across its edge.
+    Every row meets its nearest row of another document on both sides: all rows of the latest document are kept until one
+    of another comes, so copies of a passage within one document don't hide another's, nor each other.
+    The first and last such runs of a task are handed on too (with their words) for the comparison across its edge.
     """
     out: list[tuple] = []
-    kept: list[tuple] = []  # the latest rows of the latest documents, newest first
+    run: list[tuple] = []  # the latest rows, all of one document and key
+    other: tuple | None = None  # the last row before them, if its key is theirs
     first: list[tuple] = []
+    opening = True
 
     def emit() -> pa.RecordBatch:
         names = ["key", "id", "at", "after", "before", "first", "stop", "partner"]
@@ -108,18 +111,26 @@ def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
     for batch in batches:
         for row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "at", "after", "before")), strict=True):
-            if len(first) < 2 and all(r[1] != row[1] for r in first):
+            if opening and first and first[0][0] != row[0]:
+                opening = False
+            if opening:
                 first.append(row)
-            for other in kept:
-                if other[0] == row[0] and other[1] != row[1]:
-                    right, left = K + common(row[3], other[3]), common(row[4], other[4])
-                    if right + left >= LENGTH:
-                        for r, o in ((row, other), (other, row)):
-                            out.append((None, r[1], None, None, None, r[2] - left, r[2] + right, o[1]))
-            kept = [row, *[r for r in kept if r[1] != row[1]][:1]]
+                opening = row[1] == first[0][1]
+            if run and run[0][0] != row[0]:
+                run, other = [], None
+            met = [other] if other and other[1] != row[1] else []
+            if run and run[0][1] != row[1]:
+                met += run
+                run, other = [], run[-1]
+            run.append(row)
+            for o in met:
+                right, left = K + common(row[3], o[3]), common(row[4], o[4])
+                if right + left >= LENGTH:
+                    for r, partner in ((row, o[1]), (o, row[1])):
+                        out.append((None, r[1], None, None, None, r[2] - left, r[2] + right, partner))
         if len(out) > 20_000:
             yield emit()
-    out.extend((*r, None, None, None) for r in dict.fromkeys([*first, *kept]))
+    out.extend((*r, None, None, None) for r in dict.fromkeys([*first, *([other] if other else []), *run]))
     if out:
         yield emit()
 
@@ -131,7 +142,7 @@ def _neighbours(rows: DataFrame, order: list[str], parts: int) -> DataFrame:
     """Spans of all neighbours in this order: within tasks, then across their edges."""
     rows = rows.select("key", "id", "at", "after", "before")
     within = checkpoint(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare, _COMPARED))
-    # four rows a task at most
+    # a task's first and last run: of one document and key each, and a row beside it
     across = within.filter("key is not null").select(rows.columns).coalesce(1).sortWithinPartitions(*order).mapInArrow(_compare, _COMPARED)
     return within.filter("key is null").unionByName(across.filter("key is null")).select("id", "first", "stop", "partner")
 

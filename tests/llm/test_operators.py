@@ -230,6 +230,18 @@ def test_repeated_passages(docs, texts):
     assert {(r.id, k) for r in suffix_dedup.repeated_passages(docs).collect() for k in range(r.first, r.stop)} == expected
 
 
+@pytest.mark.parametrize("others", [1, 3])
+def test_repeated_passages_within_a_document(spark, others):
+    rng = random.Random(12)
+    passage = words(rng, 300)
+    own = " ".join(f"{words(rng, n)} {passage}" for n in (10, 190, 100)).split()
+    rows = [(1, " ".join(own)), *((2 + i, f"{words(rng, 40)} {passage} {words(rng, 30)}") for i in range(others))]
+    d = spark.createDataFrame(rows, "doc_id long, text string")
+    got = {(r.id, k) for r in suffix_dedup.repeated_passages(d).collect() for k in range(r.first, r.stop)}
+    assert {k for i, k in got if i == 1} == {k for a in (10, 500, 900) for k in range(a, a + 300)}
+    assert {i for i, _ in got} == {1, *range(2, 2 + others)}
+
+
 def test_segments():
     rng = random.Random(5)
     for _ in range(50):
