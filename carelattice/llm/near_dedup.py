@@ -12,6 +12,8 @@ Skew: texts with the same words are one representative, found by a combining agg
 representatives each pair is a candidate; in a larger one each member meets the bucket's HUBS members that share most
 buckets with others (the least edited copies), in each of its bands, so candidates grow with the members. Members that a
 round leaves outside the class of their bucket's hubs meet further members in the next round, until a round links none.
+What is still in several classes in a bucket is then compared whole: each member outside the bucket's largest class with
+all members of other classes, so the classes are those of all candidate pairs. A bucket is compared in one task.
 
 Defined results: null text is empty; texts without words are copies of each other; texts of fewer than five words have
 one shingle, the whole text; rows with equal ids share a class; rows without an id are classed under null, each text for
@@ -147,6 +149,55 @@ def _verified(limit: float, weighted: bool):
     return run
 
 
+def bucket_links(classes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], limit: float, weighted: bool = False) -> Iterator[tuple[int, int]]:
+    """Pairs of members of a bucket, limit or more alike, that join its classes as all such pairs would."""
+    cls = classes.copy()
+    sizes = np.array([len(k) for k, _ in sets])
+    keys, owner = np.concatenate([k for k, _ in sets]), np.repeat(np.arange(len(sets)), sizes)
+    order = np.argsort(keys, kind="stable")
+    keys, owner = keys[order], owner[order]
+    names, held = np.unique(cls, return_counts=True)
+    for x in np.flatnonzero(cls != names[held.argmax()]).tolist():
+        low, high = np.searchsorted(keys, sets[x][0]), np.searchsorted(keys, sets[x][0], "right")
+        n = high - low
+        both = np.bincount(owner[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(sets))
+        other = (both > 0) & (cls != cls[x])
+        if not weighted:
+            other &= both / np.maximum(1, sizes[x] + sizes - both) >= limit
+        for y in np.flatnonzero(other).tolist():
+            if cls[y] != cls[x] and (not weighted or probability_jaccard(sets[x], sets[y]) >= limit):
+                yield x, y
+                cls[cls == cls[y]] = cls[x]
+
+
+def _across(limit: float, weighted: bool):
+    """Links between the classes of each bucket. Rows: key, rep, component, packed, in the order of key."""
+
+    def linked(rows: list[tuple]) -> list[tuple[int, int]]:
+        reps = [r[1] for r in rows]
+        found = bucket_links(np.array([r[2] for r in rows]), [_unpacked(r[3]) for r in rows], limit, weighted)
+        return [(max(reps[x], reps[y]), min(reps[x], reps[y])) for x, y in found]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[tuple] = []
+        for batch in batches:
+            out = []
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "rep", "component", "packed")), strict=True):
+                if held and held[0][0] != row[0]:
+                    out += linked(held)
+                    held.clear()
+                held.append(row)
+            yield _linked(out)
+        if held:
+            yield _linked(linked(held))
+
+    return run
+
+
+def _linked(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+
 def _pairs(df: DataFrame) -> DataFrame:
     return df.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
 
@@ -211,6 +262,13 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
             break
         candidates, edges = candidates.unionByName(fresh), edges.unionByName(gained)
         found = components(edges)
+    # what the rounds leave in several classes of a bucket, whole
+    placed = large.select("key", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
+    members = placed.join(mixed, "key").join(packed.withColumnRenamed("id", "rep"), "rep").select("key", "rep", "component", "packed")
+    gained = checkpoint(members.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_across(similarity, weighted), "u long, v long").distinct())
+    if not gained.isEmpty():
+        found = components(edges.unionByName(gained))
     found = checkpoint(found)
     classes = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("content", "copies", F.coalesce("component", "rep").alias("class_id"))
     sizes = classes.groupBy("class_id").agg(F.sum("copies").alias("class_size"))

@@ -187,6 +187,24 @@ def test_near_duplicates(docs, texts):
     assert all(got[i].class_id == i for i in (1, 4, 5, 6, 7, 16, 17))
 
 
+def test_near_duplicates_of_large_buckets(spark):
+    rng = random.Random(21)
+    passage, rows = words(rng, 100), []
+    for _ in range(60):  # pairs that are alike, all with one passage, but not alike to other pairs
+        own = words(rng, 4)
+        rows += [(len(rows) + i, f"{passage} {own} {words(rng, 10)}") for i in range(2)]
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    least = list(range(len(rows)))
+    for i in range(len(rows)):
+        for j in range(i):
+            if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j]) and least[i] != least[j]:
+                low, high = sorted((least[i], least[j]))
+                least = [low if x == high else x for x in least]
+    assert len(set(least)) == 60
+    got = {r.id: r.class_id for r in near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == dict(enumerate(least))
+
+
 def test_signatures_estimate_the_similarity():
     rng = np.random.default_rng(1)
     common, own, other = (rng.integers(1, 1 << 62, n).astype(np.uint64) for n in (300, 60, 40))
