@@ -9,8 +9,8 @@ verified by banded alignment of the whole pattern.
 The index of the benchmark is broadcast in blocks of at most BLOCK characters, one pass over the documents for each,
 so a benchmark of any size is searched whole. Texts are compared in lower case with white space as single spaces.
 
-Defined results: null and empty texts and items match nothing, nor do items of fewer than q characters; repeated rows
-are judged each for itself; without a benchmark no document is contaminated.
+Defined results: null and empty texts and items match nothing, nor do items of fewer than q characters; an item
+without an id is searched too and reported as null; repeated rows are judged each for itself; without a benchmark no document is contaminated.
 """
 
 from __future__ import annotations
@@ -22,7 +22,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import id_and_text, mix, restore_id, slices
+from .common import NULL_ID, id_and_text, mix, restore_id, slices
 
 Q = 10
 PATTERN, STRIDE, RATE = 96, 48, 0.07
@@ -159,7 +159,7 @@ class Index:
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
-    items = benchmark.select(F.col(item_col).cast("long").alias("item"), F.col(text_col).alias("text")).filter("item is not null and text is not null").dropDuplicates()
+    items = benchmark.select(F.coalesce(F.col(item_col).cast("long"), F.lit(NULL_ID)).alias("item"), F.col(text_col).alias("text")).filter("text is not null").dropDuplicates()
     total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
     n = total // BLOCK + 1
     for i in range(n):
@@ -177,7 +177,7 @@ def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id",
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
                 found = index.value.search(batch.column("text").to_pylist())
-                out = [(before or []) + [dict(zip(("item", "first", "stop", "edits"), x, strict=True)) for x in spans] for before, spans in zip(batch.column("spans").to_pylist(), found, strict=True)]
+                out = [(before or []) + [dict(zip(("item", "first", "stop", "edits"), (None if x[0] == NULL_ID else x[0], *x[1:]), strict=True)) for x in spans] for before, spans in zip(batch.column("spans").to_pylist(), found, strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(out, kind)], names=["id", "text", "spans"])
 
         rows = rows.mapInArrow(run, f"id long, text string, {spans}")

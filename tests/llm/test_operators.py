@@ -309,6 +309,15 @@ def test_decontamination(spark):
     assert Index([]).find(np.zeros(50, np.uint32)) == []
 
 
+def test_decontamination_item_without_id(spark):
+    item = words(random.Random(6), 50)
+    d = spark.createDataFrame([(1, f"start {item} end"), (2, "clean")], "doc_id long, text string")
+    b = spark.createDataFrame([(None, item)], "item_id long, text string")
+    got = {r.id: {s.item for s in r.spans} for r in contaminated(d, b).collect()}
+    assert got == {1: {None}, 2: set()}
+    assert [r.doc_id for r in drop_contaminated(d, b).collect()] == [2]
+
+
 def test_html_text():
     page = """<html><head><title>T</title></head><body><header><a href="/">Site</a></header><nav><ul><li>Menu</ul></nav>
     <div class="ad">Buy now!</div><article><h1>Title &amp; more</h1><p><b>One,   two.<br>Three &lt;b&gt;.<p>Second paragraph, long enough to count.
