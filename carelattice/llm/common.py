@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 from collections.abc import Iterator
 
@@ -25,11 +26,16 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; set a folder only where it names none (tests)."""
-    jsc = spark.sparkContext._jsc.sc()
-    if jsc.getCheckpointDir().isDefined():
+    """Use the cluster's spark.checkpoint.dir; only a local session (tests) that names none gets a temporary folder."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
         return
-    spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder:
+        if not re.match(r"local(\[|$)", context.master):
+            raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+        folder = tempfile.mkdtemp(prefix="checkpoint-")
+    context.setCheckpointDir(folder)
 
 
 def checkpoint(df: DataFrame) -> DataFrame:
@@ -38,6 +44,16 @@ def checkpoint(df: DataFrame) -> DataFrame:
     return df.checkpoint(eager=True)
 
 
+def release(*frames: DataFrame) -> None:
+    """Delete the files of checkpoints that nothing reads any more."""
+    for df in frames:
+        plan = df._jdf.queryExecution().logical()
+        file = plan.rdd().getCheckpointFile() if plan.getClass().getSimpleName() == "LogicalRDD" else None
+        if file is not None and file.isDefined():
+            path = df.sparkSession._jvm.org.apache.hadoop.fs.Path(file.get())
+            path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
+
+
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     """Shuffle partitions for data derived from df: follows the session and the size Spark knows of."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

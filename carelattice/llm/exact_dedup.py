@@ -70,13 +70,14 @@ def exact_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text",
 
 
 def drop_exact_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs that exact_dedup keeps, with all their columns."""
-    no_null = F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST))
-    groups = exact_dedup(docs, id_col, text_col).groupBy(F.coalesce("id", F.lit(LOWEST)).alias("_id"), F.col("digest").alias("_of"))
-    seen = checkpoint(groups.agg(F.max("kept").alias("_kept"), F.count(F.lit(1)).alias("_rows")).filter("not _kept or _rows > 1"))
-    lost = seen.filter("not _kept").select("_id", "_of")
-    out = docs.withColumn("_digest", sha256(F.coalesce(F.col(text_col), F.lit(""))))
-    out = out.join(lost, (no_null == F.col("_id")) & (F.col("_digest") == F.col("_of")), "left_anti")
-    if not seen.filter("_kept").isEmpty():  # repeated rows, of which one stays
-        out = out.dropDuplicates([id_col, "_digest"])
-    return out.drop("_digest")
+    """The rows of docs that exact_dedup keeps, with all their columns, whatever their names.
+
+    A row without id stays only if no equal text has an id; of repeated rows (equal id and text) one stays.
+    """
+    groups = exact_dedup(docs, id_col, text_col).groupBy(F.coalesce("id", F.lit(LOWEST)).alias("one"), F.col("digest").alias("of"))
+    seen = checkpoint(groups.agg(F.max("kept").alias("stays"), F.count(F.lit(1)).alias("rows")).filter("not stays or rows > 1"))
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(LOWEST)).alias("one"), sha256(F.coalesce(F.col(text_col), F.lit(""))).alias("of"))
+    out = out.join(seen.filter("not stays").select("one", "of"), ["one", "of"], "left_anti")
+    if not seen.filter("stays").isEmpty():  # repeated rows, of which one stays
+        out = out.dropDuplicates(["one", "of"])
+    return out.select("doc.*")

@@ -4,7 +4,8 @@ Words are runs of letters, digits and characters beyond ASCII, in lower case. Ev
 is hashed and joined in Spark with the pairs of the templates (a fixed table, so it is broadcast). A match votes for
 the diagonal (its place in the document minus its place in the template). Base phrases are found where one diagonal has
 all their pairs; for the longer notices, diagonals at most SHIFT apart are merged (a word added or lost moves the rest by
-one), and a merged span is verified by the share of the template's pairs that it holds.
+one), and a merged span is verified by the share of the template's pairs that it holds. Short phrases have to match
+whole on one diagonal; spans that a chain of diagonals makes longer than a notice can be are judged diagonal by diagonal.
 
 Defined results: null and empty texts, and texts without words, have no spans. Rows with equal ids are scanned each for
 itself. A hot document only has as many votes as words times the template places of a pair, which the table bounds.
@@ -25,6 +26,10 @@ from .common import hash_words, id_and_text, restore_id, rolling, slices
 K = 2
 SHIFT = 3
 SIMILARITY = 0.6
+#: Templates of fewer pairs have to match whole.
+SHORT = 6
+#: Rows that a worker sends at once, and bytes of text that it takes at once (a longer text is taken whole).
+BATCH, SLICE = 10_000, 1 << 18
 #: The pair hash of the row that stands for a whole document.
 WHOLE = -1
 
@@ -73,45 +78,66 @@ def templates() -> list[tuple[int, int, int, int, bool, str]]:
 
 
 def _pairs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """A row for each word pair of each text, and one that stands for the whole text; BATCH rows at once."""
     n = TaskContext.get().partitionId() << 33
-    for batch in slices(batches):
-        hashes, at, rows, ids = [], [], [], []
+    for batch in slices(batches, most=SLICE):
         for one, text in zip(batch.column("id").to_pylist(), batch.column("text").to_pylist(), strict=True):
             n += 1
             own = words_of(text)
-            pairs = rolling(hash_words(own), K).view(np.int64)
-            hashes += [pairs, np.array([WHOLE])]
-            at += [np.arange(len(pairs), dtype=np.int32), np.array([len(own)], np.int32)]
-            rows.append((n, len(pairs) + 1))
-            ids.append(one)
-        sizes = [x[1] for x in rows]
-        yield pa.RecordBatch.from_arrays([pa.array(np.repeat([x[0] for x in rows], sizes)), pa.array(np.repeat(ids, sizes)), pa.array(np.concatenate(at)), pa.array(np.concatenate(hashes))], names=["row", "id", "at", "hash"])
+            hashes = np.append(rolling(hash_words(own), K).view(np.int64), WHOLE)
+            at = np.append(np.arange(len(hashes) - 1, dtype=np.int32), np.int32(len(own)))
+            for i in range(0, len(hashes), BATCH):
+                m = len(hashes[i : i + BATCH])
+                yield n, np.full(m, one), at[i : i + BATCH], hashes[i : i + BATCH]
+
+
+def _batched(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The parts that _pairs makes, several short texts to a batch."""
+    held, size = [], 0
+
+    def send() -> pa.RecordBatch:
+        rows = np.repeat([x[0] for x in held], [len(x[1]) for x in held])
+        return pa.RecordBatch.from_arrays([pa.array(rows), *(pa.array(np.concatenate([x[i] for x in held])) for i in (1, 2, 3))], names=["row", "id", "at", "hash"])
+
+    for part in _pairs(batches):
+        held.append(part)
+        size += len(part[1])
+        if size >= BATCH:
+            yield send()
+            held, size = [], 0
+    if held:
+        yield send()
 
 
 def license_spans(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Spans with row, id, template (-1: the row for the whole document, whose `words` is its length), label, base, first, words, similarity."""
     spark = docs.sparkSession
     known = spark.createDataFrame(templates(), "hash long, template int, place int, pairs int, base boolean, label string")
-    hits = id_and_text(docs, id_col, text_col).mapInArrow(_pairs, "row long, id long, at int, hash long").join(F.broadcast(known), "hash").repartition("row")
-    votes = hits.groupBy("row", "id", "template", "label", "base", "pairs", (F.col("at") - F.col("place")).alias("diagonal")).agg(
-        F.collect_set("place").alias("places"), F.min("at").alias("first"), F.max("at").alias("last")
+    hits = id_and_text(docs, id_col, text_col).mapInArrow(_batched, "row long, id long, at int, hash long").join(F.broadcast(known), "hash")
+    # a diagonal's places are bits of one number, so that hits combine before they are shuffled
+    of = ["row", "id", "template", "label", "base", "pairs"]
+    votes = hits.groupBy(*of, (F.col("at") - F.col("place")).alias("diagonal")).agg(
+        F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), F.col("place"))).alias("places"), F.min("at").alias("first"), F.max("at").alias("last")
     )
-    # one plan for all three kinds of rows: split branches would each read and hash the texts again
+    # one plan for all kinds of rows: split branches would each read and hash the texts again
+    short = F.col("base") | (F.col("pairs") < SHORT)  # such a phrase has to match whole, on one diagonal
     order = Window.partitionBy("row", "template").orderBy("diagonal")
-    apart = F.col("base") | (F.col("template") < 0) | F.lag("diagonal").over(order).isNull() | (F.col("diagonal") - F.lag("diagonal").over(order) > SHIFT)
-    held, span = F.size(F.array_distinct(F.flatten(F.collect_list("places")))), F.max("last") - F.min("first")
-    clusters = (
-        votes.withColumn("starts", apart.cast("int"))
-        .withColumn("cluster", F.sum("starts").over(order))
-        .groupBy("row", "id", "template", "label", "base", "pairs", "cluster")
-        .agg(held.alias("held"), F.min("first").alias("first"), span.alias("span"), F.min("diagonal").alias("length"))
-        .withColumn("similarity", F.when(F.col("template") >= 0, F.col("held") / F.col("pairs")).otherwise(0.0))
-    )
-    # a short phrase has to match whole; longer notices may differ here and there
-    least = F.when(F.col("base") | (F.col("pairs") < 6), 1.0).otherwise(SIMILARITY)
-    verified = (F.col("template") < 0) | (F.col("similarity") >= least) & (F.col("span") <= 2 * F.col("pairs") + SHIFT)
-    return clusters.filter(verified).select(
-        "row", restore_id().alias("id"), "template", "label", "base", "first", F.when(F.col("template") < 0, F.col("length")).otherwise(F.col("span") + K).alias("words"), "similarity"
+    before = F.lag("diagonal").over(order)
+    apart = short | (F.col("template") < 0) | before.isNull() | (F.col("diagonal") - before > SHIFT)
+    votes = votes.repartition("row").withColumn("starts", apart.cast("int")).withColumn("cluster", F.sum("starts").over(order))
+    # a chain longer than a notice can be is judged diagonal by diagonal, each with those up to SHIFT above it
+    longest, chain, near = 2 * F.col("pairs") + SHIFT, Window.partitionBy("row", "template", "cluster"), order.rangeBetween(0, SHIFT)
+    merged = lambda w: (F.bit_or("places").over(w), F.min("first").over(w), F.max("last").over(w))
+    whole, some = merged(chain), merged(near)
+    fits = short | (whole[2] - whole[1] <= longest)
+    votes = votes.select(*of, "diagonal", "cluster", fits.alias("fits"), F.struct(*(x.alias(c) for x, c in zip(whole, ("places", "first", "last"), strict=True))).alias("whole"), F.struct(*(x.alias(c) for x, c in zip(some, ("places", "first", "last"), strict=True))).alias("some"))
+    votes = votes.withColumn("at", F.when(F.col("fits"), F.col("whole")).otherwise(F.col("some"))).dropDuplicates(["row", "template", "cluster", "at"])
+    similarity = F.when(F.col("template") >= 0, F.bit_count("at.places") / F.col("pairs")).otherwise(0.0)
+    least = F.when(short, 1.0).otherwise(SIMILARITY)
+    span = F.col("at.last") - F.col("at.first")
+    verified = (F.col("template") < 0) | (similarity >= least) & (span <= longest)
+    return votes.filter(verified).select(
+        "row", restore_id().alias("id"), "template", "label", "base", F.col("at.first").alias("first"), F.when(F.col("template") < 0, F.col("diagonal")).otherwise(span + K).alias("words"), similarity.alias("similarity")
     )
 
 

@@ -42,12 +42,14 @@ class Tokens(dict):
     ODD = re.compile(r" (?=\s)")
     CUT = re.compile(r"(?<=\S)(?= \S)")
 
-    def __init__(self, path: str, pattern: str):
+    def __init__(self, path: str, pattern: str, added: dict[str, int]):
         import tiktoken
 
         with open(path, "rb") as f:
             ranks = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.encoding = tiktoken.Encoding("bytes", pat_str=pattern, mergeable_ranks=ranks, special_tokens={})
+        self.added = {k: np.asarray([v], "<u4").tobytes() for k, v in added.items()}
+        self.split = re.compile(f"({'|'.join(map(re.escape, sorted(added, key=len, reverse=True)))})") if added else None
 
     def __missing__(self, chunk: str) -> bytes:
         if len(self) >= REMEMBERED:
@@ -58,7 +60,13 @@ class Tokens(dict):
         return value
 
     def of(self, text: str) -> bytes:
-        """The ids of text. A single space before a word always begins a token, so chunks are encoded apart."""
+        """The ids of text; added tokens (the end-of-text mark) are told first, what stands between them is encoded apart."""
+        if self.split and any(x in text for x in self.added):
+            return b"".join(self.added.get(x) or self.plain(x) for x in self.split.split(text))
+        return self.plain(text)
+
+    def plain(self, text: str) -> bytes:
+        """The ids of text without added tokens. A single space before a word always begins a token, so chunks are encoded apart."""
         if not text:
             return b""
         if self.ODD.search(text):
@@ -70,16 +78,20 @@ class Tokens(dict):
 _TOKENS: dict[str, Tokens] = {}
 
 
-def tokens(name: str = "byte_bpe_50k.tiktoken") -> Tokens:
-    """The worker's tokenizer: the vocabulary of byte_bpe_50k.json as ranks, which give the same ids."""
+def tokens(name: str = "byte_bpe_50k") -> Tokens:
+    """The worker's tokenizer: the vocabulary's ranks, which give the ids of its JSON, and the tokens that the JSON adds."""
     if name not in _TOKENS:
+        import json
+
         import public_tokenizers
 
-        _TOKENS[name] = Tokens(public_tokenizers.path(name), public_tokenizers.PATTERN)
+        with open(public_tokenizers.path(f"{name}.json"), encoding="utf-8") as f:
+            added = {x["content"]: x["id"] for x in json.load(f)["added_tokens"]}
+        _TOKENS[name] = Tokens(public_tokenizers.path(f"{name}.tiktoken"), public_tokenizers.PATTERN, added)
     return _TOKENS[name]
 
 
-def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end: int = END, vocabulary: str = "byte_bpe_50k.tiktoken", ids: bool = False) -> DataFrame:
+def pieces(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end: int = END, vocabulary: str = "byte_bpe_50k", ids: bool = False) -> DataFrame:
     """id, piece, start, length, ids_crc32 of every piece; with ids also the token ids (binary, uint32)."""
     schema = "id long, row long, piece int, start long, length long, ids_crc32 long" + ", ids binary" * ids
 
@@ -172,7 +184,7 @@ def place(rows: DataFrame, length: int = LENGTH, most_open: int = OPEN) -> DataF
     return rows.withColumn("turn", F.xxhash64("row")).sortWithinPartitions("turn", "row").drop("turn").select(*names).mapInArrow(run, schema)
 
 
-def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end: int = END, vocabulary: str = "byte_bpe_50k.tiktoken", ids: bool = False) -> DataFrame:
+def pack(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", length: int = LENGTH, end: int = END, vocabulary: str = "byte_bpe_50k", ids: bool = False) -> DataFrame:
     """Every piece with its place: doc_id, piece, start, length, ids_crc32, sequence_id, offset (and ids)."""
     made = checkpoint(pieces(docs, id_col, text_col, length, end, vocabulary, ids))
     tasks = made.filter(F.col("length") < length).count() // PIECES + 1

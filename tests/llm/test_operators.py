@@ -19,7 +19,7 @@ from carelattice.llm.packing import Bins, pack
 from carelattice.llm.substring_dedup import substring_dedup
 
 DOCS = "doc_id long, text string, lang string, source string, n_chars long"
-CLASH = ["id", "row", "digest", "salt", "keep", "word", "spans", "bands", "key", "label"]
+CLASH = ["id", "row", "digest", "_digest", "_gone", "_held", "one", "of", "doc", "salt", "keep", "word", "spans", "bands", "key", "label"]
 
 
 def words(rng: random.Random, n: int) -> str:
@@ -108,7 +108,6 @@ def test_chunked_tokens(text):
     from carelattice.llm.packing import tokens
 
     known = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    known.encode_special_tokens = True
     assert np.frombuffer(tokens().of(text), "<u4").tolist() == known.encode(text, add_special_tokens=False).ids
 
 
@@ -318,6 +317,62 @@ def test_decontamination_item_without_id(spark):
     assert [r.doc_id for r in drop_contaminated(d, b).collect()] == [2]
 
 
+def brute_licenses(text):
+    """n_words, base places, base labels, labels and score of a text, by comparing words."""
+    own = [w.decode() for w in licenses.words_of(text)]
+    starts, base, found, score = [], set(), set(), 0.0
+    for number, (phrase, label) in enumerate(licenses.BASE + licenses.NOTICES):
+        w = phrase.split()
+        pairs = len(w) - 1
+        votes = collections.defaultdict(set)
+        for at in range(len(own) - 1):
+            for place in range(pairs):
+                if own[at : at + 2] == w[place : place + 2]:
+                    votes[at - place].add(place)
+        whole = [d for d in votes if len(votes[d]) == pairs]
+        if whole:
+            found.add(label)
+            score = 1.0
+        if number < len(licenses.BASE):
+            starts += whole
+            base |= {label} if whole else set()
+        elif pairs >= licenses.SHORT:
+            chains = []
+            for d in sorted(votes):
+                if chains and d - chains[-1][-1] <= licenses.SHIFT:
+                    chains[-1].append(d)
+                else:
+                    chains.append([d])
+            for c in chains:
+                span = lambda ds: max(d + max(votes[d]) for d in ds) - min(d + min(votes[d]) for d in ds)
+                fits = span(c) <= 2 * pairs + licenses.SHIFT
+                for ds in [c] if fits else [[e for e in c if d <= e <= d + licenses.SHIFT] for d in c]:
+                    share = len(set().union(*(votes[d] for d in ds))) / pairs
+                    if share >= licenses.SIMILARITY and span(ds) <= 2 * pairs + licenses.SHIFT:
+                        found.add(label)
+                        score = max(score, share)
+    return len(own), len(starts), min(starts, default=None), max(starts, default=None), ",".join(sorted(base)), ",".join(sorted(found)), round(score, 9)
+
+
+def test_licenses_against_brute_force(spark):
+    rng = random.Random(31)
+    phrases = [p for p, _ in licenses.BASE + licenses.NOTICES]
+    rows = [None, "", "--", "MIT License", "cc by " * 9, "all rights reserved " * 5, f"{phrases[4]} " * 3, "mit license apache license, CC-BY"]
+    rows += ["Licensed under the Apache License, Version 2.0 (the license); you MAY NOT use these files except in compliance", "gnu general public license " * 30 + words(rng, 30_000)]
+    for _ in range(200):
+        out = []
+        for _ in range(rng.randrange(1, 6)):
+            w = rng.choice(phrases).split()
+            for _ in range(rng.choice([0, 0, 1, 3, 6])):
+                at = rng.randrange(max(1, len(w)))
+                w[at : at + rng.randrange(2)] = [rng.choice(["of", "the", "public", "license", "zz"])] * rng.randrange(3)
+            out += w + rng.choice(["", "x y z", "of the license the terms"]).split()
+        rows.append(" ".join(out))
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumns({c: F.lit("x") for c in CLASH if c != "doc_id"})
+    got = {r.id: (r.n_words, r.n_base, r.first_word, r.last_word, r.base_labels, r.labels, round(r.score, 9)) for r in licenses.license_scan(d).collect()}
+    assert got == {i: brute_licenses(t or "") for i, t in enumerate(rows)}
+
+
 def test_html_text():
     page = """<html><head><title>T</title></head><body><header><a href="/">Site</a></header><nav><ul><li>Menu</ul></nav>
     <div class="ad">Buy now!</div><article><h1>Title &amp; more</h1><p><b>One,   two.<br>Three &lt;b&gt;.<p>Second paragraph, long enough to count.
