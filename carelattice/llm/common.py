@@ -17,8 +17,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 #: Ids that are null take part under this number and come back as null.
 NULL_ID = (1 << 63) - 1
-#: Bits of an id filter: fixed, whatever the number of ids (4 MB).
-FILTER_BITS = 1 << 25
+#: Most bits of an id filter (128 MB); it is smaller where fewer ids need less.
+FILTER_BITS = 1 << 30
 
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -76,6 +76,11 @@ def restore_id(col: str = "id") -> Column:
     return F.when(F.col(col) != NULL_ID, F.col(col))
 
 
+def text_digest(text_col: str) -> Column:
+    """Tells rows of one id apart by their text; null text is empty."""
+    return F.unhex(F.md5(F.coalesce(F.col(text_col), F.lit("")).cast("binary")))
+
+
 def slices(batches: Iterator[pa.RecordBatch], text: str = "text", most: int = SLICE_BYTES) -> Iterator[pa.RecordBatch]:
     """Each batch cut by rows so that a piece holds about `most` bytes of text."""
     for batch in batches:
@@ -139,21 +144,23 @@ def split_words(text: str) -> list[bytes]:
 
 
 def id_filter(ids: DataFrame, col: str = "id") -> bytes:
-    """A one-hash Bloom filter over ids: FILTER_BITS bits whatever their number; more ids only mean more false hits."""
-    at = filter_position(col) + 1
+    """A one-hash Bloom filter over ids: 16 bits for each, FILTER_BITS at most; more ids only mean more false hits."""
+    size = min(FILTER_BITS, max(1 << 16, 1 << (16 * ids.count()).bit_length()))
+    at = filter_position(size, col) + 1
     rows = (
         ids.select(F.bitmap_bucket_number(at).alias("bucket"), F.bitmap_bit_position(at).alias("bit"))
-        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).collect()
+        .groupBy("bucket").agg(F.bitmap_construct_agg("bit").alias("bits")).toLocalIterator()
     )
-    out = np.zeros(FILTER_BITS // 8, np.uint8)
+    out = np.zeros(size // 8, np.uint8)
     for row in rows:
         start = (row.bucket - 1) * 4096
         out[start : start + 4096] = np.frombuffer(bytes(row.bits), np.uint8)
     return out.tobytes()
 
 
-def filter_position(col: str = "id") -> Column:
-    return F.pmod(F.xxhash64(F.col(col)), F.lit(FILTER_BITS))
+def filter_position(size: int, col: str = "id") -> Column:
+    """The place of an id in a filter of so many bits."""
+    return F.pmod(F.xxhash64(F.col(col)), F.lit(size))
 
 
 def may_contain(bits: np.ndarray, at: np.ndarray) -> np.ndarray:

@@ -46,7 +46,8 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     """id, n_words, n_removed, spans (first word, word after the last), kept_sha256, and with with_text the kept text."""
     rows = id_and_text(docs, id_col, text_col)
     found = checkpoint(shared_keys(rows, lambda text: rolling(hash_words(split_words(text)), window), earlier=True))
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(found))
+    told = id_filter(found)
+    bits, size = docs.sparkSession.sparkContext.broadcast(told), 8 * len(told)
 
     def first(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(bits.value, np.uint8)
@@ -80,6 +81,6 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
                 names=["id", "n_words", "n_removed", "spans", "kept_sha256", *(["text"] if with_text else [])],
             )
 
-    read = rows.withColumn("at", filter_position()).mapInArrow(first, "id long, n_words long, digest binary, text string")
+    read = rows.withColumn("at", filter_position(size)).mapInArrow(first, "id long, n_words long, digest binary, text string")
     schema = "id long, n_words long, n_removed long, spans array<struct<first:int,stop:int>>, kept_sha256 string" + ", text string" * with_text
     return read.join(found.withColumnRenamed("keys", "told"), "id", "left").mapInArrow(last, schema).withColumn("id", restore_id())

@@ -9,10 +9,12 @@ passage of LENGTH = K + SPAN - 1 words share a kept place within it.
 2. Only documents with such suffixes are read again. Each of their suffixes becomes a row with its first LENGTH words to
    the right and LENGTH - K words to the left, as hashes.
 3. The rows are sorted by (first K words, words to the right, words to the left) over all tasks, and each is compared
-   with its neighbours: the match is extended to the right and to the left and kept if it has LENGTH words. A second
-   order, by the words to the left first, finds partners that agree better there. What stands at the edge of a task is
-   compared again with its neighbour across the edge.
-4. A document's matches merge into maximal passages; a chain of kept places carries a longer passage as far as it goes.
+   with its nearest rows of other documents: the match is extended to the right and to the left. A second order, by the
+   words to the left first, finds partners that agree better there. What stands at the edge of a task is compared again
+   with its neighbour across the edge. A match tells which windows of LENGTH words around the place are repeated.
+4. The two orders give the longest matches to either side. Windows that these allow and no neighbour has (two documents
+   agree there, but others agree more with each of them on one side) are looked up among all rows of their key.
+5. A document's windows merge into maximal passages; a chain of kept places carries a longer passage as far as it goes.
 
 Rows are dealt by ranges of the whole order, so a passage that a third of all documents share is spread over tasks.
 
@@ -23,17 +25,22 @@ document, as do all rows without an id; a passage that only repeats within a doc
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
+from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, partitions_for, restore_id, rolling, slices, split_words
+from .common import checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, partitions_for, release, restore_id, rolling, slices, split_words
 from .shared_keys import LOW, shared_keys, unpack7
 
 K, SPAN = 18, 33
 LENGTH = K + SPAN - 1
+#: Words of context on either side of the first K.
+SIDE = LENGTH - K
+_NONE = np.int64((1 << 63) - 1)
 
 
 def minimisers(keys: np.ndarray, span: int = SPAN) -> np.ndarray:
@@ -61,126 +68,208 @@ def places(words: list[bytes]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     return h, at, keys[at]
 
 
+def _context(words: np.ndarray, at: np.ndarray, step: int) -> pa.Array:
+    """The SIDE words from each place on (step 1) or back (step -1), big-endian so that bytes sort as words do; zeros beyond the text."""
+    where = at[:, None] + step * np.arange(SIDE)
+    inside = (where >= 0) & (where < len(words))
+    found = np.where(inside, words[np.clip(where, 0, max(0, len(words) - 1))], 0).astype(">u4")
+    return pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * SIDE), len(at), [None, pa.py_buffer(found.tobytes())]).cast(pa.binary())
+
+
 def _suffixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for batch in slices(batches):
-        out: list[list] = [[], [], [], [], []]
         for one, text, told in zip(*(batch.column(c).to_pylist() for c in ("id", "text", "told")), strict=True):
             h, at, keys = places(split_words(text))
-            word = (h >> np.uint64(32)).astype(">u4")  # big-endian: bytes sort as words do
-            for p, key in zip(at.tolist(), keys.view(np.int64).tolist(), strict=True):
-                if np.uint64(key & int(LOW)) in told_set(told):
-                    for column, value in zip(out, (key, one, p, word[p + K : p + LENGTH].tobytes(), word[max(0, p - LENGTH + K) : p][::-1].tobytes()), strict=True):
-                        column.append(value)
-        yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64()), pa.array(out[2], pa.int32()), pa.array(out[3], pa.binary()), pa.array(out[4], pa.binary())], names=["key", "id", "at", "after", "before"])
+            some = np.isin(keys & LOW, unpack7(told))
+            at, keys = at[some], keys[some].view(np.int64)
+            words = np.maximum(h >> np.uint64(32), np.uint64(1)).astype(np.uint32)
+            for i in range(0, len(at), 10_000):
+                part = at[i : i + 10_000]
+                yield pa.RecordBatch.from_arrays([pa.array(keys[i : i + 10_000]), pa.array(np.full(len(part), one)), pa.array(part.astype(np.int32)), _context(words, part + K, 1), _context(words, part - 1, -1)], names=["key", "id", "at", "after", "before"])
+
+
+class Rows(NamedTuple):
+    """Suffixes: after and before as one row of SIDE words each."""
+
+    key: np.ndarray
+    id: np.ndarray
+    at: np.ndarray
+    after: np.ndarray
+    before: np.ndarray
+
+    def some(self, which) -> Rows:
+        return Rows(*(x[which] for x in self))
+
+
+def _rows(batch: pa.RecordBatch) -> Rows:
+    def words(name: str) -> np.ndarray:
+        return np.frombuffer(b"".join(batch.column(name).to_pylist()), np.uint32).reshape(-1, SIDE)
 
+    return Rows(*(batch.column(c).to_numpy() for c in ("key", "id", "at")), words("after"), words("before"))
 
-def told_set(data: bytes, _last: list = [b"", frozenset()]) -> frozenset:  # noqa: B006  the last document's set
-    if _last[0] is not data:
-        _last[:] = [data, frozenset(unpack7(data).tolist())]
-    return _last[1]
 
+def _joined(parts: list[Rows]) -> Rows:
+    return parts[0] if len(parts) == 1 else Rows(*(np.concatenate(x) for x in zip(*parts, strict=True)))
 
-def common(a: bytes, b: bytes) -> int:
-    """Words at the start that two runs of 4-byte word hashes share."""
-    if a == b:
-        return len(a) // 4
-    n = min(len(a), len(b))
-    x = int.from_bytes(a[:n], "big") ^ int.from_bytes(b[:n], "big")
-    return n // 4 if not x else (8 * n - x.bit_length()) // 32
+
+def common(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """How many words at the start two contexts share, row by row."""
+    differ = (a != b) | (a == 0)
+    return np.where(differ.any(1), differ.argmax(1), SIDE)
+
+
+def windows(right: np.ndarray, left: np.ndarray) -> np.ndarray:
+    """Which windows of LENGTH words around a place a match covers: bit l is the window that begins l words before it."""
+    one = np.int64(1)
+    return np.where(right + left >= SIDE, (one << (left + 1)) - (one << np.maximum(SIDE - right, 0)), 0)
+
+
+_COMPARED = "key long, id long, at int, after binary, before binary, covered long, right int, left int, partner long"
+_NAMES = [x.split()[0] for x in _COMPARED.split(", ")]
 
 
 def _compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Rows in order: each neighbour pair of different documents that matches LENGTH words gives both their spans.
+    """Rows in order: what each row shares with its nearest row of another document on both sides, if that has its key.
 
-    Every row meets its nearest row of another document on both sides: all rows of the latest document are kept until one
-    of another comes, so copies of a passage within one document don't hide another's, nor each other.
-    The first and last such runs of a task are handed on too (with their words) for the comparison across its edge.
+    Rows of one document and key that follow each other are a run; a row's neighbours are the last row before its run and
+    the first after it. The first and last run of a task, and the row beside each, are handed on too, with their words,
+    for the comparison across its edge.
     """
-    out: list[tuple] = []
-    run: list[tuple] = []  # the latest rows, all of one document and key
-    other: tuple | None = None  # the last row before them, if its key is theirs
-    first: list[tuple] = []
+    held: list[Rows] = []  # the latest run
+    beside: Rows | None = None  # the last row before it
     opening = True
 
-    def emit() -> pa.RecordBatch:
-        names = ["key", "id", "at", "after", "before", "first", "stop", "partner"]
-        kinds = [pa.int64(), pa.int64(), pa.int32(), pa.binary(), pa.binary(), pa.int32(), pa.int32(), pa.int64()]
-        batch = pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), kinds, strict=True)], names=names)
-        out.clear()
-        return batch
+    def edge(rows: Rows) -> pa.RecordBatch:
+        n = len(rows.key)
+        words = [pa.FixedSizeBinaryArray.from_buffers(pa.binary(4 * SIDE), n, [None, pa.py_buffer(np.ascontiguousarray(x).tobytes())]).cast(pa.binary()) for x in (rows.after, rows.before)]
+        return pa.RecordBatch.from_arrays([*(pa.array(x) for x in (rows.key, rows.id, rows.at)), *words, *(pa.nulls(n, k) for k in (pa.int64(), pa.int32(), pa.int32(), pa.int64()))], names=_NAMES)
+
+    def compared(rows: Rows, done: int, most: int) -> pa.RecordBatch:
+        """Of rows done to most."""
+        n = len(rows.key)
+        change = np.flatnonzero((rows.key[1:] != rows.key[:-1]) | (rows.id[1:] != rows.id[:-1])) + 1
+        starts, stops = np.concatenate([[0], change]), np.concatenate([change, [n]])
+        run = np.repeat(np.arange(len(starts)), stops - starts)[done:most]
+        mine = np.arange(done, most)
+        covered, right, left, partner = np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64), np.zeros(len(mine), np.int64), np.full(len(mine), _NONE)
+        for other in (starts[run] - 1, stops[run]):
+            there = (other >= 0) & (other < n)
+            there[there] = rows.key[other[there]] == rows.key[mine[there]]
+            i, j = mine[there], other[there]
+            r, l = common(rows.after[i], rows.after[j]), common(rows.before[i], rows.before[j])
+            found = windows(r, l)
+            covered[there] |= found
+            right[there], left[there] = np.maximum(right[there], r), np.maximum(left[there], l)
+            partner[there] = np.where(found != 0, np.minimum(partner[there], rows.id[j]), partner[there])
+        told = [rows.key[done:most], rows.id[done:most], rows.at[done:most]]
+        return pa.RecordBatch.from_arrays([*(pa.array(x) for x in told), pa.nulls(len(mine), pa.binary()), pa.nulls(len(mine), pa.binary()), pa.array(covered), pa.array(right.astype(np.int32)), pa.array(left.astype(np.int32)), pa.array(partner)], names=_NAMES)
 
     for batch in batches:
-        for row in zip(*(batch.column(c).to_pylist() for c in ("key", "id", "at", "after", "before")), strict=True):
-            if opening and first and first[0][0] != row[0]:
-                opening = False
-            if opening:
-                first.append(row)
-                opening = row[1] == first[0][1]
-            if run and run[0][0] != row[0]:
-                run, other = [], None
-            met = [other] if other and other[1] != row[1] else []
-            if run and run[0][1] != row[1]:
-                met += run
-                run, other = [], run[-1]
-            run.append(row)
-            for o in met:
-                right, left = K + common(row[3], o[3]), common(row[4], o[4])
-                if right + left >= LENGTH:
-                    for r, partner in ((row, o[1]), (o, row[1])):
-                        out.append((None, r[1], None, None, None, r[2] - left, r[2] + right, partner))
-        if len(out) > 20_000:
-            yield emit()
-    out.extend((*r, None, None, None) for r in dict.fromkeys([*first, *([other] if other else []), *run]))
-    if out:
-        yield emit()
-
-
-_COMPARED = "key long, id long, at int, after binary, before binary, first int, stop int, partner long"
-
-
-def _neighbours(rows: DataFrame, order: list[str], parts: int) -> DataFrame:
-    """Spans of all neighbours in this order: within tasks, then across their edges."""
+        if not batch.num_rows:
+            continue
+        rows = _rows(batch)
+        change = np.flatnonzero((rows.key[1:] != rows.key[:-1]) | (rows.id[1:] != rows.id[:-1])) + 1
+        if held and not len(change) and held[-1].key[-1] == rows.key[0] and held[-1].id[-1] == rows.id[0]:
+            held.append(rows)
+            continue
+        rows = _joined([*([beside] if beside else []), *held, rows])
+        done = 1 if beside else 0
+        last = int((np.flatnonzero((rows.key[1:] != rows.key[:-1]) | (rows.id[1:] != rows.id[:-1])) + 1).max(initial=0))
+        if last <= done:  # still the first run
+            held = [rows.some(slice(done, None))]
+            continue
+        if opening:
+            stop = int(np.flatnonzero((rows.key[1:] != rows.key[:-1]) | (rows.id[1:] != rows.id[:-1])).min()) + 2
+            yield edge(rows.some(slice(0, stop)))
+            opening = False
+        yield compared(rows, done, last)
+        beside, held = rows.some(slice(last - 1, last)), [rows.some(slice(last, None))]
+    if held:
+        rows = _joined([*([beside] if beside else []), *held])
+        yield compared(rows, 1 if beside else 0, len(rows.key))
+        yield edge(rows)
+
+
+def _neighbours(rows: DataFrame, order: list[str], parts: int) -> list[DataFrame]:
+    """What every row shares with its neighbours in this order: within tasks, then across their edges."""
     rows = rows.select("key", "id", "at", "after", "before")
     within = checkpoint(rows.repartitionByRange(parts, *order).sortWithinPartitions(*order).mapInArrow(_compare, _COMPARED))
-    # a task's first and last run: of one document and key each, and a row beside it
-    across = within.filter("key is not null").select(rows.columns).coalesce(1).sortWithinPartitions(*order).mapInArrow(_compare, _COMPARED)
-    return within.filter("key is null").unionByName(across.filter("key is null")).select("id", "first", "stop", "partner")
+    edges = within.filter("after is not null").select(rows.columns).repartition(1).sortWithinPartitions(*order).mapInArrow(_compare, _COMPARED)
+    return [x.filter("after is null").select("key", "id", "at", "covered", "right", "left", "partner") for x in (within, edges)]
+
+
+def _missed(seen: DataFrame, suffixes: DataFrame) -> DataFrame | None:
+    """Windows that neither order can tell: a row agrees with one neighbour to the right and another to the left, so that a
+    third, near in neither order, may share a window between. These windows are looked up as such."""
+    bits = lambda n: F.call_function("shiftleft", F.lit(1).cast("long"), n) - 1
+    open_windows = bits(F.col("left") + 1).bitwiseAND(F.bitwise_not(bits(SIDE - F.col("right")))).bitwiseAND(F.bitwise_not("covered"))
+    asked = seen.withColumn("open", open_windows).filter((F.col("right") + F.col("left") >= SIDE) & (F.col("open") != 0)).select("key", "id", "at", "open")
+    asked = checkpoint(asked.select("key", "id", "at", F.explode(F.filter(F.sequence(F.lit(0), F.lit(SIDE)), lambda l: F.call_function("shiftright", F.col("open"), l).bitwiseAND(1) == 1)).alias("l")))
+    if asked.isEmpty():
+        return None
+    shape = lambda df: df.withColumn("a", F.substring("after", F.lit(1), 4 * (SIDE - F.col("l")))).withColumn("b", F.substring("before", F.lit(1), 4 * F.col("l"))).drop("after", "before")
+    # rows with the same window combine before they are shuffled
+    there = shape(suffixes.join(asked.select("key", "l").distinct(), "key")).groupBy("key", "l", "a", "b").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+    found = shape(asked.join(suffixes, ["key", "id", "at"])).join(there, ["key", "l", "a", "b"])
+    return found.select("key", "id", "at", (bits(F.col("l")) + 1).alias("covered"), F.when(F.col("low") == F.col("id"), F.col("high")).otherwise(F.col("low")).alias("partner"))
 
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, first, stop (words), partner (least id of a neighbour with it) of every maximal repeated passage."""
     rows = id_and_text(docs, id_col, text_col)
     found = checkpoint(shared_keys(rows, lambda text: places(split_words(text))[2], earlier=False))
-    bits = docs.sparkSession.sparkContext.broadcast(id_filter(found))
+    told = id_filter(found)
+    bits, size = docs.sparkSession.sparkContext.broadcast(told), 8 * len(told)
 
     def maybe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = np.frombuffer(bits.value, np.uint8)
         for batch in batches:
             yield batch.filter(pa.array(may_contain(known, batch.column("at").to_numpy()))).select(["id", "text"])
 
-    some = rows.withColumn("at", filter_position()).mapInArrow(maybe, "id long, text string").join(found.withColumnRenamed("keys", "told"), "id")
+    some = rows.withColumn("at", filter_position(size)).mapInArrow(maybe, "id long, text string").join(found.withColumnRenamed("keys", "told"), "id")
     suffixes = checkpoint(some.mapInArrow(_suffixes, "key long, id long, at int, after binary, before binary"))
+    release(found)
     parts = partitions_for(rows)
-    spans = _neighbours(suffixes, ["key", "after", "before", "id", "at"], parts).unionByName(_neighbours(suffixes, ["key", "before", "after", "id", "at"], parts))
-    spans = spans.groupBy("id", "first", "stop").agg(F.min("partner").alias("partner")).repartition("id").sortWithinPartitions("id", "first", "stop")
-    return spans.mapInArrow(_merge, "id long, first int, stop int, partner long").withColumns({"id": restore_id(), "partner": restore_id("partner")})
+    seen = [*_neighbours(suffixes, ["key", "after", "before", "id", "at"], parts), *_neighbours(suffixes, ["key", "before", "after", "id", "at"], parts)]
+    seen = checkpoint(
+        reduce(DataFrame.unionByName, seen).groupBy("key", "id", "at")
+        .agg(F.bit_or("covered").alias("covered"), F.max("right").alias("right"), F.max("left").alias("left"), F.min("partner").alias("partner")).filter(F.col("right") + F.col("left") >= SIDE)
+    )
+    spans = seen.filter("covered <> 0").select("id", "at", "covered", "partner")
+    if (more := _missed(seen, suffixes)) is not None:
+        spans = spans.unionByName(more.select("id", "at", "covered", "partner"))
+    release(suffixes) if more is None else None
+    return spans.repartition("id").sortWithinPartitions("id", "at").mapInArrow(_merge, "id long, first int, stop int, partner long").withColumns({"id": restore_id(), "partner": restore_id("partner")})
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Overlapping and touching spans of a document, in order, as one."""
-    at: list | None = None
+    """Overlapping and touching windows of a document, in order, as one span."""
+    held: list[tuple] = []
+
+    def spans() -> list[list]:
+        out: list[list] = []
+        for first, stop, one, partner in sorted(held):
+            if out and first <= out[-1][2]:
+                out[-1][2], out[-1][3] = max(out[-1][2], stop), min(out[-1][3], partner)
+            else:
+                out.append([one, first, stop, partner])
+        held.clear()
+        return out
+
     for batch in batches:
         out = []
-        for one, first, stop, partner in zip(*(c.to_pylist() for c in batch.columns), strict=True):
-            if at and at[0] == one and first <= at[2]:
-                at[2], at[3] = max(at[2], stop), min(at[3], partner)
-            else:
-                if at:
-                    out.append(at)
-                at = [one, first, stop, partner]
+        for one, at, covered, partner in zip(*(batch.column(c).to_pylist() for c in ("id", "at", "covered", "partner")), strict=True):
+            if held and held[0][2] != one:
+                out += spans()
+            low = 0
+            while covered >> low:
+                low += ((covered >> low) & -(covered >> low)).bit_length() - 1
+                high = low + (~(covered >> low) & -~(covered >> low)).bit_length() - 2
+                held.append((at - high, at - low + LENGTH, one, partner))
+                low = high + 1
         yield _spans(out)
-    if at:
-        yield _spans([at])
+    if held:
+        yield _spans(spans())
 
 
 def _spans(rows: list[list]) -> pa.RecordBatch:
