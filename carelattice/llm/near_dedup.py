@@ -6,18 +6,20 @@ process with its weight as rate whose arrivals fall on random signature slots; a
 shingle's later arrivals are only drawn while they can still be earlier than the latest slot of its document. Two
 documents agree in a slot with the probability Jaccard similarity of their weighted sets. BANDS bands of ROWS slots give
 the candidates; these are verified with the exact Jaccard similarity of the whole shingle sets (or, if asked for, the
-exact probability Jaccard of the weighted sets), and links are joined to classes.
+exact probability Jaccard of the weighted sets; without repeated shingles both are the same), and links are joined to classes.
 
 Skew: texts with the same words are one representative, found by a combining aggregation. In a bucket of at most PAIRED
-representatives each pair is a candidate; in a larger one each member meets the bucket's HUBS members that share most
-buckets with others (the least edited copies), in each of its bands, so candidates grow with the members. Members that a
-round leaves outside the class of their bucket's hubs meet further members in the next round, until a round links none.
-What is still in several classes in a bucket is then compared whole: each member outside the bucket's largest class with
-all members of other classes, so the classes are those of all candidate pairs. A bucket is compared in one task.
+representatives each pair is a candidate. In a larger one each member meets the bucket's head, the member that shares
+most buckets with others (the least edited copy), also found by a combining aggregation. A head's shingle set is sent once
+for each MEMBERS of its candidates, not with every pair. Members that are then outside the largest class of a bucket meet
+further heads, as long as a round places a fifth of them. Those that are still outside are compared with all members of
+their bucket, in blocks of bounded bytes that are spread over tasks (an inverted index of a block's shingles tells the
+similarities), so the classes are those of all candidate pairs and no bucket is held in one task.
 
 Defined results: null text is empty; texts without words are copies of each other; texts of fewer than five words have
-one shingle, the whole text; rows with equal ids share a class; rows without an id are classed under null, each text for
-itself among such rows.
+one shingle, the whole text; every row is judged by its own text, so rows with equal ids or without an id are classed
+apart if their texts are. A class is named by its least id (null if none of its rows has one); the row with the least id
+is kept, one of them if several have it.
 """
 
 from __future__ import annotations
@@ -28,16 +30,21 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, mix, restore_id, rolling, slices, split_words
+from .common import NULL_ID, checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, mix, release, restore_id, rolling, slices, split_words, text_digest
 from .components import components
 
 WORDS, SIMILARITY = 5, 0.8
 BANDS, ROWS = 24, 4
-PAIRED, HUBS = 12, 4
+PAIRED = 12
 SALTS = 8
+#: Candidates that one copy of a head's set serves.
+MEMBERS = 256
+#: Bytes of packed sets in a block of outside members, and in the chunk of members that it meets.
+BLOCK, CHUNK = 1 << 20, 1 << 22
 
 
 def shingles(words: list[bytes], k: int = WORDS) -> tuple[np.ndarray, np.ndarray]:
@@ -105,12 +112,17 @@ def _unpacked(data: bytes) -> tuple[np.ndarray, np.ndarray]:
     return keys, np.frombuffer(data, "<f4", n, 4 + 4 * n).astype(float) if len(data) > 4 + 4 * n else np.ones(n)
 
 
+def _content(words: list[bytes]) -> bytes:
+    return xxhash.xxh3_128_digest(b" ".join(words))
+
+
 def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    uid = TaskContext.get().partitionId() << 33
     for batch in slices(batches):
         content, sets, some = [], [], []
         for i, text in enumerate(batch.column("text").to_pylist()):
             words = split_words(text)
-            content.append(xxhash.xxh3_128_digest(b" ".join(words)))
+            content.append(_content(words))
             if words:
                 some.append(i)
                 sets.append(shingles(words))
@@ -119,7 +131,9 @@ def _sign(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             keys = band_keys(signatures(sets, BANDS * ROWS), BANDS, ROWS).view(np.int64).tolist()
             for i, k in zip(some, keys, strict=True):
                 bands[i] = k
-        yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["id", "content", "bands"])
+        uids = pa.array(np.arange(uid, uid + len(content)))
+        uid += len(content)
+        yield pa.RecordBatch.from_arrays([uids, batch.column("id"), batch.column("digest"), pa.array(content, pa.binary()), pa.array(bands, pa.list_(pa.int64()))], names=["uid", "id", "digest", "content", "bands"])
 
 
 def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray]) -> float:
@@ -128,36 +142,46 @@ def jaccard(a: tuple[np.ndarray, np.ndarray], b: tuple[np.ndarray, np.ndarray])
     return both / max(1, len(a[0]) + len(b[0]) - both)
 
 
+def _linked(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
+    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+
+
 def _verified(limit: float, weighted: bool):
+    """Links of heads (rows without a) with the members that follow them."""
     measure = probability_jaccard if weighted else jaccard
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        head, own = None, None
         for batch in batches:
-            known: dict[bytes, tuple] = {}
-            out = [[], []]
-            for u, v, a, b in zip(*(batch.column(c).to_pylist() for c in ("u", "v", "a", "b")), strict=True):
-                for x in (a, b):
-                    if x not in known:
-                        if len(known) > 2000:
-                            known.clear()
-                        known[x] = _unpacked(x)
-                if measure(known.get(a) or _unpacked(a), known.get(b) or _unpacked(b)) >= limit:
-                    out[0].append(u)
-                    out[1].append(v)
-            yield pa.RecordBatch.from_arrays([pa.array(out[0], pa.int64()), pa.array(out[1], pa.int64())], names=["u", "v"])
+            out = []
+            for a, b, packed in zip(*(batch.column(c).to_pylist() for c in ("a", "b", "packed")), strict=True):
+                if a is None:
+                    head, own = b, _unpacked(packed)
+                elif head == b and measure(own, _unpacked(packed)) >= limit:
+                    out.append((a, b))
+            yield _linked(out)
 
     return run
 
 
-def bucket_links(classes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], limit: float, weighted: bool = False) -> Iterator[tuple[int, int]]:
-    """Pairs of members of a bucket, limit or more alike, that join its classes as all such pairs would."""
+def _links(pairs: DataFrame, packed: DataFrame, limit: float, weighted: bool) -> DataFrame:
+    """The pairs (a, b) that are alike. b's set is sent once for each MEMBERS members, not with every pair."""
+    counts = pairs.groupBy("b").agg((F.count("*") / MEMBERS).cast("long").alias("most"))
+    dealt = pairs.join(counts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("most") + 1).alias("salt"))
+    members = dealt.join(packed.withColumnRenamed("rep", "a"), "a").select("a", "b", "salt", "packed")
+    heads = dealt.select("b", "salt").distinct().join(packed.withColumnRenamed("rep", "b"), "b").select(F.lit(None).cast("long").alias("a"), "b", "salt", "packed")
+    rows = heads.unionByName(members).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
+    return checkpoint(rows.mapInArrow(_verified(limit, weighted), "u long, v long"))
+
+
+def bucket_links(outside: np.ndarray, classes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], limit: float, weighted: bool = False) -> Iterator[tuple[int, int]]:
+    """Pairs of an outside member and another, limit or more alike, that join classes as all such pairs would."""
     cls = classes.copy()
     sizes = np.array([len(k) for k, _ in sets])
     keys, owner = np.concatenate([k for k, _ in sets]), np.repeat(np.arange(len(sets)), sizes)
     order = np.argsort(keys, kind="stable")
     keys, owner = keys[order], owner[order]
-    names, held = np.unique(cls, return_counts=True)
-    for x in np.flatnonzero(cls != names[held.argmax()]).tolist():
+    for x in np.flatnonzero(outside).tolist():
         low, high = np.searchsorted(keys, sets[x][0]), np.searchsorted(keys, sets[x][0], "right")
         n = high - low
         both = np.bincount(owner[np.repeat(low - np.cumsum(n) + n, n) + np.arange(n.sum())], minlength=len(sets))
@@ -171,19 +195,18 @@ def bucket_links(classes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]],
 
 
 def _across(limit: float, weighted: bool):
-    """Links between the classes of each bucket. Rows: key, rep, component, packed, in the order of key."""
+    """Links between classes. Rows: key, block, chunk, outside, rep, component, packed, in the order of the first three."""
 
     def linked(rows: list[tuple]) -> list[tuple[int, int]]:
-        reps = [r[1] for r in rows]
-        found = bucket_links(np.array([r[2] for r in rows]), [_unpacked(r[3]) for r in rows], limit, weighted)
-        return [(max(reps[x], reps[y]), min(reps[x], reps[y])) for x, y in found]
+        classes = np.unique([r[5] for r in rows], return_inverse=True)[1]
+        return [(rows[x][4], rows[y][4]) for x, y in bucket_links(np.array([r[3] for r in rows]), classes, [_unpacked(r[6]) for r in rows], limit, weighted)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         held: list[tuple] = []
         for batch in batches:
             out = []
-            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "rep", "component", "packed")), strict=True):
-                if held and held[0][0] != row[0]:
+            for row in zip(*(batch.column(c).to_pylist() for c in ("key", "block", "chunk", "outside", "rep", "component", "packed")), strict=True):
+                if held and held[0][:3] != row[:3]:
                     out += linked(held)
                     held.clear()
                 held.append(row)
@@ -194,92 +217,102 @@ def _across(limit: float, weighted: bool):
     return run
 
 
-def _linked(pairs: list[tuple[int, int]]) -> pa.RecordBatch:
-    return pa.RecordBatch.from_arrays([pa.array([p[i] for p in pairs], pa.int64()) for i in (0, 1)], names=["u", "v"])
+def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
+    """Members (key, rep, degree) of the buckets that are in several classes: component, outside (not in the bucket's largest class)."""
+    placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    held = placed.groupBy("key", "component").agg(F.count("*").alias("held"))
+    main = held.groupBy("key").agg(F.max_by("component", "held").alias("main"), F.count("*").alias("classes")).filter("classes > 1").select("key", "main")
+    return checkpoint(placed.join(main, "key").select("key", "rep", "degree", "component", (F.col("component") != F.col("main")).alias("outside")))
 
 
-def _pairs(df: DataFrame) -> DataFrame:
-    return df.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct()
+def _whole(placed: DataFrame, packed: DataFrame, limit: float, weighted: bool) -> DataFrame:
+    """Links of each bucket's outside members with all its members, dealt in blocks of both by the bytes of their sets."""
+    rows = placed.join(packed, "rep")
+    bytes_of = rows.groupBy("key").agg(F.sum(F.length("packed")).alias("chunks"), F.sum(F.when(F.col("outside"), F.length("packed"))).alias("blocks"))
+    bytes_of = bytes_of.select("key", (F.col("chunks") / CHUNK).cast("int").alias("chunks"), (F.col("blocks") / BLOCK).cast("int").alias("blocks"))
+    rows = rows.join(bytes_of, "key")
+    all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n)))
+    one_of = lambda n: F.pmod(F.xxhash64("rep", F.lit(n)), F.col(n) + 1).cast("int")
+    queries = rows.filter("outside").withColumn("block", one_of("blocks")).withColumn("chunk", all_of("chunks"))
+    members = rows.withColumn("chunk", one_of("chunks")).withColumn("block", all_of("blocks")).withColumn("outside", F.lit(False))
+    both = queries.unionByName(members).select("key", "block", "chunk", "outside", "rep", "component", "packed")
+    dealt = both.repartition("key", "block", "chunk").sortWithinPartitions("key", "block", "chunk", "rep", "outside")
+    return checkpoint(dealt.mapInArrow(_across(limit, weighted), "u long, v long").distinct())
 
 
-def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, weighted: bool = False, rounds: int = 3) -> DataFrame:
-    """id, class_id (the least id of its class), class_size, kept (it is that least id) of every row."""
+def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: float, weighted: bool) -> DataFrame:
+    """uid, id, digest (of the text), class_id, class_size, kept of every row; ids as id_and_text has them."""
     spark = docs.sparkSession
     rows = id_and_text(docs, id_col, text_col)
-    signed = checkpoint(rows.mapInArrow(_sign, "id long, content binary, bands array<long>"))
-    reps = checkpoint(signed.groupBy("content").agg(F.min("id").alias("rep"), F.first("bands").alias("bands"), F.count("*").alias("copies")))
+    signed = checkpoint(rows.withColumn("digest", text_digest("text")).mapInArrow(_sign, "uid long, id long, digest binary, content binary, bands array<long>"))
+    # a representative for each different text: its row with the least id
+    reps = checkpoint(signed.groupBy("content").agg(F.min(F.struct("id", "uid")).alias("least"), F.first("bands").alias("bands"), F.count("*").alias("copies")).withColumn("rep", F.col("least.uid")))
 
     exploded = reps.filter("bands is not null").select("rep", F.explode("bands").alias("key"))
     sizes = exploded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
-    shared = exploded.join(sizes, "key")
-    degree = Window.partitionBy("rep")
-    buckets = checkpoint(shared.withColumn("degree", F.sum("n").over(degree)))  # at most BANDS rows in a window
-    small = buckets.filter(F.col("n") <= PAIRED).select("key", "rep")
-    large = buckets.filter(F.col("n") > PAIRED)
-
-    def hubs(members: DataFrame, turn: int) -> DataFrame:
-        order = (F.desc("degree"), "rep") if turn == 0 else (F.xxhash64("rep", "key", F.lit(turn)), "rep")
-        return members.withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(*order))).filter(F.col("place") <= HUBS).select("key", F.col("rep").alias("hub"))
-
-    pairs = small.select("key", F.col("rep").alias("a")).join(small.select("key", F.col("rep").alias("b")), "key").filter("a > b")
-    stars = large.join(hubs(large, 0), "key").select(F.col("rep").alias("a"), F.col("hub").alias("b"))
-    candidates = checkpoint(_pairs(pairs.select("a", "b").unionByName(stars)))
+    buckets = checkpoint(exploded.join(sizes, "key").withColumn("degree", F.sum("n").over(Window.partitionBy("rep"))))  # at most BANDS rows in a window
+    small, large = buckets.filter(F.col("n") <= PAIRED).select("key", "rep"), buckets.filter(F.col("n") > PAIRED).select("key", "rep", "degree")
 
-    # texts are read again only for documents that are in a bucket
-    bits = spark.sparkContext.broadcast(id_filter(buckets.select(F.col("rep").alias("id"))))
+    members = reps.join(buckets.select("rep").distinct(), "rep", "left_semi").select("rep", "content", F.col("least.id").alias("id"))
+    bits = id_filter(members)
+    filtered, size = spark.sparkContext.broadcast(bits), 8 * len(bits)
 
     def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = np.frombuffer(bits.value, np.uint8)
+        known = np.frombuffer(filtered.value, np.uint8)
         for batch in slices(batches):
             batch = batch.filter(pa.array(may_contain(known, batch.column("at").to_numpy())))
-            yield pa.RecordBatch.from_arrays([batch.column("id"), pa.array([_packed(split_words(t)) for t in batch.column("text").to_pylist()], pa.binary())], names=["id", "packed"])
+            words = [split_words(t) for t in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([pa.array([_content(w) for w in words], pa.binary()), pa.array([_packed(w) for w in words], pa.binary())], names=["content", "packed"])
 
-    members = buckets.select(F.col("rep").alias("id")).distinct()
-    packed = checkpoint(rows.withColumn("at", filter_position()).mapInArrow(pack, "id long, packed binary").join(members, "id").groupBy("id").agg(F.min("packed").alias("packed")))
+    # texts are read again only for documents whose id may be that of one in a bucket
+    read = rows.withColumn("at", filter_position(size)).mapInArrow(pack, "content binary, packed binary")
+    packed = checkpoint(read.join(members.select("rep", "content"), "content").groupBy("rep").agg(F.min("packed").alias("packed")))
 
-    def links(of: DataFrame) -> DataFrame:
-        both = of.join(packed.select(F.col("id").alias("u"), F.col("packed").alias("a")), "u").join(packed.select(F.col("id").alias("v"), F.col("packed").alias("b")), "v")
-        return checkpoint(both.select("u", "v", "a", "b").mapInArrow(_verified(similarity, weighted), "u long, v long"))
+    def stars(of: DataFrame, heads: DataFrame) -> DataFrame:
+        return of.select("key", F.col("rep").alias("a")).join(heads, "key").select("a", "b").filter("a <> b").distinct()
 
-    edges = links(candidates)
+    pairs = small.select("key", F.col("rep").alias("a")).join(small.select("key", F.col("rep").alias("b")), "key").filter("a > b").select("a", "b").distinct()
+    first = stars(large, large.groupBy("key").agg(F.max_by("rep", "degree").alias("b")))
+    edges = _links(pairs.unionByName(first), packed, similarity, weighted)
     found = components(edges)
-    for turn in range(1, rounds):
-        # members of large buckets that aren't in the class of the bucket's first hub meet others
-        placed = large.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-        mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-        placed = checkpoint(placed.join(mixed, "key"))
-        sides = placed.select("key", "component").distinct()
-        lead = placed.groupBy("key", "component").agg(F.count("*").alias("held")).withColumn("place", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("held"), "component")))
-        main = lead.filter("place = 1").select("key", F.col("component").alias("main"))
-        outside = placed.join(main, "key").filter("component <> main")
-        if outside.isEmpty():
+    turn, outsiders = 0, None
+    while True:
+        placed = _placed(large, found)
+        left = placed.filter("outside").count()
+        # a round has to place a fifth of them at least; what is then left is compared whole
+        if not left or outsiders is not None and left > 0.8 * outsiders:
             break
-        more = outside.select("key", F.col("rep").alias("a")).join(hubs(placed, turn), "key").select("a", F.col("hub").alias("b"))
-        more = more.unionByName(outside.select("key", F.col("rep").alias("a")).join(hubs(outside.select("key", "rep", "degree"), 0), "key").select("a", F.col("hub").alias("b")))
-        fresh = checkpoint(_pairs(more).join(candidates, ["u", "v"], "left_anti"))
-        gained = links(fresh)
-        if gained.isEmpty():
-            break
-        candidates, edges = candidates.unionByName(fresh), edges.unionByName(gained)
+        turn, outsiders = turn + 1, left
+        heads = placed.groupBy("key", "outside").agg(F.max_by("rep", F.xxhash64("rep", F.lit(turn))).alias("b")).select("key", "b")
+        edges = edges.unionByName(_links(stars(placed.filter("outside"), heads), packed, similarity, weighted))
         found = components(edges)
-    # what the rounds leave in several classes of a bucket, whole
-    placed = large.select("key", "rep").join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    mixed = placed.groupBy("key").agg(F.min("component").alias("lo"), F.max("component").alias("hi")).filter("lo <> hi").select("key")
-    members = placed.join(mixed, "key").join(packed.withColumnRenamed("id", "rep"), "rep").select("key", "rep", "component", "packed")
-    gained = checkpoint(members.repartition("key").sortWithinPartitions("key", "rep").mapInArrow(_across(similarity, weighted), "u long, v long").distinct())
-    if not gained.isEmpty():
-        found = components(edges.unionByName(gained))
-    found = checkpoint(found)
-    classes = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("content", "copies", F.coalesce("component", "rep").alias("class_id"))
-    sizes = classes.groupBy("class_id").agg(F.sum("copies").alias("class_size"))
-    classes = classes.join(sizes, "class_id").filter("class_size > 1")
-    spread = classes.select("content", "class_id", "class_size", F.explode(F.array([F.lit(i) for i in range(SALTS)])).alias("salt"))
-    out = signed.select("id", "content", F.pmod(F.xxhash64("id"), F.lit(SALTS)).alias("salt")).join(spread, ["content", "salt"], "left")
-    out = out.select("id", F.coalesce("class_id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"))
-    return out.select(restore_id().alias("id"), restore_id("class_id").alias("class_id"), "class_size", (F.col("id") == F.col("class_id")).alias("kept"))
+        release(placed)
+    if left:
+        found = components(edges.unionByName(_whole(placed, packed, similarity, weighted)))
+    release(buckets, packed, placed)
+
+    of = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("content", "copies", "least", F.coalesce("component", "rep").alias("class"))
+    classes = of.groupBy("class").agg(F.min("least").alias("first"), F.sum("copies").alias("class_size")).filter("class_size > 1")
+    spread = of.select("content", "class").join(classes, "class").select("content", "first", "class_size", F.explode(F.array([F.lit(i) for i in range(SALTS)])).alias("salt"))
+    out = signed.select("uid", "id", "digest", "content", F.pmod(F.xxhash64("uid"), F.lit(SALTS)).alias("salt")).join(spread, ["content", "salt"], "left")
+    return out.select("uid", "id", "digest", F.coalesce("first.id", "id").alias("class_id"), F.coalesce("class_size", F.lit(1)).alias("class_size"), (F.coalesce("first.uid", "uid") == F.col("uid")).alias("kept"))
+
+
+def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY, weighted: bool = False) -> DataFrame:
+    """id, class_id (the least id of its class), class_size, kept (one row of each class) of every row."""
+    found = _classified(docs, id_col, text_col, similarity, weighted)
+    return found.select(restore_id().alias("id"), restore_id("class_id").alias("class_id"), "class_size", "kept")
 
 
 def drop_near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """The rows of docs, all columns, without those whose class has a row with a smaller id."""
-    gone = near_duplicates(docs, id_col, text_col).filter("not kept").select(F.col("id").alias("_gone")).distinct()
-    return docs.join(gone, docs[id_col] == F.col("_gone"), "left_anti")
+    """One row of each class, with all columns: that with the least id.
+
+    Rows are told by id and text, so unlike texts under one id, or under none, stay. Of rows that agree in both, one stays.
+    """
+    groups = _classified(docs, id_col, text_col, SIMILARITY, False).groupBy("id", "digest")
+    seen = checkpoint(groups.agg(F.max("kept").alias("stays"), F.count("*").alias("rows")).filter("not stays or rows > 1"))
+    out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), text_digest(text_col).alias("digest"))
+    out = out.join(seen.filter("not stays").select("id", "digest"), ["id", "digest"], "left_anti")
+    if not seen.filter("stays").isEmpty():
+        out = out.dropDuplicates(["id", "digest"])
+    return out.select("doc.*")

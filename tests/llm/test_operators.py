@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from carelattice.llm import exact_dedup, html_text, licenses, ppm, suffix_dedup, toxicity
 from carelattice.llm.decontamination import Index, contaminated, drop_contaminated
-from carelattice.llm.near_dedup import near_duplicates, probability_jaccard, signatures
+from carelattice.llm.near_dedup import drop_near_duplicates, near_duplicates, probability_jaccard, signatures
 from carelattice.llm.packing import Bins, pack
 from carelattice.llm.substring_dedup import substring_dedup
 
@@ -186,6 +186,42 @@ def test_near_duplicates(docs, texts):
     assert all(got[i].class_id == i for i in (1, 4, 5, 6, 7, 16, 17))
 
 
+def test_near_duplicates_against_all_pairs(spark):
+    rng, rows = random.Random(41), []
+    for family in range(25):  # copies of a text with more and more words changed, copies of copies, and texts alone
+        base = words(rng, rng.randrange(60, 260)).split()
+        for i in range(rng.choice([1, 4, 20, 60])):
+            w = list(rng.choice([base, rows[-1][1].split()]) if i else base)
+            for _ in range(rng.randrange(1, 8)):
+                w[rng.randrange(len(w))] = words(rng, 1)
+            rows.append((len(rows), " ".join(w)))
+    assert len(rows) >= 500
+    sets = [{tuple(w[j : j + 5]) for j in range(len(w) - 4)} for w in (t.split() for _, t in rows)]
+    links = [(i, j) for i in range(len(rows)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])]
+    d = spark.createDataFrame(rows, "doc_id long, text string").repartition(5)
+    got = {r.id: r.class_id for r in near_duplicates(d).collect()}
+    caught = sum(got[i] == got[j] for i, j in links)
+    assert len(links) > 500 and caught >= 0.98 * len(links)
+    least = list(range(len(rows)))
+    for i, j in links:
+        low, high = sorted((least[i], least[j]))
+        least = [low if x == high else x for x in least]
+    assert all(least[i] == least[c] for i, c in got.items())  # no class without links
+
+
+def test_near_duplicates_of_equal_and_missing_ids(spark):
+    rng = random.Random(43)
+    a, b, c, e = (words(rng, 80) for _ in range(4))
+    near = a.replace(a.split()[40], "other")
+    rows = [(2, a), (5, near), (5, b), (None, c), (None, e), (None, near), (None, None), (7, c), (8, e), (8, e), (9, "")]
+    d = spark.createDataFrame(rows, "doc_id long, text string").withColumns({x: F.lit("x") for x in CLASH if x != "doc_id"})
+    got = sorted((str(r.id), str(r.class_id), r.class_size, r.kept) for r in near_duplicates(d).collect())
+    assert got == sorted([("2", "2", 3, True), ("5", "2", 3, False), ("None", "2", 3, False), ("5", "5", 1, True), ("None", "7", 2, False), ("7", "7", 2, True), ("None", "8", 3, False), ("8", "8", 3, True), ("8", "8", 3, False), ("None", "9", 2, False), ("9", "9", 2, True)])
+    kept = drop_near_duplicates(d)
+    assert kept.columns == d.columns
+    assert sorted((str(r.doc_id), r.text) for r in kept.collect()) == sorted([("2", a), ("5", b), ("7", c), ("8", e), ("9", "")])
+
+
 def test_near_duplicates_of_large_buckets(spark):
     rng = random.Random(21)
     passage, rows = words(rng, 100), []
@@ -259,6 +295,47 @@ def test_repeated_passages_within_a_document(spark, others):
     assert {i for i, _ in got} == {1, *range(2, 2 + others)}
 
 
+def shared_windows(texts, n=suffix_dedup.LENGTH):
+    where = collections.defaultdict(set)
+    own = [(i, t.split()) for i, t in texts]
+    for i, w in own:
+        for j in range(len(w) - n + 1):
+            where[tuple(w[j : j + n])].add(i)
+    return {(i, k) for i, w in own for j in range(len(w) - n + 1) if len(where[tuple(w[j : j + n])]) > 1 for k in range(j, j + n)}
+
+
+def test_repeated_passages_that_others_share_in_part(spark):
+    # two documents share 50 to 54 words; many others share more of them with either one, but on one side only
+    rng, texts = random.Random(17), []
+    for family in range(60):
+        core = words(rng, 50 + family % 5).split()
+        cut = 16 + family % 19
+        x, y = ([*words(rng, 30).split(), *core, *words(rng, 30).split()] for _ in range(2))
+        rows = [x, y]
+        for one in (x, y):
+            for extra in (3, 12):
+                rows.append([*words(rng, 5).split(), *one[30 + cut : 30 + len(core) + extra], *words(rng, 9).split()])
+                rows.append([*words(rng, 5).split(), *one[30 - extra : 30 + len(core) - cut], *words(rng, 9).split()])
+        texts += [(len(texts) + i, " ".join(r)) for i, r in enumerate(rows)]
+    d = spark.createDataFrame(texts, "doc_id long, text string").repartition(5)
+    assert {(r.id, k) for r in suffix_dedup.repeated_passages(d).collect() for k in range(r.first, r.stop)} == shared_windows(texts)
+
+
+def test_repeated_passages_of_few_words(spark):
+    rng = random.Random(23)  # few different words and many copied stretches: long runs, ties, places at the edges of texts
+    pool = ["a " * 200, *(" ".join(rng.choice("abc") for _ in range(120)) for _ in range(3))]
+    texts = []
+    for i in range(60):
+        parts = []
+        for _ in range(4):
+            w = rng.choice(pool).split()
+            a = rng.randrange(len(w) - 60)
+            parts += w[a : a + rng.randrange(30, 60 + 60 * (i % 2))] + words(rng, 3).split()
+        texts.append((i, " ".join(parts)))
+    d = spark.createDataFrame(texts, "doc_id long, text string").repartition(4)
+    assert {(r.id, k) for r in suffix_dedup.repeated_passages(d).collect() for k in range(r.first, r.stop)} == shared_windows(texts)
+
+
 def test_segments():
     rng = random.Random(5)
     for _ in range(50):
