@@ -222,7 +222,7 @@ def _placed(members: DataFrame, found: DataFrame) -> DataFrame:
     placed = members.join(found.withColumnRenamed("id", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
     held = placed.groupBy("key", "component").agg(F.count("*").alias("held"))
     main = held.groupBy("key").agg(F.max_by("component", "held").alias("main"), F.count("*").alias("classes")).filter("classes > 1").select("key", "main")
-    return checkpoint(placed.join(main, "key").select("key", "rep", "degree", "component", (F.col("component") != F.col("main")).alias("outside")))
+    return checkpoint(placed.join(checkpoint(main), "key").select("key", "rep", "degree", "component", (F.col("component") != F.col("main")).alias("outside")))
 
 
 def _whole(placed: DataFrame, packed: DataFrame, limit: float, weighted: bool) -> DataFrame:
@@ -230,7 +230,7 @@ def _whole(placed: DataFrame, packed: DataFrame, limit: float, weighted: bool) -
     rows = placed.join(packed, "rep")
     bytes_of = rows.groupBy("key").agg(F.sum(F.length("packed")).alias("chunks"), F.sum(F.when(F.col("outside"), F.length("packed"))).alias("blocks"))
     bytes_of = bytes_of.select("key", (F.col("chunks") / CHUNK).cast("int").alias("chunks"), (F.col("blocks") / BLOCK).cast("int").alias("blocks"))
-    rows = rows.join(bytes_of, "key")
+    rows = rows.join(checkpoint(bytes_of), "key")
     all_of = lambda n: F.explode(F.sequence(F.lit(0), F.col(n)))
     one_of = lambda n: F.pmod(F.xxhash64("rep", F.lit(n)), F.col(n) + 1).cast("int")
     queries = rows.filter("outside").withColumn("block", one_of("blocks")).withColumn("chunk", all_of("chunks"))
@@ -249,7 +249,8 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: float,
     reps = checkpoint(signed.groupBy("content").agg(F.min(F.struct("id", "uid")).alias("least"), F.first("bands").alias("bands"), F.count("*").alias("copies")).withColumn("rep", F.col("least.uid")))
 
     exploded = reps.filter("bands is not null").select("rep", F.explode("bands").alias("key"))
-    sizes = exploded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1")
+    # written out, so that both sides of the join are plain shuffles and a large bucket can be split among tasks
+    sizes = checkpoint(exploded.groupBy("key").agg(F.count("*").alias("n")).filter("n > 1"))
     buckets = checkpoint(exploded.join(sizes, "key").withColumn("degree", F.sum("n").over(Window.partitionBy("rep"))))  # at most BANDS rows in a window
     small, large = buckets.filter(F.col("n") <= PAIRED).select("key", "rep"), buckets.filter(F.col("n") > PAIRED).select("key", "rep", "degree")
 
@@ -272,7 +273,7 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: float,
         return of.select("key", F.col("rep").alias("a")).join(heads, "key").select("a", "b").filter("a <> b").distinct()
 
     pairs = small.select("key", F.col("rep").alias("a")).join(small.select("key", F.col("rep").alias("b")), "key").filter("a > b").select("a", "b").distinct()
-    first = stars(large, large.groupBy("key").agg(F.max_by("rep", "degree").alias("b")))
+    first = stars(large, checkpoint(large.groupBy("key").agg(F.max_by("rep", "degree").alias("b"))))
     edges = _links(pairs.unionByName(first), packed, similarity, weighted)
     found = components(edges)
     turn, outsiders = 0, None
@@ -283,13 +284,13 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: float,
         if not left or outsiders is not None and left > 0.8 * outsiders:
             break
         turn, outsiders = turn + 1, left
-        heads = placed.groupBy("key", "outside").agg(F.max_by("rep", F.xxhash64("rep", F.lit(turn))).alias("b")).select("key", "b")
+        heads = checkpoint(placed.groupBy("key", "outside").agg(F.max_by("rep", F.xxhash64("rep", F.lit(turn))).alias("b")).select("key", "b"))
         edges = edges.unionByName(_links(stars(placed.filter("outside"), heads), packed, similarity, weighted))
         found = components(edges)
         release(placed)
     if left:
         found = components(edges.unionByName(_whole(placed, packed, similarity, weighted)))
-    release(buckets, packed, placed)
+    release(sizes, buckets, packed, placed)
 
     of = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("content", "copies", "least", F.coalesce("component", "rep").alias("class"))
     classes = of.groupBy("class").agg(F.min("least").alias("first"), F.sum("copies").alias("class_size")).filter("class_size > 1")
