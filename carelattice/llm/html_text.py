@@ -1,14 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read in one pass into blocks of text, each with its root-to-leaf path of tags and class names. For every path
-the mean text length and the mean number of punctuation marks of its blocks are taken, smoothed over the order in which
-paths occur, and fused; paths at or above a share of the text-weighted mean are content. Their parents are the content
-nodes, and a page's text is what stands below one of them. Parts that are never text (scripts, menus, forms, adverts,
-comments and the like, told by tag, role, class or id) are left out before, and an article or main element, if there is
-one, bounds the search.
+the mean length of text outside of links and the mean number of punctuation marks of its blocks are taken, smoothed over
+the order in which paths occur, and fused. What markup tells is a prior on the ratio: parts named as menus, adverts,
+forms, comments and the like (by tag, role, class or id) count PART of it, text outside of an article or main element, if
+there is one, OUTSIDE. Paths at or above a share of the text-weighted mean are content. Their parents are the content
+nodes, and a page's text is its content paths with what else stands below a content node: all unnamed blocks, or, where
+the node is the body, its own headings and paragraphs. Scripts, styles and hidden parts are no text.
 
 Defined results: null or empty html and pages without text give the empty string. Tags may be left open or be closed in
-the wrong order. Rows with equal ids are read each for itself; nothing depends on other rows.
+the wrong order; elements nested deeper than DEPTH belong to the element at that depth, with their text. Rows with equal
+ids are read each for itself; nothing depends on other rows. Time grows with the length of a page, whatever its tags.
 """
 
 from __future__ import annotations
@@ -25,9 +27,13 @@ from pyspark.sql import functions as F
 from .common import slices
 
 #: Share of the text-weighted mean of the fused ratio that a content path needs.
-SHARE = 0.25
+SHARE = 0.5
 #: Share of link text from which a block outside of articles is a menu.
 LINKS = 0.6
+#: Priors of parts that are named as no text, and of text outside of the page's articles.
+PART, OUTSIDE = 0.001, 0.01
+#: Deepest nesting of elements.
+DEPTH = 256
 
 _TAG = re.compile(r"<!--.*?(?:-->|\Z)|<!\[CDATA\[.*?(?:\]\]>|\Z)|<[!?][^>]*+>|<(/?)([a-zA-Z][^\s/>]*+)((?:[^>\"']++|\"[^\"]*+\"|'[^']*+')*+)/?>|<(/?)([a-zA-Z][^\s/>]*+)([^>]*+)>", re.S)
 _ATTRIBUTE = re.compile(r"""\b(class|id|role|style|hidden|aria-hidden)\b(?:\s*=\s*(?:"([^"]*)"|'([^']*)'|([^\s>]+)))?""", re.I)
@@ -42,6 +48,9 @@ _LEFT_OUT = frozenset("nav footer aside form head button dialog menu fieldset".s
 _PARTS = frozenset("ad ads advert adverts advertisement advertising adbox banner breadcrumb breadcrumbs comment comments commentlist cookie cookies consent disclaimer disqus footer gdpr masthead menu modal nav navbar navigation newsletter notice notices pagination pager popup promo promoted promotion related replies respond share sharing sidebar signup social sponsor sponsored subscribe subscription toolbar topbar widget widgets".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search form alert dialog menu menubar".split())
 _HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
+_WIDE = frozenset({"", "html", "body"})
+#: Blocks that belong to the text around them even where that stands in the body itself.
+_FLOW = _HEADINGS | frozenset("p li dt dd pre blockquote td th figcaption caption".split())
 #: Start tags that end an open element of one of these names, up to an element of the second set.
 _ENDS = {
     **{t: (frozenset({"p"}), frozenset("button table td th caption object article section div".split())) for t in _BLOCK},
@@ -57,7 +66,8 @@ _ENDS = {
 class Node(NamedTuple):
     tag: str
     number: int
-    left_out: bool
+    hidden: bool
+    named: bool
     article: bool
     link: bool
     header: bool
@@ -67,53 +77,59 @@ class Node(NamedTuple):
 class Block(NamedTuple):
     text: str
     path: str
+    tag: str
+    home: int
     parents: tuple[int, ...]
     article: bool
+    named: bool
     links: int
 
 
-def _attributes(text: str) -> tuple[str, bool]:
-    """Class, and whether attributes mark a part that is no text."""
-    names, out, label = [], False, ""
+def _attributes(text: str) -> tuple[str, bool, bool]:
+    """Class, whether attributes name a part that is no text, and whether they hide it."""
+    names, named, hidden, label = [], False, False, ""
     for name, *values in _ATTRIBUTE.findall(text):
         name, value = name.lower(), next((v for v in values if v), "").lower()
         if name in ("class", "id"):
             names += value.split()
             label = label or value.split(" ")[0]
         elif name == "role":
-            out |= value in _ROLES
+            named |= value in _ROLES
         elif name == "style":
-            out |= "display:none" in value.replace(" ", "")
+            hidden |= "display:none" in value.replace(" ", "")
         else:
-            out |= value in ("", "true", "hidden")
-    return label, out or any(not _PARTS.isdisjoint(_WORD.findall(n)) for n in names)
+            hidden |= value in ("", "true", "hidden")
+    return label, named or any(not _PARTS.isdisjoint(_WORD.findall(n)) for n in names), hidden
 
 
 def blocks(page: str) -> list[Block]:
     """The blocks of a page in its order, without those that are never text."""
     found: list[Block] = []
-    root = Node("", 0, False, False, False, False, "")
-    stack, number = [root], 0
-    held: list[str] = []
+    root = Node("", 0, False, False, False, False, False, "")
+    stack, number, deeper = [root], 0, 0
+    held: tuple[list[str], list[str]] = ([], [])  # text of the block, and of named parts within it
     links = 0
 
     def add(text: str) -> None:
         nonlocal links
         top = stack[-1]
-        if text and not top.left_out:
-            held.append(text)
-            if top.link:
+        if text and not top.hidden:
+            held[top.named].append(text)
+            if top.link and not top.named:
                 links += len(text.strip())
 
     def flush() -> None:
         nonlocal links
-        if held:
-            text = " ".join(html.unescape("".join(held)).split())
+        for named, parts in enumerate(held):
+            if not parts:
+                continue
+            text = " ".join(html.unescape("".join(parts)).split())
+            parts.clear()
             top = stack[-1]
             if text and not (top.header and not any(n.tag in _HEADINGS for n in stack)):
                 at = max((i for i, n in enumerate(stack) if n.tag in _BLOCK), default=0)
-                found.append(Block(text, stack[at].path, tuple(n.number for n in stack[:at]), top.article, links))
-            held.clear()
+                above = stack[:at]
+                found.append(Block(text, stack[at].path, stack[at].tag, above[-1].number if above else -1, tuple(n.number for n in above if n.tag not in _WIDE), top.article, bool(named), 0 if named else links))
         links = 0
 
     def close(names: frozenset[str] | set[str], bounds: frozenset[str] = frozenset()) -> None:
@@ -126,74 +142,90 @@ def blocks(page: str) -> list[Block]:
             if stack[i].tag in bounds:
                 return
 
-    at = 0
-    while m := _TAG.search(page, at):
+    at, last = 0, page.rfind(">") + 1  # no tag ends beyond
+    while m := _TAG.search(page, at, last):
         add(page[at : m.start()])
         at = m.end()
         ends, tag, rest = (m[1], m[2], m[3]) if m[2] else (m[4], m[5], m[6])
         if not tag:
             if m[0].startswith("<![CDATA["):
-                add(html.escape(m[0][9:].removesuffix("]]>"), quote=False))
+                at = at if m[0].endswith("]]>") else len(page)
+                add(html.escape(page[m.start() + 9 : at].removesuffix("]]>"), quote=False))
+            elif m[0].startswith("<!--") and not m[0].endswith("-->"):
+                at = len(page)
             continue
         tag = tag.lower()
         if ends:
             if tag in _BLOCK:
                 flush()
-            close({tag}, frozenset() if tag in _BLOCK else _BLOCK)
+            if deeper:
+                deeper -= 1
+            else:
+                close({tag}, frozenset() if tag in _BLOCK else _BLOCK)
             continue
         if tag in _RAW:
-            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at) if not m[0].endswith("/>") else None
+            end = re.compile(rf"</{re.escape(tag)}(?=[\s/>])[^>]*>", re.I).search(page, at, last) if not m[0].endswith("/>") else None
             at = end.end() if end else at if m[0].endswith("/>") else len(page)
             continue
         if tag in _BLOCK:
             flush()
-            close(*_ENDS[tag])
-            if tag in _HEADINGS:
-                close(_HEADINGS, _BLOCK - _HEADINGS)
+            if not deeper:
+                close(*_ENDS[tag])
+                if tag in _HEADINGS:
+                    close(_HEADINGS, _BLOCK - _HEADINGS)
         if tag in _VOID:
             add(" ")
             continue
+        if len(stack) >= DEPTH:
+            deeper += 1
+            continue
         top, number = stack[-1], number + 1
-        label, out = _attributes(rest) if rest and not rest.isspace() else ("", False)
+        label, named, hidden = _attributes(rest) if rest and not rest.isspace() else ("", False, False)
         if tag in ("body", "html", "article", "main"):
-            out = False
+            named = hidden = False
         article = top.article or tag in ("article", "main")
-        stack.append(
-            Node(tag, number, top.left_out or out or tag in _LEFT_OUT or tag == "header" and not article, article, top.link or tag == "a", top.header or tag == "header", f"{top.path}/{tag}" + (f".{label}" if label else ""))
-        )
-    # a "<" that begins no tag is text
-    add(page[at:])
+        named = top.named or named or tag in _LEFT_OUT or tag == "header" and not article
+        stack.append(Node(tag, number, top.hidden or hidden, named, article, top.link or tag == "a", top.header or tag == "header", f"{top.path}/{tag}" + (f".{label}" if label else "")))
+    # a "<" that begins no tag is text; a comment may be left open
+    add(page[at:].partition("<!--")[0])
     flush()
     return found
 
 
-def tag_path_ratios(found: list[Block]) -> dict[str, float]:
-    """Fused, smoothed ratio of every path, in the order of first occurrence."""
-    sums: dict[str, list[float]] = {}
+def tag_path_ratios(found: list[Block]) -> dict[tuple, float]:
+    """Fused, smoothed ratio of every path (named parts and text in articles apart), in the order of first occurrence."""
+    sums: dict[tuple, list[float]] = {}
     for b in found:
-        s = sums.setdefault(b.path, [0.0, 0.0, 0.0])
-        s[0] += len(b.text)
+        s = sums.setdefault((b.path, b.named, b.article), [0.0, 0.0, 0.0])
+        s[0] += max(0, len(b.text) - b.links)
         s[1] += len(_PUNCTUATION.findall(b.text))
         s[2] += 1
     paths = list(sums)
     length, marks = [[sums[p][i] / sums[p][2] for p in paths] for i in (0, 1)]
-    smooth = lambda v: [(v[max(i - 1, 0)] + 2 * v[i] + v[min(i + 1, len(v) - 1)]) / 4 for i in range(len(v))]
+    smooth = lambda v: [(v[max(i - 1, 0)] + 6 * v[i] + v[min(i + 1, len(v) - 1)]) / 8 for i in range(len(v))]
     return {p: a * (1 + b) for p, a, b in zip(paths, smooth(length), smooth(marks), strict=True)}
 
 
 def main_text(page: str | None) -> str:
     """The text of a page's content nodes: its blocks, one to a line."""
     found = blocks(page or "")
-    if any(b.article for b in found):
-        found = [b for b in found if b.article]
-    else:
-        found = [b for b in found if b.links < LINKS * len(b.text)]
     if not found:
         return ""
     ratios = tag_path_ratios(found)
-    limit = SHARE * sum(ratios[b.path] * len(b.text) for b in found) / sum(len(b.text) for b in found)
-    nodes = {b.parents[-1] for b in found if ratios[b.path] >= limit and b.parents}
-    return "\n".join(b.text for b in found if not nodes.isdisjoint(b.parents) or ratios[b.path] >= limit)
+    articles = any(b.article and not b.named for b in found)
+    prior = [(PART if b.named else 1) * (OUTSIDE if articles and not b.article else 1) for b in found]
+    scores = [ratios[b.path, b.named, b.article] * w for b, w in zip(found, prior, strict=True)]
+    limit = SHARE * sum(s * len(b.text) for b, s in zip(found, scores, strict=True)) / sum(len(b.text) for b in found)
+    nodes = {b.home for b, s, w in zip(found, scores, prior, strict=True) if s >= limit and w == 1}
+
+    def kept(b: Block, score: float, weight: float) -> bool:
+        if b.links >= LINKS * len(b.text) and not b.article:
+            return False
+        if score >= limit:
+            return True
+        return weight == 1 and (not nodes.isdisjoint(b.parents) or b.home in nodes and b.tag in _FLOW)
+
+    return "\n".join(b.text for b, s, w in zip(found, scores, prior, strict=True) if kept(b, s, w))
 
 
 def extract(pages: DataFrame, html_col: str = "html", out_col: str = "text") -> DataFrame:
