@@ -27,13 +27,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, held_out, id_and_text, restore_id, slices
+from .common import checkpoint, held_out, id_and_text, restore_id, slices
 from .licenses import words_of
 
 #: Bound of the labelled sample; its ids (16 bytes each) are broadcast.
 MAX_LABELS = 30_000
-#: Bound of the features that score above the shift.
-MAX_FEATURES = 100_000
 PRIOR, SHIFT, GAP, MIN_DOCS = 2.0, 2.0, 0.25, 3
 PREFIXES = (4, 5, 6)
 SIGNIFICANT = 0.01
@@ -117,37 +115,44 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
     sample = _sample(docs, labels, id_col, label_col)
-    rows = id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id")  # at most about MAX_LABELS rows of 16 bytes
+    # at most about MAX_LABELS rows: the sample's ids are broadcast, its texts written once for the passes below
+    rows = checkpoint(id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id").select("label", "fold", "text"))
     counts = rows.filter("fold > 0").select("label", "text").mapInArrow(_counts, "feature binary, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-    counts = counts.filter(f"n1 >= {MIN_DOCS} or feature = X''")
-    top = counts.orderBy(F.col("feature") != F.lit(b""), F.desc(F.col("n1") / (F.col("n0") + 1)), "feature").limit(MAX_FEATURES).collect()
-    totals = next(((r.n0, r.n1) for r in top if not r.feature), (0, 0))
+    counts = checkpoint(counts.filter(f"n1 >= {MIN_DOCS} or feature = X''"))
+    totals = next(((r.n0, r.n1) for r in counts.filter("feature = X''").collect()), (0, 0))
     if not totals[1] or not totals[0]:
         return None
     per0, per1 = (sum(totals) / (2 * t) for t in totals)
-    odds = ((bytes(r.feature), math.log((r.n1 * per1 + PRIOR) / (r.n0 * per0 + PRIOR))) for r in top if r.feature)
-    weights = {f: x for f, x in odds if x > SHIFT}
+    odds = F.log((F.col("n1") * per1 + PRIOR) / (F.col("n0") * per0 + PRIOR))
+    weights = {bytes(r.feature): r.odds for r in counts.filter("feature <> X''").select("feature", odds.alias("odds")).filter(F.col("odds") > SHIFT).collect()}
     shared = docs.sparkSession.sparkContext.broadcast(weights)
 
-    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def scored(batch: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray]]:
         known = Scores(shared.value)
+        for y, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
+            yield y, np.fromiter(map(known.__getitem__, words_of(text)), float)
+
+    def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
-            out = []
-            for y, text in zip(batch.column("label").to_pylist(), batch.column("text").to_pylist(), strict=True):
-                s = np.fromiter(map(known.__getitem__, words_of(text)), float)
-                up = s[s > 0]
-                out.append((y, len(s), sorted((x[2] for x in segments(s)), reverse=True), np.bincount(np.minimum(up * 4, 63).astype(int), minlength=64).tolist() if y == 0 else []))
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*out, strict=True), (pa.int64(), pa.int64(), pa.list_(pa.float64()), pa.list_(pa.int64())), strict=True)], names=["y", "n", "found", "up"])
-
-    seen = rows.filter("fold = 0").select("label", "text").mapInArrow(look, "y long, n long, found array<double>, up array<long>").select("y", "n", F.slice("found", 1, 50).alias("found"), "up").collect()
-    clean = [r for r in seen if r.y == 0 and r.n]
-    tokens = max(1, sum(r.n for r in clean))
+            out = [(len(s), max((x[2] for x in segments(s)), default=0.0), np.bincount(np.minimum(s[s > 0] * 4, 63).astype(int), minlength=64).tolist()) for y, s in scored(batch) if y == 0 and len(s)]
+            columns = zip(*out, strict=True) if out else ([], [], [])
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, (pa.int64(), pa.float64(), pa.list_(pa.int64())), strict=True)], names=["n", "best", "up"])
+
+    calibration = rows.filter("fold = 0").select("label", "text")
+    clean = calibration.mapInArrow(look, "n long, best double, up array<long>").collect()
     up = np.sum([r.up for r in clean], axis=0, dtype=float) if clean else np.zeros(64)
-    lam = _lambda(up / tokens)
-    best = [lam * (r.found[0] if r.found else 0.0) - math.log(r.n) for r in clean]
+    lam = _lambda(up / max(1, sum(r.n for r in clean)))
+    best = [lam * r.best - math.log(r.n) for r in clean]
     k = math.exp(np.mean(best) - 0.5772) if best else 1.0
-    x = np.array([evidence(r.found, r.n, lam, k) for r in seen]).reshape(-1, 2)
-    return Model(weights, lam, k, _logistic(x, np.array([r.y for r in seen], float)))
+
+    def judge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            out = [(float(y), *evidence([x[2] for x in segments(s)], len(s), lam, k)) for y, s in scored(batch)]
+            yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in (zip(*out, strict=True) if out else ([], [], []))], names=["y", "best", "significant"])
+
+    # the same evidence, of all segments, that documents are scored by
+    seen = np.array([(r.y, r.best, r.significant) for r in calibration.mapInArrow(judge, "y double, best double, significant double").collect()]).reshape(-1, 3)
+    return Model(weights, lam, k, _logistic(seen[:, 1:], seen[:, 0]))
 
 
 def _lambda(share: np.ndarray) -> float:
@@ -164,11 +169,11 @@ def _lambda(share: np.ndarray) -> float:
 
 
 def evidence(found: list[float], n: int, lam: float, k: float) -> tuple[float, float]:
-    """The best normalised score, and how many segments are significant (as a logarithm)."""
-    if not n or not found:
-        return -3.0, 0.0
-    z = [lam * s - math.log(max(k * n, 1e-9)) for s in found]
-    return min(max(max(z), -3.0), 12.0), math.log1p(sum(-math.expm1(-math.exp(min(-x, 50.0))) < SIGNIFICANT for x in z))
+    """The best normalised score, and how many segments are significant, both on a logarithmic scale."""
+    shift = math.log(max(k * max(n, 1), 1e-9))
+    best = lam * max(found, default=0.0) - shift
+    significant = sum(-math.expm1(-math.exp(min(shift - lam * s, 50.0))) < SIGNIFICANT for s in found)
+    return math.copysign(math.log1p(abs(best)), best), math.log1p(significant)
 
 
 def _logistic(x: np.ndarray, y: np.ndarray) -> tuple[float, float, float]:
