@@ -6,8 +6,11 @@ all on diagonals (place in the document minus place in the item) at most k apart
 diagonal bands of width 2 k that overlap by half; only places that reach the bound are kept, and each of them is
 verified by banded alignment of the whole pattern.
 
-The index of the benchmark is broadcast in blocks of at most BLOCK characters, one pass over the documents for each,
-so a benchmark of any size is searched whole. Texts are compared in lower case with white space as single spaces.
+The index of the benchmark is broadcast in blocks of about BLOCK characters. One block is a single pass without shuffle;
+of several each is a pass of its own that writes its hits, and its index is given up before the next is sent, so a
+benchmark of any size is searched whole in bounded memory. Texts are compared in lower case with white space as single
+spaces. An excerpt of PATTERN + STRIDE - 1 (143) characters of an item holds a whole pattern, so it is always found;
+shorter excerpts are found if they hold one. Items of up to PATTERN + STRIDE / 2 characters are one pattern.
 
 Defined results: null and empty texts and items match nothing, nor do items of fewer than q characters; an item
 without an id is searched too and reported as null; repeated rows are judged each for itself; without a benchmark no document is contaminated.
@@ -16,13 +19,15 @@ without an id is searched too and reported as null; repeated rows are judged eac
 from __future__ import annotations
 
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import Broadcast
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, id_and_text, mix, restore_id, slices
+from .common import NULL_ID, checkpoint, id_and_text, mix, restore_id, slices, text_digest
 
 Q = 10
 PATTERN, STRIDE, RATE = 96, 48, 0.07
@@ -158,40 +163,72 @@ class Index:
         return start + min(j, max(0, low - start + k)), int(row[j])
 
 
-def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[tuple[int, str]]]:
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:
+    """The benchmark's different items in parts of about BLOCK characters."""
     items = benchmark.select(F.coalesce(F.col(item_col).cast("long"), F.lit(NULL_ID)).alias("item"), F.col(text_col).alias("text")).filter("text is not null").dropDuplicates()
-    total = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0]
-    n = total // BLOCK + 1
-    for i in range(n):
-        yield [(r.item, r.text) for r in items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i).collect()]  # about BLOCK characters
+    n = items.agg(F.coalesce(F.sum(F.length("text")), F.lit(0))).first()[0] // BLOCK + 1
+    return [items.filter(F.pmod(F.xxhash64("item", "text"), F.lit(n)) == i) for i in range(n)]
 
 
-def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """id and spans (item, first and stop in the compared characters, edits) of every document; no shuffle."""
-    kind = pa.list_(pa.struct([("item", pa.int64()), ("first", pa.int64()), ("stop", pa.int64()), ("edits", pa.int64())]))
-    spans = "spans array<struct<item:long,first:long,stop:long,edits:long>>"
-    rows = id_and_text(docs, id_col, text_col).withColumn("spans", F.lit(None).cast(spans[6:]))
-    for items in _blocks(benchmark, item_col, item_text):
-        index = docs.sparkSession.sparkContext.broadcast(Index(items))
+def _index(spark: SparkSession, block: DataFrame) -> Broadcast:
+    return spark.sparkContext.broadcast(Index([(r.item, r.text) for r in block.collect()]))
+
+
+_KIND = pa.list_(pa.struct([("item", pa.int64()), ("first", pa.int64()), ("stop", pa.int64()), ("edits", pa.int64())]))
+_SPANS = "spans array<struct<item:long,first:long,stop:long,edits:long>>"
+
+
+def _spans(found: list[list[tuple]]) -> pa.Array:
+    return pa.array([[dict(zip(("item", "first", "stop", "edits"), (None if x[0] == NULL_ID else x[0], *x[1:]), strict=True)) for x in own] for own in found], _KIND)
+
+
+def _hits(texts: DataFrame, blocks: list[DataFrame]) -> DataFrame:
+    """digest, spans of the texts that hold a pattern of any block. texts: text, digest.
+
+    A pass for each block: its index is given up before the next is sent, and only hits are written.
+    """
+    found = []
+    for block in blocks:
+        index = _index(texts.sparkSession, block)
 
         def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches):
-                found = index.value.search(batch.column("text").to_pylist())
-                out = [(before or []) + [dict(zip(("item", "first", "stop", "edits"), (None if x[0] == NULL_ID else x[0], *x[1:]), strict=True)) for x in spans] for before, spans in zip(batch.column("spans").to_pylist(), found, strict=True)]
-                yield pa.RecordBatch.from_arrays([batch.column("id"), batch.column("text"), pa.array(out, kind)], names=["id", "text", "spans"])
+                spans = index.value.search(batch.column("text").to_pylist())
+                hit = pa.array([bool(x) for x in spans], pa.bool_())
+                yield pa.RecordBatch.from_arrays([batch.column("digest"), _spans(spans)], names=["digest", "spans"]).filter(hit)
 
-        rows = rows.mapInArrow(run, f"id long, text string, {spans}")
-    return rows.select(restore_id().alias("id"), "spans")
+        found.append(checkpoint(texts.mapInArrow(run, f"digest binary, {_SPANS}").dropDuplicates(["digest"])))
+        index.destroy()
+    return reduce(DataFrame.unionByName, found).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
-def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
-    """The rows of docs, all columns, in which no benchmark pattern is found."""
-    for items in _blocks(benchmark, item_col, item_text):
-        index = docs.sparkSession.sparkContext.broadcast(Index(items))
+def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """id and spans (item, first and stop in the compared characters, edits) of every document; one block needs no shuffle."""
+    blocks = _blocks(benchmark, item_col, item_text)
+    rows = id_and_text(docs, id_col, text_col)
+    if len(blocks) > 1:
+        rows = rows.withColumn("digest", text_digest("text"))
+        rows = rows.select("id", "digest").join(_hits(rows.select("text", "digest"), blocks), "digest", "left")
+        return rows.select(restore_id().alias("id"), F.coalesce("spans", F.array().cast(_SPANS[6:])).alias("spans"))
+    index = _index(docs.sparkSession, blocks[0])
 
-        def run(batches: Iterator[pa.RecordBatch], index=index) -> Iterator[pa.RecordBatch]:
-            for batch in slices(batches, text_col):
-                yield batch.filter(pa.array([not x for x in index.value.search([t or "" for t in batch.column(text_col).to_pylist()])], pa.bool_()))
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            yield pa.RecordBatch.from_arrays([batch.column("id"), _spans(index.value.search(batch.column("text").to_pylist()))], names=["id", "spans"])
 
-        docs = docs.mapInArrow(run, docs.schema)
-    return docs
+    return rows.mapInArrow(run, f"id long, {_SPANS}").withColumn("id", restore_id())
+
+
+def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
+    """The rows of docs, all columns, in which no benchmark pattern is found; null texts, missing and repeated ids stay."""
+    blocks = _blocks(benchmark, item_col, item_text)
+    if len(blocks) > 1:
+        out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_digest(text_col).alias("digest"))
+        return out.join(_hits(out.select("text", "digest"), blocks).select("digest"), "digest", "left_anti").select("doc.*")
+    index = _index(docs.sparkSession, blocks[0])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches, text_col):
+            yield batch.filter(pa.array([not x for x in index.value.search([t or "" for t in batch.column(text_col).to_pylist()])], pa.bool_()))
+
+    return docs.mapInArrow(run, docs.schema)
