@@ -40,6 +40,8 @@ K, SPAN = 18, 33
 LENGTH = K + SPAN - 1
 #: Words of context on either side of the first K.
 SIDE = LENGTH - K
+#: Keys to look up that are broadcast at most (16 bytes each).
+SENT = 500_000
 _NONE = np.int64((1 << 63) - 1)
 
 
@@ -208,8 +210,11 @@ def _missed(seen: DataFrame, suffixes: DataFrame) -> DataFrame | None:
     if asked.isEmpty():
         return None
     shape = lambda df: df.withColumn("a", F.substring("after", F.lit(1), 4 * (SIDE - F.col("l")))).withColumn("b", F.substring("before", F.lit(1), 4 * F.col("l"))).drop("after", "before")
+    # few keys, as usual, are broadcast, so that a hot key's rows stay where they are; more are joined
+    wanted = checkpoint(asked.select("key", "l").distinct())
+    wanted = F.broadcast(wanted) if wanted.count() <= SENT else wanted
     # rows with the same window combine before they are shuffled
-    there = shape(suffixes.join(asked.select("key", "l").distinct(), "key")).groupBy("key", "l", "a", "b").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
+    there = shape(suffixes.join(wanted, "key")).groupBy("key", "l", "a", "b").agg(F.min("id").alias("low"), F.max("id").alias("high")).filter("low < high")
     found = shape(asked.join(suffixes, ["key", "id", "at"])).join(there, ["key", "l", "a", "b"])
     return found.select("key", "id", "at", (bits(F.col("l")) + 1).alias("covered"), F.when(F.col("low") == F.col("id"), F.col("high")).otherwise(F.col("low")).alias("partner"))
 
