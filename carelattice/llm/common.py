@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import gc
 import re
 import tempfile
 from collections.abc import Iterator
@@ -54,6 +55,12 @@ def release(*frames: DataFrame) -> None:
             path.getFileSystem(df.sparkSession._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def sweep(spark: SparkSession) -> None:
+    """Free the disk of finished steps: shuffle files go when the driver's JVM has collected what refers to them."""
+    gc.collect()
+    spark._jvm.System.gc()
+
+
 def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
     """Shuffle partitions for data derived from df: follows the session and the size Spark knows of."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))

@@ -12,7 +12,7 @@ Skew: texts with the same words are one representative, found by a combining agg
 representatives each pair is a candidate. In a larger one each member meets the bucket's head, the member that shares
 most buckets with others (the least edited copy), also found by a combining aggregation. A head's shingle set is sent once
 for each MEMBERS of its candidates, not with every pair. Members that are then outside the largest class of a bucket meet
-further heads, as long as a round places a fifth of them. Those that are still outside are compared with all members of
+further heads while there are many of them and a round places a good part. Those that are still outside are compared with all members of
 their bucket, in blocks of bounded bytes that are spread over tasks (an inverted index of a block's shingles tells the
 similarities), so the classes are those of all candidate pairs and no bucket is held in one task.
 
@@ -34,7 +34,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .common import NULL_ID, checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, mix, release, restore_id, rolling, slices, split_words, text_digest
+from .common import NULL_ID, checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, mix, release, restore_id, rolling, slices, split_words, sweep, text_digest
 from .components import components
 
 WORDS, SIMILARITY = 5, 0.8
@@ -43,6 +43,8 @@ PAIRED = 12
 SALTS = 8
 #: Candidates that one copy of a head's set serves.
 MEMBERS = 256
+#: Comparisons for each member of a bucket of several classes up to which it is compared whole at once.
+EACH = 2000
 #: Bytes of packed sets in a block of outside members, and in the chunk of members that it meets.
 BLOCK, CHUNK = 1 << 20, 1 << 22
 
@@ -243,6 +245,7 @@ def _whole(placed: DataFrame, packed: DataFrame, limit: float, weighted: bool) -
 def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: float, weighted: bool) -> DataFrame:
     """uid, id, digest (of the text), class_id, class_size, kept of every row; ids as id_and_text has them."""
     spark = docs.sparkSession
+    sweep(spark)
     rows = id_and_text(docs, id_col, text_col)
     signed = checkpoint(rows.withColumn("digest", text_digest("text")).mapInArrow(_sign, "uid long, id long, digest binary, content binary, bands array<long>"))
     # a representative for each different text: its row with the least id
@@ -275,22 +278,32 @@ def _classified(docs: DataFrame, id_col: str, text_col: str, similarity: float,
     pairs = small.select("key", F.col("rep").alias("a")).join(small.select("key", F.col("rep").alias("b")), "key").filter("a > b").select("a", "b").distinct()
     first = stars(large, checkpoint(large.groupBy("key").agg(F.max_by("rep", "degree").alias("b"))))
     edges = _links(pairs.unionByName(first), packed, similarity, weighted)
-    found = components(edges)
-    turn, outsiders = 0, None
+    found = checkpoint(components(edges))
+    sweep(spark)
+    turn, before = 0, None
     while True:
         placed = _placed(large, found)
-        left = placed.filter("outside").count()
-        # a round has to place a fifth of them at least; what is then left is compared whole
-        if not left or outsiders is not None and left > 0.8 * outsiders:
+        of = placed.groupBy("key").agg(F.count("*").alias("n"), F.count_if("outside").alias("out"))
+        rows_left, cost = of.agg(F.coalesce(F.sum("n"), F.lit(0)), F.coalesce(F.sum(F.col("n") * F.col("out")), F.lit(0))).first()
+        # rounds go on while comparing what is left whole is dear, and a round saves a fifth of it at least
+        if cost <= EACH * rows_left or before is not None and cost > 0.8 * before:
             break
-        turn, outsiders = turn + 1, left
+        turn, before = turn + 1, cost
         heads = checkpoint(placed.groupBy("key", "outside").agg(F.max_by("rep", F.xxhash64("rep", F.lit(turn))).alias("b")).select("key", "b"))
         edges = edges.unionByName(_links(stars(placed.filter("outside"), heads), packed, similarity, weighted))
         found = components(edges)
-        release(placed)
-    if left:
-        found = components(edges.unionByName(_whole(placed, packed, similarity, weighted)))
+        release(placed, heads)
+    if cost:
+        # what joins classes: links between their names
+        name = lambda c: found.select(F.col("id").alias(c), F.col("component").alias(f"{c}_of"))
+        gained = _whole(placed, packed, similarity, weighted).join(name("u"), "u", "left").join(name("v"), "v", "left")
+        joined = components(gained.select(F.coalesce("u_of", "u").alias("u"), F.coalesce("v_of", "v").alias("v")))
+        new = joined.select(F.col("id").alias("component"), F.col("component").alias("main"))
+        alone = joined.join(found.select("id"), "id", "left_anti")  # names that no link had before
+        found = found.join(new, "component", "left").select("id", F.coalesce("main", "component").alias("component")).unionByName(alone)
+    found = checkpoint(found)
     release(sizes, buckets, packed, placed)
+    sweep(spark)
 
     of = reps.join(found.withColumnRenamed("id", "rep"), "rep", "left").select("content", "copies", "least", F.coalesce("component", "rep").alias("class"))
     classes = of.groupBy("class").agg(F.min("least").alias("first"), F.sum("copies").alias("class_size")).filter("class_size > 1")
