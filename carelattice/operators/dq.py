@@ -5,7 +5,7 @@ A rule table is evaluated in one pass: every row carries an array of its finding
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.functions.codes import SEXES, SNOMED
@@ -48,15 +48,16 @@ def hl7_findings(parsed: DataFrame, record: str = "message_control_id", keep: tu
     return findings(parsed, rules, record, list(keep))
 
 
-def fhir_findings(parsed: DataFrame, rows: DataFrame, uri: str = TENANT_TAG, raw: str = "raw_bundle") -> DataFrame:
-    """Bundles without a tenant tag, and one finding for each Patient without the birthDate key."""
+def fhir_findings(parsed: DataFrame, uri: str = TENANT_TAG, raw: str = "raw_bundle") -> DataFrame:
+    """Bundles without a tenant tag, and one finding for each Patient without the birthDate key (a null birthDate is there)."""
     good = F.col("validation_status") == "PASS"
     tagged = F.exists(F.coalesce("bundle.meta.tag", F.array().cast("array<struct<system:string,code:string,display:string>>")), lambda t: F.coalesce(t["system"], F.lit("")) == uri)
     of_bundles = findings(parsed, [finding(~good, "FHIR_PARSE_FAILURE", "Bundle", F.col("error"), F.col(raw), longest=500), finding(good & ~tagged, "FHIR_MISSING_TENANT", "meta.tag", "No tenant tag")], "bundle_id", ["tenant_id"])
-    born = rows.filter("resource_type = 'Patient' and resource is not null")
-    key_there = F.col("_keys").isNotNull()
-    born = born.withColumn("_keys", F.col("resource.birthDate"))
-    of_patients = findings(born, [finding(~key_there, "FHIR_MISSING_BIRTH_DATE", "Patient.birthDate", "Birth date is missing", severity="WARNING")], F.concat_ws("/", "bundle_id", "resource_id"), ["tenant_id"])
+    # resources as maps, which tell a key that is null from one that isn't there
+    whole = F.from_json(F.col(raw), "struct<entry:array<struct<resource:map<string,string>>>>")["entry"]["resource"]
+    born = parsed.filter(good).select("bundle_id", "tenant_id", F.explode(whole).alias("_r")).filter(F.try_element_at("_r", F.lit("resourceType")) == "Patient")
+    missing = ~F.map_contains_key("_r", F.lit("birthDate"))
+    of_patients = findings(born, [finding(missing, "FHIR_MISSING_BIRTH_DATE", "Patient.birthDate", "Birth date is missing", severity="WARNING")], F.concat_ws("/", "bundle_id", F.try_element_at("_r", F.lit("id"))), ["tenant_id"])
     return of_bundles.unionByName(of_patients)
 
 
@@ -82,8 +83,9 @@ def with_first_row(rows: DataFrame, key: str) -> DataFrame:
     Keys are counted before they are joined back, so blank and very frequent keys don't gather in one task.
     """
     text = strip(F.coalesce(F.col(key), F.lit("")))
-    first = rows.withColumn("_key", text).filter("_key <> ''").groupBy("_key").agg(F.min("row_idx").alias("first_row_idx"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
-    return rows.withColumn("_key", text).join(first, "_key", "left").drop("_key").withColumn("first_row_idx", F.coalesce("first_row_idx", "row_idx"))
+    of = [*(c for c in ("batch_id", "file_name") if c in rows.columns), "_key"]
+    first = rows.withColumn("_key", text).filter("_key <> ''").groupBy(*of).agg(F.min("row_idx").alias("first_row_idx"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
+    return rows.withColumn("_key", text).join(first, of, "left").drop("_key").withColumn("first_row_idx", F.coalesce("first_row_idx", "row_idx"))
 
 
 def csv_silver_findings(rows: DataFrame, keep: tuple[str, ...] = ("file_name",)) -> DataFrame:
@@ -119,11 +121,6 @@ def audit_log(rows: DataFrame, by: list[str], failed: Column, at: str | None = N
     return rows.groupBy(*by).agg(F.count("*").alias("record_count"), F.count_if(~failed).alias("pass_count"), F.count_if(failed).alias("error_count"), *extra)
 
 
-def repeated_keys(rows: DataFrame, *keys: str) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.count("*").alias("n")).filter("n > 1")
-
-
-def latest(rows: DataFrame, key: str, order: str) -> DataFrame:
-    """The last row of every key."""
-    w = Window.partitionBy(key).orderBy(F.desc(order))
-    return rows.withColumn("_n", F.row_number().over(w)).filter("_n = 1").drop("_n")
+def bundle_counts(parsed: DataFrame) -> DataFrame:
+    """Bundles by tenant, type and status."""
+    return parsed.groupBy("tenant_id", "bundle_type", "validation_status").agg(F.count("*").alias("bundles"))

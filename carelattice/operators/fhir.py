@@ -159,12 +159,12 @@ def conditions(rows: DataFrame) -> DataFrame:
 
 
 def link_subjects(rows: DataFrame, umpis: DataFrame, global_ids: bool = False) -> DataFrame:
-    """rows with their subject's umpi; rows without one are left out. umpis: bundle_id, source_id, umpi, arrival_seq.
+    """rows with their subject's umpi and subject_seq (its arrival); rows without one are left out. umpis: bundle_id, source_id, umpi, arrival_seq.
 
     global_ids: resource ids mean the same in all bundles, and the latest link wins.
     """
     if global_ids:
-        known = umpis.groupBy(F.col("source_id").alias("subject_key")).agg(F.max_by("umpi", "arrival_seq").alias("umpi"))
+        known = umpis.groupBy(F.col("source_id").alias("subject_key")).agg(F.max_by("umpi", "arrival_seq").alias("umpi"), F.max("arrival_seq").alias("subject_seq"))
         return rows.join(known, "subject_key")
-    known = umpis.groupBy("bundle_id", F.col("source_id").alias("subject_key")).agg(F.max_by("umpi", "arrival_seq").alias("umpi"))
+    known = umpis.groupBy("bundle_id", F.col("source_id").alias("subject_key")).agg(F.max_by("umpi", "arrival_seq").alias("umpi"), F.max("arrival_seq").alias("subject_seq"))
     return rows.join(known, ["bundle_id", "subject_key"])

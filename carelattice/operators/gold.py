@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from carelattice.functions.codes import ADT_COARSE, ADT_LABELS, CHARLSON, CHRONIC, ED_CLASSES, HBA1C, INPATIENT_CLASSES, MEASURE
-from carelattice.functions.columns import age, has_prefix, hash_umpi, lookup, micros, risk_tier, stable_id
+from carelattice.functions.columns import age, has_prefix, hash_umpi, lookup, micros, one_decimal, risk_tier, stable_id
 
 DAY = 86_400_000_000
 
@@ -98,7 +98,7 @@ def hba1c_control(patients: DataFrame, diagnoses: DataFrame, observations: DataF
     return out.select(
         stable_id(F.lit(MEASURE[0]), "umpi", F.lit(year)).alias("measure_id"), hash_umpi(F.col("umpi")).alias("patient_hash"), "umpi", "tenant_id", F.lit(MEASURE[0]).alias("measure_code"), F.lit(MEASURE[1]).alias("measure_steward"),
         F.lit(start).alias("measurement_period_start"), F.lit(end).alias("measurement_period_end"), F.lit(True).alias("in_denominator"), (value < 8.0).alias("in_numerator"),
-        F.bround(value.cast("decimal(38,18)"), 1).cast("double").alias("evidence_value"), F.to_date("e.effective_datetime").alias("evidence_date"),
+        one_decimal(value).alias("evidence_value"), F.to_date("e.effective_datetime").alias("evidence_date"),
     )
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import tempfile
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,9 +10,14 @@ from pyspark.sql import functions as F
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
-    """Use the cluster's spark.checkpoint.dir; set a folder only where it names none."""
-    if not spark.sparkContext._jsc.sc().getCheckpointDir().isDefined():
-        spark.sparkContext.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="checkpoint-"))
+    """Use the cluster's spark.checkpoint.dir; only a local session that names none gets a temporary one."""
+    context = spark.sparkContext
+    if context._jsc.sc().getCheckpointDir().isDefined():
+        return
+    folder = spark.conf.get("spark.checkpoint.dir", None)
+    if not folder and not re.match(r"local(\[|$)", context.master):
+        raise ValueError("spark.checkpoint.dir has to name a folder that the driver and all executors share")
+    context.setCheckpointDir(folder or tempfile.mkdtemp(prefix="checkpoint-"))
 
 
 def checkpoint(df: DataFrame) -> DataFrame:

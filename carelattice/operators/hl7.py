@@ -124,7 +124,9 @@ def parse_adt(messages: DataFrame, raw: str = "raw_message") -> DataFrame:
 
 def admissions(parsed: DataFrame) -> DataFrame:
     """The ADT A01 and A03 messages that were not rejected."""
-    return parsed.filter((F.col("message_type") == "ADT") & F.col("message_event").isin("A01", "A03") & (F.col("validation_status") != "ERROR"))
+    # a row number that the filter reads keeps it above the parse; pushed below, it would parse every message once more
+    rows = parsed.withColumn("_row", F.monotonically_increasing_id())
+    return rows.filter((F.col("_row") >= 0) & (F.col("message_type") == "ADT") & F.col("message_event").isin("A01", "A03") & (F.col("validation_status") != "ERROR")).drop("_row")
 
 
 def adt_encounters(adt: DataFrame) -> DataFrame:

@@ -41,15 +41,15 @@ def match_keys(records: DataFrame) -> DataFrame:
 
 
 def fold(records: Iterable[tuple]) -> list[tuple]:
-    """In order: (record id, fixed person or None, keys) to (record id, person, pass from 0 or -1, is new)."""
+    """In order: (record id, fixed person or None, own id, keys) to (record id, person, pass from 0 or -1, is new)."""
     index: dict[str, str] = {}
     out = []
-    for record, fixed, keys in records:
+    for record, fixed, own, keys in records:
         hit = next((i for i, k in enumerate(keys) if k is not None and k in index), -1)
         if fixed is None and hit >= 0:
             out.append((record, index[keys[hit]], hit, False))
             continue
-        person = fixed if fixed is not None else record
+        person = fixed if fixed is not None else own
         for k in keys:
             if k is not None:
                 index[k] = person
@@ -60,14 +60,17 @@ def fold(records: Iterable[tuple]) -> list[tuple]:
 def resolve(records: DataFrame, order: str = "arrival_seq", seeds: DataFrame | None = None) -> DataFrame:
     """records with umpi, match_method, match_confidence, is_new_record, matched_on.
 
-    records: order (a distinct number of arrival) and whatever of the matching fields there is. seeds: known persons,
-    with the same fields, umpi and a distinct non-negative seq; their keys come first (the latest of equal ones counts).
+    records: order (a distinct number of arrival), whatever of the matching fields there is, and record_key, which tells
+    the record from those of any other run (the number of arrival if there is none): a new person's id follows from it.
+    seeds: known persons, with the same fields, umpi and a distinct non-negative seq; their keys come first (the latest of
+    equal ones counts).
     """
     df = match_keys(records).withColumn("record_id", F.col(order).cast("long"))
     keys = ["k1", "k2", "k3", "k4"]
-    work = df.select("record_id", F.lit(None).cast("string").alias("fixed"), *keys)
+    name = F.col("record_key") if "record_key" in records.columns else F.col("record_id")
+    work = df.select("record_id", F.lit(None).cast("string").alias("fixed"), stable_id(F.lit("umpi"), name).alias("own"), *keys)
     if seeds is not None:
-        known = match_keys(seeds).select((F.col("seq").cast("long") - F.lit(1 << 62)).alias("record_id"), F.col("umpi").alias("fixed"), *keys)
+        known = match_keys(seeds).select((F.col("seq").cast("long") - F.lit(1 << 62)).alias("record_id"), F.col("umpi").alias("fixed"), F.col("umpi").alias("own"), *keys)
         work = work.unionByName(known)
     work = checkpoint(work)
     edges = work.select("record_id", F.explode(F.filter(F.array(*keys), lambda k: k.isNotNull())).alias("key"))
@@ -76,22 +79,21 @@ def resolve(records: DataFrame, order: str = "arrival_seq", seeds: DataFrame | N
     links = edges.join(least, "key").select(F.col("record_id").alias("a"), F.col("least").alias("b"))
     components = label_components(links)
     placed = work.join(components, F.col("record_id") == F.col("node"), "left").drop("node")
-    alone = placed.filter("component is null").select("record_id", F.coalesce("fixed", F.col("record_id").cast("string")).alias("person"), F.lit(-1).alias("pass"), F.col("fixed").isNull().alias("is_new"))
-    first = placed.filter("record_id = component").select("component", F.col("fixed").alias("_fixed"), *(F.col(k).alias(f"_{k}") for k in keys))
+    alone = placed.filter("component is null").select("record_id", F.col("own").alias("person"), F.lit(-1).alias("pass"), F.col("fixed").isNull().alias("is_new"))
+    first = placed.filter("record_id = component").select("component", F.col("fixed").alias("_fixed"), F.col("own").alias("_own"), *(F.col(k).alias(f"_{k}") for k in keys))
     grouped = placed.filter("component is not null").join(first, "component")
     hit = F.coalesce(*(F.when(F.col(k) == F.col(f"_{k}"), F.lit(i)) for i, k in enumerate(keys)))
     hard = grouped.filter("record_id <> component").groupBy("component").agg(F.max(F.col("fixed").isNotNull() | hit.isNull()).alias("hard"))
     grouped = checkpoint(grouped.join(hard, "component").withColumn("pass", hit))
     start = F.col("record_id") == F.col("component")
-    person = F.coalesce("_fixed", F.col("component").cast("string"))
-    easy = grouped.filter("not hard").select("record_id", person.alias("person"), F.when(start, -1).otherwise(F.col("pass")).alias("pass"), (start & F.col("_fixed").isNull()).alias("is_new"))
+    easy = grouped.filter("not hard").select("record_id", F.col("_own").alias("person"), F.when(start, -1).otherwise(F.col("pass")).alias("pass"), (start & F.col("_fixed").isNull()).alias("is_new"))
 
     def run(pdf: pd.DataFrame) -> pd.DataFrame:
         pdf = pdf.sort_values("record_id")
-        rows = ((r, None if pd.isna(f) else f, [None if pd.isna(k) else k for k in ks]) for r, f, *ks in pdf[["record_id", "fixed", *keys]].itertuples(index=False))
-        return pd.DataFrame([(r, str(p), i, n) for r, p, i, n in fold(rows)], columns=["record_id", "person", "pass", "is_new"])
+        rows = ((r, None if pd.isna(f) else f, o, [None if pd.isna(k) else k for k in ks]) for r, f, o, *ks in pdf[["record_id", "fixed", "own", *keys]].itertuples(index=False))
+        return pd.DataFrame(fold(rows), columns=["record_id", "person", "pass", "is_new"])
 
-    folded = grouped.filter("hard").select("component", "record_id", "fixed", *keys).groupBy("component").applyInPandas(run, "record_id long, person string, pass int, is_new boolean")
+    folded = grouped.filter("hard").select("component", "record_id", "fixed", "own", *keys).groupBy("component").applyInPandas(run, "record_id long, person string, pass int, is_new boolean")
     result = alone.unionByName(easy).unionByName(folded).filter("record_id >= 0")
     i = F.col("pass")
     method = F.when(i < 0, NEW)
@@ -99,15 +101,13 @@ def resolve(records: DataFrame, order: str = "arrival_seq", seeds: DataFrame | N
     on = (("source_mrn", "source_facility_npi"), ("source_identifier_system", "source_mrn"), ("ssn_last4", "birth_date", "family_name"), ("birth_date", "family_name", "given_name", "postal_code"))
     for n, ((name, sure), columns) in enumerate(zip(PASSES, on, strict=True)):
         method, confidence, fields = method.when(i == n, name), confidence.when(i == n, sure), fields.when(i == n, F.array(*map(F.lit, columns)))
-    # a new person's id follows from the record that made it
-    umpi = F.when(F.col("person").rlike(r"^\d+$"), stable_id(F.lit("umpi"), "person")).otherwise(F.col("person"))
-    result = result.select("record_id", umpi.alias("umpi"), method.alias("match_method"), confidence.alias("match_confidence"), F.col("is_new").alias("is_new_record"), fields.alias("matched_on"))
+    result = result.select("record_id", F.col("person").alias("umpi"), method.alias("match_method"), confidence.alias("match_confidence"), F.col("is_new").alias("is_new_record"), fields.alias("matched_on"))
     return df.drop(*keys).join(result, "record_id").drop("record_id")
 
 
 def crosswalk(resolved: DataFrame) -> DataFrame:
     """One row for each source record."""
-    wanted = ["umpi", "tenant_id", "source_system", "source_id", "source_mrn", "match_method", "match_confidence"]
+    wanted = ["umpi", "tenant_id", "source_system", "source_id", "source_mrn", "source_facility_npi", "match_method", "match_confidence"]
     return resolved.select(stable_id("umpi", "source_id").alias("crosswalk_id"), *(c for c in wanted if c in resolved.columns))
 
 
@@ -118,11 +118,12 @@ def patient_index(resolved: DataFrame) -> DataFrame:
 
 
 def seeds_from(index: DataFrame, links: DataFrame) -> DataFrame:
-    """Stored persons and crosswalk rows as seeds: crosswalk rows give MRN keys (pass 1), the index name keys (pass 4).
+    """Stored patients and crosswalk rows as seeds: crosswalk rows give MRN keys (pass 1), the patients name keys (pass 4).
 
-    links: umpi, source_mrn, source_facility_npi; index: umpi, names, birth_date, postal_code; either with seq.
+    links: umpi, source_mrn, source_facility_npi; index: umpi, names, birth_date, postal_code; either with their place.
+    The rows still have to be numbered, in the order of their places.
     """
     no = F.lit(None).cast("string")
-    of_links = links.select("seq", "umpi", "source_mrn", "source_facility_npi", no.alias("family_name"), no.alias("given_name"), no.cast("date").alias("birth_date"), no.alias("postal_code"))
-    of_index = index.select("seq", "umpi", no.alias("source_mrn"), no.alias("source_facility_npi"), "family_name", "given_name", "birth_date", "postal_code")
+    of_links = links.select(F.concat(F.lit("2/"), "place").alias("place"), "umpi", "source_mrn", "source_facility_npi", no.alias("family_name"), no.alias("given_name"), no.cast("date").alias("birth_date"), no.alias("postal_code"))
+    of_index = index.select(F.concat(F.lit("1/"), "place").alias("place"), "umpi", no.alias("source_mrn"), no.alias("source_facility_npi"), "family_name", "given_name", "birth_date", "postal_code")
     return of_index.unionByName(of_links)

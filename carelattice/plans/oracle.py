@@ -124,6 +124,7 @@ def sql() -> dict[str, str]:
         "hl7_bronze": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, {_HL7_TENANT} AS tenant_id, CASE WHEN k % 7 <> 0 THEN 'SYS' || (k % 2) ELSE 'APP' || (k % 3) END AS source_system, 'ADT' AS message_type, CASE WHEN a01 THEN 'A01' ELSE 'A03' END AS message_event, 'ADT' AS feed_type, 'PASS' AS validation_status FROM msgs",
         "hl7_dq": _with("msgs") + f"SELECT 'MSG' || k AS source_record_id, error_code, field_path FROM ({_HL7_CODES})",
         "dq_counts": _with("msgs") + f"SELECT error_code, field_path, count(*) AS issue_count FROM ({_HL7_CODES}) GROUP BY 1, 2",
+        "fhir_counts": "SELECT CASE WHEN o_orderkey % 17 = 0 THEN 'UNKNOWN' ELSE 'TENANT_' || (c_nationkey % 4) END AS tenant_id, 'transaction' AS bundle_type, 'PASS' AS validation_status, count(*) AS bundles FROM orders JOIN customer ON o_custkey = c_custkey GROUP BY ALL",
         "bronze_counts": _with("msgs") + f"SELECT CASE WHEN c % 50 = 4 THEN '' ELSE 'FAC' || (k % 6) END AS sending_facility, 'PASS' AS validation_status, 'ADT' AS message_type, CASE WHEN a01 THEN 'A01' ELSE 'A03' END AS message_event, count(*) AS messages, count(*) AS with_tenant FROM msgs GROUP BY ALL",
         "hl7_encounters": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, 'MRN' || c AS mrn, CASE k % 5 WHEN 0 THEN 'IMP' WHEN 1 THEN 'AMB' WHEN 2 THEN 'EMER' WHEN 3 THEN 'AMB' END AS encounter_class, CASE WHEN a01 THEN 'in-progress' ELSE 'finished' END AS encounter_status, CASE WHEN a01 THEN strftime(moment, {_TS}) END AS period_start, CASE WHEN NOT a01 THEN strftime(moment, {_TS}) END AS period_end, 'FAC' || (k % 6) AS facility, 'ATT-' || (k % 10) AS attending_provider_npi FROM msgs",
         "hl7_conditions": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, dx AS icd10_code, 'active' AS clinical_status, strftime(moment, {_TS}) AS onset FROM msgs WHERE a01",

@@ -1,7 +1,9 @@
 """The medallion run: files to raw tables, raw to clinical tables, clinical tables to analytics.
 
 Each stage reads tables and files and writes tables; a run id ties its rows together, so a stage can be restricted to one
-run. Everything within a stage is lazy; what several outputs share (resolved identities) is checkpointed once.
+run. A run that is repeated replaces its own rows. Persons that earlier runs know are found again by their keys. The order
+of arrival (file, place in it) is kept in the stored times: rows of a run are microseconds apart. Everything within a stage
+is lazy; what several outputs share (resolved identities) is checkpointed once.
 """
 
 from __future__ import annotations
@@ -10,14 +12,14 @@ import argparse
 import datetime as dt
 from dataclasses import dataclass, field
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelattice.functions.columns import stable_id
 from carelattice.operators import csvbatch, dq, fhir, gold, hl7, identity, terminology
 from carelattice.operators.graph import checkpoint
-from carelattice.sources.files import csv_rows, fhir_files, hl7_files, whole_files
-from carelattice.sources.writers import append, create_tables, truncate
+from carelattice.sources.files import csv_rows, fhir_files, hl7_files, table_rows, whole_files
+from carelattice.sources.writers import append, clear_run, create_tables, truncate
 
 
 @dataclass
@@ -35,6 +37,8 @@ class Config:
     environment: str = "prod"
     include_hl7_patients: bool = False
     gate_on_errors: bool = False
+    lenient: bool = False
+    global_ids: bool = False
     upstream_run: str | None = None
     done: list[str] = field(default_factory=list)
 
@@ -57,23 +61,29 @@ def _audit(cfg: Config, rows: DataFrame, failed, source: str, target: str, by: s
 
 
 def ingest_hl7(spark: SparkSession, cfg: Config) -> None:
-    parsed = hl7.parse_adt(hl7.parse_messages(hl7_files(spark, cfg.hl7_path), cfg.default_tenant))
-    parsed = parsed.withColumn("message_id", stable_id("file_name", "arrival_seq"))
+    parsed = hl7.parse_adt(hl7.parse_messages(hl7_files(spark, cfg.hl7_path), cfg.default_tenant, lenient=cfg.lenient))
+    # sorts as the messages arrived, and tells them from those of other runs
+    parsed = parsed.withColumn("message_id", F.concat_ws("/", F.lit(cfg.run_id), "file_name", F.substring(stable_id("file_path"), 1, 8), F.lpad(F.col("arrival_seq").cast("string"), 10, "0")))
     append(_stamp(parsed.withColumn("source_facility", F.col("sending_facility")), cfg), cfg.table("ingest_hl7_messages"))
-    _log(spark, cfg, dq.hl7_findings(parsed, "message_id", ("tenant_id",)), "ingest_hl7_messages")
+    _log(spark, cfg, dq.hl7_findings(parsed, "message_id", ("tenant_id",), lenient=cfg.lenient), "ingest_hl7_messages")
     _audit(cfg, parsed, F.col("validation_status") == "ERROR", "HL7", "ingest_hl7_messages")
 
 
 def ingest_fhir(spark: SparkSession, cfg: Config) -> None:
     parsed = fhir.parse_bundles(fhir_files(spark, cfg.fhir_path), cfg.default_tenant)
-    append(_stamp(parsed.drop("bundle"), cfg), cfg.table("ingest_fhir_bundles"))
-    _log(spark, cfg, dq.fhir_findings(parsed, fhir.resources(parsed)), "ingest_fhir_bundles")
+    order = numbered(parsed.select("file_path", F.col("arrival_seq").alias("place")), ["file_path", "place"])
+    rows = parsed.drop("bundle").withColumnRenamed("arrival_seq", "place").join(order, ["file_path", "place"]).withColumn("received_at", _at(cfg, "arrival_seq"))
+    append(_stamp(rows, cfg), cfg.table("ingest_fhir_bundles"))
+    _log(spark, cfg, dq.fhir_findings(parsed), "ingest_fhir_bundles")
     _audit(cfg, parsed, F.col("validation_status") == "ERROR", "FHIR", "ingest_fhir_bundles")
 
 
 def _csv(spark: SparkSession, path: str) -> DataFrame:
+    """Rows with their file and their number in it: a file is read by one task, so its rows are numbered without gaps."""
     rows = csv_rows(spark, path)
-    return rows.select(F.col("_metadata.file_name").alias("file_name"), (F.monotonically_increasing_id() + 1).alias("row_idx"), *rows.columns)
+    rows = rows.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("_row"), *rows.columns)
+    first = rows.groupBy("file_path").agg(F.min("_row").alias("_first"))
+    return rows.join(first, "file_path").withColumn("row_idx", F.col("_row") - F.col("_first") + 1).drop("_row", "_first", "file_path")
 
 
 def ingest_csv(spark: SparkSession, cfg: Config) -> None:
@@ -88,17 +98,33 @@ def ingest_csv(spark: SparkSession, cfg: Config) -> None:
         _log(spark, cfg, found.withColumns({"source_name": F.col("file_name"), "tenant_id": F.lit(cfg.default_tenant)}), "ingest_csv_batches")
 
 
+def _upstream(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
+    """A table's rows, those of one run if the run is restricted; gated, without what had errors."""
+    rows = table_rows(spark, cfg.table(name), cfg.upstream_run)
+    return rows.filter("validation_status <> 'ERROR'") if cfg.gate_on_errors and "validation_status" in rows.columns else rows
+
+
+def _at(cfg: Config, order: str) -> Column:
+    """The run's time and as many microseconds as rows came before."""
+    return F.timestamp_micros(F.unix_micros(F.lit(cfg.run_ts).cast("timestamp")) + F.col(order).cast("long"))
+
+
+def _known(spark: SparkSession, cfg: Config) -> DataFrame | None:
+    """The persons of earlier runs, as seeds in the order in which they were stored."""
+    earlier = lambda t: spark.table(cfg.table(t)).filter(F.col("pipeline_run_id") != cfg.run_id)
+    people = earlier("clinical_patients").withColumn("place", F.concat_ws("/", F.lpad(F.unix_micros("created_at").cast("string"), 20, "0"), "patient_id"))
+    links = earlier("mpi_identity_crosswalk").withColumn("place", F.concat_ws("/", "pipeline_run_id", "crosswalk_id"))
+    seeds = identity.seeds_from(people, links)
+    return None if seeds.isEmpty() else numbered(seeds, ["place"]).withColumnRenamed("arrival_seq", "seq").drop("place")
+
+
 def _bundles(spark: SparkSession, cfg: Config) -> DataFrame:
-    rows = spark.table(cfg.table("ingest_fhir_bundles"))
-    if cfg.upstream_run:
-        rows = rows.filter(F.col("pipeline_run_id") == cfg.upstream_run)
-    return fhir.resources(fhir.parse_bundles(rows.select(F.col("raw_bundle"), F.lit(0).alias("arrival_seq")), cfg.default_tenant))
+    rows = _upstream(spark, cfg, "ingest_fhir_bundles")
+    return fhir.resources(fhir.parse_bundles(rows.select("raw_bundle", F.unix_micros("received_at").alias("arrival_seq")), cfg.default_tenant))
 
 
 def _csv_table(spark: SparkSession, cfg: Config, kind: str, columns: tuple[str, ...]) -> DataFrame:
-    rows = spark.table(cfg.table("ingest_csv_batches")).filter(F.col("file_type") == kind)
-    if cfg.upstream_run:
-        rows = rows.filter(F.col("pipeline_run_id") == cfg.upstream_run)
+    rows = _upstream(spark, cfg, "ingest_csv_batches").filter(F.col("file_type") == kind)
     return csvbatch.payload_rows(rows.select("batch_id", "file_name", "tenant_id", "source_system", "raw_content"), columns)
 
 
@@ -106,44 +132,47 @@ def silver(spark: SparkSession, cfg: Config) -> None:
     truncate(spark, [cfg.table(t) for t in ("mpi_patient_index", "mpi_identity_crosswalk", "clinical_patients", "clinical_encounters", "clinical_observations", "clinical_conditions")], cfg.environment)
     resources = checkpoint(_bundles(spark, cfg))
     people = fhir.clinical_patients(resources)
-    keys = fhir.patient_identities(resources).select("bundle_id", "entry_index", "source_id", "tenant_id", "source_system", "source_mrn", "source_identifier_system", "family_name", "given_name", "birth_date", "gender", "postal_code", "ssn_last4")
+    keys = fhir.patient_identities(resources).select("arrival_seq", "bundle_id", "entry_index", "source_id", "tenant_id", "source_system", "source_mrn", "source_identifier_system", "family_name", "given_name", "birth_date", "gender", "postal_code", "ssn_last4")
     of_csv = csvbatch.patients(_csv_table(spark, cfg, "patients", csvbatch.PATIENT_COLUMNS))
-    messages = spark.table(cfg.table("ingest_hl7_messages")).select("message_id", "raw_message", F.col("source_system").alias("_system"), "tenant_id")
-    adt = hl7.admissions(hl7.parse_adt(hl7.parse_messages(messages.drop("tenant_id"), cfg.default_tenant)))
-    wanted = ["origin", "place", "part", "source_id", "tenant_id", "source_system", "source_mrn", "source_facility_npi", "source_identifier_system", "family_name", "given_name", "birth_date", "gender", "postal_code", "ssn_last4"]
+    messages = _upstream(spark, cfg, "ingest_hl7_messages").select("message_id", "raw_message", F.col("source_system").alias("_system"), "tenant_id")
+    adt = hl7.admissions(hl7.parse_adt(hl7.parse_messages(messages.drop("tenant_id"), cfg.default_tenant, lenient=cfg.lenient)))
+    wanted = ["origin", "turn", "place", "part", "source_id", "tenant_id", "source_system", "source_mrn", "source_facility_npi", "source_identifier_system", "family_name", "given_name", "birth_date", "gender", "postal_code", "ssn_last4"]
     shape = lambda df: df.select(*((F.col(c) if c in df.columns else F.lit(None)).cast("date" if c == "birth_date" else "string").alias(c) for c in wanted))
-    records = shape(keys.withColumns({"origin": F.lit("1fhir"), "place": F.col("bundle_id"), "part": F.lpad(F.col("entry_index").cast("string"), 12, "0")}))
-    records = records.unionByName(shape(of_csv.withColumns({"origin": F.lit("2csv"), "place": F.col("batch_id"), "part": F.lpad(F.col("row_idx").cast("string"), 12, "0"), "source_id": F.col("source_record_id")})))
+    records = shape(keys.withColumns({"origin": F.lit("1fhir"), "turn": F.lpad(F.col("arrival_seq").cast("string"), 20, "0"), "place": F.col("bundle_id"), "part": F.lpad(F.col("entry_index").cast("string"), 12, "0")}))
+    records = records.unionByName(shape(of_csv.withColumns({"origin": F.lit("2csv"), "turn": F.col("file_name"), "place": F.col("batch_id"), "part": F.lpad(F.col("row_idx").cast("string"), 12, "0"), "source_id": F.col("source_record_id")})))
     hl7_people = adt.withColumns({"origin": F.lit("3hl7"), "place": F.col("message_id"), "part": F.lit("0"), "source_id": F.col("message_id"), "source_mrn": F.col("mrn"), "source_facility_npi": F.col("mrn_facility"), "source_identifier_system": F.lit("urn:hl7:adt")})
     records = records.unionByName(shape(hl7_people))
     # the order of arrival: source, file or bundle, place in it; a global number by a sort of the whole and counts by partition
-    resolved = checkpoint(identity.resolve(numbered(records, ["origin", "place", "part"])))
+    records = numbered(records, ["origin", "turn", "place", "part"]).withColumn("record_key", F.concat_ws("/", F.lit(cfg.run_id), "origin", "place", "part"))
+    resolved = checkpoint(identity.resolve(records, seeds=_known(spark, cfg)))
     shown = resolved if cfg.include_hl7_patients else resolved.filter("origin <> '3hl7'")
     append(_stamp(identity.patient_index(shown).withColumn("tenant_ids", F.array("tenant_id")), cfg), cfg.table("mpi_patient_index"))
     append(_stamp(identity.crosswalk(shown).withColumn("source_record_id", F.col("source_id")), cfg), cfg.table("mpi_identity_crosswalk"))
     of = lambda origin: resolved.filter(F.col("origin") == origin)
     fhir_umpi = of("1fhir").select(F.col("place").alias("bundle_id"), "source_id", "umpi", "arrival_seq")
-    csv_umpi = of("2csv").select(F.col("place").alias("batch_id"), F.col("part").cast("long").alias("row_idx"), "umpi")
-    hl7_umpi = of("3hl7").select(F.col("place").alias("message_id"), "umpi")
-    named = fhir.link_subjects(people.withColumn("subject_key", F.col("source_record_id")), fhir_umpi)
+    csv_umpi = of("2csv").select(F.col("place").alias("batch_id"), F.col("part").cast("long").alias("row_idx"), "umpi", F.col("arrival_seq").alias("subject_seq"))
+    hl7_umpi = of("3hl7").select(F.col("place").alias("message_id"), "umpi", F.col("arrival_seq").alias("subject_seq"))
+    timed = lambda df: df.withColumn("created_at", _at(cfg, "subject_seq"))
+    link = lambda df: fhir.link_subjects(df, fhir_umpi, cfg.global_ids)
+    named = link(people.withColumn("subject_key", F.col("source_record_id")))
     csv_people = of_csv.join(csv_umpi, ["batch_id", "row_idx"])
     patients = [named.withColumn("patient_id", stable_id("bundle_id", "source_record_id")), csv_people.withColumn("patient_id", stable_id("batch_id", "row_idx"))]
     if cfg.include_hl7_patients:
         patients.append(adt.join(hl7_umpi, "message_id").withColumn("patient_id", stable_id("message_id")))
     for df in patients:
-        append(_stamp(df, cfg), cfg.table("clinical_patients"))
-    visits = fhir.link_subjects(fhir.encounters(resources), fhir_umpi).withColumn("encounter_id", stable_id("bundle_id", "source_record_id"))
-    append(_stamp(visits, cfg), cfg.table("clinical_encounters"))
+        append(_stamp(timed(df), cfg), cfg.table("clinical_patients"))
+    visits = link(fhir.encounters(resources)).withColumn("encounter_id", stable_id("bundle_id", "source_record_id"))
+    append(_stamp(timed(visits), cfg), cfg.table("clinical_encounters"))
     linked = adt.join(hl7_umpi, "message_id")
-    append(_stamp(hl7.adt_encounters(linked).withColumn("facility_name", F.col("facility")), cfg), cfg.table("clinical_encounters"))
-    problems = fhir.link_subjects(fhir.conditions(resources), fhir_umpi).withColumn("condition_id", stable_id("bundle_id", "source_record_id"))
+    append(_stamp(timed(hl7.adt_encounters(linked).withColumn("facility_name", F.col("facility"))), cfg), cfg.table("clinical_encounters"))
+    problems = link(fhir.conditions(resources)).withColumn("condition_id", stable_id("bundle_id", "source_record_id"))
     for df in (problems, hl7.adt_conditions(linked), csvbatch.conditions(csv_people)):
-        append(_stamp(df, cfg), cfg.table("clinical_conditions"))
-    coded = fhir.link_subjects(terminology.normalize_observations(fhir.observations(resources)), fhir_umpi).withColumn("observation_id", stable_id("bundle_id", "source_record_id"))
+        append(_stamp(timed(df), cfg), cfg.table("clinical_conditions"))
+    coded = link(terminology.normalize_observations(fhir.observations(resources))).withColumn("observation_id", stable_id("bundle_id", "source_record_id"))
     labs = terminology.code_labs(csvbatch.labs(_csv_table(spark, cfg, "labs", csvbatch.LAB_COLUMNS)))
-    labs = csvbatch.link_patients(labs, csv_people).withColumn("observation_id", stable_id("batch_id", "row_idx"))
+    labs = csvbatch.link_patients(labs, csv_people).withColumns({"observation_id": stable_id("batch_id", "row_idx"), "subject_seq": F.col("row_idx")})
     for df in (coded, labs):
-        append(_stamp(terminology.mapped(df), cfg), cfg.table("clinical_observations"))
+        append(_stamp(timed(terminology.mapped(df)), cfg), cfg.table("clinical_observations"))
         append(_stamp(terminology.unmapped(df), cfg), cfg.table("terminology_unmapped_codes"))
     _log(spark, cfg, dq.csv_silver_findings(_csv_table(spark, cfg, "patients", csvbatch.PATIENT_COLUMNS)), "clinical_patients")
     _log(spark, cfg, dq.csv_lab_findings(labs), "clinical_observations")
@@ -161,12 +190,12 @@ def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
 
 
 def to_gold(spark: SparkSession, cfg: Config) -> None:
-    read = lambda t: spark.table(cfg.table(t))
+    read = lambda t: table_rows(spark, cfg.table(t), cfg.upstream_run)
+    came = F.unix_micros("created_at")  # rows keep the order of their arrival in it
     people = read("clinical_patients").withColumn("arrival_seq", F.struct("created_at", "patient_id"))
-    visits = read("clinical_encounters").withColumn("arrival_seq", F.xxhash64("encounter_id") / 4)
-    visits = visits.withColumn("arrival_seq", F.col("arrival_seq").cast("long"))
-    problems = read("clinical_conditions").withColumns({"diagnosis_rank": F.when(F.col("condition_category") == "primary", 1).when(F.col("condition_category") == "secondary", 2), "arrival_seq": F.col("condition_id")})
-    labs = read("clinical_observations").withColumn("arrival_seq", (F.xxhash64("observation_id") / 4).cast("long"))
+    visits = read("clinical_encounters").withColumn("arrival_seq", came)
+    problems = read("clinical_conditions").withColumns({"diagnosis_rank": F.when(F.col("condition_category") == "primary", 1).when(F.col("condition_category") == "secondary", 2), "arrival_seq": F.struct("created_at", "condition_id")})
+    labs = read("clinical_observations").withColumn("arrival_seq", came)
     summary = gold.patient_summary(people, visits, problems, cfg.as_of)
     append(_stamp(gold.summary_table(summary), cfg), cfg.table("analytics_patient_summary"))
     append(_stamp(gold.hba1c_control(people, problems, labs, cfg.measurement_year), cfg), cfg.table("analytics_quality_measures"))
@@ -178,12 +207,26 @@ def to_gold(spark: SparkSession, cfg: Config) -> None:
     append(_stamp(scores, cfg), cfg.table("dq_tenant_scorecard"))
 
 
+WRITES = {
+    "hl7": ("ingest_hl7_messages",), "fhir": ("ingest_fhir_bundles",), "csv": ("ingest_csv_batches",),
+    "silver": ("mpi_patient_index", "mpi_identity_crosswalk", "clinical_patients", "clinical_encounters", "clinical_conditions", "clinical_observations", "terminology_unmapped_codes"),
+    "gold": ("analytics_patient_summary", "analytics_quality_measures", "analytics_adt_events", "export_uscdi_v3_patient", "dq_tenant_scorecard"),
+}
 STAGES = {"hl7": ingest_hl7, "fhir": ingest_fhir, "csv": ingest_csv, "silver": silver, "gold": to_gold}
 
 
 def run(spark: SparkSession, cfg: Config, stages: list[str] | None = None) -> Config:
-    """Run the stages in order; the first that fails ends the run. Ingestion stages without a path are skipped."""
+    """Run the stages in order; the first that fails ends the run. Ingestion stages without a path are skipped.
+
+    What an earlier attempt of this run has written to the stages' tables is replaced (to those of the audit only by a
+    run of all stages).
+    """
     create_tables(spark, cfg.database)
+    for name in stages or list(STAGES):
+        for t in WRITES[name]:
+            clear_run(spark, cfg.table(t), cfg.run_id)
+    for t in () if stages else ("audit_ingest_log", "audit_validation_errors"):
+        clear_run(spark, cfg.table(t), cfg.run_id)
     for name in stages or list(STAGES):
         if name == "hl7" and not cfg.hl7_path or name == "fhir" and not cfg.fhir_path or name == "csv" and not (cfg.csv_patients_path or cfg.csv_labs_path):
             continue
@@ -204,9 +247,12 @@ def main(argv: list[str] | None = None) -> None:
         p.add_argument(f"--{name}")
     p.add_argument("--default-tenant")
     p.add_argument("--stages", nargs="*", choices=list(STAGES))
+    p.add_argument("--upstream-run", help="read this run's rows only")
+    for name in ("gate-on-errors", "lenient", "global-ids", "include-hl7-patients"):
+        p.add_argument(f"--{name}", action="store_true")
     a = p.parse_args(argv)
     at = dt.datetime.combine(a.as_of, dt.time())
-    run(get_session(), Config(a.database, a.run_id, at, a.as_of, a.year, a.hl7, a.fhir, a.csv_patients, a.csv_labs, a.default_tenant), a.stages)
+    run(get_session(), Config(a.database, a.run_id, at, a.as_of, a.year, a.hl7, a.fhir, a.csv_patients, a.csv_labs, a.default_tenant, include_hl7_patients=a.include_hl7_patients, gate_on_errors=a.gate_on_errors, lenient=a.lenient, global_ids=a.global_ids, upstream_run=a.upstream_run), a.stages)
 
 
 if __name__ == "__main__":

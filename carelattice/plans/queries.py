@@ -208,7 +208,11 @@ def fhir_conditions(s: SparkSession, d: str) -> DataFrame:
 
 def fhir_dq(s: SparkSession, d: str) -> DataFrame:
     parsed = _bundles(s, d)
-    return dq.fhir_findings(parsed, fhir.resources(parsed)).select("error_code", "source_record_id")
+    return dq.fhir_findings(parsed).select("error_code", "source_record_id")
+
+
+def fhir_counts(s: SparkSession, d: str) -> DataFrame:
+    return dq.bundle_counts(_bundles(s, d))
 
 
 def csv_patients(s: SparkSession, d: str) -> DataFrame:
@@ -294,7 +298,7 @@ def union_conditions(s: SparkSession, d: str) -> DataFrame:
 _ALL = (
     patient_risk_summary, charlson_index, chronic_flags, utilization_12m, last_encounter, pcp_attribution, readmission_30d, event_readmission, hba1c_control, uscdi_gaps, state_metrics, uscdi_view, tenant_view,
     loinc_map, rxnorm_map, snomed_map, unmapped_codes, normalization_log, hl7_split, hl7_msh, hl7_ztn, hl7_tenant, hl7_bronze, hl7_dq, dq_counts, bronze_counts, hl7_encounters, hl7_conditions, oru_observations,
-    fhir_bundles, fhir_resources, fhir_patients, fhir_observations, fhir_encounters, fhir_conditions, fhir_dq, csv_patients, csv_conditions, csv_labs, csv_dq_bronze, csv_dq_silver, csv_lab_dq, csv_duplicates, csv_audit, csv_payload,
+    fhir_bundles, fhir_resources, fhir_patients, fhir_observations, fhir_encounters, fhir_conditions, fhir_dq, fhir_counts, csv_patients, csv_conditions, csv_labs, csv_dq_bronze, csv_dq_silver, csv_lab_dq, csv_duplicates, csv_audit, csv_payload,
     audit_log, mpi_resolve, mpi_crosswalk, mpi_index, dq_scorecard, patient_observation_preview, union_conditions,
 )
 

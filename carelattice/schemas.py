@@ -17,7 +17,7 @@ _DEFINITIONS = {
     "audit_ingest_log": f"log_id string, tenant_id string, source_system string, source_name string, target_table string, record_count bigint, pass_count bigint, error_count bigint, started_at timestamp, completed_at timestamp, {_RUN}",
     "audit_validation_errors": f"error_id string, tenant_id string, source_table string, source_record_id string, error_code string, error_severity string, error_message string, field_path string, raw_value string, detected_at timestamp, resolved boolean, source_name string, {_RUN}",
     "mpi_patient_index": f"umpi string, tenant_ids array<string>, family_name string, given_name string, birth_date date, linked_record_count int, created_at timestamp, {_RUN}",
-    "mpi_identity_crosswalk": f"crosswalk_id string, umpi string, tenant_id string, source_system string, source_record_id string, source_mrn string, match_method string, match_confidence double, {_RUN}",
+    "mpi_identity_crosswalk": f"crosswalk_id string, umpi string, tenant_id string, source_system string, source_record_id string, source_mrn string, source_facility_npi string, match_method string, match_confidence double, {_RUN}",
     "clinical_patients": f"patient_id string, umpi string, tenant_id string, source_system string, source_record_id string, family_name string, given_name string, birth_date date, gender string, address_line string, city string, state string, postal_code string, phone string, email string, insurance_id string, pcp_npi string, last_visit_date date, is_deceased boolean, created_at timestamp, {_RUN}",
     "clinical_encounters": f"encounter_id string, umpi string, tenant_id string, source_system string, source_record_id string, encounter_class string, encounter_status string, period_start timestamp, period_end timestamp, length_of_stay_hours double, facility_name string, facility_npi string, attending_provider_npi string, attending_provider_name string, created_at timestamp, {_RUN}",
     "clinical_observations": f"observation_id string, umpi string, tenant_id string, encounter_id string, source_system string, source_record_id string, loinc_code string, loinc_display string, source_code string, source_display string, value_quantity double, value_string string, value_unit string, reference_range_low double, reference_range_high double, interpretation_code string, effective_datetime timestamp, observation_status string, normalization_method string, created_at timestamp, {_RUN}",

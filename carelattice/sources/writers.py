@@ -13,7 +13,7 @@ def create_tables(spark: SparkSession, database: str, names: list[str] | None =
     """Create the database and its tables where they don't exist."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     for name in names or TABLES:
-        spark.sql(ddl(f"{database}.{name}", TABLES[name]))
+        spark.sql(ddl(f"{database}.{name}", TABLES[name], "pipeline_run_id"))
 
 
 def clone_tables(spark: SparkSession, source: str, target: str) -> None:
@@ -35,6 +35,12 @@ def append(df: DataFrame, table: str) -> None:
     conform(df, schema).write.mode("append").insertInto(table)
 
 
+def clear_run(spark: SparkSession, table: str, run_id: str) -> None:
+    """Take a run's rows out of a table: its partition is overwritten with nothing."""
+    nothing = ", ".join(f"CAST(NULL AS {f.dataType.simpleString()}) AS {f.name}" for f in spark.table(table).schema if f.name != "pipeline_run_id")
+    spark.sql(f"INSERT OVERWRITE TABLE {table} PARTITION (pipeline_run_id = {{run}}) SELECT {nothing} WHERE false".replace("{run}", "'" + run_id.replace("\\", "\\\\").replace("'", "\\'") + "'"))
+
+
 def truncate(spark: SparkSession, tables: list[str], environment: str) -> None:
     """Empty tables, in the dev environment only."""
     if environment == "dev":

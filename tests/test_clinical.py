@@ -7,6 +7,8 @@ import json
 import random
 
 import pytest
+
+from carelattice.functions.columns import one_decimal
 from pyspark.sql import functions as F
 
 from carelattice.functions import columns as c
@@ -104,7 +106,7 @@ def test_fhir(spark):
     e = fhir.encounters(res).first()
     assert (e.period_start, e.length_of_stay_hours, e.subject_key) == (dt.datetime(2024, 3, 15, 8), 1.5, "p1")
     assert fhir.conditions(res).first().icd10_code == "E11.9"
-    assert {r.error_code for r in dq.fhir_findings(parsed, res).collect()} == {"FHIR_PARSE_FAILURE"}
+    assert {r.error_code for r in dq.fhir_findings(parsed).collect()} == {"FHIR_PARSE_FAILURE"}
 
 
 def test_terminology(spark):
@@ -186,3 +188,55 @@ def test_uscdi(spark):
     df = spark.createDataFrame([("u", "t", "", "Doe", None, "F", "OK", "7")], "umpi string, tenant_id string, given_name string, family_name string, birth_date date, gender string, state string, postal_code string")
     r = gold.uscdi_export(df).first()
     assert r.missing_elements == ["name.given", "birthDate"] and not r.qhin_ready and json.loads(r.uscdi_payload)["id"] == "u" and json.loads(r.uscdi_payload)["birthDate"] is None
+
+
+def test_birth_date_key(spark):
+    of = lambda i, more: {"resource": {"resourceType": "Patient", "id": i, **more}}
+    bundle = {**BUNDLE, "entry": [of("there", {"birthDate": "1990-01-01"}), of("null", {"birthDate": None}), of("missing", {"name": [{"family": "X"}]}), {"resource": {"resourceType": "Basic"}}]}
+    rows = split_bundles(spark.createDataFrame([(json.dumps(bundle),)], "value string"))
+    got = [(r.error_code, r.source_record_id) for r in dq.fhir_findings(fhir.parse_bundles(rows)).collect()]
+    assert got == [("FHIR_MISSING_BIRTH_DATE", "b1/missing")]
+    assert [tuple(r) for r in dq.bundle_counts(fhir.parse_bundles(rows)).collect()] == [("T1", "transaction", "PASS", 1)]
+
+
+def test_duplicates_are_of_one_file(spark):
+    row = lambda f, i, p: (f, i, p, "A", "B", "1990-01-01", "7")
+    df = spark.createDataFrame([row("a.csv", 1, "PT1"), row("b.csv", 1, "PT1"), row("b.csv", 2, "PT2"), row("b.csv", 3, " PT1"), row("b.csv", 4, ""), row("b.csv", 5, "")], "file_name string, row_idx long, patient_id string, first_name string, last_name string, dob string, zip string").withColumn("primary_dx_icd10", F.lit("I10"))
+    twice = lambda found, code: [(r.file_name, r.source_record_id) for r in found.filter(F.col("error_code") == code).collect()]
+    assert twice(dq.csv_bronze_findings(df, "patients"), "CSV_DUPLICATE_RECORD") == [("b.csv", "3: PT1")]
+    assert twice(dq.csv_silver_findings(df), "CSV_DUPLICATE_ROW") == [("b.csv", "3: PT1")]
+
+
+def test_csv_lab_bronze_findings(spark):
+    df = spark.createDataFrame([("l.csv", 1, "R1", "P", "C", "POS"), ("l.csv", 2, "", "P", "C", "1.5"), ("l.csv", 3, "R3", "P", " ", "")], "file_name string, row_idx long, result_id string, patient_id string, test_code string, result_value string")
+    got = sorted((r.source_record_id, r.error_code, r.field_path, r.error_severity) for r in dq.csv_bronze_findings(df, "labs").collect())
+    assert got == [("1:R1", "CSV_NON_NUMERIC_RESULT", "result_value", "WARNING"), ("2:", "CSV_MISSING_REQUIRED_FIELD", "result_id", "ERROR"), ("3:R3", "CSV_MISSING_REQUIRED_FIELD", "result_value", "ERROR"), ("3:R3", "CSV_MISSING_REQUIRED_FIELD", "test_code", "ERROR")]
+
+
+def test_one_decimal(spark):
+    rng = random.Random(4)
+    values = [8.35, 8.25, 8.75, 8.45, 7.95, 9.999, 0.05, 0.15, 6.0, 13.65, -8.35, *(round(rng.uniform(1, 20), 2) for _ in range(2000)), *(rng.uniform(0.1, 500) for _ in range(500))]
+    got = spark.createDataFrame([(i, v) for i, v in enumerate(values)], "i int, v double").select("i", one_decimal(F.col("v")).alias("r")).collect()
+    assert {r.i: r.r for r in got} == {i: round(v, 1) for i, v in enumerate(values)}
+
+
+def test_observation_values_and_ranges(spark):
+    lab = lambda i, **more: {"resource": {"resourceType": "Observation", "id": i, "status": "final", "subject": {"reference": "Patient/p1"}, **more}}
+    two = {"coding": [{"system": "http://loinc.org", "code": "1-1", "display": "first"}, {"system": "urn:local", "code": "L", "display": "local"}, {"system": "http://loinc.org", "code": "2-2", "display": "second"}]}
+    entry = [lab("text", code={"text": "x"}, valueString="POSITIVE"), lab("range", code=two, valueQuantity={"value": 5.25, "unit": "mg", "code": "mg/dL"}, referenceRange=[{"low": {"value": 4.0}, "high": {"value": 6.0, "unit": "mg"}}], interpretation=[{"coding": [{"code": "H", "display": "High"}]}], issued="2024-01-02T03:04:05Z")]
+    rows = split_bundles(spark.createDataFrame([(json.dumps({**BUNDLE, "entry": entry}),)], "value string"))
+    got = {r.source_record_id: r for r in fhir.observations(fhir.resources(fhir.parse_bundles(rows))).collect()}
+    assert (got["text"].value_string, got["text"].value_quantity, got["text"].given_loinc) == ("POSITIVE", None, None)
+    r = got["range"]
+    assert (r.given_loinc, r.source_code, r.source_display, r.value_quantity, r.value_unit) == ("2-2", "L", "local", 5.25, "mg/dL")
+    assert (r.reference_range_low, r.reference_range_high, r.reference_range_unit, r.interpretation_code, r.interpretation_display) == (4.0, 6.0, "mg", "H", "High")
+    assert r.effective_datetime == dt.datetime(2024, 1, 2, 3, 4, 5)
+
+
+def test_person_ids_follow_the_record(spark):
+    schema = "arrival_seq int, source_mrn string, source_facility_npi string, record_key string"
+    one, two = (identity.resolve(spark.createDataFrame([(0, f"{r}-a", "n", f"{r}/a"), (1, f"{r}-b", "n", f"{r}/b"), (2, f"{r}-a", "n", f"{r}/c")], schema)).collect() for r in ("r1", "r2"))
+    ids = lambda rows: {r.arrival_seq: r.umpi for r in rows}
+    assert ids(one)[0] == ids(one)[2] and not set(ids(one).values()) & set(ids(two).values())
+    again = identity.resolve(spark.createDataFrame([(5, "x", "n", "r1/a"), (9, "y", "n", "r1/b")], schema)).collect()
+    assert {r.umpi for r in again} == set(ids(one).values())

@@ -42,6 +42,45 @@ def test_run(spark, tmp_path):
         spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
 
 
+def test_two_runs(spark, tmp_path):
+    header = "patient_id,first_name,last_name,dob,gender,ssn_last4,address,city,state,zip,phone,pcp_npi,insurance_id,last_visit_date,primary_dx_icd10\n"
+    row = "{0},{1},Smith,19{2}-01-02,F,,1 A St,Tulsa,OK,74101,,NPI-1,I1,2024-01-01,I10\n"
+    files = {
+        "one": {"a.csv": [("PT1", "Ann", 50), ("PT2", "Bea", 60), ("PT2", "Bea", 60)], "b.csv": [("PT1", "Ann", 50), ("PT3", "Cat", 70)]},
+        # PT1 by number and facility, another number with Bea's name and birth date, and somebody new
+        "two": {"a.csv": [("PT1", "Anna", 55), ("PT9", "Bea", 60), ("PT4", "Dot", 80)]},
+    }
+    for name, parts in files.items():
+        (tmp_path / name).mkdir()
+        for file, rows in parts.items():
+            (tmp_path / name / file).write_text(header + "".join(row.format(*r) for r in rows))
+    db = "two_runs"
+    spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+    try:
+        day = dt.date(2024, 6, 1)
+        one = Config(db, "r1", dt.datetime(2024, 6, 1), day, 2024, csv_patients_path=str(tmp_path / "one"))
+        two = Config(db, "r2", dt.datetime(2024, 6, 2), day, 2024, csv_patients_path=str(tmp_path / "two"), upstream_run="r2")
+        run(spark, one)
+        table = lambda t: spark.table(f"{db}.{t}")
+        first = {r.source_record_id: r.umpi for r in table("clinical_patients").collect()}
+        found = table("audit_validation_errors").filter("error_code like 'CSV_DUPLICATE%'").collect()
+        assert len(set(first.values())) == 3 and [r.source_record_id for r in found] == ["3:PT2", "3:PT2"]
+        counts = lambda: {t.name: table(t.name).count() for t in spark.catalog.listTables(db)}
+        before = counts()
+        run(spark, one)  # again: its rows are replaced
+        assert counts() == before and {r.source_record_id: r.umpi for r in table("clinical_patients").collect()} == first
+        run(spark, two)
+        links = {r.source_record_id: r for r in table("mpi_identity_crosswalk").filter("pipeline_run_id = 'r2'").collect()}
+        assert (links["PT1"].umpi, links["PT1"].match_method) == (first["PT1"], "MRN_NPI")
+        assert (links["PT9"].umpi, links["PT9"].match_method) == (first["PT2"], "DOB_NAME_ZIP")
+        assert links["PT4"].match_method == "NEW_RECORD" and links["PT4"].umpi not in first.values()
+        assert table("mpi_patient_index").count() == 4
+        order = [r.source_record_id for r in table("clinical_patients").filter("pipeline_run_id = 'r1'").orderBy("created_at").collect()]
+        assert order == ["PT1", "PT2", "PT2", "PT1", "PT3"]
+    finally:
+        spark.sql(f"DROP DATABASE IF EXISTS {db} CASCADE")
+
+
 def test_streams(spark, tmp_path):
     source = tmp_path / "in"
     source.mkdir()
