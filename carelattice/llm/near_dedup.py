@@ -168,12 +168,15 @@ def _verified(limit: float, weighted: bool):
 
 def _links(pairs: DataFrame, packed: DataFrame, limit: float, weighted: bool) -> DataFrame:
     """The pairs (a, b) that are alike. b's set is sent once for each MEMBERS members, not with every pair."""
-    counts = pairs.groupBy("b").agg((F.count("*") / MEMBERS).cast("long").alias("most"))
+    pairs = checkpoint(pairs)
+    counts = checkpoint(pairs.groupBy("b").agg((F.count("*") / MEMBERS).cast("long").alias("most")))
     dealt = pairs.join(counts, "b").select("a", "b", F.pmod(F.xxhash64("a"), F.col("most") + 1).alias("salt"))
     members = dealt.join(packed.withColumnRenamed("rep", "a"), "a").select("a", "b", "salt", "packed")
     heads = dealt.select("b", "salt").distinct().join(packed.withColumnRenamed("rep", "b"), "b").select(F.lit(None).cast("long").alias("a"), "b", "salt", "packed")
     rows = heads.unionByName(members).repartition("b", "salt").sortWithinPartitions("b", "salt", F.asc_nulls_first("a"))
-    return checkpoint(rows.mapInArrow(_verified(limit, weighted), "u long, v long"))
+    links = checkpoint(rows.mapInArrow(_verified(limit, weighted), "u long, v long"))
+    release(pairs, counts)
+    return links
 
 
 def bucket_links(outside: np.ndarray, classes: np.ndarray, sets: list[tuple[np.ndarray, np.ndarray]], limit: float, weighted: bool = False) -> Iterator[tuple[int, int]]:

@@ -41,3 +41,13 @@ def test_stages(spark, tmp_path):
     assert kept["near_dedup"] - kept["decontamination"] == {5}
     packed = corpus_pipeline.run(spark, str(tmp_path))
     assert {r.doc_id for r in packed.collect()} == kept["decontamination"]
+
+
+def test_odd_and_empty_tables(spark, tmp_path):
+    odd = [(1, "a b c"), (1, "a b c"), (1, "other text"), (None, "x y"), (None, "z w"), (2, None), (3, "")]
+    for name, rows, left in (("none", [], []), ("odd", odd, ["1", "1", "3", "None", "None"])):
+        folder = str(tmp_path / name)
+        spark.createDataFrame(rows, "doc_id long, text string").write.parquet(f"{folder}/documents.parquet")
+        spark.createDataFrame([], "doc_id long, quality int, toxic int").write.parquet(f"{folder}/labels.parquet")
+        spark.createDataFrame([], "item_id long, text string").write.parquet(f"{folder}/benchmark.parquet")
+        assert sorted(str(r.doc_id) for r in corpus_pipeline.run(spark, folder).collect()) == left
