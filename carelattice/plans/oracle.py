@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from carelattice.functions.codes import ADT_COARSE, ADT_LABELS, CHARLSON, CHRONIC, LOINC, RXNORM, SNOMED
 
+from . import faults
 from .fixtures import AS_OF, CODES, DRUGS, NAMES, YEAR
 
 
@@ -154,4 +155,5 @@ def sql() -> dict[str, str]:
             p AS (SELECT tenant_id, count(*) AS patient_count, 100.0::DOUBLE AS pct_complete_demographics, 50.0::DOUBLE AS mpi_match_rate FROM patients GROUP BY 1) SELECT * FROM p LEFT JOIN o USING (tenant_id) LEFT JOIN d USING (tenant_id)""",
         "patient_observation_preview": _with("patients", "coded") + f"SELECT p.umpi, family_name, source_display, value_quantity, strftime(effective, {_TS}) AS effective FROM patients p LEFT JOIN coded o ON p.umpi = o.umpi",
         "union_conditions": _with("diagnoses", "msgs") + "SELECT source, icd10_code, count(*) AS n FROM (SELECT 'FHIR' AS source, icd AS icd10_code FROM diagnoses UNION ALL SELECT 'HL7', dx FROM msgs WHERE a01) GROUP BY 1, 2",
+        **faults.sql(_with("labs")),
     }

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from carelattice.operators import csvbatch, dq, fhir, gold, governance, hl7, identity, terminology
 from carelattice.sources.files import split_messages
 
-from . import fixtures as fx
+from . import faults, fixtures as fx
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -304,4 +304,4 @@ _ALL = (
 
 
 def queries() -> dict[str, Query]:
-    return {f.__name__: f for f in _ALL}
+    return {**{f.__name__: f for f in _ALL}, **faults.queries()}

@@ -10,7 +10,7 @@ import os
 import pytest
 from pyspark.sql import functions as F
 
-from carelattice.plans import oracle, queries
+from carelattice.plans import faults, oracle, queries
 from carelattice.plans.pipeline import Config, run
 from carelattice.streaming import feeds
 
@@ -105,7 +105,7 @@ def _rows(df):
 
 
 @pytest.mark.skipif(not os.path.isdir(SF), reason="no driver tables here")
-@pytest.mark.parametrize("name", ["patient_risk_summary", "readmission_30d", "event_readmission", "hba1c_control", "hl7_bronze", "fhir_observations", "csv_labs", "csv_payload", "mpi_resolve", "dq_scorecard"])
+@pytest.mark.parametrize("name", ["patient_risk_summary", "readmission_30d", "event_readmission", "hba1c_control", "hl7_bronze", "fhir_observations", "csv_labs", "csv_payload", "mpi_resolve", "dq_scorecard", *faults.queries()])
 def test_queries(spark, name):
     import duckdb
 
