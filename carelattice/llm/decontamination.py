@@ -145,22 +145,24 @@ class Index:
 
     @staticmethod
     def _align(pattern: np.ndarray, chars: np.ndarray, low: int, high: int) -> tuple[int, int]:
-        """Least edits of the whole pattern against a place that begins between low - k and high + k, in that band."""
+        """Least edits of the whole pattern against a place that begins between low - k and high + k, in that band.
+
+        The place may reach over either end of the text: what would lie there differs, which costs as much as a missing character.
+        """
         k = budget(len(pattern))
-        start = max(0, low - k)
-        width = high - low + 2 * k + 1 + (low - k - start if low - k < 0 else 0)
+        start = low - k
         # cell j of row i: pattern[:i] against text that ends at start + i + j; begins anywhere in the band
-        row = np.zeros(max(width, 1), np.int64)
+        row = np.zeros(high - low + 2 * k + 1, np.int64)
         ramp = np.arange(len(row))
         for i, c in enumerate(pattern.tolist()):
             ends = start + i + ramp
             same = np.zeros(len(row), bool)
-            inside = ends < len(chars)
+            inside = (ends >= 0) & (ends < len(chars))
             same[inside] = chars[ends[inside]] == c
             step = np.minimum(row + ~same, np.append(row[1:], 1 << 30) + 1)
             row = np.minimum.accumulate(step - ramp) + ramp
         j = int(row.argmin())
-        return start + min(j, max(0, low - start + k)), int(row[j])
+        return max(0, start + min(j, 2 * k)), int(row[j])
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:

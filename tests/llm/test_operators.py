@@ -418,6 +418,42 @@ def test_decontamination_in_blocks(spark, monkeypatch, block):
     assert contaminated(d.limit(0), b).count() == drop_contaminated(d.limit(0), b).count() == 0
 
 
+def least_edits(pattern: str, text: str) -> int:
+    """Edits of the whole pattern against any place of the text, cell by cell."""
+    row = [0] * (len(text) + 1)
+    for i, c in enumerate(pattern, 1):
+        before, row[0] = row[0], i
+        for j, d in enumerate(text, 1):
+            before, row[j] = row[j], min(before + (c != d), row[j] + 1, row[j - 1] + 1)
+    return row[-1] if not text else min(row)
+
+
+def test_decontamination_against_brute_force(spark):
+    from carelattice.llm import decontamination as dc
+
+    rng = random.Random(77)
+    fold = lambda t: " ".join((t or "").lower().split())
+    items = [words(rng, n) for n in (2, 3, 8, 20, 40)] + ["ab ab ab ab ab ab ab", "short", "", None, "é" * 30]
+    texts = [None, "", "short", "x" * 300, "ab " * 40, "é" * 29]
+    for _ in range(70):  # items with a growing number of edits of each kind, cut and within other words
+        item = list(rng.choice(items[:5]))
+        for _ in range(rng.randrange(len(item) // 9 + 2)):
+            at = rng.randrange(len(item))
+            item[at : at + rng.randrange(2)] = rng.choice(["", "q", "zz"])
+        a = rng.choice([0, 0, rng.randrange(len(item))])
+        texts.append(f"{words(rng, rng.randrange(4))} {''.join(item[a:])} {words(rng, rng.randrange(4))}")
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    b = spark.createDataFrame(list(enumerate(items)), "item_id long, text string")
+    got = {r.id: {s.item for s in r.spans} for r in contaminated(d, b).collect()}
+    expected = {}
+    for i, t in enumerate(texts):
+        held = lambda item, t=fold(t): any(least_edits(item[x:y], t) <= dc.budget(y - x) for x, y in dc.patterns(len(item)))
+        expected[i] = {n for n, item in enumerate(items) if held(fold(item))}
+    assert 20 < sum(map(bool, expected.values())) < 70
+    assert got == expected
+    assert sorted(r.doc_id for r in drop_contaminated(d, b).collect()) == [i for i in expected if not expected[i]]
+
+
 def test_decontamination_item_without_id(spark):
     item = words(random.Random(6), 50)
     d = spark.createDataFrame([(1, f"start {item} end"), (2, "clean")], "doc_id long, text string")
