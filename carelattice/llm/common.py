@@ -61,11 +61,11 @@ def sweep(spark: SparkSession) -> None:
     spark._jvm.System.gc()
 
 
-def partitions_for(df: DataFrame, bytes_each: int = 16 << 20) -> int:
+def partitions_for(df: DataFrame, bytes_each: int = 16 << 20, most: int = 100_000) -> int:
     """Shuffle partitions for data derived from df: follows the session and the size Spark knows of."""
     size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     least = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    return max(least, min(size // bytes_each + 1, 100_000)) if size < 1 << 60 else least
+    return max(least, min(size // bytes_each + 1, most)) if size < 1 << 60 else least
 
 
 def held_out(id_col: Column | str, modulus: int, remainder: int) -> Column:

@@ -5,6 +5,9 @@ document for each key of a chunk as packed columns. So a key that a third of all
 chunk, not once for each document. A partition of the shuffle then holds all of its keys' chunk winners, sorts them
 with numpy and answers with the documents concerned. Keys are compared on 56 bits and their partition's share of the
 upper bits, about 62 bits in all.
+
+There is a part for each 16 MB of input, however many that are. Beyond TASKS parts several share a task, which gets them
+sorted and holds one at a time.
 """
 
 from __future__ import annotations
@@ -14,11 +17,14 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from .common import mix, partitions_for, slices
 
 #: Keys that a map task gathers before it sends them.
 CHUNK = 2_000_000
+#: Most tasks of a shuffle.
+TASKS = 100_000
 LOW = np.uint64((1 << 56) - 1)
 
 
@@ -53,15 +59,19 @@ def _packed(keys: np.ndarray, ids: np.ndarray) -> tuple[bytes, bytes, bytes]:
     return pack7(keys[order]), runs.astype("<u4").tobytes(), found.astype("<i8").tobytes()
 
 
+def _runs(x: np.ndarray) -> Iterator[tuple[int, int, int]]:
+    """Value, start and stop of each run of equal values."""
+    starts = np.flatnonzero(np.concatenate([[True], x[1:] != x[:-1]])) if len(x) else np.empty(0, int)
+    return zip(x[starts].tolist(), starts.tolist(), [*starts[1:].tolist(), len(x)], strict=False)
+
+
 def _by_document(keys: np.ndarray, ids: np.ndarray, parts: int) -> Iterator[tuple[int, bytes, bytes, bytes]]:
     """Answers dealt by document: one row for each of `parts` groups of ids, whatever the number of ids."""
     part = (mix(ids.view(np.uint64)) % np.uint64(parts)).astype(np.int64)
     order = np.argsort(part, kind="stable")
-    keys, ids, part = keys[order], ids[order], part[order]
-    edges = np.searchsorted(part, np.arange(parts + 1))
-    for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)):
-        if b > a:
-            yield i, *_packed(keys[a:b], ids[a:b])
+    keys, ids = keys[order], ids[order]
+    for i, a, b in _runs(part[order]):
+        yield i, *_packed(keys[a:b], ids[a:b])
 
 
 def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier: bool) -> DataFrame:
@@ -69,7 +79,9 @@ def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier:
 
     earlier: keys of which a document with a smaller id has a copy; otherwise those that any other id has.
     """
-    parts = partitions_for(rows)
+    parts = partitions_for(rows, most=1 << 31)
+    tasks = min(parts, TASKS)
+    in_turn = parts > tasks
     columns = {"part": pa.int32(), "told": pa.bool_(), "keys": pa.binary(), "runs": pa.binary(), "ids": pa.binary()}
     schema = "part int, told boolean, keys binary, runs binary, ids binary"
 
@@ -80,8 +92,7 @@ def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier:
     def send(keys: list[np.ndarray], ids: list[int], sizes: list[int]) -> Iterator[pa.RecordBatch]:
         k, d, told, told_keys = _groups(np.concatenate(keys), np.repeat(np.array(ids, np.int64), sizes), earlier)
         out = [(i, True, *x) for i, *x in _by_document(told_keys, told, parts)]
-        edges = np.searchsorted((k >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32), np.arange(parts + 1))
-        out += [(i, False, *_packed(k[a:b], d[a:b])) for i, (a, b) in enumerate(zip(edges[:-1].tolist(), edges[1:].tolist(), strict=True)) if b > a]
+        out += [(i, False, *_packed(k[a:b], d[a:b])) for i, a, b in _runs((k >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32))]
         yield from batches_of(out)
 
     def gather(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -100,32 +111,36 @@ def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier:
         if count:
             yield from send(keys, ids, sizes)
 
+    def deal(df: DataFrame) -> DataFrame:
+        dealt = df.repartitionById(tasks, F.pmod("part", F.lit(tasks)))
+        return dealt.sortWithinPartitions("part") if in_turn else dealt
+
+    def take(packed: bytes, runs: bytes, ids: bytes) -> tuple[np.ndarray, np.ndarray]:
+        return unpack7(packed), np.repeat(np.frombuffer(ids, "<i8"), np.frombuffer(runs, "<u4"))
+
+    def answer(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        k, d = map(np.concatenate, zip(*held, strict=True))
+        _, _, told, told_keys = _groups(k, d, earlier)
+        yield from batches_of([(i, True, *x) for i, *x in _by_document(told_keys, told, parts)])
+
     def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[int, tuple[list[np.ndarray], list[np.ndarray]]] = {}
+        held: dict[int, list[tuple[np.ndarray, np.ndarray]]] = {}
         for batch in batches:
             ready = []
-            for part, told, packed, runs, ids in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+            for part, told, *packed in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if told:
-                    ready.append((part, True, packed, runs, ids))
-                else:
-                    k, d = held.setdefault(part, ([], []))
-                    k.append(unpack7(packed))
-                    d.append(np.repeat(np.frombuffer(ids, "<i8"), np.frombuffer(runs, "<u4")))
+                    ready.append((part, True, *packed))
+                    continue
+                if in_turn and part not in held:
+                    for done in list(held):
+                        yield from answer(held.pop(done))
+                held.setdefault(part, []).append(take(*packed))
             yield from batches_of(ready)
         for part in list(held):
-            k, d = held.pop(part)
-            _, _, told, told_keys = _groups(np.concatenate(k), np.concatenate(d), earlier)
-            yield from batches_of([(i, True, *x) for i, *x in _by_document(told_keys, told, parts)])
+            yield from answer(held.pop(part))
 
-    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        k, d = [], []
-        for batch in batches:
-            for packed, runs, ids in zip(*(batch.column(c).to_pylist() for c in ("keys", "runs", "ids")), strict=True):
-                k.append(unpack7(packed))
-                d.append(np.repeat(np.frombuffer(ids, "<i8"), np.frombuffer(runs, "<u4")))
-        if not k:
-            return
-        keys, ids = np.concatenate(k), np.concatenate(d)
+    def whole(held: list[tuple[np.ndarray, np.ndarray]]) -> Iterator[pa.RecordBatch]:
+        keys, ids = map(np.concatenate, zip(*held, strict=True))
         order = np.argsort(ids, kind="stable")
         keys, ids = keys[order], ids[order]
         starts = np.flatnonzero(np.concatenate([[True], ids[1:] != ids[:-1]])).tolist()
@@ -133,5 +148,17 @@ def shared_keys(rows: DataFrame, keys_of: Callable[[str], np.ndarray], earlier:
             part = [*starts[i : i + 2001], len(ids)][:2001]
             yield pa.RecordBatch.from_arrays([pa.array(ids[part[:-1]]), pa.array([pack7(np.unique(keys[a:b])) for a, b in zip(part[:-1], part[1:], strict=True)], pa.binary())], names=["id", "keys"])
 
-    dealt = rows.mapInArrow(gather, schema).repartitionById(parts, "part").mapInArrow(meet, schema)
-    return dealt.repartitionById(parts, "part").mapInArrow(join, "id long, keys binary")
+    def join(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held, at = [], None
+        for batch in batches:
+            for part, *packed in zip(*(batch.column(c).to_pylist() for c in ("part", "keys", "runs", "ids")), strict=True):
+                if in_turn and held and part != at:
+                    yield from whole(held)
+                    held = []
+                at = part
+                held.append(take(*packed))
+        if held:
+            yield from whole(held)
+
+    dealt = deal(rows.mapInArrow(gather, schema)).mapInArrow(meet, schema)
+    return deal(dealt).mapInArrow(join, "id long, keys binary")

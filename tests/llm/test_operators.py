@@ -272,6 +272,16 @@ def test_substring_dedup(docs, texts):
     assert {k: sorted(v) for k, v in got.items()} == {k: sorted(v) for k, v in expected.items()}
 
 
+def test_substring_dedup_of_many_parts(docs, texts, monkeypatch):
+    from carelattice.llm import shared_keys
+
+    expected = sorted(map(str, substring_dedup(docs).collect()))
+    monkeypatch.setattr(shared_keys, "partitions_for", lambda rows, most: 23)
+    monkeypatch.setattr(shared_keys, "TASKS", 2)
+    monkeypatch.setattr(shared_keys, "CHUNK", 300)
+    assert sorted(map(str, substring_dedup(docs.repartition(6)).collect())) == expected
+
+
 def test_repeated_passages(docs, texts):
     n = suffix_dedup.LENGTH
     own = [(i, (t or "").split()) for i, t, *_ in texts]
