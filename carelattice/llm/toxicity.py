@@ -12,7 +12,8 @@ Labels are learned from at most MAX_LABELS rows (by a hash of their ids), two th
 rest, unseen by these, for the calibration. Everything else covers all rows and whole texts.
 
 Defined results: null and empty texts score what the curve gives to no evidence; without any labelled toxic row the
-score is 0. Repeated label rows count as toxic if one of them does; rows without an id or a label are not learned from.
+score is 0. Repeated label rows count as toxic if one of them does; rows without an id or a label are not learned from. Of documents
+that share an id one is learned from (the last by its text).
 """
 
 from __future__ import annotations
@@ -86,7 +87,7 @@ def segments(scores: np.ndarray) -> list[tuple[int, int, float]]:
 
 def _sample(docs: DataFrame, labels: DataFrame, id_col: str, label_col: str) -> DataFrame:
     rows = labels.filter(F.col(id_col).isNotNull() & F.col(label_col).isNotNull() & ~held_out(id_col, *HELD_OUT))
-    rows = rows.groupBy(F.col(id_col).cast("long").alias("id")).agg(F.max(label_col).cast("int").alias("label"))
+    rows = rows.groupBy(F.col(id_col).cast("long").alias("id")).agg((F.max(F.col(label_col).cast("int")) > 0).cast("int").alias("label"))
     share = min(1.0, MAX_LABELS / max(1, rows.count()))
     h = F.pmod(F.xxhash64("id"), F.lit(3_000_000))
     return rows.filter(h < int(3_000_000 * share)).withColumn("fold", F.pmod(F.xxhash64("id", F.lit(1)), F.lit(3)).cast("int"))
@@ -115,8 +116,8 @@ def _counts(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 def fit(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Model | None:
     sample = _sample(docs, labels, id_col, label_col)
-    # at most about MAX_LABELS rows: the sample's ids are broadcast, its texts written once for the passes below
-    rows = checkpoint(id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id").select("label", "fold", "text"))
+    # at most about MAX_LABELS rows, however often an id repeats: the sample's ids are broadcast, its texts written once
+    rows = checkpoint(id_and_text(docs, id_col, text_col).join(F.broadcast(sample), "id").groupBy("id", "label", "fold").agg(F.max("text").alias("text")).select("label", "fold", "text"))
     counts = rows.filter("fold > 0").select("label", "text").mapInArrow(_counts, "feature binary, n0 long, n1 long").groupBy("feature").agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
     counts = checkpoint(counts.filter(f"n1 >= {MIN_DOCS} or feature = X''"))
     totals = next(((r.n0, r.n1) for r in counts.filter("feature = X''").collect()), (0, 0))
