@@ -15,6 +15,10 @@ from .csvbatch import REQUIRED
 from .fhir import TENANT_TAG
 
 
+#: Characters of a raw CSV value that a finding shows.
+LONGEST = 2000
+
+
 def _filled(c: Column) -> Column:
     return F.coalesce(strip(c), F.lit("")) != ""
 
@@ -25,27 +29,34 @@ def finding(when: Column, code: str, field: str, message: Column | str, raw: Col
     return F.when(F.coalesce(when, F.lit(False)), row)
 
 
-def findings(rows: DataFrame, rules: list[Column], record: Column | str, keep: list[str]) -> DataFrame:
-    """One row for each finding: error_id, source_record_id, the kept columns and the finding's own."""
-    found = F.filter(F.array(*rules), lambda x: x.isNotNull())
-    out = rows.select(*keep, (F.col(record) if isinstance(record, str) else record).cast("string").alias("source_record_id"), F.explode(found).alias("f"))
+def found(rules: list[Column]) -> Column:
+    """The array of a row's findings."""
+    return F.filter(F.array(*rules), lambda x: x.isNotNull())
+
+
+def findings(rows: DataFrame, rules: list[Column] | str, record: Column | str, keep: list[str]) -> DataFrame:
+    """One row for each finding: error_id, source_record_id, the kept columns and the finding's own. rules: or a column that holds what they found."""
+    out = rows.select(*keep, (F.col(record) if isinstance(record, str) else record).cast("string").alias("source_record_id"), F.explode(rules if isinstance(rules, str) else found(rules)).alias("f"))
     return out.select(stable_id("source_record_id", "f.error_code", "f.field_path").alias("error_id"), *keep, "source_record_id", "f.*")
 
 
-def hl7_findings(parsed: DataFrame, record: str = "message_control_id", keep: tuple[str, ...] = ("tenant_id",), raw: str = "raw_message", lenient: bool = False) -> DataFrame:
-    """parsed: messages through parse_messages and parse_adt."""
+def hl7_rules(raw: str = "raw_message", lenient: bool = False) -> list[Column]:
+    """The rules on messages through parse_messages and parse_adt."""
     good = F.col("validation_status") != "ERROR"
     birth = F.coalesce(F.col("raw_birth_date"), F.lit(""))
     sex = strip(F.coalesce(F.col("raw_gender"), F.lit("")))
     name = F.translate(F.coalesce(F.col("raw_name"), F.lit("")), "^ ", "")
-    rules = [
+    return [
         finding(~good, "HL7_PARSE_FAILURE", "MSH", F.col("error"), F.col(raw), longest=500),
         finding(good & (F.coalesce("sending_facility", F.lit("")) == ""), "HL7_MISSING_MSH4", "MSH-4", "Sending facility is empty"),
         finding(good & F.col("has_pid") & (name == ""), "HL7_MISSING_PID5", "PID-5", "Patient name is empty", F.col("raw_name")),
         finding(good & F.col("has_pid") & (birth != "") & hl7_timestamp(birth, lenient).isNull(), "HL7_MALFORMED_DOB", "PID-7", "Birth date can't be read", birth),
         finding(good & F.col("has_pid") & (sex != "") & ~F.upper(sex).isin(*SEXES), "HL7_INVALID_GENDER", "PID-8", "Unknown administrative sex", sex),
     ]
-    return findings(parsed, rules, record, list(keep))
+
+
+def hl7_findings(parsed: DataFrame, record: str = "message_control_id", keep: tuple[str, ...] = ("tenant_id",), raw: str = "raw_message", lenient: bool = False) -> DataFrame:
+    return findings(parsed, hl7_rules(raw, lenient), record, list(keep))
 
 
 def fhir_findings(parsed: DataFrame, uri: str = TENANT_TAG, raw: str = "raw_bundle") -> DataFrame:
@@ -69,11 +80,11 @@ def csv_bronze_findings(rows: DataFrame, kind: str, keep: tuple[str, ...] = ("fi
         rows = with_first_row(rows, "patient_id")
         dob = strip(F.col("dob"))
         rules += [
-            finding(F.col("row_idx") > F.col("first_row_idx"), "CSV_DUPLICATE_RECORD", "patient_id", F.concat(F.lit("First seen in row "), F.col("first_row_idx").cast("string")), F.col("patient_id")),
-            finding(_filled(dob) & iso_date(dob).isNull(), "CSV_MALFORMED_DOB", "dob", "Expected YYYY-MM-DD", dob),
+            finding(F.col("row_idx") > F.col("first_row_idx"), "CSV_DUPLICATE_RECORD", "patient_id", F.concat(F.lit("First seen in row "), F.col("first_row_idx").cast("string")), F.col("patient_id"), longest=LONGEST),
+            finding(_filled(dob) & iso_date(dob).isNull(), "CSV_MALFORMED_DOB", "dob", "Expected YYYY-MM-DD", dob, longest=LONGEST),
         ]
     else:
-        rules.append(finding(_filled(F.col("result_value")) & to_float(F.col("result_value")).isNull(), "CSV_NON_NUMERIC_RESULT", "result_value", "Not a number", F.col("result_value"), "WARNING"))
+        rules.append(finding(_filled(F.col("result_value")) & to_float(F.col("result_value")).isNull(), "CSV_NON_NUMERIC_RESULT", "result_value", "Not a number", F.col("result_value"), "WARNING", LONGEST))
     return findings(rows, rules, F.concat_ws(":", F.col("row_idx").cast("string"), F.coalesce(F.col(key), F.lit(""))), list(keep))
 
 
@@ -121,6 +132,39 @@ def audit_log(rows: DataFrame, by: list[str], failed: Column, at: str | None = N
     return rows.groupBy(*by).agg(F.count("*").alias("record_count"), F.count_if(~failed).alias("pass_count"), F.count_if(failed).alias("error_count"), *extra)
 
 
+def csv_audit(batches: DataFrame, found: DataFrame) -> DataFrame:
+    """Counts of every CSV file: errors are its empty required fields, so a row with two of them counts twice."""
+    empty = found.filter("error_code = 'CSV_MISSING_REQUIRED_FIELD'").groupBy("file_name").agg(F.count("*").alias("error_count"))
+    rows = batches.select("file_name", F.col("row_count").alias("record_count")).join(empty, "file_name", "left").withColumn("error_count", F.coalesce("error_count", F.lit(0)))
+    return rows.select(F.col("file_name").alias("source_name"), "record_count", (F.col("record_count") - F.col("error_count")).alias("pass_count"), "error_count")
+
+
 def bundle_counts(parsed: DataFrame) -> DataFrame:
     """Bundles by tenant, type and status."""
     return parsed.groupBy("tenant_id", "bundle_type", "validation_status").agg(F.count("*").alias("bundles"))
+
+
+def profile(rows: DataFrame, exact: bool = True) -> DataFrame:
+    """Of each column: row_count, nulls, blanks, distinct_values, repeated_rows (whose value isn't alone) and most (of its commonest value).
+
+    Columns are unpivoted, so all are counted by one aggregation by (column, value), which combines before it is shuffled,
+    and one by column. exact=False: a single aggregation with a HyperLogLog sketch for each column, for tables with too
+    many values to shuffle; repeated_rows and most are null then.
+    """
+    text = rows.select(*(F.col(c).cast("string").alias(c) for c in rows.columns))
+    blank = lambda v: F.trim(v) == ""
+    if not exact:
+        parts = [F.struct(F.lit(c).alias("column_name"), F.count("*").alias("row_count"), F.count_if(F.col(c).isNull()).alias("nulls"), F.count_if(blank(F.col(c))).alias("blanks"), F.coalesce(F.hll_sketch_estimate(F.hll_sketch_agg(c)), F.lit(0)).alias("distinct_values"), F.lit(None).cast("long").alias("repeated_rows"), F.lit(None).cast("long").alias("most")).alias(c) for c in rows.columns]
+        return text.agg(*parts).select(F.explode(F.array(*rows.columns)).alias("p")).select("p.*")
+    pairs = text.select(F.explode(F.array(*(F.struct(F.lit(c).alias("column_name"), F.col(c).alias("value")) for c in rows.columns))).alias("p")).select("p.*")
+    values = pairs.groupBy("column_name", "value").agg(F.count("*").alias("n"))
+    some = F.col("value").isNotNull()
+    return values.groupBy("column_name").agg(
+        F.sum("n").alias("row_count"), F.coalesce(F.sum(F.when(~some, F.col("n"))), F.lit(0)).alias("nulls"), F.coalesce(F.sum(F.when(blank(F.col("value")), F.col("n"))), F.lit(0)).alias("blanks"), F.count("value").alias("distinct_values"),
+        F.coalesce(F.sum(F.when(some & (F.col("n") > 1), F.col("n"))), F.lit(0)).alias("repeated_rows"), F.max(F.when(some, F.col("n"))).alias("most"),
+    )
+
+
+def repeated_keys(rows: DataFrame, key: list[str]) -> DataFrame:
+    """The keys that more than one row has, and how many have them."""
+    return rows.groupBy(*key).agg(F.count("*").alias("n")).filter("n > 1")

@@ -10,19 +10,31 @@ from carelattice.functions.columns import blank_to_null, first_filled, iso_date,
 
 _CODING = "struct<system:string,code:string,display:string>"
 _CODEABLE = f"struct<coding:array<{_CODING}>,text:string>"
-RESOURCE = f"""struct<
-  resourceType:string,id:string,status:string,gender:string,birthDate:string,
-  identifier:array<struct<use:string,type:{_CODEABLE},system:string,value:string>>,
-  name:array<struct<use:string,family:string,given:array<string>>>,
-  telecom:array<struct<system:string,value:string,use:string>>,
-  address:array<struct<use:string,line:array<string>,city:string,state:string,postalCode:string,country:string>>,
-  class:{_CODING},subject:struct<reference:string>,encounter:struct<reference:string>,period:struct<start:string,end:string>,serviceProvider:struct<display:string>,
-  code:{_CODEABLE},effectiveDateTime:string,issued:string,valueString:string,
-  valueQuantity:struct<value:double,unit:string,system:string,code:string>,
-  interpretation:array<{_CODEABLE}>,
-  referenceRange:array<struct<low:struct<value:double,unit:string>,high:struct<value:double,unit:string>>>,
-  clinicalStatus:{_CODEABLE},verificationStatus:{_CODEABLE},onsetDateTime:string,abatementDateTime:string>""".replace("\n", "").replace("  ", "")
-BUNDLE = f"struct<resourceType:string,id:string,type:string,timestamp:string,meta:struct<lastUpdated:string,tag:array<{_CODING}>>,entry:array<struct<fullUrl:string,resource:{RESOURCE}>>>"
+#: Fields of every resource, and those of each kind that is taken in; a parse reads only what its kinds need.
+_COMMON = "resourceType:string,id:string,subject:struct<reference:string>"
+_STATUS = "status:string"
+_FIELDS = {
+    "Patient": f"gender:string,birthDate:string,identifier:array<struct<use:string,type:{_CODEABLE},system:string,value:string>>,name:array<struct<use:string,family:string,given:array<string>>>,telecom:array<struct<system:string,value:string,use:string>>,address:array<struct<use:string,line:array<string>,city:string,state:string,postalCode:string,country:string>>",
+    "Encounter": f"{_STATUS},class:{_CODING},encounter:struct<reference:string>,period:struct<start:string,end:string>,serviceProvider:struct<display:string>",
+    "Observation": f"{_STATUS},code:{_CODEABLE},effectiveDateTime:string,issued:string,valueString:string,valueQuantity:struct<value:double,unit:string,system:string,code:string>,interpretation:array<{_CODEABLE}>,referenceRange:array<struct<low:struct<value:double,unit:string>,high:struct<value:double,unit:string>>>",
+    "Condition": f"{_STATUS},code:{_CODEABLE},clinicalStatus:{_CODEABLE},verificationStatus:{_CODEABLE},onsetDateTime:string,abatementDateTime:string",
+}
+KINDS = tuple(_FIELDS)
+
+
+def resource_schema(kinds: tuple[str, ...] = KINDS) -> str:
+    fields = [_COMMON, *(_FIELDS[k] for k in kinds)]
+    # `status` and `code` mean the same in several kinds
+    whole = ",".join(fields).replace(f",{_STATUS}", "")
+    whole = whole.replace(f",code:{_CODEABLE}", "") + (f",code:{_CODEABLE}" if {"Observation", "Condition"} & set(kinds) else "") + (f",{_STATUS}" if set(kinds) - {"Patient"} else "")
+    return f"struct<{whole}>"
+
+
+def bundle_schema(kinds: tuple[str, ...] = KINDS) -> str:
+    return f"struct<resourceType:string,id:string,type:string,timestamp:string,meta:struct<lastUpdated:string,tag:array<{_CODING}>>,entry:array<struct<fullUrl:string,resource:{resource_schema(kinds)}>>>"
+
+
+RESOURCE, BUNDLE = resource_schema(), bundle_schema()
 
 # The default tag systems of tenant and source; both are parameters.
 TENANT_TAG = "https://oklahoma-hdu.example.org/tags/tenant"
@@ -45,9 +57,9 @@ def source(bundle: Column, uri: str = TENANT_TAG) -> Column:
     return F.coalesce(named, F.get(F.filter(bundle["meta"]["tag"], lambda t: (F.coalesce(t["system"], F.lit("")) != uri) & (F.coalesce(t["code"], F.lit("")) != "")), F.lit(0))["code"])
 
 
-def parse_bundles(bundles: DataFrame, default_tenant: str | None = None, raw: str = "raw_bundle", uri: str = TENANT_TAG) -> DataFrame:
-    """One row for each bundle; what is no JSON or no Bundle stays, with status ERROR."""
-    df = bundles.withColumn("bundle", F.from_json(raw, BUNDLE))
+def parse_bundles(bundles: DataFrame, default_tenant: str | None = None, raw: str = "raw_bundle", uri: str = TENANT_TAG, kinds: tuple[str, ...] = KINDS) -> DataFrame:
+    """One row for each bundle; what is no JSON or no Bundle stays, with status ERROR. kinds: of which all fields are read."""
+    df = bundles.withColumn("bundle", F.from_json(raw, bundle_schema(kinds)))
     good = F.coalesce(F.col("bundle.resourceType") == "Bundle", F.lit(False))
     types = F.filter(F.transform("bundle.entry", lambda e: e["resource"]["resourceType"]), lambda t: t.isNotNull())
     return df.select(
@@ -63,21 +75,30 @@ def parse_bundles(bundles: DataFrame, default_tenant: str | None = None, raw: st
     )
 
 
+def _patient_of(entries: Column) -> Column:
+    """For each entry the place of its subject in the bundle: that of the last Patient entry with the id it refers to."""
+    ids = F.reverse(F.transform(entries, lambda e: F.when(e["resource"]["resourceType"] == "Patient", e["resource"]["id"])))
+    at = lambda e: F.array_position(ids, reference_key(e["resource"]["subject"]["reference"]))
+    return F.transform(entries, lambda e: F.struct(e.alias("entry"), F.when(at(e) > 0, F.size(entries) - at(e)).cast("int").alias("subject_entry")))
+
+
 def resources(parsed: DataFrame, raw: str = "raw_bundle", keep_bundle: bool = True) -> DataFrame:
     """One row for each entry of good bundles, in order, with `supported`; and one ERROR row for each bad bundle.
 
-    The bundle's text stays on its first entry only.
+    The bundle's text stays on its first entry only. subject_entry: the entry_index of the Patient that the entry is about,
+    if the bundle has it; it is found within the bundle's own array, without a join.
     """
     good = parsed.filter("validation_status = 'PASS'")
     keep = [c for c in parsed.columns if c not in ("bundle", raw, "resource_types")]
-    out = good.select(*keep, F.col(raw).alias("_raw"), F.posexplode("bundle.entry").alias("entry_index", "entry"))
+    out = good.select(*keep, F.col(raw).alias("_raw"), F.posexplode(_patient_of(F.col("bundle.entry"))).alias("entry_index", "_e"))
+    out = out.select(*keep, "_raw", "entry_index", "_e.entry", "_e.subject_entry")
     kind = F.coalesce("entry.resource.resourceType", F.lit("UNKNOWN"))
     rows = out.select(
         *keep, "entry_index", kind.alias("resource_type"), F.col("entry.resource.id").alias("resource_id"), F.col("entry.resource").alias("resource"),
-        kind.isin(*RESOURCE_TYPES).alias("supported"), (F.when(F.col("entry_index") == 0, F.col("_raw")) if keep_bundle else F.lit(None).cast("string")).alias("bundle_payload"),
+        kind.isin(*RESOURCE_TYPES).alias("supported"), (F.when(F.col("entry_index") == 0, F.col("_raw")) if keep_bundle else F.lit(None).cast("string")).alias("bundle_payload"), "subject_entry",
     )
     errors = parsed.filter("validation_status = 'ERROR'").select(
-        *keep, F.lit(0).alias("entry_index"), F.lit("UNKNOWN").alias("resource_type"), F.lit(None).cast("string").alias("resource_id"), F.lit(None).cast(RESOURCE).alias("resource"), F.lit(True).alias("supported"), F.col(raw).alias("bundle_payload")
+        *keep, F.lit(0).alias("entry_index"), F.lit("UNKNOWN").alias("resource_type"), F.lit(None).cast("string").alias("resource_id"), F.lit(None).cast(rows.schema["resource"].dataType).alias("resource"), F.lit(True).alias("supported"), F.col(raw).alias("bundle_payload"), F.lit(None).cast("int").alias("subject_entry")
     )
     return rows.unionByName(errors)
 
@@ -168,3 +189,8 @@ def link_subjects(rows: DataFrame, umpis: DataFrame, global_ids: bool = False) -
         return rows.join(known, "subject_key")
     known = umpis.groupBy("bundle_id", F.col("source_id").alias("subject_key")).agg(F.max_by("umpi", "arrival_seq").alias("umpi"), F.max("arrival_seq").alias("subject_seq"))
     return rows.join(known, ["bundle_id", "subject_key"])
+
+
+def of_subjects(rows: DataFrame) -> DataFrame:
+    """Rows whose subject is a Patient of their own bundle, whose id is subject_key."""
+    return rows.filter("subject_entry is not null")

@@ -67,7 +67,8 @@ def first_rows(rows: DataFrame, key: str = "umpi", order: str = "arrival_seq") -
 def patient_summary(patients: DataFrame, encounters: DataFrame, diagnoses: DataFrame, as_of: dt.date) -> DataFrame:
     """One row for each patient: each child table is aggregated by patient before it is joined."""
     flags = diagnosis_flags(diagnoses)
-    people = first_rows(patients.select("umpi", "arrival_seq", "tenant_id", "given_name", "family_name", "birth_date", "gender", "postal_code"))
+    patients = patients if "state" in patients.columns else patients.withColumn("state", F.lit(None).cast("string"))
+    people = first_rows(patients.select("umpi", "arrival_seq", "tenant_id", "given_name", "family_name", "birth_date", "gender", "state", "postal_code"))
     out = people.join(utilization(encounters, as_of), "umpi", "left").join(pcp_attribution(encounters, as_of), "umpi", "left").join(flags, "umpi", "left")
     out = out.fillna(False, [*CHARLSON, *(f"has_{n.lower()}" for n in CHRONIC)]).fillna(0, ["encounters_12m", "ed_visits_12m", "inpatient_days_12m"])
     name = F.nullif(F.trim(F.concat(F.coalesce("given_name", F.lit("")), F.lit(" "), F.coalesce("family_name", F.lit("")))), F.lit(""))
@@ -75,6 +76,7 @@ def patient_summary(patients: DataFrame, encounters: DataFrame, diagnoses: DataF
     return out.select(
         hash_umpi(F.col("umpi")).alias("patient_hash"), "umpi", "tenant_id", name.alias("full_name"), age(F.col("birth_date"), F.lit(as_of)).alias("age"), "gender", "postal_code", F.lit(as_of).alias("as_of_date"),
         "charlson_index", F.lit(0).alias("elixhauser_index"), risk_tier(F.col("charlson_index")).alias("risk_tier"), *(f"has_{n.lower()}" for n in CHRONIC), "encounters_12m", "ed_visits_12m", "inpatient_days_12m", "last_encounter_date", "pcp_npi", "pcp_name",
+        "birth_date", "state", F.when(F.col("pcp_npi").isNotNull(), "ENCOUNTER_FREQUENCY").alias("attribution_method"), F.current_timestamp().alias("risk_score_updated_ts"), F.current_timestamp().alias("refreshed_ts"),
     )
 
 

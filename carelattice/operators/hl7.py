@@ -32,14 +32,20 @@ def msh_fields(raw: Column) -> Column:
     return F.struct(blank_to_null(separator).alias("separator"), *(at(i).alias(n) for n, i in named.items()), F.get(fields, F.lit(3)).alias("raw_facility"))
 
 
-def ztn_fields(raw: Column, separator: Column) -> Column:
-    """Map of the first ZTN line's key=value fields, the last of equal keys; empty without one."""
+def ztn_pairs(raw: Column, separator: Column) -> Column:
+    """Array of the first ZTN line's (key, value) fields; null without one."""
     fields = _split(_line(_lines(raw), "ZTN"), separator)
-    pairs = F.transform(F.filter(fields, lambda x: F.instr(x, "=") > 0), lambda x: F.struct(strip(F.substring_index(x, "=", 1)).alias("key"), strip(F.substr(x, F.instr(x, F.lit("=")) + 1)).alias("value")))
-    # of equal keys the last: those that come again later are dropped, whatever the session's map policy
-    keys = F.transform(pairs, lambda p: p["key"])
-    last = F.filter(pairs, lambda p, i: ~F.exists(F.slice(keys, i + 2, F.size(keys)), lambda k: k == p["key"]))
-    return F.coalesce(F.map_from_entries(last), F.create_map().cast("map<string,string>"))
+    return F.transform(F.filter(fields, lambda x: F.instr(x, "=") > 0), lambda x: F.struct(strip(F.substring_index(x, "=", 1)).alias("key"), strip(F.substr(x, F.instr(x, F.lit("=")) + 1)).alias("value")))
+
+
+def with_ztn(rows: DataFrame, raw: Column, separator: Column) -> DataFrame:
+    """rows with ztn, their ztn_pairs. They come out of a generator, so that Spark doesn't copy the expression to each use."""
+    return rows.select("*", F.explode(F.array(ztn_pairs(raw, separator))).alias("ztn"))
+
+
+def ztn_value(key: str) -> Column:
+    """The value of a key of with_ztn's rows, the last of equal keys."""
+    return F.try_element_at(F.filter("ztn", lambda p: p["key"] == key), F.lit(-1))["value"]
 
 
 def feed_type(message_type: Column) -> Column:
@@ -52,9 +58,8 @@ def parse_messages(messages: DataFrame, default_tenant: str | None = None, raw:
     Tenant: the ZTN segment, else default_tenant, else the sending facility, else UNKNOWN; empty values don't count.
     """
     df = messages.withColumn("msh", msh_fields(F.col(raw)))
-    df = df.withColumn("ztn", ztn_fields(F.col(raw), F.coalesce("msh.separator", F.lit("|"))))
+    df, ztn = with_ztn(df, F.col(raw), F.coalesce("msh.separator", F.lit("|"))), ztn_value
     bad = F.col("msh.separator").isNull()
-    ztn = lambda k: F.try_element_at("ztn", F.lit(k))
     default = F.lit(default_tenant or None).cast("string")
     return df.select(
         *messages.columns,

@@ -17,7 +17,7 @@ from . import fixtures as fx
 _TS = "'%Y-%m-%d %H:%M:%S'"
 #: Message times and birth dates by case; of the first eight days, four are only read leniently.
 TIMES = ("20010315101530", "20010231101500", "200103151015", "20010315101530-0500", "abc", "", "20010315", "20010315101530")
-BORN = ("19991399", "20001432", "99999999", "20191301", "notadate", "", "19580412", "00000000")
+BORN = ("19871350", "20001499", "98989898", "20171732", "unclear", "", "19580412", "20010000")
 
 
 def _time(c: str) -> Column:
@@ -99,7 +99,7 @@ def fhir_values(s: SparkSession, d: str) -> DataFrame:
 
 def fhir_value_log(s: SparkSession, d: str) -> DataFrame:
     """One entry for each LOINC coding."""
-    return terminology.normalization_log(_observations(s, d)).select("source_record_id", "target_vocabulary", "target_code", "normalization_method", "confidence")
+    return terminology.normalization_log(_observations(s, d)).select(F.col("source_id").alias("source_record_id"), "mapping_type", "source_value", "source_system", F.col("mapped_value").alias("target_code"), "mapped_system", F.col("mapping_method").alias("normalization_method"), F.col("mapping_confidence").alias("confidence"))
 
 
 def _two_files(s: SparkSession, d: str) -> DataFrame:
@@ -184,8 +184,9 @@ def sql(labs: str) -> dict[str, str]:
             ({_by(f"{k} % 5", ["NULL", "7.25", "6.5"])})::DOUBLE AS value_quantity, CASE WHEN {k} % 5 = 0 THEN 'POSITIVE' END AS value_string, {_by(f"{k} % 5", ["NULL", "'%'", "'percent'"])} AS value_unit,
             CASE WHEN {k} % 5 = 3 THEN 4.0::DOUBLE END AS reference_range_low, CASE WHEN {k} % 5 >= 3 THEN 5.6::DOUBLE END AS reference_range_high, CASE {k} % 5 WHEN 3 THEN '%' WHEN 4 THEN 'mg' END AS reference_range_unit,
             CASE WHEN {k} % 5 = 3 THEN 'H' END AS interpretation_code, CASE WHEN {k} % 5 = 3 THEN 'High' END AS interpretation_display, {_by(f"{k} % 5", ["'2001-03-15 00:00:00'", "'2001-03-15 10:15:30'", "'2001-03-16 01:02:03'"])} AS effective FROM orders""",
-        "fhir_value_log": f"""SELECT {k}::VARCHAR AS source_record_id, 'LOINC' AS target_vocabulary, unnest({_by(f"{k} % 5", ["['4548-4']", "['4548-4', '2345-7']", "['4548-4']", "[NULL::VARCHAR]", "[NULL::VARCHAR]"])}) AS target_code,
-            {_by(f"{k} % 5", ["'TERMINOLOGY_SERVICE'", "'SOURCE_LOINC'", "'TERMINOLOGY_SERVICE'", "'UNMAPPED'", "'UNMAPPED'"])} AS normalization_method, (CASE WHEN {k} % 5 < 3 THEN 1 ELSE 0 END)::DOUBLE AS confidence FROM orders""",
+        "fhir_value_log": f"""SELECT {k}::VARCHAR AS source_record_id, 'LOINC_MAP' AS mapping_type, e.v AS source_value, e.s AS source_system, e.c AS target_code, CASE WHEN e.c IS NOT NULL THEN 'http://loinc.org' END AS mapped_system,
+            {_by(f"{k} % 5", ["'TERMINOLOGY_SERVICE'", "'SOURCE_LOINC'", "'TERMINOLOGY_SERVICE'", "'UNMAPPED'", "'UNMAPPED'"])} AS normalization_method, (CASE WHEN {k} % 5 < 3 THEN 1 ELSE 0 END)::DOUBLE AS confidence
+            FROM (SELECT {k}, unnest({_by(f"{k} % 5", ["[{'v': 'HbA1c', 's': 'LOCAL', 'c': '4548-4'}]", "[{'v': '4548-4', 's': 'http://loinc.org', 'c': '4548-4'}, {'v': '2345-7', 's': 'http://loinc.org', 'c': '2345-7'}]", "[{'v': 'hba1c', 's': 'urn:local', 'c': '4548-4'}]", "[{'v': 'mystery', 's': 'LOCAL', 'c': NULL}]", "[{'v': NULL, 's': 'LOCAL', 'c': NULL}]"])}) AS e FROM orders)""",
         "csv_two_files": f"""WITH files AS (SELECT c_custkey AS c, CASE WHEN c_custkey % 2 = 0 THEN 'a.csv' ELSE 'b.csv' END AS file_name, CASE WHEN c_custkey % 31 = 0 THEN ' ' ELSE 'PT' || (c_custkey // 4) END AS id FROM customer), n AS ({per_dup})
             SELECT stage, file_name, c || ':' || id AS source_record_id, CASE WHEN id = ' ' THEN 'CSV_MISSING_REQUIRED_FIELD' WHEN stage = 'bronze' THEN 'CSV_DUPLICATE_RECORD' ELSE 'CSV_DUPLICATE_ROW' END AS error_code, CASE WHEN stage = 'bronze' THEN 'ERROR' ELSE 'WARNING' END AS error_severity,
             CASE WHEN id <> ' ' THEN id END AS raw_value FROM n, (VALUES ('bronze'), ('silver')) v(stage) WHERE id = ' ' AND stage = 'bronze' OR id <> ' ' AND nth > 1""",

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from carelattice.functions.codes import ADT_COARSE, ADT_LABELS, CHARLSON, CHRONIC, LOINC, RXNORM, SNOMED
 
-from . import faults
+from . import faults, written
 from .fixtures import AS_OF, CODES, DRUGS, NAMES, YEAR
 
 
@@ -91,7 +91,7 @@ _MPI = """SELECT source_id, sha256('umpi~' || c_custkey) AS umpi, CASE WHEN b =
 def sql() -> dict[str, str]:
     chronic = ", ".join(f"has_{n.lower()}" for n in CHRONIC)
     return {
-        "patient_risk_summary": _with("summary") + "SELECT * EXCLUDE (umpi) FROM summary",
+        "patient_risk_summary": _with("summary") + "SELECT s.* EXCLUDE (umpi), strftime(p.birth_date, '%Y-%m-%d') AS birth_date, 'OK' AS state, CASE WHEN pcp_npi IS NOT NULL THEN 'ENCOUNTER_FREQUENCY' END AS attribution_method FROM summary s JOIN patients p USING (umpi)",
         "charlson_index": _with("charlson") + "SELECT umpi, charlson_index FROM charlson",
         "chronic_flags": _with("flags") + f"SELECT umpi, {chronic} FROM flags",
         "utilization_12m": _with("util") + "SELECT umpi, encounters_12m, ed_visits_12m, inpatient_days_12m FROM util",
@@ -117,7 +117,7 @@ def sql() -> dict[str, str]:
         "rxnorm_map": f"SELECT p_partkey, {_case(f'lower({_list(DRUGS)}[(p_partkey % 7)::INT + 1])', RXNORM)} AS rxnorm_code FROM part",
         "snomed_map": _with("diagnoses") + f"SELECT icd AS icd10_code, {_case('icd', SNOMED)} AS snomed_code, count(*) AS n FROM diagnoses GROUP BY 1, 2",
         "unmapped_codes": _with("coded") + "SELECT source_display, 'UNKNOWN' AS source_code, count(*) AS occurrences FROM coded WHERE loinc_code IS NULL GROUP BY 1",
-        "normalization_log": _with("coded") + "SELECT source_record_id, source_display, loinc_code AS target_code, CASE WHEN loinc_code IS NULL THEN 'UNMAPPED' ELSE 'TERMINOLOGY_SERVICE' END AS normalization_method, (CASE WHEN loinc_code IS NULL THEN 0.0 ELSE 1.0 END)::DOUBLE AS confidence FROM coded",
+        "normalization_log": _with("coded") + "SELECT source_record_id AS source_id, 'ingest_fhir_bundles' AS source_table, 'clinical_observations' AS target_table, 'LOINC_MAP' AS mapping_type, source_display AS source_value, 'LOCAL' AS source_system, loinc_code AS mapped_value, CASE WHEN loinc_code IS NOT NULL THEN 'http://loinc.org' END AS mapped_system, CASE WHEN loinc_code IS NULL THEN 'UNMAPPED' ELSE 'TERMINOLOGY_SERVICE' END AS mapping_method, (CASE WHEN loinc_code IS NULL THEN 0.0 ELSE 1.0 END)::DOUBLE AS confidence, '1' AS pipeline_version FROM coded",
         "hl7_split": "SELECT floor(o_orderkey / 100)::BIGINT AS batch, count(*) AS messages FROM orders GROUP BY 1",
         "hl7_msh": _with("msgs") + f"SELECT 'MSG' || k AS message_control_id, 'APP' || (k % 3) AS sending_application, CASE WHEN c % 50 = 4 THEN '' ELSE 'FAC' || (k % 6) END AS sending_facility, '2.5.1' AS hl7_version, strftime(moment, {_TS}) AS message_datetime FROM msgs",
         "hl7_ztn": _with("msgs") + "SELECT 'MSG' || k AS message_control_id, CASE WHEN k % 7 <> 0 THEN 'TENANT_' || (c_nationkey % 4) END AS tenant, CASE WHEN k % 7 <> 0 THEN 'SYS' || (k % 2) END AS source, CASE WHEN k % 7 <> 0 THEN 'B1' END AS batch FROM msgs",
@@ -156,4 +156,5 @@ def sql() -> dict[str, str]:
         "patient_observation_preview": _with("patients", "coded") + f"SELECT p.umpi, family_name, source_display, value_quantity, strftime(effective, {_TS}) AS effective FROM patients p LEFT JOIN coded o ON p.umpi = o.umpi",
         "union_conditions": _with("diagnoses", "msgs") + "SELECT source, icd10_code, count(*) AS n FROM (SELECT 'FHIR' AS source, icd AS icd10_code FROM diagnoses UNION ALL SELECT 'HL7', dx FROM msgs WHERE a01) GROUP BY 1, 2",
         **faults.sql(_with("labs")),
+        **written.sql(_with("msgs"), _with("csvp"), _HL7_TENANT, _FHIR_TENANT),
     }

@@ -1,15 +1,22 @@
 """The medallion run: files to raw tables, raw to clinical tables, clinical tables to analytics.
 
 Each stage reads tables and files and writes tables; a run id ties its rows together, so a stage can be restricted to one
-run. A run that is repeated replaces its own rows. Persons that earlier runs know are found again by their keys. The order
-of arrival (file, place in it) is kept in the stored times: rows of a run are microseconds apart. Everything within a stage
-is lazy; what several outputs share (resolved identities) is checkpointed once.
+run. What a stage writes is staged first; findings and counts come from the staged rows, without a second parse. When the
+stage is over, its tables' partitions of the run are replaced, each in one commit, so a stage that fails changes nothing.
+
+Runs have an order, that of their first start (table pipeline_runs, append-only). A run knows the persons of earlier runs,
+also when it is replayed after later ones. If a replay ends with other persons or links than before, the later runs are
+marked STALE, and `replay` runs them again in their order. The order of arrival (file, place in it) is kept in the stored
+times: rows of a run are microseconds apart.
 """
 
 from __future__ import annotations
 
 import argparse
 import datetime as dt
+import threading
+import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, field
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -17,9 +24,9 @@ from pyspark.sql import functions as F
 
 from carelattice.functions.columns import stable_id
 from carelattice.operators import csvbatch, dq, fhir, gold, hl7, identity, terminology
-from carelattice.operators.graph import checkpoint
+from carelattice.operators.shared import checkpoint, numbered
 from carelattice.sources.files import csv_rows, fhir_files, hl7_files, table_rows, whole_files
-from carelattice.sources.writers import append, clear_run, create_tables, truncate
+from carelattice.sources.writers import Staging, append, create_tables, truncate
 
 
 @dataclass
@@ -40,6 +47,11 @@ class Config:
     lenient: bool = False
     global_ids: bool = False
     upstream_run: str | None = None
+    first_only: bool = False
+    write: bool = True
+    stage_seconds: float | None = None
+    version: str = "1.0.0"
+    run_seq: int | None = None
     done: list[str] = field(default_factory=list)
 
     def table(self, name: str) -> str:
@@ -51,51 +63,50 @@ def _stamp(df: DataFrame, cfg: Config) -> DataFrame:
     return df.withColumns({"pipeline_run_id": F.lit(cfg.run_id), **{c: now for c in ("received_at", "created_at", "detected_at", "generated_at", "exported_at", "first_seen_at", "last_seen_at", "completed_at", "started_at") if c not in df.columns}})
 
 
-def _log(spark: SparkSession, cfg: Config, found: DataFrame, source: str) -> None:
-    append(_stamp(found.withColumns({"source_table": F.lit(source), "resolved": F.lit(False)}), cfg), cfg.table("audit_validation_errors"))
+def _log(cfg: Config, out: Staging, found: DataFrame, source: str) -> None:
+    out.later(_stamp(found.withColumns({"source_table": F.lit(source), "resolved": F.lit(False)}), cfg), "audit_validation_errors")
+
+
+def _audit(cfg: Config, out: Staging, counts: DataFrame, source: str, target: str) -> None:
+    """counts: source_name, record_count, pass_count, error_count and, if it isn't the default, tenant_id."""
+    rows = counts.withColumns({"source_system": F.lit(source), "target_table": F.lit(target), "log_id": stable_id(F.lit(cfg.run_id), F.lit(target), F.lit(source), "source_name")})
+    out.later(_stamp(rows if "tenant_id" in rows.columns else rows.withColumn("tenant_id", F.lit(cfg.default_tenant)), cfg), "audit_ingest_log")
 
 
-def _audit(cfg: Config, rows: DataFrame, failed, source: str, target: str, by: str = "file_name") -> None:
-    counts = dq.audit_log(rows, [by], failed).withColumns({"source_name": F.col(by), "source_system": F.lit(source), "target_table": F.lit(target), "log_id": stable_id(F.lit(cfg.run_id), F.lit(target), by), "tenant_id": F.lit(cfg.default_tenant)})
-    append(_stamp(counts, cfg), cfg.table("audit_ingest_log"))
+def _audit_messages(cfg: Config, out: Staging, staged: DataFrame, source: str, target: str) -> None:
+    counts = dq.audit_log(staged, ["file_name"], F.col("validation_status") == "ERROR")
+    _audit(cfg, out, counts.withColumnRenamed("file_name", "source_name"), source, target)
 
 
-def ingest_hl7(spark: SparkSession, cfg: Config) -> None:
+def ingest_hl7(spark: SparkSession, cfg: Config, out: Staging) -> None:
     parsed = hl7.parse_adt(hl7.parse_messages(hl7_files(spark, cfg.hl7_path), cfg.default_tenant, lenient=cfg.lenient))
     # sorts as the messages arrived, and tells them from those of other runs
     parsed = parsed.withColumn("message_id", F.concat_ws("/", F.lit(cfg.run_id), "file_name", F.substring(stable_id("file_path"), 1, 8), F.lpad(F.col("arrival_seq").cast("string"), 10, "0")))
-    append(_stamp(parsed.withColumn("source_facility", F.col("sending_facility")), cfg), cfg.table("ingest_hl7_messages"))
-    _log(spark, cfg, dq.hl7_findings(parsed, "message_id", ("tenant_id",), lenient=cfg.lenient), "ingest_hl7_messages")
-    _audit(cfg, parsed, F.col("validation_status") == "ERROR", "HL7", "ingest_hl7_messages")
+    parsed = parsed.withColumns({"source_facility": F.col("sending_facility"), "findings": dq.found(dq.hl7_rules(lenient=cfg.lenient))})
+    staged = out.add(_stamp(parsed, cfg), "ingest_hl7_messages", ("file_name", "findings"))
+    _log(cfg, out, dq.findings(staged, "findings", "message_id", ["tenant_id"]), "ingest_hl7_messages")
+    _audit_messages(cfg, out, staged, "HL7", "ingest_hl7_messages")
 
 
-def ingest_fhir(spark: SparkSession, cfg: Config) -> None:
+def ingest_fhir(spark: SparkSession, cfg: Config, out: Staging) -> None:
     parsed = fhir.parse_bundles(fhir_files(spark, cfg.fhir_path), cfg.default_tenant)
     order = numbered(parsed.select("file_path", F.col("arrival_seq").alias("place")), ["file_path", "place"])
     rows = parsed.drop("bundle").withColumnRenamed("arrival_seq", "place").join(order, ["file_path", "place"]).withColumn("received_at", _at(cfg, "arrival_seq"))
-    append(_stamp(rows, cfg), cfg.table("ingest_fhir_bundles"))
-    _log(spark, cfg, dq.fhir_findings(parsed), "ingest_fhir_bundles")
-    _audit(cfg, parsed, F.col("validation_status") == "ERROR", "FHIR", "ingest_fhir_bundles")
-
-
-def _csv(spark: SparkSession, path: str) -> DataFrame:
-    """Rows with their file and their number in it: a file is read by one task, so its rows are numbered without gaps."""
-    rows = csv_rows(spark, path)
-    rows = rows.select(F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), F.monotonically_increasing_id().alias("_row"), *rows.columns)
-    first = rows.groupBy("file_path").agg(F.min("_row").alias("_first"))
-    return rows.join(first, "file_path").withColumn("row_idx", F.col("_row") - F.col("_first") + 1).drop("_row", "_first", "file_path")
+    staged = out.add(_stamp(rows, cfg), "ingest_fhir_bundles", ("file_name",))
+    _log(cfg, out, dq.fhir_findings(parsed), "ingest_fhir_bundles")
+    _audit_messages(cfg, out, staged, "FHIR", "ingest_fhir_bundles")
 
 
-def ingest_csv(spark: SparkSession, cfg: Config) -> None:
+def ingest_csv(spark: SparkSession, cfg: Config, out: Staging) -> None:
     for kind, path in (("patients", cfg.csv_patients_path), ("labs", cfg.csv_labs_path)):
         if not path:
             continue
-        rows, files = _csv(spark, path), whole_files(spark, path)
-        found = dq.csv_bronze_findings(rows, kind)
+        rows, files = checkpoint(csv_rows(spark, path)), whole_files(spark, path)
+        found = out.add(_stamp(dq.csv_bronze_findings(rows, kind).withColumns({"source_table": F.lit("ingest_csv_batches"), "resolved": F.lit(False), "source_name": F.col("file_name"), "tenant_id": F.lit(cfg.default_tenant)}), cfg), "audit_validation_errors", ("file_name",))
         batches = csvbatch.csv_batches(rows, ["file_name"], found).join(files.select("file_name", F.col("file_size").alias("file_size_bytes"), F.col("value").alias("raw_content")), "file_name")
         batches = batches.withColumns({"batch_id": stable_id(F.lit(cfg.run_id), "file_name"), "file_type": F.lit(kind), "tenant_id": F.lit(cfg.default_tenant), "source_system": F.lit("CSV")})
-        append(_stamp(batches, cfg), cfg.table("ingest_csv_batches"))
-        _log(spark, cfg, found.withColumns({"source_name": F.col("file_name"), "tenant_id": F.lit(cfg.default_tenant)}), "ingest_csv_batches")
+        staged = out.add(_stamp(batches, cfg), "ingest_csv_batches", ("file_name",))
+        _audit(cfg, out, dq.csv_audit(staged, found), "CSV", "ingest_csv_batches")
 
 
 def _upstream(spark: SparkSession, cfg: Config, name: str) -> DataFrame:
@@ -109,13 +120,76 @@ def _at(cfg: Config, order: str) -> Column:
     return F.timestamp_micros(F.unix_micros(F.lit(cfg.run_ts).cast("timestamp")) + F.col(order).cast("long"))
 
 
+def _runs(spark: SparkSession, cfg: Config) -> DataFrame:
+    """run_id and run_seq of all runs."""
+    return spark.table(cfg.table("pipeline_runs")).filter("event = 'REGISTERED'").select(F.col("pipeline_run_id").alias("run_id"), "run_seq")
+
+
+def _record(spark: SparkSession, cfg: Config, run_id: str, run_seq: int, event: str, outcome: str | None = None) -> None:
+    row = spark.createDataFrame([(run_seq, event, outcome, run_id)], "run_seq long, event string, outcome string, pipeline_run_id string")
+    append(row.withColumn("recorded_at", F.current_timestamp()), cfg.table("pipeline_runs"))
+
+
+def register(spark: SparkSession, cfg: Config) -> int:
+    """The place of this run in the order of runs: that of its first start."""
+    if cfg.run_seq is None:
+        found = _runs(spark, cfg).agg(F.max("run_seq").alias("last"), F.max(F.when(F.col("run_id") == cfg.run_id, F.col("run_seq"))).alias("own")).first()
+        cfg.run_seq = found.own or (found.last or 0) + 1
+        if found.own is None:
+            _record(spark, cfg, cfg.run_id, cfg.run_seq, "REGISTERED")
+    return cfg.run_seq
+
+
+def run_state(spark: SparkSession, cfg: Config) -> DataFrame:
+    """run_id, run_seq, event and outcome: of every run what was recorded last about its persons (DONE or STALE)."""
+    events = spark.table(cfg.table("pipeline_runs")).filter("event <> 'REGISTERED'")
+    last = events.groupBy(F.col("pipeline_run_id").alias("run_id")).agg(F.max_by(F.struct("event", "outcome"), "recorded_at").alias("last"))
+    return _runs(spark, cfg).join(last, "run_id", "left").select("run_id", "run_seq", "last.event", "last.outcome")
+
+
+def _outcome(spark: SparkSession, cfg: Config) -> str:
+    """A number that two equal sets of persons and links have in common, whatever their order."""
+    columns = {"mpi_patient_index": ["umpi"], "mpi_identity_crosswalk": ["umpi", "source_record_id", "source_mrn", "source_facility_npi"], "clinical_patients": ["umpi", "family_name", "given_name", "birth_date", "postal_code"]}
+    parts = [table_rows(spark, cfg.table(t), cfg.run_id).select(F.xxhash64(F.lit(t), *c).cast("decimal(38,0)").alias("h")) for t, c in columns.items()]
+    r = parts[0].unionByName(parts[1]).unionByName(parts[2]).agg(F.count("*").alias("n"), F.coalesce(F.sum("h"), F.lit(0)).alias("h")).first()
+    return f"{r.n}:{r.h}"
+
+
+def _settle(spark: SparkSession, cfg: Config) -> None:
+    """Record what persons the run ended with; if a replay ended with others, later runs have to be replayed."""
+    states = {r.run_id: r for r in run_state(spark, cfg).collect()}  # one row a run
+    own, outcome = states[cfg.run_id], _outcome(spark, cfg)
+    _record(spark, cfg, cfg.run_id, own.run_seq, "DONE", outcome)
+    if own.event is not None and own.outcome != outcome:
+        for r in sorted(states.values(), key=lambda r: r.run_seq):
+            if r.run_seq > own.run_seq and r.event == "DONE":
+                _record(spark, cfg, r.run_id, r.run_seq, "STALE", r.outcome)
+
+
+def stale_runs(spark: SparkSession, cfg: Config) -> list[str]:
+    """The runs that have to be replayed, in their order."""
+    return [r.run_id for r in run_state(spark, cfg).filter("event = 'STALE'").orderBy("run_seq").collect()]
+
+
+def replay(spark: SparkSession, configs: list[Config], stages: list[str] | None = None) -> list[str]:
+    """Run the stale ones of these runs again, in their order, until none is stale; the ids of those that were run."""
+    by, done = {c.run_id: c for c in configs}, []
+    while names := [r for r in stale_runs(spark, configs[0]) if r in by]:
+        run(spark, by[names[0]], stages or ["silver", "gold"])
+        done.append(names[0])
+    return done
+
+
 def _known(spark: SparkSession, cfg: Config) -> DataFrame | None:
     """The persons of earlier runs, as seeds in the order in which they were stored."""
-    earlier = lambda t: spark.table(cfg.table(t)).filter(F.col("pipeline_run_id") != cfg.run_id)
-    people = earlier("clinical_patients").withColumn("place", F.concat_ws("/", F.lpad(F.unix_micros("created_at").cast("string"), 20, "0"), "patient_id"))
-    links = earlier("mpi_identity_crosswalk").withColumn("place", F.concat_ws("/", "pipeline_run_id", "crosswalk_id"))
-    seeds = identity.seeds_from(people, links)
-    return None if seeds.isEmpty() else numbered(seeds, ["place"]).withColumnRenamed("arrival_seq", "seq").drop("place")
+    people = spark.table(cfg.table("clinical_patients")).withColumn("place", F.concat_ws("/", F.lpad(F.unix_micros("created_at").cast("string"), 20, "0"), "patient_id"))
+    links = spark.table(cfg.table("mpi_identity_crosswalk")).withColumn("place", F.col("crosswalk_id"))
+    return identity.seeds_before(people, links, _runs(spark, cfg), register(spark, cfg))
+
+
+def known_persons(spark: SparkSession, cfg: Config) -> DataFrame:
+    """The index as of this run: its persons and those of earlier runs, each with valid_from and its records up to then."""
+    return identity.person_index(spark.table(cfg.table("mpi_patient_index")), spark.table(cfg.table("mpi_identity_crosswalk")), _runs(spark, cfg), register(spark, cfg))
 
 
 def _bundles(spark: SparkSession, cfg: Config) -> DataFrame:
@@ -125,10 +199,13 @@ def _bundles(spark: SparkSession, cfg: Config) -> DataFrame:
 
 def _csv_table(spark: SparkSession, cfg: Config, kind: str, columns: tuple[str, ...]) -> DataFrame:
     rows = _upstream(spark, cfg, "ingest_csv_batches").filter(F.col("file_type") == kind)
+    if cfg.first_only:  # of each source system the first batch
+        first = rows.groupBy("source_system").agg(F.min(F.struct("received_at", "batch_id"))["batch_id"].alias("batch_id"))
+        rows = rows.join(first, ["source_system", "batch_id"], "left_semi")
     return csvbatch.payload_rows(rows.select("batch_id", "file_name", "tenant_id", "source_system", "raw_content"), columns)
 
 
-def silver(spark: SparkSession, cfg: Config) -> None:
+def silver(spark: SparkSession, cfg: Config, out: Staging) -> None:
     truncate(spark, [cfg.table(t) for t in ("mpi_patient_index", "mpi_identity_crosswalk", "clinical_patients", "clinical_encounters", "clinical_observations", "clinical_conditions")], cfg.environment)
     resources = checkpoint(_bundles(spark, cfg))
     people = fhir.clinical_patients(resources)
@@ -146,8 +223,11 @@ def silver(spark: SparkSession, cfg: Config) -> None:
     records = numbered(records, ["origin", "turn", "place", "part"]).withColumn("record_key", F.concat_ws("/", F.lit(cfg.run_id), "origin", "place", "part"))
     resolved = checkpoint(identity.resolve(records, seeds=_known(spark, cfg)))
     shown = resolved if cfg.include_hl7_patients else resolved.filter("origin <> '3hl7'")
-    append(_stamp(identity.patient_index(shown).withColumn("tenant_ids", F.array("tenant_id")), cfg), cfg.table("mpi_patient_index"))
-    append(_stamp(identity.crosswalk(shown).withColumn("source_record_id", F.col("source_id")), cfg), cfg.table("mpi_identity_crosswalk"))
+    def put(table: str, *frames: DataFrame) -> None:
+        _audit_rows(cfg, out, out.add_all([_stamp(df, cfg) for df in frames], table), table)
+
+    put("mpi_patient_index", identity.patient_index(shown).withColumn("tenant_ids", F.array("tenant_id")))
+    put("mpi_identity_crosswalk", identity.crosswalk(shown).withColumn("source_record_id", F.col("source_id")))
     of = lambda origin: resolved.filter(F.col("origin") == origin)
     fhir_umpi = of("1fhir").select(F.col("place").alias("bundle_id"), "source_id", "umpi", "arrival_seq")
     csv_umpi = of("2csv").select(F.col("place").alias("batch_id"), F.col("part").cast("long").alias("row_idx"), "umpi", F.col("arrival_seq").alias("subject_seq"))
@@ -159,37 +239,40 @@ def silver(spark: SparkSession, cfg: Config) -> None:
     patients = [named.withColumn("patient_id", stable_id("bundle_id", "source_record_id")), csv_people.withColumn("patient_id", stable_id("batch_id", "row_idx"))]
     if cfg.include_hl7_patients:
         patients.append(adt.join(hl7_umpi, "message_id").withColumn("patient_id", stable_id("message_id")))
-    for df in patients:
-        append(_stamp(timed(df), cfg), cfg.table("clinical_patients"))
+    put("clinical_patients", *map(timed, patients))
     visits = link(fhir.encounters(resources)).withColumn("encounter_id", stable_id("bundle_id", "source_record_id"))
-    append(_stamp(timed(visits), cfg), cfg.table("clinical_encounters"))
     linked = adt.join(hl7_umpi, "message_id")
-    append(_stamp(timed(hl7.adt_encounters(linked).withColumn("facility_name", F.col("facility"))), cfg), cfg.table("clinical_encounters"))
+    put("clinical_encounters", timed(visits), timed(hl7.adt_encounters(linked).withColumn("facility_name", F.col("facility"))))
     problems = link(fhir.conditions(resources)).withColumn("condition_id", stable_id("bundle_id", "source_record_id"))
-    for df in (problems, hl7.adt_conditions(linked), csvbatch.conditions(csv_people)):
-        append(_stamp(timed(df), cfg), cfg.table("clinical_conditions"))
+    put("clinical_conditions", *map(timed, (problems, hl7.adt_conditions(linked), csvbatch.conditions(csv_people))))
     coded = link(terminology.normalize_observations(fhir.observations(resources))).withColumn("observation_id", stable_id("bundle_id", "source_record_id"))
     labs = terminology.code_labs(csvbatch.labs(_csv_table(spark, cfg, "labs", csvbatch.LAB_COLUMNS)))
     labs = csvbatch.link_patients(labs, csv_people).withColumns({"observation_id": stable_id("batch_id", "row_idx"), "subject_seq": F.col("row_idx")})
-    for df in (coded, labs):
-        append(_stamp(timed(terminology.mapped(df)), cfg), cfg.table("clinical_observations"))
-        append(_stamp(terminology.unmapped(df), cfg), cfg.table("terminology_unmapped_codes"))
-    _log(spark, cfg, dq.csv_silver_findings(_csv_table(spark, cfg, "patients", csvbatch.PATIENT_COLUMNS)), "clinical_patients")
-    _log(spark, cfg, dq.csv_lab_findings(labs), "clinical_observations")
-
-
-def numbered(rows: DataFrame, order: list[str]) -> DataFrame:
-    """rows with arrival_seq, their number in this order: sorted by ranges, then counted by partition; no single task."""
-    parts = checkpoint(rows.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_p", F.spark_partition_id()).withColumn("_i", F.monotonically_increasing_id() - F.shiftleft(F.col("_p").cast("long"), 33)))
-    sizes = sorted((r["_p"], r["n"]) for r in parts.groupBy("_p").agg(F.count("*").alias("n")).collect())  # one row a partition
-    starts, at = {}, 0
-    for p, n in sizes:
-        starts[p], at = at, at + n
-    offsets = rows.sparkSession.createDataFrame(list(starts.items()), "_p int, _start long")
-    return parts.join(F.broadcast(offsets), "_p").withColumn("arrival_seq", F.col("_start") + F.col("_i")).drop("_p", "_i", "_start")
-
-
-def to_gold(spark: SparkSession, cfg: Config) -> None:
+    for df, source in ((coded, "ingest_fhir_bundles"), (labs, "ingest_csv_batches")):
+        # one coded frame feeds the table, its log, and what had no code
+        log = F.struct(*(c for c in df.columns if c not in ("resource",)))
+        both = checkpoint(timed(df).select(log.alias("r"))).select("r.*")
+        staged = out.add(_stamp(terminology.mapped(both), cfg), "clinical_observations")
+        lost = out.add(_stamp(terminology.unmapped(both).withColumn("source_table", F.lit(source)), cfg), "terminology_unmapped_codes")
+        out.add(_stamp(terminology.normalization_log(both, source, "clinical_observations", cfg.version), cfg).withColumn("processed_ts", F.lit(cfg.run_ts).cast("timestamp")), "terminology_normalization_log")
+        _audit_rows(cfg, out, staged, "clinical_observations", lost)
+    _log(cfg, out, dq.csv_silver_findings(_csv_table(spark, cfg, "patients", csvbatch.PATIENT_COLUMNS)), "clinical_patients")
+    _log(cfg, out, dq.csv_lab_findings(labs), "clinical_observations")
+
+
+def _audit_rows(cfg: Config, out: Staging, staged: DataFrame, table: str, lost: DataFrame | None = None) -> None:
+    """What a clinical table got from a source system, by tenant; records without a target code count as errors."""
+    by = lambda df, name: df.groupBy(F.col("tenant_id") if "tenant_id" in df.columns else F.lit(None).cast("string").alias("tenant_id")).agg(F.count("*").alias(name))
+    counts = by(staged, "pass_count").withColumn("error_count", F.lit(0).cast("long"))
+    if lost is not None:
+        gone = by(lost, "error_count").withColumn("pass_count", F.lit(0).cast("long"))
+        counts = counts.unionByName(gone).groupBy("tenant_id").agg(F.sum("pass_count").alias("pass_count"), F.sum("error_count").alias("error_count"))
+    part = len(out.waiting.get("audit_ingest_log", ()))
+    rows = counts.withColumns({"record_count": F.col("pass_count") + F.col("error_count"), "source_name": F.concat_ws("/", F.lit(str(part)), "tenant_id")})
+    _audit(cfg, out, rows, "SILVER", table)
+
+
+def to_gold(spark: SparkSession, cfg: Config, out: Staging) -> None:
     read = lambda t: table_rows(spark, cfg.table(t), cfg.upstream_run)
     came = F.unix_micros("created_at")  # rows keep the order of their arrival in it
     people = read("clinical_patients").withColumn("arrival_seq", F.struct("created_at", "patient_id"))
@@ -197,40 +280,78 @@ def to_gold(spark: SparkSession, cfg: Config) -> None:
     problems = read("clinical_conditions").withColumns({"diagnosis_rank": F.when(F.col("condition_category") == "primary", 1).when(F.col("condition_category") == "secondary", 2), "arrival_seq": F.struct("created_at", "condition_id")})
     labs = read("clinical_observations").withColumn("arrival_seq", came)
     summary = gold.patient_summary(people, visits, problems, cfg.as_of)
-    append(_stamp(gold.summary_table(summary), cfg), cfg.table("analytics_patient_summary"))
-    append(_stamp(gold.hba1c_control(people, problems, labs, cfg.measurement_year), cfg), cfg.table("analytics_quality_measures"))
+    out.add(_stamp(gold.summary_table(summary), cfg), "analytics_patient_summary")
+    out.add(_stamp(gold.hba1c_control(people, problems, labs, cfg.measurement_year), cfg), "analytics_quality_measures")
     feed = gold.adt_feed(gold.adt_events(visits), problems).withColumn("event_id", stable_id("encounter_id", "event_type"))
-    append(_stamp(feed, cfg), cfg.table("analytics_adt_events"))
-    append(_stamp(gold.uscdi_export(gold.first_rows(people)), cfg), cfg.table("export_uscdi_v3_patient"))
+    out.add(_stamp(feed, cfg), "analytics_adt_events")
+    out.add(_stamp(gold.uscdi_export(gold.first_rows(people)), cfg), "export_uscdi_v3_patient")
     links = read("mpi_identity_crosswalk").withColumn("is_new_record", F.col("match_method") == identity.NEW)
     scores = gold.tenant_scorecard(people, labs, problems, links).withColumn("scorecard_id", stable_id(F.lit(cfg.run_id), "tenant_id"))
-    append(_stamp(scores, cfg), cfg.table("dq_tenant_scorecard"))
+    out.add(_stamp(scores, cfg), "dq_tenant_scorecard")
 
 
 WRITES = {
     "hl7": ("ingest_hl7_messages",), "fhir": ("ingest_fhir_bundles",), "csv": ("ingest_csv_batches",),
-    "silver": ("mpi_patient_index", "mpi_identity_crosswalk", "clinical_patients", "clinical_encounters", "clinical_conditions", "clinical_observations", "terminology_unmapped_codes"),
+    "silver": ("mpi_patient_index", "mpi_identity_crosswalk", "clinical_patients", "clinical_encounters", "clinical_conditions", "clinical_observations", "terminology_unmapped_codes", "terminology_normalization_log"),
     "gold": ("analytics_patient_summary", "analytics_quality_measures", "analytics_adt_events", "export_uscdi_v3_patient", "dq_tenant_scorecard"),
 }
 STAGES = {"hl7": ingest_hl7, "fhir": ingest_fhir, "csv": ingest_csv, "silver": silver, "gold": to_gold}
 
 
+class StageTimeout(RuntimeError):
+    """A stage took longer than it may."""
+
+
+def _within(spark: SparkSession, name: str, seconds: float | None, work: Callable[[], None]) -> None:
+    """Run work as a job group that is cancelled after so many seconds."""
+    if seconds is None:
+        work()
+        return
+    group, over = f"{name}-{uuid.uuid4()}", threading.Event()
+
+    def cancel() -> None:
+        over.set()
+        while not ended.wait(0.2):  # jobs that begin meanwhile, too
+            spark.sparkContext.cancelJobGroup(group)
+
+    ended, timer = threading.Event(), threading.Timer(seconds, cancel)
+    spark.sparkContext.setJobGroup(group, name, interruptOnCancel=True)
+    timer.start()
+    try:
+        work()
+    except Exception as e:
+        if over.is_set():
+            raise StageTimeout(f"stage {name} took more than {seconds:g} s") from e
+        raise
+    finally:
+        timer.cancel()
+        ended.set()
+        spark.sparkContext._jsc.sc().clearJobGroup()
+    if over.is_set():
+        raise StageTimeout(f"stage {name} took more than {seconds:g} s")
+
+
 def run(spark: SparkSession, cfg: Config, stages: list[str] | None = None) -> Config:
-    """Run the stages in order; the first that fails ends the run. Ingestion stages without a path are skipped.
+    """Run the stages in order; the first that fails, or takes longer than cfg.stage_seconds, ends the run.
 
-    What an earlier attempt of this run has written to the stages' tables is replaced (to those of the audit only by a
-    run of all stages).
+    Ingestion stages without a path are skipped. What an earlier attempt of this run has written to a stage's tables is
+    replaced when the stage is over. With cfg.write off, every stage is worked out whole, but nothing is put in place.
     """
     create_tables(spark, cfg.database)
-    for name in stages or list(STAGES):
-        for t in WRITES[name]:
-            clear_run(spark, cfg.table(t), cfg.run_id)
-    for t in () if stages else ("audit_ingest_log", "audit_validation_errors"):
-        clear_run(spark, cfg.table(t), cfg.run_id)
+    register(spark, cfg)
     for name in stages or list(STAGES):
         if name == "hl7" and not cfg.hl7_path or name == "fhir" and not cfg.fhir_path or name == "csv" and not (cfg.csv_patients_path or cfg.csv_labs_path):
             continue
-        STAGES[name](spark, cfg)
+        out = Staging(spark, cfg.database, cfg.run_id)
+        try:
+            _within(spark, name, cfg.stage_seconds, lambda: (STAGES[name](spark, cfg, out), out.finish()))
+            if cfg.write:
+                own = {"audit_validation_errors": F.col("source_table").isin(*WRITES[name]), "audit_ingest_log": F.col("target_table").isin(*WRITES[name])}
+                out.commit(WRITES[name], own)
+        finally:
+            out.close()
+        if name == "silver" and cfg.write:
+            _settle(spark, cfg)
         cfg.done.append(name)
     return cfg
 
@@ -248,11 +369,12 @@ def main(argv: list[str] | None = None) -> None:
     p.add_argument("--default-tenant")
     p.add_argument("--stages", nargs="*", choices=list(STAGES))
     p.add_argument("--upstream-run", help="read this run's rows only")
-    for name in ("gate-on-errors", "lenient", "global-ids", "include-hl7-patients"):
+    p.add_argument("--stage-seconds", type=float, help="cancel a stage that takes longer")
+    for name in ("gate-on-errors", "lenient", "global-ids", "include-hl7-patients", "first-only", "no-write"):
         p.add_argument(f"--{name}", action="store_true")
     a = p.parse_args(argv)
     at = dt.datetime.combine(a.as_of, dt.time())
-    run(get_session(), Config(a.database, a.run_id, at, a.as_of, a.year, a.hl7, a.fhir, a.csv_patients, a.csv_labs, a.default_tenant, include_hl7_patients=a.include_hl7_patients, gate_on_errors=a.gate_on_errors, lenient=a.lenient, global_ids=a.global_ids, upstream_run=a.upstream_run), a.stages)
+    run(get_session(), Config(a.database, a.run_id, at, a.as_of, a.year, a.hl7, a.fhir, a.csv_patients, a.csv_labs, a.default_tenant, include_hl7_patients=a.include_hl7_patients, gate_on_errors=a.gate_on_errors, lenient=a.lenient, global_ids=a.global_ids, upstream_run=a.upstream_run, first_only=a.first_only, write=not a.no_write, stage_seconds=a.stage_seconds), a.stages)
 
 
 if __name__ == "__main__":

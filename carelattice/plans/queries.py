@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from carelattice.operators import csvbatch, dq, fhir, gold, governance, hl7, identity, terminology
 from carelattice.sources.files import split_messages
 
-from . import faults, fixtures as fx
+from . import faults, fixtures as fx, written
 
 Query = Callable[[SparkSession, str], DataFrame]
 
@@ -28,7 +28,8 @@ def _summary(s: SparkSession, d: str) -> DataFrame:
 
 
 def patient_risk_summary(s: SparkSession, d: str) -> DataFrame:
-    return _summary(s, d).drop("umpi", "elixhauser_index", "as_of_date").withColumn("last_encounter_date", _day("last_encounter_date"))
+    out = _summary(s, d).drop("umpi", "elixhauser_index", "as_of_date", "risk_score_updated_ts", "refreshed_ts")
+    return out.withColumns({c: _day(c) for c in ("last_encounter_date", "birth_date")})
 
 
 def charlson_index(s: SparkSession, d: str) -> DataFrame:
@@ -106,7 +107,7 @@ def unmapped_codes(s: SparkSession, d: str) -> DataFrame:
 
 
 def normalization_log(s: SparkSession, d: str) -> DataFrame:
-    return terminology.normalization_log(_coded(s, d)).select("source_record_id", "source_display", "target_code", "normalization_method", "confidence")
+    return terminology.normalization_log(_coded(s, d), "ingest_fhir_bundles", "clinical_observations", "1").select("source_id", "source_table", "target_table", "mapping_type", "source_value", "source_system", "mapped_value", "mapped_system", "mapping_method", F.col("mapping_confidence").alias("confidence"), "pipeline_version")
 
 
 def hl7_split(s: SparkSession, d: str) -> DataFrame:
@@ -124,8 +125,7 @@ def hl7_msh(s: SparkSession, d: str) -> DataFrame:
 
 
 def hl7_ztn(s: SparkSession, d: str) -> DataFrame:
-    rows = fx.hl7_raw(s, d).withColumn("m", hl7.msh_fields(F.col("raw_message"))).withColumn("z", hl7.ztn_fields(F.col("raw_message"), F.lit("|")))
-    key = lambda k: F.try_element_at("z", F.lit(k))
+    rows, key = hl7.with_ztn(fx.hl7_raw(s, d).withColumn("m", hl7.msh_fields(F.col("raw_message"))), F.col("raw_message"), F.lit("|")), hl7.ztn_value
     return rows.select(F.col("m.control_id").alias("message_control_id"), key("TENANT_ID").alias("tenant"), key("SOURCE_SYSTEM").alias("source"), key("BATCH_ID").alias("batch"))
 
 
@@ -174,9 +174,9 @@ def _resources(s: SparkSession, d: str) -> DataFrame:
     return fhir.resources(_bundles(s, d))
 
 
-def _subjects(s: SparkSession, d: str) -> DataFrame:
-    """Bundle subjects with the patient's own id as umpi."""
-    return fhir.patient_identities(_resources(s, d)).select("bundle_id", "source_id", F.col("source_id").alias("umpi"), "arrival_seq")
+def _of(s: SparkSession, d: str, kind: str) -> DataFrame:
+    """A parse for resources of one kind and their subjects."""
+    return fhir.resources(fhir.parse_bundles(fx.fhir_raw(s, d), kinds=(kind,)), keep_bundle=False)
 
 
 def fhir_bundles(s: SparkSession, d: str) -> DataFrame:
@@ -192,18 +192,18 @@ def fhir_patients(s: SparkSession, d: str) -> DataFrame:
 
 
 def fhir_observations(s: SparkSession, d: str) -> DataFrame:
-    rows = fhir.link_subjects(terminology.normalize_observations(fhir.observations(_resources(s, d))), _subjects(s, d))
-    return rows.select("source_record_id", "umpi", "loinc_code", "normalization_method", "value_quantity", "value_unit", _time("effective_datetime").alias("effective"))
+    rows = fhir.of_subjects(terminology.normalize_observations(fhir.observations(_of(s, d, "Observation"))))
+    return rows.select("source_record_id", F.col("subject_key").alias("umpi"), "loinc_code", "normalization_method", "value_quantity", "value_unit", _time("effective_datetime").alias("effective"))
 
 
 def fhir_encounters(s: SparkSession, d: str) -> DataFrame:
-    rows = fhir.link_subjects(fhir.encounters(_resources(s, d)), _subjects(s, d))
-    return rows.select("source_record_id", "umpi", "encounter_class", _time("period_start").alias("period_start"), F.round("length_of_stay_hours", 6).alias("length_of_stay_hours"), "facility_name")
+    rows = fhir.of_subjects(fhir.encounters(_of(s, d, "Encounter")))
+    return rows.select("source_record_id", F.col("subject_key").alias("umpi"), "encounter_class", _time("period_start").alias("period_start"), F.round("length_of_stay_hours", 6).alias("length_of_stay_hours"), "facility_name")
 
 
 def fhir_conditions(s: SparkSession, d: str) -> DataFrame:
-    rows = fhir.link_subjects(fhir.conditions(_resources(s, d)), _subjects(s, d))
-    return rows.select("source_record_id", "umpi", "icd10_code", "clinical_status", "condition_category")
+    rows = fhir.of_subjects(fhir.conditions(_of(s, d, "Condition")))
+    return rows.select("source_record_id", F.col("subject_key").alias("umpi"), "icd10_code", "clinical_status", "condition_category")
 
 
 def fhir_dq(s: SparkSession, d: str) -> DataFrame:
@@ -259,9 +259,8 @@ def csv_payload(s: SparkSession, d: str) -> DataFrame:
 
 
 def audit_log(s: SparkSession, d: str) -> DataFrame:
-    parsed = _adt(s, d)
-    bad = dq.hl7_findings(parsed).select(F.col("source_record_id").alias("message_control_id"), F.lit(True).alias("bad")).distinct()
-    return dq.audit_log(parsed.join(bad, "message_control_id", "left"), ["facility"], F.coalesce("bad", F.lit(False)))
+    rows = _adt(s, d).select("facility", (F.size(dq.found(dq.hl7_rules())) > 0).alias("bad"))
+    return dq.audit_log(rows, ["facility"], F.col("bad"))
 
 
 def _resolved(s: SparkSession, d: str) -> DataFrame:
@@ -304,4 +303,4 @@ _ALL = (
 
 
 def queries() -> dict[str, Query]:
-    return {**{f.__name__: f for f in _ALL}, **faults.queries()}
+    return {**{f.__name__: f for f in _ALL}, **faults.queries(), **written.queries()}

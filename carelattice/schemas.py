@@ -14,6 +14,7 @@ _DEFINITIONS = {
     "ingest_hl7_messages": f"message_id string, tenant_id string, source_system string, source_facility string, message_type string, message_event string, raw_message string, validation_status string, received_at timestamp, {_RUN}",
     "ingest_fhir_bundles": f"bundle_id string, tenant_id string, source_system string, bundle_type string, resource_types array<string>, raw_bundle string, validation_status string, received_at timestamp, {_RUN}",
     "ingest_csv_batches": f"batch_id string, tenant_id string, source_system string, file_name string, file_type string, file_size_bytes bigint, row_count bigint, raw_content string, validation_status string, received_at timestamp, {_RUN}",
+    "pipeline_runs": f"run_seq bigint, event string, outcome string, recorded_at timestamp, {_RUN}",
     "audit_ingest_log": f"log_id string, tenant_id string, source_system string, source_name string, target_table string, record_count bigint, pass_count bigint, error_count bigint, started_at timestamp, completed_at timestamp, {_RUN}",
     "audit_validation_errors": f"error_id string, tenant_id string, source_table string, source_record_id string, error_code string, error_severity string, error_message string, field_path string, raw_value string, detected_at timestamp, resolved boolean, source_name string, {_RUN}",
     "mpi_patient_index": f"umpi string, tenant_ids array<string>, family_name string, given_name string, birth_date date, linked_record_count int, created_at timestamp, {_RUN}",
@@ -26,6 +27,7 @@ _DEFINITIONS = {
     "clinical_procedures": f"procedure_id string, umpi string, tenant_id string, encounter_id string, source_system string, source_record_id string, procedure_code string, procedure_display string, code_system string, status string, performed_at timestamp, performer_npi string, created_at timestamp, {_RUN}",
     "clinical_immunizations": f"immunization_id string, umpi string, tenant_id string, encounter_id string, source_system string, source_record_id string, cvx_code string, cvx_display string, status string, occurrence_at timestamp, lot_number string, performer_npi string, created_at timestamp, {_RUN}",
     "terminology_unmapped_codes": f"unmapped_id string, tenant_id string, source_table string, source_record_id string, source_system string, source_code string, source_display string, target_vocabulary string, occurrence_count int, first_seen_at timestamp, last_seen_at timestamp, resolved boolean, resolved_code string, resolved_at timestamp, {_RUN}",
+    "terminology_normalization_log": f"log_id string, tenant_id string, source_table string, source_id string, target_table string, target_id string, mapping_type string, source_value string, source_system string, mapped_value string, mapped_system string, mapping_confidence double, mapping_method string, pipeline_version string, processed_ts timestamp, {_RUN}",
     "dq_tenant_scorecard": f"scorecard_id string, tenant_id string, patient_count bigint, pct_complete_demographics double, pct_loinc_coverage double, pct_icd10_coverage double, pct_rxnorm_coverage double, mpi_match_rate double, unmapped_code_count bigint, generated_at timestamp, {_RUN}",
     "analytics_patient_summary": f"patient_hash string, tenant_id string, charlson_index int, risk_tier string, chronic_condition_flags map<string,boolean>, total_encounter_count int, ed_visit_count int, inpatient_days int, last_encounter_date date, generated_at timestamp, {_RUN}",
     "analytics_quality_measures": f"measure_id string, patient_hash string, tenant_id string, measure_code string, measure_steward string, measurement_period_start date, measurement_period_end date, in_denominator boolean, in_numerator boolean, evidence_value double, evidence_date date, generated_at timestamp, {_RUN}",
@@ -46,7 +48,7 @@ def _schema(columns: str) -> StructType:
 TABLES: dict[str, StructType] = {name: _schema(columns) for name, columns in _DEFINITIONS.items()}
 
 LAYERS = {
-    "bronze": [n for n in TABLES if n.startswith(("ingest_", "audit_"))],
+    "bronze": [n for n in TABLES if n.startswith(("ingest_", "audit_", "pipeline_"))],
     "silver": [n for n in TABLES if n.startswith(("mpi_", "clinical_", "terminology_", "dq_"))],
     "gold": [n for n in TABLES if n.startswith(("analytics_", "export_"))],
 }

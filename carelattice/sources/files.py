@@ -1,15 +1,25 @@
-"""Sources: message files, bundle files, CSV files and tables."""
+"""Sources: message files, bundle files, CSV files and tables.
+
+Files are split: a large one is read by as many tasks as it has blocks, and no file is ever one value (but by whole_files).
+"""
 
 from __future__ import annotations
 
+import re
+from collections.abc import Iterator
+
+import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from carelattice.functions.columns import strip
 
+from .blocks import FILE, blocks, pieces, records_of_blocks, stitched, with_states
+
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
-    """One row for each file: file_path, file_name, file_size, value."""
+    """One row for each file: file_path, file_name, file_size, value. For small files: the text is one value."""
     return spark.read.text(path, wholetext=True).select(
         F.col("_metadata.file_path").alias("file_path"), F.col("_metadata.file_name").alias("file_name"), F.col("_metadata.file_size").alias("file_size"), "value"
     )
@@ -22,8 +32,22 @@ def split_messages(files: DataFrame, content: str = "value") -> DataFrame:
     return files.select("*", F.posexplode(F.filter(parts, lambda x: x != "")).alias("arrival_seq", "raw_message")).drop(content)
 
 
+def _messages(lines: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
+    begins, held = False, []
+    for line in lines:
+        if line.startswith(b"MSH|"):
+            if held:
+                yield begins, held
+            begins, held = True, []
+        held.append(line)
+    if held:
+        yield begins, held
+
+
 def hl7_files(spark: SparkSession, path: str) -> DataFrame:
-    return split_messages(whole_files(spark, path))
+    """file_path, file_name, file_size, arrival_seq, raw_message: lines of any end, read in blocks; messages begin at a line `MSH|`."""
+    found = stitched(records_of_blocks(pieces(spark, path), _messages, b"\n"), b"\n")
+    return found.select(*FILE, "arrival_seq", strip(F.col("record")).alias("raw_message")).filter("raw_message <> ''")
 
 
 def split_bundles(files: DataFrame, content: str = "value") -> DataFrame:
@@ -33,13 +57,165 @@ def split_bundles(files: DataFrame, content: str = "value") -> DataFrame:
     return files.select("*", F.posexplode(F.when(text.startswith("["), F.coalesce(several, F.array(text))).otherwise(F.array(text))).alias("arrival_seq", "raw_bundle")).drop(content)
 
 
-def fhir_files(spark: SparkSession, path: str) -> DataFrame:
-    return split_bundles(whole_files(spark, path))
+#: What may stand around elements: white space, and the mark that some files begin with.
+_BLANK = b"\xef\xbb\xbf \t\r\n"
+_STRING = re.compile(rb'"(?:[^"\\]|\\.)*"', re.DOTALL)
+_REST = re.compile(rb'(?:[^"\\]|\\.)*"', re.DOTALL)
+
+
+def _outside(chunk: bytes, inside: bool) -> tuple[bytes, bool]:
+    """What of a chunk stands outside of JSON strings, and whether it ends within one."""
+    if inside:
+        rest = _REST.match(chunk)
+        if not rest:
+            return b"", True
+        chunk = chunk[rest.end() :]
+    text = _STRING.sub(b"", chunk)
+    at = text.find(b'"')
+    return (text, False) if at < 0 else (text[:at], True)
+
+
+def _depth(text: bytes) -> int:
+    return text.count(b"{") + text.count(b"[") - text.count(b"]")
+
+
+def _is_array(chunk: bytes) -> bool:
+    return chunk.lstrip(_BLANK).startswith(b"[")
+
+
+def _elements(chunks: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
+    """The elements of a file's array, or its objects. Chunks end before a `}`, so objects end where chunks do."""
+    inside, depth, array, at = info.get("inside") or False, info.get("depth") or 0, info.get("array"), info.get("at") or 0
+    base, held = int(bool(array)), []
+    begins = depth <= base and not inside
+    ahead = next(chunks, None)
+    while ahead is not None:
+        chunk, ahead = ahead, next(chunks, None)
+        at += len(chunk) + 1
+        closed = ahead is not None or at != info["file_size"] + 1  # only what ends a file may lack its bracket
+        if array is None:
+            array = _is_array(chunk)
+            base = depth = int(array)
+            if array:
+                chunk = chunk.lstrip(_BLANK)[1:]
+        if begins and not held:
+            loose, chunk = _loose(chunk, array)
+            for x in loose:  # elements that are no objects
+                yield True, [x]
+            if not chunk and not closed:
+                return
+        text, inside = _outside(chunk, inside)
+        depth += _depth(text) - (closed and not inside)
+        held.append(chunk + b"}" * closed)
+        if not inside and depth <= base:
+            depth = base
+            yield begins, held
+            held, begins = [], True
+    if held:
+        yield begins, held
+
+
+def _loose(chunk: bytes, array: bool) -> tuple[list[bytes], bytes]:
+    """What stands before an object, cut at commas; and the chunk from the object on (nothing if there is none)."""
+    plain = _STRING.sub(lambda m: b"x" * len(m[0]), chunk)
+    at = plain.find(b"{")
+    at = len(chunk) if at < 0 else at
+    if not array:
+        before = chunk[:at].strip(_BLANK)
+        return [before] if before else [], chunk[at:]
+    closing = plain.rfind(b"]", 0, at)
+    stop = closing if closing >= 0 and not plain[closing + 1 : at].strip(_BLANK) else at
+    cuts = [i for i in range(stop) if plain[i : i + 1] == b","]
+    found = [chunk[a:b].strip(_BLANK) for a, b in zip([0, *(c + 1 for c in cuts)], [*cuts, stop], strict=True)]
+    return [x for x in found if x], chunk[at:]
+
+
+def _bundle_sums(rows: DataFrame) -> DataFrame:
+    """For each block of a file with several: depth and string state at its end, for either string state at its start."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for info, chunks in blocks(batches):
+            ends, first, size = [[False, 0], [True, 0]], None, 0
+            for chunk in chunks:
+                size += len(chunk) + 1
+                first = chunk if first is None else first
+                for end in ends:
+                    text, end[0] = _outside(chunk, end[0])
+                    end[1] += _depth(text) - (not end[0])
+            yield pa.RecordBatch.from_pylist([{"file_path": info["file_path"], "block": info["block"], "size": size, "array": _is_array(first or b""), "inside0": ends[0][0], "depth0": ends[0][1], "inside1": ends[1][0], "depth1": ends[1][1]}])
+
+    return rows.filter("length < file_size").mapInArrow(run, "file_path string, block long, size long, array boolean, inside0 boolean, depth0 long, inside1 boolean, depth1 long")
+
+
+def _bundle_states(pdf: pd.DataFrame) -> pd.DataFrame:
+    out, inside, depth, array, at = [], False, 0, bool(pdf["array"].iloc[0]), 0
+    for r in pdf.itertuples(index=False):
+        out.append((r.file_path, r.block, inside, depth, array, at))
+        at += r.size
+        inside, depth = (r.inside1, depth + r.depth1) if inside else (r.inside0, depth + r.depth0)
+    return pd.DataFrame(out, columns=["file_path", "block", "inside", "depth", "array", "at"])
 
 
-def csv_rows(spark: SparkSession, path: str) -> DataFrame:
-    """Rows by header, all columns as strings, RFC 4180 quoting (line breaks within quotes too)."""
-    return spark.read.option("header", True).option("multiLine", True).option("escape", '"').option("mode", "PERMISSIVE").csv(path)
+def fhir_files(spark: SparkSession, path: str) -> DataFrame:
+    """file_path, file_name, file_size, arrival_seq, raw_bundle: a file's JSON object, or one row for each element of its array.
+
+    Elements that are no JSON stay as they are; an unclosed one reaches to the end of its file.
+    """
+    chunks = pieces(spark, path, "}")
+    first = chunks.filter("block = 0")
+    later = with_states(chunks, _bundle_sums(chunks), _bundle_states, "inside boolean, depth long, array boolean, at long")
+    made = records_of_blocks(first, _elements, b"").unionByName(records_of_blocks(later, _elements, b""))
+    return stitched(made, b"").select(*FILE, "arrival_seq", strip(F.col("record")).alias("raw_bundle")).filter("raw_bundle <> ''")
+
+
+def _rows(lines: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
+    """CSV records: lines up to one that ends outside of quotes; blank lines between records are none."""
+    inside = begun = bool(info.get("odd"))
+    held: list[bytes] = []
+    for line in lines:
+        if not held and not inside and not line.strip():
+            continue
+        held.append(line)
+        inside ^= line.count(b'"') % 2 == 1
+        if not inside:
+            yield not begun, held
+            held, begun = [], False
+    if held:
+        yield not begun, held
+
+
+def _parities(pdf: pd.DataFrame) -> pd.DataFrame:
+    before = pdf["quotes"].cumsum().shift(fill_value=0)
+    return pd.DataFrame({"file_path": pdf["file_path"], "block": pdf["block"], "odd": before % 2 == 1})
+
+
+#: Stands for a line end within a quoted value while its record is parsed.
+_LINE = "\x1e"
+
+
+def csv_records(spark: SparkSession, path: str) -> DataFrame:
+    """file_path, file_name, file_size, arrival_seq (0: the header), record: RFC 4180 records, line ends within quotes as \\x1e.
+
+    Whether a block begins within quotes follows from how many quotes came before it: an odd number.
+    """
+    lines = pieces(spark, path)
+    text = F.col("value").cast("string")
+    sums = lines.groupBy("file_path", "block").agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))).alias("quotes"))
+    later = with_states(lines, sums, _parities, "odd boolean")
+    made = records_of_blocks(lines.filter("block = 0"), _rows, _LINE.encode()).unionByName(records_of_blocks(later, _rows, _LINE.encode()))
+    return stitched(made, _LINE.encode())
+
+
+def csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
+    """Rows by header, all columns as strings, RFC 4180 quoting (line breaks within quotes too), with file_path, file_name and row_idx.
+
+    Large files are split. columns: those of the files, if they are known; else the first file's header.
+    """
+    names = columns or spark.read.option("header", True).option("escape", '"').csv(path).columns
+    schema = ", ".join(f"`{c}` string" for c in names)
+    found = csv_records(spark, path).filter("arrival_seq > 0").withColumn("_row", F.from_csv("record", F.lit(schema), {"escape": '"'}))
+    clash = [c for c in ("file_path", "file_name") if c not in names]
+    return found.select(*clash, F.col("arrival_seq").alias("row_idx"), *(F.translate(F.col("_row")[c], _LINE, "\n").alias(c) for c in names))
 
 
 def table_rows(spark: SparkSession, name: str, run_id: str | None = None, columns: list[str] | None = None) -> DataFrame:

@@ -32,7 +32,10 @@ def test_tables(spark):
 
 def test_files(spark, tmp_path):
     df = spark.createDataFrame([(1, None), (2, 'a "b"\nc')], "i int, t string")
-    assert sorted(json.loads(writers.as_json_array(df).first().json), key=lambda r: r["i"]) == [{"i": 1, "t": None}, {"i": 2, "t": 'a "b"\nc'}]
+    for rows, name in ((df, "array"), (df.limit(0), "none")):
+        writers.write_json_array(rows, str(tmp_path / name), ["i"])
+        text = "".join(p.read_text() for p in sorted((tmp_path / name).glob("part-*")))
+        assert json.loads(text) == ([{"i": 1, "t": None}, {"i": 2, "t": 'a "b"\nc'}] if name == "array" else [])
     writers.write_json(df, str(tmp_path / "j"))
     assert spark.read.json(str(tmp_path / "j")).count() == 2
     (tmp_path / "c").mkdir()
