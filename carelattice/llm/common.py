@@ -18,6 +18,8 @@ from pyspark.sql import functions as F
 SLICE_BYTES = 1 << 20
 #: Ids that are null take part under this number and come back as null.
 NULL_ID = (1 << 63) - 1
+#: Where every row without an id has to be told from the others, they are numbered from here on; ids have to be less.
+NULL_FROM = 1 << 62
 #: Most bits of an id filter (128 MB); it is smaller where fewer ids need less.
 FILTER_BITS = 1 << 30
 
@@ -79,6 +81,23 @@ def id_and_text(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
     return docs.select(F.coalesce(F.col(id_col).cast("long"), F.lit(NULL_ID)).alias("id"), F.coalesce(F.col(text_col), F.lit("")).alias("text"))
 
 
+def own_ids(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
+    """id_and_text in which each row without an id has a number of its own, from NULL_FROM on: after all others, and distinct.
+
+    Such rows (usually none) are written out once, so that they keep their numbers however often they are read.
+    """
+    rows = id_and_text(docs, id_col, text_col)
+    missing = docs.filter(F.col(id_col).isNull()).select(F.coalesce(F.col(text_col), F.lit("")).alias("text"))
+    if missing.isEmpty():
+        return rows
+    numbered = checkpoint(missing.select((F.lit(NULL_FROM) + F.monotonically_increasing_id()).alias("id"), "text"))
+    return rows.filter(F.col("id") != NULL_ID).unionByName(numbered)
+
+
+def restore_own(col: str = "id") -> Column:
+    return F.when(F.col(col) < NULL_FROM, F.col(col))
+
+
 def restore_id(col: str = "id") -> Column:
     return F.when(F.col(col) != NULL_ID, F.col(col))
 

@@ -28,6 +28,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql.types import StringType, StructField, StructType
 
 from .common import id_and_text, restore_id, slices
 
@@ -320,7 +321,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", name
 def decode(rows: DataFrame, ids_col: str = "ids", name: str = "piece_bpe_32k") -> DataFrame:
     """rows (of which ids_col holds an array of ids) with their text as `decoded`; null ids have none."""
     rows = rows.drop("decoded")
-    out = rows.schema.add("decoded", "string")
+    out = StructType([*rows.schema.fields, StructField("decoded", StringType())])
     at = rows.columns.index(ids_col)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -8,7 +8,8 @@ Only documents that may have something to remove (a fixed-size filter on their i
 join with the answers.
 
 Defined results: null text has no words; a document shorter than a window loses nothing; documents with equal ids count
-as one for "smaller" and each loses its own words; rows without an id rank after all others.
+as one for "smaller" and each loses its own words; rows without an id rank after all others, one after another as they are
+read, so the first of them keeps what they have in common. Ids have to be less than 2^62.
 """
 
 from __future__ import annotations
@@ -20,7 +21,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .common import checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, restore_id, rolling, slices, split_words
+from .common import checkpoint, filter_position, hash_words, id_filter, may_contain, own_ids, restore_own, rolling, slices, split_words
 from .shared_keys import LOW, shared_keys, unpack7
 
 WINDOW = 13
@@ -44,7 +45,7 @@ def without(words: list[bytes], spans: list[tuple[int, int]]) -> list[bytes]:
 
 def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", window: int = WINDOW, with_text: bool = False) -> DataFrame:
     """id, n_words, n_removed, spans (first word, word after the last), kept_sha256, and with with_text the kept text."""
-    rows = id_and_text(docs, id_col, text_col)
+    rows = own_ids(docs, id_col, text_col)
     found = checkpoint(shared_keys(rows, lambda text: rolling(hash_words(split_words(text)), window), earlier=True))
     told = id_filter(found)
     bits, size = docs.sparkSession.sparkContext.broadcast(told), 8 * len(told)
@@ -83,4 +84,4 @@ def substring_dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
 
     read = rows.withColumn("at", filter_position(size)).mapInArrow(first, "id long, n_words long, digest binary, text string")
     schema = "id long, n_words long, n_removed long, spans array<struct<first:int,stop:int>>, kept_sha256 string" + ", text string" * with_text
-    return read.join(found.withColumnRenamed("keys", "told"), "id", "left").mapInArrow(last, schema).withColumn("id", restore_id())
+    return read.join(found.withColumnRenamed("keys", "told"), "id", "left").mapInArrow(last, schema).withColumn("id", restore_own())

@@ -19,7 +19,8 @@ passage of LENGTH = K + SPAN - 1 words share a kept place within it.
 Rows are dealt by ranges of the whole order, so a passage that a third of all documents share is spread over tasks.
 
 Defined results: null texts and texts of fewer than LENGTH words have no passages; rows with equal ids count as one
-document, as do all rows without an id; a passage that only repeats within a document is none.
+document, rows without an id are documents of their own; a passage that only repeats within a document is none. Ids have to
+be less than 2^62.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .common import checkpoint, filter_position, hash_words, id_and_text, id_filter, may_contain, partitions_for, release, restore_id, rolling, slices, split_words
+from .common import checkpoint, filter_position, hash_words, id_filter, may_contain, own_ids, partitions_for, release, restore_own, rolling, slices, split_words
 from .shared_keys import LOW, shared_keys, unpack7
 
 K, SPAN = 18, 33
@@ -221,7 +222,7 @@ def _missed(seen: DataFrame, suffixes: DataFrame) -> DataFrame | None:
 
 def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """id, first, stop (words), partner (least id of a neighbour with it) of every maximal repeated passage."""
-    rows = id_and_text(docs, id_col, text_col)
+    rows = own_ids(docs, id_col, text_col)
     found = checkpoint(shared_keys(rows, lambda text: places(split_words(text))[2], earlier=False))
     told = id_filter(found)
     bits, size = docs.sparkSession.sparkContext.broadcast(told), 8 * len(told)
@@ -244,7 +245,7 @@ def repeated_passages(docs: DataFrame, id_col: str = "doc_id", text_col: str = "
     if (more := _missed(seen, suffixes)) is not None:
         spans = spans.unionByName(more.select("id", "at", "covered", "partner"))
     release(suffixes) if more is None else None
-    return spans.repartition("id").sortWithinPartitions("id", "at").mapInArrow(_merge, "id long, first int, stop int, partner long").withColumns({"id": restore_id(), "partner": restore_id("partner")})
+    return spans.repartition("id").sortWithinPartitions("id", "at").mapInArrow(_merge, "id long, first int, stop int, partner long").withColumns({"id": restore_own(), "partner": restore_own("partner")})
 
 
 def _merge(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
