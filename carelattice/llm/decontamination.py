@@ -32,6 +32,8 @@ from .common import NULL_ID, checkpoint, id_and_text, mix, restore_id, slices, t
 Q = 10
 PATTERN, STRIDE, RATE = 96, 48, 0.07
 BLOCK = 2_000_000
+#: Places of items that a text's q-grams have on average before it is searched pattern by pattern; diagonals of one alignment.
+REPEATS, WIDEST = 32, 16_384
 _BITS = 24
 
 
@@ -112,6 +114,8 @@ class Index:
         n = high - low
         if not n.sum():
             return []
+        if n.sum() > REPEATS * len(at):
+            return self._repetitive(chars, at[n > 0], grams[n > 0], low[n > 0], n[n > 0])
         at, low, n = at[n > 0], low[n > 0], n[n > 0]
         which = np.repeat(low, n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
         item, place, diagonal = self.item[which], self.place[which], np.repeat(at, n) - self.place[which]
@@ -139,6 +143,47 @@ class Index:
                         found.append((self.ids[which_item], first, first + (y - x), edits))
         return sorted(set(found))
 
+    def _repetitive(self, chars: np.ndarray, at: np.ndarray, grams: np.ndarray, low: np.ndarray, n: np.ndarray) -> list[tuple[int, int, int, int]]:
+        """find() where the text's q-grams stand in many places of the items, as rules and fillers do.
+
+        The same bands are counted pattern by pattern, each place of a pattern once a band, so that memory follows the text
+        and not the number of shared places; bands side by side are aligned as one interval, in parts of bounded width.
+        """
+        order = np.argsort(grams, kind="stable")
+        at, sorted_grams = at[order], grams[order]
+        runs = np.unique(np.stack([low, n]), axis=1)  # of equal q-grams once
+        items = np.unique(np.concatenate([self.item[a : a + m] for a, m in runs.T.tolist()]))
+        width, found = 2 * self.reach, set()
+        for item in items.tolist():
+            own = mix(qgrams(self.chars[item]))
+            first, last = np.searchsorted(sorted_grams, own), np.searchsorted(sorted_grams, own, "right")
+            for x, y, need in self.patterns[item]:
+                places = [p for p in range(x, y - Q + 1) if last[p] > first[p]]
+                if len(places) < need:
+                    continue
+                spans = []
+                for shift in (0, self.reach):
+                    zero = -(-(y + shift) // width) * width  # makes diagonals count from 0
+                    counts = np.zeros((len(chars) + zero + shift) // width + 1, np.int16)
+                    for p in places:
+                        there = np.zeros(len(counts), bool)
+                        there[(at[first[p] : last[p]] - p + shift + zero) // width] = True
+                        counts += there
+                    bands = np.flatnonzero(counts >= need) * width - shift - zero + x
+                    spans += [(b, b + width - 1) for b in bands.tolist()]
+                merged: list[list[int]] = []
+                for a, z in sorted(spans):
+                    if merged and a <= merged[-1][1] + 1:
+                        merged[-1][1] = max(merged[-1][1], z)
+                    else:
+                        merged.append([a, z])
+                for a, z in merged:
+                    for part in range(a, z + 1, WIDEST):
+                        place, edits = self._align(self.chars[item][x:y], chars, part, min(z, part + WIDEST - 1))
+                        if edits <= budget(y - x):
+                            found.add((self.ids[item], place, place + (y - x), edits))
+        return sorted(found)
+
     @staticmethod
     def _bound(m: int) -> int:
         return max(1, m + 1 - Q - budget(m) * Q)
@@ -162,7 +207,7 @@ class Index:
             step = np.minimum(row + ~same, np.append(row[1:], 1 << 30) + 1)
             row = np.minimum.accumulate(step - ramp) + ramp
         j = int(row.argmin())
-        return max(0, start + min(j, 2 * k)), int(row[j])
+        return max(0, start + (min(j, 2 * k) if high - low < 4 * k else j)), int(row[j])
 
 
 def _blocks(benchmark: DataFrame, item_col: str, text_col: str) -> list[DataFrame]:

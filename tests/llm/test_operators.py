@@ -6,6 +6,7 @@ import collections
 import hashlib
 import math
 import random
+import time
 import zlib
 
 import numpy as np
@@ -438,9 +439,11 @@ def least_edits(pattern: str, text: str) -> int:
     return row[-1] if not text else min(row)
 
 
-def test_decontamination_against_brute_force(spark):
+@pytest.mark.parametrize("repeats", [32, 0])
+def test_decontamination_against_brute_force(spark, monkeypatch, repeats):
     from carelattice.llm import decontamination as dc
 
+    monkeypatch.setattr(dc, "REPEATS", repeats)
     rng = random.Random(77)
     fold = lambda t: " ".join((t or "").lower().split())
     items = [words(rng, n) for n in (2, 3, 8, 20, 40)] + ["ab ab ab ab ab ab ab", "short", "", None, "é" * 30]
@@ -464,6 +467,17 @@ def test_decontamination_against_brute_force(spark):
     assert sorted(r.doc_id for r in drop_contaminated(d, b).collect()) == [i for i in expected if not expected[i]]
 
 
+def test_decontamination_of_repetitive_text():
+    rng = random.Random(8)
+    rules = [f"{words(rng, 6)} {'=' * 60} {words(rng, 4)}" for _ in range(10)]
+    index = Index(list(enumerate(rules)))
+    began = time.time()
+    assert index.search(["=" * 20_000, "-=" * 10_000]) == [[], []]
+    assert index.search(["=" * 1_000_000]) == [[]]
+    (found,) = index.search([f"{'=' * 30_000} {rules[3]} {'=' * 30_000}"])
+    assert {x[0] for x in found} == {3} and time.time() - began < 120
+
+
 def test_decontamination_item_without_id(spark):
     item = words(random.Random(6), 50)
     d = spark.createDataFrame([(1, f"start {item} end"), (2, "clean")], "doc_id long, text string")
