@@ -163,3 +163,15 @@ def person_index(index: DataFrame, links: DataFrame, runs: DataFrame, run_seq: i
     """The persons that are known after run run_seq, each with the run it is valid from and its records up to then."""
     counts = as_of(links, runs, run_seq + 1).groupBy("umpi").agg(F.count("*").cast("int").alias("linked_record_count"))
     return as_of(index, runs, run_seq + 1).drop("linked_record_count").join(counts, "umpi", "left").withColumn("linked_record_count", F.coalesce("linked_record_count", F.lit(0)))
+
+
+def filled(rows: DataFrame, index: DataFrame) -> DataFrame:
+    """Patient rows (umpi) with what they lack of name, gender and postal code from their person's index record.
+
+    Their birth date is the index record's. index: one row for each umpi.
+    """
+    names = [c for c in ("given_name", "family_name", "gender", "postal_code") if c in index.columns]
+    known = index.select("umpi", F.col("birth_date").alias("_birth_date"), *(F.col(c).alias(f"_{c}") for c in names))
+    out = rows.join(known, "umpi", "left")
+    own = {c: F.coalesce(F.nullif(F.col(c), F.lit("")), F.col(f"_{c}")) for c in names}
+    return out.withColumns({**own, "birth_date": F.col("_birth_date")}).drop("_birth_date", *(f"_{c}" for c in names))

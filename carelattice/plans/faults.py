@@ -148,7 +148,30 @@ def tenant_rows(s: SparkSession, d: str) -> DataFrame:
     return views[0].unionByName(views[1]).unionByName(views[2]).groupBy("role", "tenant_id", "ssn").agg(F.count("*").alias("patients"))
 
 
-_ALL = (hl7_faults, hl7_fault_findings, fhir_faults, fhir_fault_findings, fhir_values, fhir_value_log, csv_two_files, csv_lab_dq_bronze, mpi_passes, hba1c_rounding, tenant_rows)
+def hl7_birth_dates(s: SparkSession, d: str) -> DataFrame:
+    """Birth dates of messages as stored, and the finding's words for those that can't be read."""
+    rows = _adt(s, d)
+    found = dq.hl7_findings(rows, "arrival_seq", ()).filter("error_code = 'HL7_MALFORMED_DOB'").select(F.col("source_record_id").cast("long").alias("arrival_seq"), "error_message", "error_severity")
+    return rows.select("arrival_seq", F.date_format("birth_date", "yyyy-MM-dd").alias("birth_date"), "mrn", "gender").join(found, "arrival_seq", "left")
+
+
+def csv_long_values(s: SparkSession, d: str) -> DataFrame:
+    """Findings on values of some thousand characters, which are shown in part."""
+    rows = fx.csv_raw(s, d).filter("row_idx < 1000000000").withColumn("dob", F.repeat(F.lit("19/"), (F.col("row_idx") % 1500).cast("int")))
+    found = dq.csv_bronze_findings(rows, "patients").filter("error_code in ('CSV_MALFORMED_DOB', 'CSV_DUPLICATE_RECORD')")
+    return found.select("source_record_id", "error_code", "error_message", F.length("raw_value").alias("shown"))
+
+
+def index_fill(s: SparkSession, d: str) -> DataFrame:
+    """Patients as stored: what a later record lacks comes from the index, and its birth date always does."""
+    people = fx.patients(s, d)
+    k = F.col("arrival_seq")
+    later = people.select("umpi", F.when(k % 2 == 0, F.col("given_name")).alias("given_name"), F.when(k % 3 == 0, F.lit("Other")).otherwise(F.when(k % 3 == 1, F.lit(""))).alias("family_name"), F.lit(fx.AS_OF).alias("birth_date"), F.when(k % 5 == 0, F.col("gender")).alias("gender"), F.when(k % 7 == 0, F.lit("99999")).alias("postal_code"))
+    index = people.select("umpi", "given_name", "family_name", "birth_date", "gender", "postal_code").filter(k % 11 != 0)
+    return identity.filled(later, index).withColumn("birth_date", F.date_format("birth_date", "yyyy-MM-dd"))
+
+
+_ALL = (hl7_birth_dates, csv_long_values, index_fill, hl7_faults, hl7_fault_findings, fhir_faults, fhir_fault_findings, fhir_values, fhir_value_log, csv_two_files, csv_lab_dq_bronze, mpi_passes, hba1c_rounding, tenant_rows)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -171,6 +194,11 @@ def sql(labs: str) -> dict[str, str]:
         "hl7_faults": f"""SELECT {k} AS arrival_seq, CASE WHEN {k} % 9 <> 0 THEN 'MSG' || {k} END AS message_control_id, 'UNKNOWN' AS tenant_id, CASE WHEN {k} % 9 <> 0 THEN 'ADT' END AS message_type,
             CASE WHEN {k} % 9 = 0 THEN 'ERROR' ELSE 'PASS' END AS validation_status, CASE WHEN {k} % 9 = 0 THEN 'No MSH segment found' END AS error,
             CASE WHEN {k} % 9 <> 0 THEN strftime({_by(f"{k} % 8", moments)}, {_TS}) END AS message_time, strftime({_by(f"{k} % 8", events)}, {_TS}) AS event_time FROM orders""",
+        "hl7_birth_dates": f"""SELECT {k} AS arrival_seq, CASE WHEN {k} % 8 = 6 THEN '1958-04-12' END AS birth_date, 'M' AS mrn, 'F' AS gender, CASE WHEN {k} % 9 <> 0 AND {k} % 8 {bad} THEN 'Birth date can''t be read' END AS error_message, CASE WHEN {k} % 9 <> 0 AND {k} % 8 {bad} THEN 'ERROR' END AS error_severity FROM orders""",
+        "csv_long_values": "SELECT c_custkey || ':PT' || c_custkey AS source_record_id, 'CSV_MALFORMED_DOB' AS error_code, 'Expected YYYY-MM-DD' AS error_message, least(2000, 3 * (c_custkey % 1500)) AS shown FROM customer WHERE c_custkey % 1500 > 0",
+        "index_fill": """SELECT 'P' || lpad(c::VARCHAR, 9, '0') AS umpi, CASE WHEN c % 2 = 0 OR c % 11 <> 0 THEN 'G' || (c % 53) END AS given_name, CASE WHEN c % 3 = 0 THEN 'Other' WHEN c % 11 <> 0 THEN 'F' || (c % 97) END AS family_name,
+            CASE WHEN c % 11 <> 0 THEN strftime(DATE '1930-01-01' + (c * 7919 % 27000)::INT, '%Y-%m-%d') END AS birth_date, CASE WHEN c % 5 = 0 OR c % 11 <> 0 THEN CASE WHEN c % 2 = 0 THEN 'M' ELSE 'F' END END AS gender,
+            CASE WHEN c % 7 = 0 THEN '99999' WHEN c % 11 <> 0 THEN (70000 + c % 500)::VARCHAR END AS postal_code FROM (SELECT c_custkey AS c FROM customer)""",
         "hl7_fault_findings": f"""SELECT mode, {k}::VARCHAR AS source_record_id, error_code, 'ERROR' AS error_severity, field_path, raw_length FROM (SELECT {k}, unnest(['strict', 'lenient']) AS mode FROM orders), LATERAL (
             SELECT 'HL7_PARSE_FAILURE' AS error_code, 'MSH' AS field_path, length('EVN|A01|' || {_by(f"{k} % 8", [f"'{t}'" for t in TIMES])} || chr(13) || 'PID|1||M^^^F1||A^B||' || '|F') + {born} AS raw_length WHERE {k} % 9 = 0
             UNION ALL SELECT 'HL7_MISSING_MSH4', 'MSH-4', NULL WHERE {k} % 9 <> 0

@@ -234,7 +234,11 @@ def silver(spark: SparkSession, cfg: Config, out: Staging) -> None:
     hl7_umpi = of("3hl7").select(F.col("place").alias("message_id"), "umpi", F.col("arrival_seq").alias("subject_seq"))
     timed = lambda df: df.withColumn("created_at", _at(cfg, "subject_seq"))
     link = lambda df: fhir.link_subjects(df, fhir_umpi, cfg.global_ids)
-    named = link(people.withColumn("subject_key", F.col("source_record_id")))
+    # persons of this run by their first record; those of earlier runs by the index
+    minted = resolved.filter("is_new_record").select("umpi", "given_name", "family_name", "birth_date", "gender", "postal_code")
+    none = F.lit(None).cast("string")
+    earlier = identity.as_of(spark.table(cfg.table("mpi_patient_index")), _runs(spark, cfg), register(spark, cfg)).select("umpi", "given_name", "family_name", "birth_date", none.alias("gender"), none.alias("postal_code"))
+    named = identity.filled(link(people.withColumn("subject_key", F.col("source_record_id"))), minted.unionByName(earlier))
     csv_people = of_csv.join(csv_umpi, ["batch_id", "row_idx"])
     patients = [named.withColumn("patient_id", stable_id("bundle_id", "source_record_id")), csv_people.withColumn("patient_id", stable_id("batch_id", "row_idx"))]
     if cfg.include_hl7_patients:

@@ -139,7 +139,9 @@ def test_hba1c(spark):
     assert set(got) == {"a", "b"} and got["a"].in_numerator is False and got["a"].evidence_value == 8.2 and got["b"].in_numerator is None
 
 
-def test_identity_matches_a_sequential_run(spark):
+@pytest.mark.parametrize("hot", [1_000_000, 7])
+def test_identity_matches_a_sequential_run(spark, monkeypatch, hot):
+    monkeypatch.setattr(identity, "HOT", hot)  # keys of more records are spread over tasks
     rng = random.Random(11)
     rows = [(i, rng.choice(["m1", "m2", "m3", "m4", ""]), rng.choice(["n1", None]), rng.choice(["s1", "s2", None]), rng.choice(["Doe", "Roe "]), rng.choice(["Al", "Bo"]), dt.date(1990, 1, rng.randrange(1, 4)), rng.choice(["1", "2", None]), rng.choice(["7", None])) for i in range(120)]
     df = spark.createDataFrame(rows, "arrival_seq int, source_mrn string, source_facility_npi string, source_identifier_system string, family_name string, given_name string, birth_date date, ssn_last4 string, postal_code string")
@@ -158,6 +160,21 @@ def test_identity_matches_a_sequential_run(spark):
     assert len({p for p, _ in expected.values()}) > 5
 
 
+def test_identity_chain_of_waiting_records(spark):
+    # each record shares a number with the one before and a name with the one after: every second is new, one round a pair
+    rows = [(i, f"m{i // 2}", "n", f"F{(i + 1) // 2}", "A", dt.date(1990, 1, 1), "7") for i in range(24)]
+    df = spark.createDataFrame(rows, "arrival_seq int, source_mrn string, source_facility_npi string, family_name string, given_name string, birth_date date, postal_code string")
+    got = {r.arrival_seq: r for r in identity.resolve(df).collect()}
+    index, expected = {}, {}
+    for i, mrn, _, family, *_ in rows:
+        hit = next((k for k in (mrn, family) if k in index), None)
+        expected[i] = index[hit] if hit else i
+        if not hit:
+            index.update({mrn: i, family: i})
+    new = {r.umpi: i for i, r in got.items() if r.is_new_record}
+    assert {i: new[r.umpi] for i, r in got.items()} == expected
+
+
 def test_identity_seeds_and_chain(spark):
     schema = "arrival_seq int, source_mrn string, source_facility_npi string, source_identifier_system string"
     chain = spark.createDataFrame([(0, "k1", "n", "s2"), (1, "k1", "n", "s3"), (2, "k1", None, "s3"), (3, "old", "n", None)], schema)

@@ -73,16 +73,16 @@ def test_two_runs(spark, tmp_path):
         day = dt.date(2024, 6, 1)
         one = Config(db, "r1", dt.datetime(2024, 6, 1), day, 2024, csv_patients_path=str(tmp_path / "one"))
         two = Config(db, "r2", dt.datetime(2024, 6, 2), day, 2024, csv_patients_path=str(tmp_path / "two"), upstream_run="r2")
-        run(spark, one)
+        run(spark, one, ["csv", "silver"])
         table = lambda t: spark.table(f"{db}.{t}")
         first = {r.source_record_id: r.umpi for r in table("clinical_patients").collect()}
         found = table("audit_validation_errors").filter("error_code like 'CSV_DUPLICATE%'").collect()
         assert len(set(first.values())) == 3 and [r.source_record_id for r in found] == ["3:PT2", "3:PT2"]
         counts = lambda: {t.name: table(t.name).count() for t in spark.catalog.listTables(db) if t.name != "pipeline_runs"}
         before = counts()
-        run(spark, one)  # again: its rows are replaced
+        run(spark, one, ["csv", "silver"])  # again: its rows are replaced
         assert counts() == before and {r.source_record_id: r.umpi for r in table("clinical_patients").collect()} == first
-        run(spark, two)
+        run(spark, two, ["csv", "silver"])
         links = {r.source_record_id: r for r in table("mpi_identity_crosswalk").filter("pipeline_run_id = 'r2'").collect()}
         assert (links["PT1"].umpi, links["PT1"].match_method) == (first["PT1"], "MRN_NPI")
         assert (links["PT9"].umpi, links["PT9"].match_method) == (first["PT2"], "DOB_NAME_ZIP")
