@@ -1,15 +1,18 @@
 """Language-model scoring by prediction by partial matching (PPM) over bytes.
 
 Training counts, over all training rows, every word and every run of ORDER + 1 bytes. The runs make a context trie of
-depth ORDER: a node's escape probability is estimated by its number of distinct symbols (method C), and a symbol that a
-longer context knows is excluded from the shorter one after an escape. As the symbols of a context are among those of
+depth ORDER: with t occurrences of d distinct symbols, a node escapes with probability d / 2t, and a symbol seen c times
+has (2c - 1) / 2t (method D). A symbol that a longer context knows is excluded from the shorter one after an escape. As the symbols of a context are among those of
 its suffix, exclusion and escape together are one factor for each context, so that the probability of a byte is that of
 the longest context which knows it times the factors of the longer ones: table look-ups, done for whole slices of text
 with numpy.
 
 Every node is kept. Contexts of three bytes and more are dealt by their last three bytes, so that a part of the trie
-holds all that its probabilities depend on (with the contexts of up to two bytes, which every part gets). What is
-broadcast has a fixed capacity and only saves look-ups: the probabilities, from the whole trie, of the NODES most
+holds all that its probabilities depend on (with the contexts of up to two bytes, which every part gets). There are as
+many parts as the input is large, up to one for each three bytes; beyond TASKS a task takes several in turn. A part's
+runs are distinct, so it can't outgrow 256 ** 3 of them; its places can, so they come after its runs and are answered
+PLACES at a time, and a part that is asked for more than LOAD places is given to several tasks, each with all its runs
+and a share of its places. What is broadcast has a fixed capacity and only saves look-ups: the probabilities, from the whole trie, of the NODES most
 frequent runs, and HEAD words. Places with other runs go to the part of the trie that knows them, packed for many
 documents at once, and come back as sums; other words are joined with the whole table of counts. So neither score
 depends on these sizes.
@@ -43,6 +46,12 @@ HEAD = 1_000_000
 TOP = 3
 #: Places (or runs) that a task gathers before it sends them to the parts of the trie.
 PLACES = 1 << 20
+#: Places for which one task answers; parts with more are given to several tasks.
+LOAD = 1 << 25
+#: Most tasks of a shuffle.
+TASKS = 100_000
+#: Leading bits of a count that tell how often it occurs, so that what is collected of counts stays small.
+BITS = 10
 #: Bytes of text that are counted or scored at once: a dozen arrays of eight bytes for each.
 SLICE = 1 << 18
 HELD_OUT = (7, 2)
@@ -178,22 +187,22 @@ def train(codes: list[np.ndarray], counts: list[np.ndarray]) -> Model:
         starts = np.flatnonzero(np.concatenate([[True], ctx[1:] != ctx[:-1]])) if len(ctx) else np.empty(0, int)
         d = np.diff(np.append(starts, len(ctx))).astype(float)
         total = np.add.reduceat(c, starts) if len(ctx) else c
-        symbols.append(Table(code, np.log10(c / np.repeat(total + d, d.astype(int))).astype(np.float32)))
+        weight = 2 * c - 1
+        symbols.append(Table(code, np.log10(weight / np.repeat(2 * total, d.astype(int))).astype(np.float32)))
         own = ctx[starts]
-        factor = d / (total + d)
+        factor = d / (2 * total)
         if j == 0:
             if len(d):
                 unseen = math.log10(factor[0] / (256 - d[0])) if d[0] < 256 else -math.log10(256)
             contexts.append(Table(np.empty(0, np.uint64), np.empty(0)))
         else:
-            low_code, low_c, low_ctx, low_total, low_d = below
+            low_code, low_weight, low_ctx, low_total = below
             mask = np.uint64((1 << (8 * j)) - 1)
-            excluded = np.add.reduceat(low_c[np.searchsorted(low_code, code & mask)], starts) if len(ctx) else c
+            excluded = np.add.reduceat(low_weight[np.searchsorted(low_code, code & mask)], starts) if len(ctx) else c
             at = np.searchsorted(low_ctx, own & np.uint64((1 << (8 * (j - 1))) - 1))
-            t, n = low_total[at], low_d[at]
-            factor = factor * (t + n) / (t - excluded + n)
+            factor = factor * 2 * low_total[at] / (2 * low_total[at] - excluded)
             contexts.append(Table(own, np.log10(factor).astype(np.float32)))
-        below = (code, c, own, total, d)
+        below = (code, weight, own, total)
     return Model(len(codes) - 1, symbols, contexts, unseen)
 
 
@@ -223,9 +232,11 @@ def log_of(model: Model, code: np.ndarray) -> np.ndarray:
 
 
 def _threshold(sizes: DataFrame, most: int) -> int:
-    """The least count n such that at most `most` rows have n or more. sizes: n, rows."""
+    """A count n such that at most `most` rows have n or more: the least one, of its leading BITS. sizes: n, rows."""
     total, least = 0, 1 << 62
-    for n, rows in sorted(((r.n, r.rows) for r in sizes.collect()), reverse=True):
+    shift = F.greatest(F.length(F.bin("n")) - BITS, F.lit(0))
+    leading = F.call_function("shiftleft", F.call_function("shiftright", F.col("n"), shift), shift)
+    for n, rows in sorted(((r.n, r.rows) for r in sizes.groupBy(leading.alias("n")).agg(F.sum("rows").alias("rows")).collect()), reverse=True):
         total += rows
         if total > most:
             break
@@ -259,10 +270,10 @@ def _part_model(top: list[tuple[np.ndarray, np.ndarray]], code: np.ndarray, coun
 
 #: Rows on their way to the parts of the trie: documents; runs with their counts; places with their documents' uids.
 _KINDS = {
-    "part": pa.int32(), "uid": pa.int64(), "id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
+    "task": pa.int32(), "part": pa.int32(), "uid": pa.int64(), "id": pa.int64(), "held_out": pa.bool_(), "n_tokens": pa.int64(), "n_known": pa.int64(),
     "logs": pa.float64(), "score": pa.float64(), "rare": pa.list_(pa.binary()), "asked": pa.bool_(), "codes": pa.binary(), "numbers": pa.binary(),
 }
-_ROWS = "part int, uid long, id long, held_out boolean, n_tokens long, n_known long, logs double, score double, rare array<binary>, asked boolean, codes binary, numbers binary"
+_ROWS = "task int, part int, uid long, id long, held_out boolean, n_tokens long, n_known long, logs double, score double, rare array<binary>, asked boolean, codes binary, numbers binary"
 
 
 def _rows(**columns) -> pa.RecordBatch:
@@ -270,55 +281,78 @@ def _rows(**columns) -> pa.RecordBatch:
     return pa.RecordBatch.from_arrays([pa.array(columns[c], k) if c in columns else pa.nulls(n, k) for c, k in _KINDS.items()], names=list(_KINDS))
 
 
-def _send(held: list[tuple[np.ndarray, np.ndarray]], parts: int, asked: bool) -> pa.RecordBatch:
-    """What is held, as one row for each part."""
-    dealt = list(_dealt(np.concatenate([h[0] for h in held]), parts, np.concatenate([h[1] for h in held])))
-    held.clear()
-    return _rows(part=[x[0] for x in dealt], asked=[asked] * len(dealt), codes=[x[1].tobytes() for x in dealt], numbers=[x[2].tobytes() for x in dealt])
+class Deal(NamedTuple):
+    """How many parts the trie has, how many tasks they go to, and the parts that several tasks get, with their number."""
 
+    parts: int
+    tasks: int
+    copies: dict[int, int] = {}
 
-def _pack(parts: int):
-    """Runs and counts by part."""
+    def send(self, held: list[tuple[np.ndarray, np.ndarray]], asked: bool, turn: int = 0) -> Iterator[pa.RecordBatch]:
+        """What is held, as one row for each part: runs go to all tasks of their part, places to one, by turns."""
+        dealt = list(_dealt(np.concatenate([h[0] for h in held]), self.parts, np.concatenate([h[1] for h in held])))
+        held.clear()
+        for copy in range(1 if asked else max(self.copies.values(), default=1)):
+            own = [x for x in dealt if copy < self.copies.get(x[0], 1)]
+            tasks = [(x[0] + (turn % self.copies.get(x[0], 1) if asked else copy)) % self.tasks for x in own]
+            yield _rows(task=tasks, part=[x[0] for x in own], asked=[asked] * len(own), codes=[x[1].tobytes() for x in own], numbers=[x[2].tobytes() for x in own])
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    def pack(self, batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        """Runs and counts by part."""
         held, size = [], 0
         for batch in batches:
             if batch.num_rows:
                 held.append((batch.column("gram").to_numpy().view(np.uint64), batch.column("n").to_numpy()))
                 size += batch.num_rows
             if size >= PLACES:
-                yield _send(held, parts, False)
+                yield from self.send(held, False)
                 size = 0
         if held:
-            yield _send(held, parts, False)
+            yield from self.send(held, False)
 
-    return run
+    def meet(self, rows: DataFrame) -> DataFrame:
+        """The rows by task; in it by part: documents, then the part's runs, then its places."""
+        return rows.repartitionById(self.tasks, "task").sortWithinPartitions("part", "asked")
 
 
 def _met(batches: Iterator[pa.RecordBatch], documents: list[pa.RecordBatch] | None = None) -> Iterator[tuple]:
-    """Runs, counts, places and their documents' uids of each part; other rows are added to documents."""
-    held: dict[int, tuple[list, list, list, list]] = {}
+    """part, asked, codes and numbers: a part's runs and their counts at once, places and their documents' uids PLACES at a time.
+
+    Other rows are added to documents; after each batch an empty tuple follows.
+    """
+    held: list[tuple[bytes, bytes]] = []
+    at, size = (0, False), 0
+
+    def done() -> tuple:
+        codes, numbers = (b"".join(x) for x in zip(*held, strict=True))
+        held.clear()
+        return *at, np.frombuffer(codes, np.uint64), np.frombuffer(numbers, np.int64)
+
     for batch in batches:
         packed = pc.is_valid(batch.column("codes"))
         if documents is not None:
             documents.append(batch.filter(pc.invert(packed)))
-        batch = batch.filter(packed)
-        for part, asked, codes, numbers in zip(*(batch.column(c).to_pylist() for c in ("part", "asked", "codes", "numbers")), strict=True):
-            own = held.setdefault(part, ([], [], [], []))
-            own[2 * asked].append(codes)
-            own[2 * asked + 1].append(numbers)
         yield ()
-    for part in list(held):
-        own = [b"".join(x) for x in held.pop(part)]
-        yield tuple(np.frombuffer(x, k) for x, k in zip(own, (np.uint64, np.int64, np.uint64, np.int64), strict=True))
+        batch = batch.filter(packed)
+        for part, asked, codes, numbers in zip(*(batch.column(c) for c in ("part", "asked", "codes", "numbers")), strict=True):
+            here = (part.as_py(), asked.as_py())
+            if held and (here != at or here[1] and size >= PLACES):
+                yield done()
+                size = 0
+            at = here
+            held.append((codes.as_py(), numbers.as_py()))
+            size += len(held[-1][0]) // 8
+    if held:
+        yield done()
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, nodes: int = NODES, head: int = HEAD) -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order: int = ORDER, nodes: int = NODES, head: int = HEAD, load: int = LOAD) -> DataFrame:
     """id, held_out, n_tokens, n_known, train_tokens, base_score, score of every document."""
     spark = docs.sparkSession
-    rows = id_and_text(docs.withColumn("_held", held_out(id_col, *HELD_OUT)), id_col, text_col)
+    rows = id_and_text(docs, id_col, text_col)
     train_rows = id_and_text(docs.filter(~held_out(id_col, *HELD_OUT)), id_col, text_col)
-    parts = partitions_for(rows)
+    parts = min(partitions_for(rows, most=1 << 31), 1 << (8 * TOP))
+    deal = Deal(parts, min(parts, TASKS))
     counts = checkpoint(train_rows.select("text").mapInArrow(_count(order), "word binary, gram long, n long").groupBy("word", "gram").agg(F.sum("n").alias("n")))
     words = counts.filter("word is not null").select("word", "n")
     total, distinct = words.agg(F.coalesce(F.sum("n"), F.lit(0)), F.count("*")).first()
@@ -331,19 +365,27 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
     j, code, n = (low.column(c).to_numpy() for c in ("j", "code", "n"))
     complete = spark.sparkContext.broadcast([(code[j == i].view(np.uint64), n[j == i]) for i in range(min(TOP, order + 1))])
     del low, j, code, n
-    dealt = runs.mapInArrow(_pack(parts), _ROWS)
 
-    # the runs that most places are
+    # the runs that most places are, and the parts that the other places would ask too often for one task
     least = _threshold(runs.groupBy("n").agg(F.count("*").alias("rows")), nodes)
 
     def frequent_runs(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for met in _met(batches):
-            if met and (met[1] >= least).any():
-                some = met[0][met[1] >= least]
-                values = log_of(_part_model(complete.value, met[0], met[1], order), some)
-                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(values)], names=["code", "value"])
-
-    cached = dealt.repartitionById(parts, "part").mapInArrow(frequent_runs, "code long, value double").toArrow()
+            if not met:
+                continue
+            part, _, code, count = met
+            rest = int(count[count < least].sum())
+            if rest > load:
+                yield pa.RecordBatch.from_arrays([pa.array([part], pa.int64()), pa.nulls(1, pa.float64()), pa.array([-(-rest // load)], pa.int64())], names=["code", "value", "copies"])
+            some = code[count >= least]
+            if len(some):
+                values = log_of(_part_model(complete.value, code, count, order), some)
+                yield pa.RecordBatch.from_arrays([pa.array(some.view(np.int64)), pa.array(values), pa.nulls(len(some), pa.int64())], names=["code", "value", "copies"])
+
+    cached = deal.meet(runs.mapInArrow(deal.pack, _ROWS)).mapInArrow(frequent_runs, "code long, value double, copies long").toArrow()
+    several = cached.filter(pc.is_valid(cached.column("copies")))
+    deal = deal._replace(copies={p: min(n, deal.tasks) for p, n in zip(several.column("code").to_pylist(), several.column("copies").to_pylist(), strict=True)})
+    cached = cached.filter(pc.is_valid(cached.column("value")))
 
     # the words that most tokens are
     limit = _threshold(words.groupBy("n").agg(F.count("*").alias("rows")), head)
@@ -358,7 +400,8 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
 
     def look(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known, frequent = shared.value
-        uid = TaskContext.get().partitionId() << 33
+        turn = TaskContext.get().partitionId()
+        uid = turn << 33
         held, size = [], 0
         for batch in slices(batches, most=SLICE):
             texts, own, sizes = [], [], []
@@ -384,29 +427,40 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", order
                 held.append((code[left], np.repeat(np.arange(uid, uid + m), lengths)[left]))
                 size += len(left)
             if size >= PLACES:
-                yield _send(held, parts, True)
-                size = 0
+                yield from deal.send(held, True, turn)
+                size, turn = 0, turn + 1
             yield _rows(
-                part=np.arange(uid, uid + m) % parts, uid=np.arange(uid, uid + m), id=batch.column("id"), held_out=batch.column("held"), n_tokens=sizes,
+                task=np.arange(uid, uid + m) % deal.tasks, part=np.zeros(m, np.int32), uid=np.arange(uid, uid + m), id=batch.column("id"), held_out=batch.column("held"), n_tokens=sizes,
                 n_known=[s - len(r) for s, r in zip(sizes, rare, strict=True)], logs=np.add.reduceat(logs, ends - sizes).astype(float), score=p, rare=rare,
             )
             uid += m
         if held:
-            yield _send(held, parts, True)
+            yield from deal.send(held, True, turn)
 
     def ask(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         documents: list[pa.RecordBatch] = []
+        none = np.empty(0, np.uint64), np.empty(0, np.int64)
+        own, runs_of, model = -1, none, None
         for met in _met(batches, documents):
             while documents:
                 yield documents.pop()
-            if met and len(met[2]):
-                codes, back = np.unique(met[2], return_inverse=True)
-                values = log_of(_part_model(complete.value, met[0], met[1], order), codes)
-                uids, at = np.unique(met[3], return_inverse=True)
-                yield _rows(uid=uids, score=np.bincount(at, values[back]), asked=np.ones(len(uids), bool))
+            if not met:
+                continue
+            part, asked, code, number = met
+            if part != own:
+                own, runs_of, model = part, none, None
+            if not asked:
+                runs_of = code, number
+                continue
+            if model is None:
+                model = _part_model(complete.value, *runs_of, order)
+            codes, back = np.unique(code, return_inverse=True)
+            uids, at = np.unique(number, return_inverse=True)
+            yield _rows(uid=uids, score=np.bincount(at, log_of(model, codes)[back]), asked=np.ones(len(uids), bool))
 
     rows = rows.withColumn("held", held_out(F.when(F.col("id") != (1 << 63) - 1, F.col("id")), *HELD_OUT))
-    seen = checkpoint(rows.mapInArrow(look, _ROWS).unionByName(dealt).repartitionById(parts, "part").mapInArrow(ask, _ROWS).drop("part", "codes", "numbers"))
+    sent = rows.mapInArrow(look, _ROWS).unionByName(runs.mapInArrow(deal.pack, _ROWS))
+    seen = checkpoint(deal.meet(sent).mapInArrow(ask, _ROWS).drop("task", "part", "codes", "numbers"))
     answers = seen.filter("asked").select("uid", F.lit(0).cast("long").alias("times"), F.lit(0.0).alias("word_logs"), F.col("score").alias("more_score"))
     seen = seen.filter("asked is null").drop("asked")
     found = seen.select("uid", F.explode("rare").alias("word")).groupBy("uid", "word").agg(F.count("*").alias("times")).join(words, "word")

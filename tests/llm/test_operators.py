@@ -144,7 +144,7 @@ def test_ppm_probabilities_sum_to_one():
         assert abs((10**p).sum() - 1) < 1e-4
 
 
-def test_ppm_keeps_every_node(spark):
+def test_ppm_keeps_every_node(spark, monkeypatch):
     rng = random.Random(9)
     rows = [(i, " ".join("".join(rng.choice("abcde") for _ in range(rng.randrange(2, 9))) for _ in range(40)), "en", "s", 0) for i in range(40)]
     d = spark.createDataFrame([*rows, (None, None, None, None, None)], DOCS)
@@ -163,9 +163,9 @@ def test_ppm_keeps_every_node(spark):
             if j and context[ppm.ORDER - j :] not in trie:
                 continue
             known = trie[context[ppm.ORDER - j :]]
-            total, kinds = sum(n for s, n in known.items() if s not in excluded), len(known)
+            total, kinds = sum(2 * n - 1 for s, n in known.items() if s not in excluded), len(known)
             if symbol in known:
-                return out + math.log10(known[symbol] / (total + kinds))
+                return out + math.log10((2 * known[symbol] - 1) / (total + kinds))
             out += math.log10(kinds / (total + kinds))
             excluded |= known.keys()
         return out - math.log10(256 - len(known))
@@ -177,6 +177,26 @@ def test_ppm_keeps_every_node(spark):
     for nodes in (0, 300, ppm.NODES):
         got = {r.id: r.score for r in ppm.score(d, nodes=nodes).collect()}
         assert got == pytest.approx(expected, abs=1e-3), nodes
+    # parts that are given to several tasks, and tasks that take several parts in turn, a few places at a time
+    monkeypatch.setattr(ppm, "TASKS", 3)
+    monkeypatch.setattr(ppm, "PLACES", 500)
+    got = {r.id: r.score for r in ppm.score(d, nodes=300, load=100).collect()}
+    assert got == pytest.approx(expected, abs=1e-3)
+
+
+def test_ppm_deals_hot_parts_to_several_tasks():
+    rng = random.Random(10)
+    code = np.array([rng.randrange(256) | 0x207468 << 8 for _ in range(50)], np.uint64)  # all behind one context
+    deal = ppm.Deal(8, 4, {int(ppm._part(code[:1], 8)[0]): 3})
+    runs = [r for b in deal.send([(code, np.ones(50, np.int64))], False) for r in b.to_pylist()]
+    places = [r for turn in range(6) for b in deal.send([(code, np.arange(50))], True, turn) for r in b.to_pylist()]
+    assert len({r["task"] for r in runs}) == 3 and all(np.array_equal(np.frombuffer(r["codes"], np.uint64), code) for r in runs)
+    assert collections.Counter(r["task"] for r in places) == {r["task"]: 2 for r in runs}
+
+
+def test_ppm_threshold(spark):
+    sizes = spark.createDataFrame([(1, 50), (2, 20), (5000, 1), (5001, 1), (7000, 1)], "n long, rows long")
+    assert [ppm._threshold(sizes, most) for most in (0, 1, 3, 22, 23, 100)] == [1 << 62, 7000, 5000, 5000, 2, 1]
 
 
 def test_near_duplicates(docs, texts):
