@@ -1,12 +1,16 @@
 """Main text of web pages by tag-path ratios.
 
 A page is read in one pass into blocks of text, each with its root-to-leaf path of tags and class names. For every path
-the mean length of text outside of links and the mean number of punctuation marks of its blocks are taken, smoothed over
-the order in which paths occur, and fused. What markup tells is a prior on the ratio: parts named as menus, adverts,
-forms, comments and the like (by tag, role, class or id) count PART of it, text outside of an article or main element, if
-there is one, OUTSIDE. Paths at or above a share of the text-weighted mean are content. Their parents are the content
-nodes, and a page's text is its content paths with what else stands below a content node: all unnamed blocks, or, where
-the node is the body, its own headings and paragraphs. Scripts, styles and hidden parts are no text.
+the text outside of links and the punctuation marks of its blocks are summed. A path's ratio is its text over the root of
+its number of blocks (between the sum, which favours long lists of short blocks, and the mean, which favours a single long
+one), times one plus its marks a block; ratios are smoothed over the order in which paths occur. Paths whose ratio is at
+least SHARE of the largest one are content. What markup tells only weighs: ratios of parts named as menus, adverts, forms,
+comments and the like (by tag, role, class or id), and of text outside of an article or main element, if there is one,
+count PRIOR, which is more than SHARE, so that no name alone leaves out a path; text of an article counts as TOLD
+characters more than it has, which matters on pages that have little more, and an article's best path is content
+beside whatever outweighs it. The parents of unnamed content paths are the
+content nodes, and a page's text is its content paths with what else stands below a content node: all unnamed blocks, or,
+where the node is the body, its own headings and paragraphs. Scripts, styles and hidden parts are no text.
 
 Defined results: null or empty html and pages without text give the empty string. Tags may be left open or be closed in
 the wrong order; elements nested deeper than DEPTH belong to the element at that depth, with their text. Rows with equal
@@ -16,6 +20,7 @@ ids are read each for itself; nothing depends on other rows. Time grows with the
 from __future__ import annotations
 
 import html
+import math
 import re
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -26,12 +31,14 @@ from pyspark.sql import functions as F
 
 from .common import slices
 
-#: Share of the text-weighted mean of the fused ratio that a content path needs.
-SHARE = 0.5
+#: Share of the largest ratio of the page that a content path needs.
+SHARE = 0.45
+#: What ratios count in parts that are named as no text, and outside of the page's articles.
+PRIOR = 0.5
+#: Characters that being an article is worth.
+TOLD = 1000
 #: Share of link text from which a block outside of articles is a menu.
 LINKS = 0.6
-#: Priors of parts that are named as no text, and of text outside of the page's articles.
-PART, OUTSIDE = 0.001, 0.01
 #: Deepest nesting of elements.
 DEPTH = 256
 
@@ -108,18 +115,16 @@ def blocks(page: str) -> list[Block]:
     root = Node("", 0, False, False, False, False, False, "")
     stack, number, deeper = [root], 0, 0
     held: tuple[list[str], list[str]] = ([], [])  # text of the block, and of named parts within it
-    links = 0
+    links = [0, 0]
 
     def add(text: str) -> None:
-        nonlocal links
         top = stack[-1]
         if text and not top.hidden:
             held[top.named].append(text)
-            if top.link and not top.named:
-                links += len(text.strip())
+            if top.link:
+                links[top.named] += len(text.strip())
 
     def flush() -> None:
-        nonlocal links
         for named, parts in enumerate(held):
             if not parts:
                 continue
@@ -129,8 +134,8 @@ def blocks(page: str) -> list[Block]:
             if text and not (top.header and not any(n.tag in _HEADINGS for n in stack)):
                 at = max((i for i, n in enumerate(stack) if n.tag in _BLOCK), default=0)
                 above = stack[:at]
-                found.append(Block(text, stack[at].path, stack[at].tag, above[-1].number if above else -1, tuple(n.number for n in above if n.tag not in _WIDE), top.article, bool(named), 0 if named else links))
-        links = 0
+                found.append(Block(text, stack[at].path, stack[at].tag, above[-1].number if above else -1, tuple(n.number for n in above if n.tag not in _WIDE), top.article, bool(named), links[named]))
+        links[:] = 0, 0
 
     def close(names: frozenset[str] | set[str], bounds: frozenset[str] = frozenset()) -> None:
         for i in range(len(stack) - 1, 0, -1):
@@ -200,10 +205,9 @@ def tag_path_ratios(found: list[Block]) -> dict[tuple, float]:
         s[0] += max(0, len(b.text) - b.links)
         s[1] += len(_PUNCTUATION.findall(b.text))
         s[2] += 1
-    paths = list(sums)
-    length, marks = [[sums[p][i] / sums[p][2] for p in paths] for i in (0, 1)]
-    smooth = lambda v: [(v[max(i - 1, 0)] + 6 * v[i] + v[min(i + 1, len(v) - 1)]) / 8 for i in range(len(v))]
-    return {p: a * (1 + b) for p, a, b in zip(paths, smooth(length), smooth(marks), strict=True)}
+    v = [length / math.sqrt(n) * (1 + marks / n) + (TOLD if article and not named else 0) for (_, named, article), (length, marks, n) in sums.items()]
+    smooth = [(v[max(i - 1, 0)] + 6 * v[i] + v[min(i + 1, len(v) - 1)]) / 8 for i in range(len(v))]
+    return dict(zip(sums, smooth, strict=True))
 
 
 def main_text(page: str | None) -> str:
@@ -213,9 +217,9 @@ def main_text(page: str | None) -> str:
         return ""
     ratios = tag_path_ratios(found)
     articles = any(b.article and not b.named for b in found)
-    prior = [(PART if b.named else 1) * (OUTSIDE if articles and not b.article else 1) for b in found]
+    prior = [PRIOR if b.named or articles and not b.article else 1 for b in found]
     scores = [ratios[b.path, b.named, b.article] * w for b, w in zip(found, prior, strict=True)]
-    limit = SHARE * sum(s * len(b.text) for b, s in zip(found, scores, strict=True)) / sum(len(b.text) for b in found)
+    limit = min(SHARE * max(scores), max((s for b, s in zip(found, scores, strict=True) if b.article and not b.named), default=math.inf))
     nodes = {b.home for b, s, w in zip(found, scores, prior, strict=True) if s >= limit and w == 1}
 
     def kept(b: Block, score: float, weight: float) -> bool:

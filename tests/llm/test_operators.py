@@ -581,6 +581,37 @@ def test_html_ratios_decide(monkeypatch):
     assert not any(html_text.main_text(p) == w for p, w in zip(pages, wanted))
 
 
+def test_html_names_only_weigh(monkeypatch):
+    rng = random.Random(62)
+    para = lambda n: words(rng, n).capitalize() + ", " + words(rng, 4) + "."
+    pages, wanted = [], []
+    for i in range(60):  # from a few words to many, beside menus, adverts and footers of a sentence
+        body = [para(rng.randrange(1, 80)) for _ in range(1 + i % 12)]
+        head = words(rng, 5)
+        menu = "".join(f"<li><a href=/{j}>{words(rng, 1)}</a></li>" for j in range(6))
+        pages.append(f"<body><nav><ul>{menu}</ul></nav><div class=ad>{para(6)}</div><article><h1>{head}</h1>{''.join(f'<p>{b}' for b in body)}</article><footer>{para(6)}</footer>")
+        wanted.append("\n".join([head, *body]))
+    right = lambda change=lambda p: p: sum(html_text.main_text(change(p)) == w for p, w in zip(pages, wanted, strict=True))
+    renamed = lambda p: p.replace("article>", "div>")
+    assert right() == 60
+    with monkeypatch.context() as m:  # a ratio that tells nothing leaves nothing right
+        m.setattr(html_text, "tag_path_ratios", lambda found: {(b.path, b.named, b.article): 1.0 for b in found})
+        assert right() == 0
+    for names in ("_PARTS", "_LEFT_OUT", "_ROLES"):
+        monkeypatch.setattr(html_text, names, frozenset())
+    assert right() >= 58  # without names
+    monkeypatch.setattr(html_text, "PRIOR", 1)
+    assert right(renamed) >= 45  # the ratio alone
+
+
+def test_html_sections_and_comments():
+    text = "A sentence of some length, with marks in it. "
+    two = f"<div class=a><p>{text * 9}<p>{text * 8}</div><div class=menu><a href=x>Go on</a></div><div class=b><p>{text * 7}<p>{text * 6}</div>"
+    assert html_text.main_text(two).count("\n") == 3 and "Go on" not in html_text.main_text(two)
+    comments = f"<article><p>{text * 9}<p>{text * 9}<div class=comments><p>{text * 3}<p>{text}<p>{text * 2}</div></article>"
+    assert html_text.main_text(comments).count("\n") == 1
+
+
 @pytest.mark.parametrize("page", ["<a " * 40_000, "<div>" * 20_000 + "x", "<b>" * 5000 + "<p>x" * 5000, "<b>" * 5000 + "</div>" * 10_000, "<!" * 40_000, '<a "' * 30_000 + ">", "<script>" + "</script " * 30_000, "&amp;" * 50_000, "<!-- x"])
 def test_hostile_pages(page):
     import time
