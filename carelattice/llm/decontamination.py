@@ -34,6 +34,8 @@ PATTERN, STRIDE, RATE = 96, 48, 0.07
 BLOCK = 2_000_000
 #: Places of items that a text's q-grams have on average before it is searched pattern by pattern; diagonals of one alignment.
 REPEATS, WIDEST = 32, 16_384
+#: Tasks over which the rows of one text are spread where several blocks' hits are joined to them.
+SALTS = 64
 _BITS = 24
 
 
@@ -249,13 +251,20 @@ def _hits(texts: DataFrame, blocks: list[DataFrame]) -> DataFrame:
     return reduce(DataFrame.unionByName, found).groupBy("digest").agg(F.flatten(F.collect_list("spans")).alias("spans"))
 
 
+def _salted(rows: DataFrame, hits: DataFrame) -> tuple[DataFrame, DataFrame]:
+    """Both with a salt: rows are dealt by turns and the few hits go to every salt, so that a text of very many rows is no hot key."""
+    salts = F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1)))
+    return rows.withColumn("salt", F.pmod(F.monotonically_increasing_id(), F.lit(SALTS)).cast("int")), hits.withColumn("salt", salts)
+
+
 def contaminated(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text: str = "text") -> DataFrame:
     """id and spans (item, first and stop in the compared characters, edits) of every document; one block needs no shuffle."""
     blocks = _blocks(benchmark, item_col, item_text)
     rows = id_and_text(docs, id_col, text_col)
     if len(blocks) > 1:
         rows = rows.withColumn("digest", text_digest("text"))
-        rows = rows.select("id", "digest").join(_hits(rows.select("text", "digest"), blocks), "digest", "left")
+        rows, hits = _salted(rows.select("id", "digest"), _hits(rows.select("text", "digest"), blocks))
+        rows = rows.join(hits, ["digest", "salt"], "left")
         return rows.select(restore_id().alias("id"), F.coalesce("spans", F.array().cast(_SPANS[6:])).alias("spans"))
     index = _index(docs.sparkSession, blocks[0])
 
@@ -271,7 +280,8 @@ def drop_contaminated(docs: DataFrame, benchmark: DataFrame, text_col: str = "te
     blocks = _blocks(benchmark, item_col, item_text)
     if len(blocks) > 1:
         out = docs.select(F.struct(*(F.col(f"`{c}`") for c in docs.columns)).alias("doc"), F.coalesce(F.col(text_col), F.lit("")).alias("text"), text_digest(text_col).alias("digest"))
-        return out.join(_hits(out.select("text", "digest"), blocks).select("digest"), "digest", "left_anti").select("doc.*")
+        out, hits = _salted(out, _hits(out.select("text", "digest"), blocks).select("digest"))
+        return out.join(hits, ["digest", "salt"], "left_anti").select("doc.*")
     index = _index(docs.sparkSession, blocks[0])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
