@@ -156,5 +156,5 @@ def sql() -> dict[str, str]:
         "patient_observation_preview": _with("patients", "coded") + f"SELECT p.umpi, family_name, source_display, value_quantity, strftime(effective, {_TS}) AS effective FROM patients p LEFT JOIN coded o ON p.umpi = o.umpi",
         "union_conditions": _with("diagnoses", "msgs") + "SELECT source, icd10_code, count(*) AS n FROM (SELECT 'FHIR' AS source, icd AS icd10_code FROM diagnoses UNION ALL SELECT 'HL7', dx FROM msgs WHERE a01) GROUP BY 1, 2",
         **faults.sql(_with("labs")),
-        **written.sql(_with("msgs"), _with("csvp"), _HL7_TENANT, _FHIR_TENANT),
+        **written.sql(_with("msgs"), _with("csvp"), _with("summary"), _HL7_TENANT, _FHIR_TENANT),
     }

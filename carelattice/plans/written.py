@@ -9,10 +9,11 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.operators import csvbatch, dq, fhir, hl7, identity
+from carelattice.functions.codes import CHRONIC
+from carelattice.operators import csvbatch, dq, fhir, gold, hl7, identity
 from carelattice.operators.shared import shared_folder
-from carelattice.sources.files import csv_rows, fhir_files, hl7_files
-from carelattice.sources.writers import write_json_array
+from carelattice.sources.files import csv_rows, fhir_files, hl7_files, table_rows
+from carelattice.sources.writers import append, clone_tables, create_tables, replace_run, truncate, write_json_array
 
 from . import fixtures as fx
 
@@ -120,22 +121,59 @@ def repeated_keys(s: SparkSession, d: str) -> DataFrame:
     return dq.repeated_keys(fx.csv_raw(s, d), ["patient_id", "dob"])
 
 
-_ALL = (hl7_files_read, fhir_arrays, csv_files_read, json_array, mpi_runs, mpi_shared_number, table_profile, repeated_keys)
+def stored_summaries(s: SparkSession, d: str) -> DataFrame:
+    """Summaries stored in a table by run, one run replaced, one emptied and one appended to; read by run, then all of a clone and of what is truncated."""
+    db, kind = f"stored_{uuid.uuid4().hex}", "analytics_patient_summary"
+    for name in (db, f"{db}_copy"):
+        s.sql(f"CREATE DATABASE {name} LOCATION '{_folder(s)}'")
+    create_tables(s, db, [kind])
+    create_tables(s, db, [kind])
+    clone_tables(s, db, f"{db}_copy")
+    stored, copy = f"{db}.{kind}", f"{db}_copy.{kind}"
+    rows = gold.summary_table(gold.patient_summary(fx.patients(s, d), fx.encounters(s, d), fx.diagnoses(s, d), fx.AS_OF))
+    chosen = {"first": rows.filter("risk_tier <> 'LOW'"), "second": rows.filter("charlson_index = 0"), "third": rows}
+    for run, own in (("first", rows), ("second", chosen["second"]), ("third", rows), ("first", chosen["first"]), ("third", rows.limit(0))):
+        replace_run(own, stored, run)
+    append(chosen["first"].filter("ed_visit_count > 0").withColumn("pipeline_run_id", F.lit("third")), stored)
+    append(rows.limit(0), stored)
+    append(s.table(stored), copy)
+    truncate(s, [copy], "prod")  # only empties tables in dev
+    flags = F.transform(F.sort_array(F.map_keys("chronic_condition_flags")), lambda k: F.concat(k, F.lit("="), F.try_element_at("chronic_condition_flags", k).cast("string")))
+    read = [table_rows(s, stored, run).withColumn("source", F.lit("by run")) for run in chosen] + [table_rows(s, copy).withColumn("source", F.lit("copy"))]
+    shown = read[0].unionByName(read[1]).unionByName(read[2]).unionByName(read[3])
+    counts = ("total_encounter_count", "ed_visit_count", "inpatient_days")
+    return shown.select("source", F.col("pipeline_run_id").alias("run"), "patient_hash", "tenant_id", "charlson_index", "risk_tier", F.array_join(flags, ",").alias("flags"), *(F.col(c).cast("long").alias(c) for c in counts), F.date_format("last_encounter_date", "yyyy-MM-dd").alias("last_encounter_date"))
+
+
+def finding_messages(s: SparkSession, d: str) -> DataFrame:
+    """What findings on patient rows say."""
+    return dq.csv_bronze_findings(fx.csv_raw(s, d), "patients").groupBy("error_code", "field_path", "error_message").agg(F.count("*").alias("n"))
+
+
+_ALL = (stored_summaries, finding_messages, hl7_files_read, fhir_arrays, csv_files_read, json_array, mpi_runs, mpi_shared_number, table_profile, repeated_keys)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {f.__name__: f for f in _ALL}
 
 
-def sql(msgs: str, csvp: str, hl7_tenant: str, fhir_tenant: str) -> dict[str, str]:
-    """msgs, csvp: the WITH clauses of the message and patient rows; the tenants: expressions over msgs."""
+def sql(msgs: str, csvp: str, summary: str, hl7_tenant: str, fhir_tenant: str) -> dict[str, str]:
+    """msgs, csvp, summary: the WITH clauses of the message and patient rows and of the summaries; the tenants: expressions over msgs."""
     columns = ("patient_id", "first_name", "last_name", "zip", "phone", "primary_dx_icd10", "ssn_last4")
     profile = "\nUNION ALL ".join(
         f"SELECT '{c}' AS column_name, count(*) AS row_count, count(*) - count({c}) AS nulls, count(*) FILTER (trim({c}) = '') AS blanks, count(DISTINCT {c}) AS distinct_values, (SELECT coalesce(sum(n), 0)::BIGINT FROM (SELECT count(*) AS n FROM t WHERE {c} IS NOT NULL GROUP BY {c} HAVING count(*) > 1)) AS repeated_rows, (SELECT max(n) FROM (SELECT count(*) AS n FROM t WHERE {c} IS NOT NULL GROUP BY {c})) AS most FROM t"
         for c in columns
     )
     dob = "CASE WHEN c % 20 = 5 THEN strftime(born, '%m/%d/%Y') ELSE strftime(born, '%Y-%m-%d') END"
+    flags = " || ',' || ".join(f"'{n}=' || has_{n.lower()}::VARCHAR" for n in sorted(CHRONIC))
     return {
+        "stored_summaries": summary + f"""SELECT source, run, patient_hash, tenant_id, charlson_index, risk_tier, {flags} AS flags, encounters_12m::BIGINT AS total_encounter_count, ed_visits_12m::BIGINT AS ed_visit_count, inpatient_days_12m::BIGINT AS inpatient_days, last_encounter_date
+            FROM summary, (VALUES ('first'), ('second'), ('third')) r(run), (VALUES ('by run'), ('copy')) v(source) WHERE CASE run WHEN 'second' THEN charlson_index = 0 ELSE risk_tier <> 'LOW' AND (run = 'first' OR ed_visits_12m > 0) END""",
+        "finding_messages": csvp + """SELECT error_code, field_path, error_message, count(*) AS n FROM (
+            SELECT 'CSV_MISSING_REQUIRED_FIELD' AS error_code, 'last_name' AS field_path, 'Required field last_name is empty' AS error_message FROM csvp WHERE c % 25 = 4
+            UNION ALL SELECT 'CSV_MISSING_REQUIRED_FIELD', 'zip', 'Required field zip is empty' FROM csvp WHERE c % 60 = 8
+            UNION ALL SELECT 'CSV_MALFORMED_DOB', 'dob', 'Expected YYYY-MM-DD' FROM csvp WHERE c % 20 = 5
+            UNION ALL SELECT 'CSV_DUPLICATE_RECORD', 'patient_id', 'First seen in row ' || min(row_idx) FROM csvp GROUP BY c HAVING count(*) > 1) GROUP BY ALL""",
         "hl7_files_read": msgs + f"SELECT 'MSG' || k AS message_control_id, {hl7_tenant} AS tenant_id, 'MRN' || c AS mrn, 'PASS' AS validation_status, 4 + (k % 2 = 0)::INT + (k % 7 <> 0)::INT + (k % 11 = 0)::INT AS segments FROM msgs",
         "fhir_arrays": msgs + f"""SELECT 'B' || k AS bundle_id, 'PASS' AS validation_status, {fhir_tenant} AS tenant_id, CASE WHEN k % 13 = 0 THEN 'Basic,' ELSE '' END || CASE WHEN k IN (SELECT l_orderkey FROM lineitem) THEN 'Condition,Encounter,Observation,Patient' ELSE 'Encounter,Patient' END AS resource_types, NULL AS raw FROM msgs
             UNION ALL SELECT NULL, 'ERROR', 'UNKNOWN', '', raw FROM range({FILES}), (VALUES ('{BROKEN}'), ('17')) v(raw)""",
