@@ -131,12 +131,15 @@ def readmissions(events: DataFrame, days: int = 30) -> DataFrame:
     }).drop("prior_discharge")
 
 
-def adt_feed(events: DataFrame, diagnoses: DataFrame | None = None, order: str = "arrival_seq") -> DataFrame:
-    """The event feed: labels, readmissions and the encounter's active first-rank diagnosis (the last one that arrived)."""
+def adt_feed(events: DataFrame, diagnoses: DataFrame | None = None, order: str = "arrival_seq", ties: tuple[str, ...] = ()) -> DataFrame:
+    """The event feed: labels, readmissions and the encounter's active first-rank diagnosis (the last one that arrived).
+
+    ties: columns that decide among diagnoses with the same number of arrival, if that isn't unique.
+    """
     out = readmissions(events).withColumns({"event_label": lookup(F.col("event_type"), ADT_LABELS, F.col("event_type")), "event_category": lookup(F.col("event_type"), ADT_COARSE, F.lit("other")), "patient_hash": hash_umpi(F.col("umpi"))})
     if diagnoses is None:
         return out
-    primary = diagnoses.filter("diagnosis_rank = 1 and clinical_status = 'active'").groupBy("encounter_id").agg(F.max_by("icd10_code", order).alias("primary_dx"))
+    primary = diagnoses.filter("diagnosis_rank = 1 and clinical_status = 'active'").groupBy("encounter_id").agg(F.max_by("icd10_code", F.struct(order, *ties)).alias("primary_dx"))
     return out.join(primary, "encounter_id", "left")
 
 

@@ -21,10 +21,15 @@ NAMES = ("hba1c", "Glucose", " Creatinine ", "LDL", "HDL", "wbc", "Hemoglobin",
 DRUGS = ("Metformin", "lisinopril 10mg", "aspirin", "unknown drug", "omeprazole", "Atorvastatin 40mg", "placebo")
 
 
-def base(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    """A driver table with its timestamps as session-zone ones."""
+#: Where a row stands in its table: columns that base() adds if they are asked for.
+PLACE = ("file_path", "row_index")
+
+
+def base(spark: SparkSession, sf_dir: str, name: str, place: bool = False) -> DataFrame:
+    """A driver table with its timestamps as session-zone ones; place: and with each row's file and number in it."""
     df = spark.read.parquet(f"{sf_dir}/{name}.parquet")
-    return df.select(*(F.col(c).cast("timestamp").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes))
+    own = [F.col(c).cast("timestamp").alias(c) if t.startswith("timestamp") else F.col(c) for c, t in df.dtypes]
+    return df.select(*own, *(F.col(f"_metadata.{c}").alias(c) for c in PLACE if place))
 
 
 def pick(values, key: Column) -> Column:
@@ -59,15 +64,16 @@ def encounters(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def _lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+def _lines(spark: SparkSession, sf_dir: str, place: bool = False) -> DataFrame:
     orders = base(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
     seq = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    return base(spark, sf_dir, "lineitem").join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumns({"umpi": umpi("o_custkey"), "arrival_seq": seq, "tenant_id": _num(F.col("o_custkey") % 4, "TENANT_"), "encounter_id": F.concat(F.lit("E"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0"))})
+    return base(spark, sf_dir, "lineitem", place).join(orders, F.col("l_orderkey") == F.col("o_orderkey")).withColumns({"umpi": umpi("o_custkey"), "arrival_seq": seq, "tenant_id": _num(F.col("o_custkey") % 4, "TENANT_"), "encounter_id": F.concat(F.lit("E"), F.lpad(F.col("l_orderkey").cast("string"), 10, "0"))})
 
 
-def diagnoses(spark: SparkSession, sf_dir: str) -> DataFrame:
+def diagnoses(spark: SparkSession, sf_dir: str, place: bool = False) -> DataFrame:
+    """place: with PLACE, as rows may share an arrival_seq (line numbers of an order repeat)."""
     code = F.coalesce(pick(CODES, F.col("l_partkey") % 300), F.lit("Z00.00"))
-    return _lines(spark, sf_dir).select("arrival_seq", "umpi", "tenant_id", "encounter_id", code.alias("icd10_code"), F.col("l_linenumber").alias("diagnosis_rank"), F.when(F.col("l_linestatus") == "O", "active").otherwise("resolved").alias("clinical_status"))
+    return _lines(spark, sf_dir, place).select("arrival_seq", "umpi", "tenant_id", "encounter_id", code.alias("icd10_code"), F.col("l_linenumber").alias("diagnosis_rank"), F.when(F.col("l_linestatus") == "O", "active").otherwise("resolved").alias("clinical_status"), *(PLACE if place else ()))
 
 
 def observations(spark: SparkSession, sf_dir: str) -> DataFrame:

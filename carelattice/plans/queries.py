@@ -53,7 +53,7 @@ def pcp_attribution(s: SparkSession, d: str) -> DataFrame:
 
 
 def readmission_30d(s: SparkSession, d: str) -> DataFrame:
-    feed = gold.adt_feed(gold.adt_events(fx.encounters(s, d)), fx.diagnoses(s, d))
+    feed = gold.adt_feed(gold.adt_events(fx.encounters(s, d)), fx.diagnoses(s, d, place=True), ties=fx.PLACE)
     return feed.select("patient_hash", "encounter_id", "event_type", "event_label", "event_category", _time("event_datetime").alias("event_datetime"), "is_readmission_30d", _time("prior_discharge_datetime").alias("prior_discharge_datetime"), F.round("days_since_prior_discharge", 6).alias("days_since_prior_discharge"), "primary_dx")
 
 
