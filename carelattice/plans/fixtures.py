@@ -32,6 +32,11 @@ def base(spark: SparkSession, sf_dir: str, name: str, place: bool = False) -> Da
     return df.select(*own, *(F.col(f"_metadata.{c}").alias(c) for c in PLACE if place))
 
 
+def spread(rows: DataFrame, key: str) -> DataFrame:
+    """Narrow rows dealt to all tasks, for views that make much of them: a small table may be one split, thus one task."""
+    return rows.repartition(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")), key)
+
+
 def pick(values, key: Column) -> Column:
     return F.get(F.array(*map(F.lit, values)), key.cast("int"))
 
@@ -121,8 +126,15 @@ def hl7_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _orders_customers(spark, sf_dir).select(k.alias("arrival_seq"), F.concat_ws("\r", *parts).alias("raw_message"))
 
 
-def fhir_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """arrival_seq, raw_bundle: a bundle for each order with its Patient, Encounter, Conditions and Observations."""
+def fhir_parts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """What a bundle is made from: an order with its customer and its lines (xs), as narrow columns. Texts, some fifty times as long, are made by bundle_text after the shuffles, in all tasks (no broadcast: orders may be one split)."""
+    lines = base(spark, sf_dir, "lineitem").select("l_orderkey", F.struct("l_linenumber", (F.col("l_partkey") % 300).cast("short").alias("part"), (F.col("l_suppkey") % 12).cast("byte").alias("test"), (F.col("l_linestatus") == "O").alias("open"), "l_quantity", "l_shipdate").alias("x"))
+    items = lines.groupBy("l_orderkey").agg(F.collect_list("x").alias("xs"))
+    return _orders_customers(spark, sf_dir).select("o_orderkey", "o_orderdate", "c_custkey", "c_nationkey").join(items.hint("merge"), F.col("o_orderkey") == F.col("l_orderkey"), "left").drop("l_orderkey")
+
+
+def bundle_text() -> Column:
+    """The bundle of a row of fhir_parts: Patient, Encounter, Conditions and Observations."""
     k, c = F.col("o_orderkey"), F.col("c_custkey")
     s = F.struct
     lit = F.lit
@@ -133,27 +145,31 @@ def fhir_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     reference = s(F.concat(lit("Patient/"), umpi("c_custkey")).alias("reference"))
     visit = F.to_json(s(lit("Encounter").alias("resourceType"), _num(k, "E").alias("id"), lit("finished").alias("status"), s(F.when(k % 2 == 0, "IMP").otherwise("AMB").alias("code")).alias("class"), reference.alias("subject"), s(iso(start).alias("start"), iso(F.timestamp_micros(F.unix_micros(start) + k % 9 * 1_800_000_000)).alias("end")).alias("period"), s(_num(k % 6, "FAC-").alias("display")).alias("serviceProvider")))
     allergy = F.when(k % 13 == 0, F.to_json(s(lit("Basic").alias("resourceType"), _num(k, "X").alias("id"))))
-    lines = base(spark, sf_dir, "lineitem")
-    seq = F.col("l_orderkey") * 10 + F.col("l_linenumber")
-    whose = s(F.concat(lit("urn:uuid:"), umpi("o_custkey")).alias("reference"))
-    dx = F.to_json(s(lit("Condition").alias("resourceType"), _num(seq, "C").alias("id"), s(F.array(s(lit("http://hl7.org/fhir/sid/icd-10-cm").alias("system"), F.coalesce(pick(CODES, F.col("l_partkey") % 300), lit("Z00.00")).alias("code"))).alias("coding")).alias("code"), whose.alias("subject"), s(F.array(s(F.when(F.col("l_linestatus") == "O", "active").otherwise("resolved").alias("code"))).alias("coding")).alias("clinicalStatus"), iso(F.col("l_shipdate")).alias("onsetDateTime")))
-    coding = F.when(F.col("l_linenumber") == 1, F.array(s(lit("http://loinc.org").alias("system"), lit("4548-4").alias("code"))))
-    lab = F.to_json(s(lit("Observation").alias("resourceType"), _num(seq, "O").alias("id"), lit("final").alias("status"), s(coding.alias("coding"), pick(NAMES, F.col("l_suppkey") % 12).alias("text")).alias("code"), whose.alias("subject"), iso(F.col("l_shipdate")).alias("effectiveDateTime"), s(F.round(4 + F.col("l_quantity") / 5, 1).alias("value"), lit("%").alias("unit")).alias("valueQuantity")))
-    owner = base(spark, sf_dir, "orders").select("o_orderkey", "o_custkey")
-    items = lines.join(owner, F.col("l_orderkey") == F.col("o_orderkey")).select("l_orderkey", s("l_linenumber", dx.alias("dx"), lab.alias("lab")).alias("x")).groupBy("l_orderkey").agg(F.sort_array(F.collect_list("x")).alias("xs"))
-    whole = _orders_customers(spark, sf_dir).join(items, k == F.col("l_orderkey"), "left")
-    each = F.coalesce(F.flatten(F.transform("xs", lambda x: F.array(x["dx"], x["lab"]))), F.array().cast("array<string>"))
+    whose = s(F.concat(lit("urn:uuid:"), umpi("c_custkey")).alias("reference"))
+
+    def line(x: Column) -> Column:
+        seq = k * 10 + x["l_linenumber"]
+        dx = F.to_json(s(lit("Condition").alias("resourceType"), _num(seq, "C").alias("id"), s(F.array(s(lit("http://hl7.org/fhir/sid/icd-10-cm").alias("system"), F.coalesce(pick(CODES, x["part"]), lit("Z00.00")).alias("code"))).alias("coding")).alias("code"), whose.alias("subject"), s(F.array(s(F.when(x["open"], "active").otherwise("resolved").alias("code"))).alias("coding")).alias("clinicalStatus"), iso(x["l_shipdate"]).alias("onsetDateTime")))
+        coding = F.when(x["l_linenumber"] == 1, F.array(s(lit("http://loinc.org").alias("system"), lit("4548-4").alias("code"))))
+        lab = F.to_json(s(lit("Observation").alias("resourceType"), _num(seq, "O").alias("id"), lit("final").alias("status"), s(coding.alias("coding"), pick(NAMES, x["test"]).alias("text")).alias("code"), whose.alias("subject"), iso(x["l_shipdate"]).alias("effectiveDateTime"), s(F.round(4 + x["l_quantity"] / 5, 1).alias("value"), lit("%").alias("unit")).alias("valueQuantity")))
+        return s(x["l_linenumber"].alias("l_linenumber"), dx.alias("dx"), lab.alias("lab"))
+
+    each = F.coalesce(F.flatten(F.transform(F.sort_array(F.transform("xs", line)), lambda x: F.array(x["dx"], x["lab"]))), F.array().cast("array<string>"))
     entries = F.transform(F.filter(F.concat(F.array(patient, visit, allergy), each), lambda r: r.isNotNull()), lambda r: F.concat(lit('{"resource":'), r, lit("}")))
     tags = F.when(k % 17 != 0, F.concat(lit(f'{{"system":"{TENANT_TAG}","code":"TENANT_'), (F.col("c_nationkey") % 4).cast("string"), lit('"},'))).otherwise(lit(""))
-    text = F.concat(lit('{"resourceType":"Bundle","id":"B'), k.cast("string"), lit('","type":"transaction","meta":{"tag":['), tags, lit('{"system":"urn:source","code":"EHR'), (k % 2).cast("string"), lit('"}]},"entry":['), F.concat_ws(",", entries), lit("]}"))
-    return whole.select(k.alias("arrival_seq"), text.alias("raw_bundle"))
+    return F.concat(lit('{"resourceType":"Bundle","id":"B'), k.cast("string"), lit('","type":"transaction","meta":{"tag":['), tags, lit('{"system":"urn:source","code":"EHR'), (k % 2).cast("string"), lit('"}]},"entry":['), F.concat_ws(",", entries), lit("]}"))
+
+
+def fhir_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """arrival_seq, raw_bundle: a bundle for each order with its Patient, Encounter, Conditions and Observations."""
+    return fhir_parts(spark, sf_dir).select(F.col("o_orderkey").alias("arrival_seq"), bundle_text().alias("raw_bundle"))
 
 
 def csv_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
     """file_name, row_idx and the 15 text columns of patient rows; one row more where the key is 7 modulo 30."""
     c = F.col("c_custkey")
     born = F.date_add(F.lit(dt.date(1930, 1, 1)), (c * 7919 % 27000).cast("int"))
-    rows = base(spark, sf_dir, "customer").select("c_custkey", F.explode(F.when(c % 30 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
+    rows = spread(base(spark, sf_dir, "customer").select("c_custkey"), "c_custkey").select("c_custkey", F.explode(F.when(c % 30 == 7, F.array(F.lit(0), F.lit(1))).otherwise(F.array(F.lit(0)))).alias("again"))
     return rows.select(
         F.lit("patients.csv").alias("file_name"), (c + F.col("again") * 1_000_000_000).alias("row_idx"), _num(c, "PT").alias("patient_id"), F.when(c % 25 == 3, " ").otherwise(_num(c % 53, "G")).alias("first_name"), F.when(c % 25 == 4, "").otherwise(_num(c % 97, "F")).alias("last_name"),
         F.when(c % 20 == 5, F.date_format(born, "MM/dd/yyyy")).otherwise(F.date_format(born, "yyyy-MM-dd")).alias("dob"), F.when(c % 2 == 0, "M").otherwise("F").alias("gender"), F.lpad((c % 10000).cast("string"), 4, "0").alias("ssn_last4"), F.concat(_num(c), F.lit(" Main St, Apt 1")).alias("address"),

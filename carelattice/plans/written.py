@@ -38,9 +38,11 @@ def hl7_files_read(s: SparkSession, d: str) -> DataFrame:
 def fhir_arrays(s: SparkSession, d: str) -> DataFrame:
     """Bundles in a few files, each one JSON array, with an element that is no JSON and one that is a number."""
     path, n = _folder(s), F.lit(1 << 40)
-    rows = fx.fhir_raw(s, d).select((F.col("arrival_seq") % FILES).alias("file"), F.col("arrival_seq").alias("at"), F.concat("raw_bundle", F.lit(",")).alias("value"))
+    rows = fx.fhir_parts(s, d).withColumns({"file": F.col("o_orderkey") % FILES, "at": F.col("o_orderkey")})
     ends = s.range(FILES).select(F.col("id").alias("file"), F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("at"), F.lit(f"[ {BROKEN},").alias("value")), F.struct(n.alias("at"), F.lit("17]").alias("value")))).alias("x"))
-    rows.unionByName(ends.select("file", "x.*")).repartition("file").sortWithinPartitions("file", "at").select("file", "value").write.partitionBy("file").text(path)
+    ordered = rows.unionByName(ends.select("file", "x.*"), allowMissingColumns=True).repartition("file").sortWithinPartitions("file", "at")
+    # texts are made where they are written: neither shuffled nor sorted
+    ordered.select("file", F.coalesce("value", F.concat(fx.bundle_text(), F.lit(","))).alias("value")).write.partitionBy("file").text(path)
     parsed = fhir.parse_bundles(fhir_files(s, path))
     return parsed.select(F.when(F.col("validation_status") == "PASS", F.col("bundle_id")).alias("bundle_id"), "validation_status", "tenant_id", F.array_join("resource_types", ",").alias("resource_types"), F.when(F.col("validation_status") == "ERROR", F.col("raw_bundle")).alias("raw"))
 

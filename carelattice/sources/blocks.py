@@ -20,6 +20,8 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from carelattice.operators.shared import checkpoint
+
 FILE = ["file_path", "file_name", "file_size"]
 _MADE = "file_path string, file_name string, file_size long, block long, idx long, last boolean, record binary"
 #: Gets the pieces of a block and the state it begins in; gives (whether the record begins here, its pieces) of each record.
@@ -91,7 +93,8 @@ def stitched(made: DataFrame, joiner: bytes) -> DataFrame:
 
     What stands before a file's first record counts as one if it isn't blank.
     """
-    edge = made.filter("idx < 0 or last")
+    # two rows a block are kept, so that all that follows from them takes no further pass over the files
+    edge = checkpoint(made.filter("idx < 0 or last"))
     order = Window.partitionBy("file_path").orderBy("block", "idx")
     n = F.when(F.col("idx") >= 0, F.col("idx") + 1).otherwise(0)
     edge = edge.withColumns({"before": F.sum(n).over(order) - n, "of": F.sum((F.col("idx") >= 0).cast("long")).over(order)})
@@ -104,7 +107,7 @@ def stitched(made: DataFrame, joiner: bytes) -> DataFrame:
     shift = whole.filter("of = 0 and record rlike '\\\\S'").select("file_path", F.lit(1).alias("shift"))
     starts = edge.groupBy("file_path", "block").agg(F.min("before").alias("before"))
     shifted = lambda df: df.join(shift, "file_path", "left").withColumn("shift", F.coalesce("shift", F.lit(0)))
-    inner = made.filter("idx >= 0 and not last").join(shifted(starts), ["file_path", "block"])
+    inner = made.filter("idx >= 0 and not last").join(F.broadcast(shifted(starts)), ["file_path", "block"])  # a row for each block; records stay where they are
     inner = inner.select(*FILE, (F.col("before") + F.col("idx") + F.col("shift")).alias("arrival_seq"), F.col("record").cast("string").alias("record"))
     outer = shifted(whole).filter("of > 0 or shift = 1")
     seq = F.when(F.col("of") == 0, F.lit(0)).otherwise(F.col("first.before") + F.col("first.idx") + F.col("shift"))
@@ -112,10 +115,10 @@ def stitched(made: DataFrame, joiner: bytes) -> DataFrame:
 
 
 def with_states(rows: DataFrame, sums: DataFrame, fold: Callable[[pd.DataFrame], pd.DataFrame], state: str) -> DataFrame:
-    """Blocks after a file's first, with the state they begin in, in order again. sums: file_path, block and what a block sums up to.
+    """rows with the state their block begins in (null for a file's first), where and as they are read. sums: file_path, block and what a block sums up to.
 
     fold gets the sums of one file's blocks in order, one row a block, and gives file_path, block and the columns of `state`.
+    States, a row for each later block, are sent to all tasks, so that texts are neither shuffled nor sorted.
     """
     states = sums.groupBy("file_path").applyInPandas(lambda pdf: fold(pdf.sort_values("block")), f"file_path string, block long, {state}")
-    later = rows.filter("block > 0").withColumn("_at", F.monotonically_increasing_id())
-    return later.join(states, ["file_path", "block"]).repartition("file_path", "block").sortWithinPartitions("file_path", "block", "_at").drop("_at")
+    return rows.join(F.broadcast(states.filter("block > 0")), ["file_path", "block"], "left")

@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
+from itertools import batched
 
 import pandas as pd
 import pyarrow as pa
@@ -59,8 +60,8 @@ def split_bundles(files: DataFrame, content: str = "value") -> DataFrame:
 
 #: What may stand around elements: white space, and the mark that some files begin with.
 _BLANK = b"\xef\xbb\xbf \t\r\n"
-_STRING = re.compile(rb'"(?:[^"\\]|\\.)*"', re.DOTALL)
-_REST = re.compile(rb'(?:[^"\\]|\\.)*"', re.DOTALL)
+_STRING = re.compile(rb'"[^"\\]*+(?:\\.[^"\\]*+)*+"', re.DOTALL)
+_REST = re.compile(rb'[^"\\]*+(?:\\.[^"\\]*+)*+"', re.DOTALL)
 
 
 def _outside(chunk: bytes, inside: bool) -> tuple[bytes, bool]:
@@ -136,12 +137,13 @@ def _bundle_sums(rows: DataFrame) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for info, chunks in blocks(batches):
             ends, first, size = [[False, 0], [True, 0]], None, 0
-            for chunk in chunks:
-                size += len(chunk) + 1
-                first = chunk if first is None else first
+            for some in batched(chunks, 4096):  # many chunks as one text
+                whole = b"}".join(some) + b"}"
+                size += len(whole)
+                first = some[0] if first is None else first
                 for end in ends:
-                    text, end[0] = _outside(chunk, end[0])
-                    end[1] += _depth(text) - (not end[0])
+                    text, end[0] = _outside(whole, end[0])
+                    end[1] += _depth(text) - text.count(b"}")
             yield pa.RecordBatch.from_pylist([{"file_path": info["file_path"], "block": info["block"], "size": size, "array": _is_array(first or b""), "inside0": ends[0][0], "depth0": ends[0][1], "inside1": ends[1][0], "depth1": ends[1][1]}])
 
     return rows.filter("length < file_size").mapInArrow(run, "file_path string, block long, size long, array boolean, inside0 boolean, depth0 long, inside1 boolean, depth1 long")
@@ -162,10 +164,8 @@ def fhir_files(spark: SparkSession, path: str) -> DataFrame:
     Elements that are no JSON stay as they are; an unclosed one reaches to the end of its file.
     """
     chunks = pieces(spark, path, "}")
-    first = chunks.filter("block = 0")
-    later = with_states(chunks, _bundle_sums(chunks), _bundle_states, "inside boolean, depth long, array boolean, at long")
-    made = records_of_blocks(first, _elements, b"").unionByName(records_of_blocks(later, _elements, b""))
-    return stitched(made, b"").select(*FILE, "arrival_seq", strip(F.col("record")).alias("raw_bundle")).filter("raw_bundle <> ''")
+    stated = with_states(chunks, _bundle_sums(chunks), _bundle_states, "inside boolean, depth long, array boolean, at long")
+    return stitched(records_of_blocks(stated, _elements, b""), b"").select(*FILE, "arrival_seq", strip(F.col("record")).alias("raw_bundle")).filter("raw_bundle <> ''")
 
 
 def _rows(lines: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
@@ -201,9 +201,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     lines = pieces(spark, path)
     text = F.col("value").cast("string")
     sums = lines.groupBy("file_path", "block").agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))).alias("quotes"))
-    later = with_states(lines, sums, _parities, "odd boolean")
-    made = records_of_blocks(lines.filter("block = 0"), _rows, _LINE.encode()).unionByName(records_of_blocks(later, _rows, _LINE.encode()))
-    return stitched(made, _LINE.encode())
+    return stitched(records_of_blocks(with_states(lines, sums, _parities, "odd boolean"), _rows, _LINE.encode()), _LINE.encode())
 
 
 def csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:
