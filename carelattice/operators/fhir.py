@@ -75,32 +75,32 @@ def parse_bundles(bundles: DataFrame, default_tenant: str | None = None, raw: st
     )
 
 
-def _patient_of(entries: Column) -> Column:
-    """For each entry the place of its subject in the bundle: that of the last Patient entry with the id it refers to."""
+def _entries(entries: Column, raw: Column) -> Column:
+    """Each entry with the bundle's text (the first one only), the number of entries and its subject's place in them from their end."""
     ids = F.reverse(F.transform(entries, lambda e: F.when(e["resource"]["resourceType"] == "Patient", e["resource"]["id"])))
     at = lambda e: F.array_position(ids, reference_key(e["resource"]["subject"]["reference"]))
-    return F.transform(entries, lambda e: F.struct(e.alias("entry"), F.when(at(e) > 0, F.size(entries) - at(e)).cast("int").alias("subject_entry")))
+    return F.transform(entries, lambda e, i: F.struct(e["resource"].alias("resource"), F.when(i == 0, raw).alias("payload"), at(e).alias("at"), F.size(entries).alias("n")))
 
 
 def resources(parsed: DataFrame, raw: str = "raw_bundle", keep_bundle: bool = True) -> DataFrame:
     """One row for each entry of good bundles, in order, with `supported`; and one ERROR row for each bad bundle.
 
     The bundle's text stays on its first entry only. subject_entry: the entry_index of the Patient that the entry is about,
-    if the bundle has it; it is found within the bundle's own array, without a join.
+    if the bundle has it (the last one with the id it refers to); it is found within the bundle's own array, without a join.
+    Good and bad bundles come out of one generator, so that each is parsed once.
     """
-    good = parsed.filter("validation_status = 'PASS'")
+    good = F.col("validation_status") == "PASS"
     keep = [c for c in parsed.columns if c not in ("bundle", raw, "resource_types")]
-    out = good.select(*keep, F.col(raw).alias("_raw"), F.posexplode(_patient_of(F.col("bundle.entry"))).alias("entry_index", "_e"))
-    out = out.select(*keep, "_raw", "entry_index", "_e.entry", "_e.subject_entry")
-    kind = F.coalesce("entry.resource.resourceType", F.lit("UNKNOWN"))
-    rows = out.select(
-        *keep, "entry_index", kind.alias("resource_type"), F.col("entry.resource.id").alias("resource_id"), F.col("entry.resource").alias("resource"),
-        kind.isin(*RESOURCE_TYPES).alias("supported"), (F.when(F.col("entry_index") == 0, F.col("_raw")) if keep_bundle else F.lit(None).cast("string")).alias("bundle_payload"), "subject_entry",
+    kind = parsed.schema["bundle"].dataType["entry"].dataType.elementType["resource"].dataType
+    text = F.col(raw) if keep_bundle else F.lit(None).cast("string")
+    bad = F.array(F.struct(F.lit(None).cast(kind).alias("resource"), F.col(raw).alias("payload"), F.lit(0).cast("long").alias("at"), F.lit(1).alias("n")))
+    # outer, then without the rows of empty bundles: for an inner one Spark would work the array out once more, to filter by its size
+    out = parsed.select(*keep, F.posexplode_outer(F.when(good, _entries(F.col("bundle.entry"), text)).otherwise(bad)).alias("entry_index", "_e")).filter("_e is not null")
+    resource_type = F.when(good, F.coalesce("_e.resource.resourceType", F.lit("UNKNOWN"))).otherwise(F.lit("UNKNOWN"))
+    return out.select(
+        *keep, "entry_index", resource_type.alias("resource_type"), F.col("_e.resource.id").alias("resource_id"), F.col("_e.resource").alias("resource"),
+        (~good | resource_type.isin(*RESOURCE_TYPES)).alias("supported"), F.col("_e.payload").alias("bundle_payload"), F.when(F.col("_e.at") > 0, F.col("_e.n") - F.col("_e.at")).cast("int").alias("subject_entry"),
     )
-    errors = parsed.filter("validation_status = 'ERROR'").select(
-        *keep, F.lit(0).alias("entry_index"), F.lit("UNKNOWN").alias("resource_type"), F.lit(None).cast("string").alias("resource_id"), F.lit(None).cast(rows.schema["resource"].dataType).alias("resource"), F.lit(True).alias("supported"), F.col(raw).alias("bundle_payload"), F.lit(None).cast("int").alias("subject_entry")
-    )
-    return rows.unionByName(errors)
 
 
 def skipped_types(rows: DataFrame) -> DataFrame:

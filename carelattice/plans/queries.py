@@ -166,8 +166,9 @@ def oru_observations(s: SparkSession, d: str) -> DataFrame:
     return hl7.oru_observations(_parsed(s, d)).select("message_control_id", "source_code", "value_quantity", "value_unit", "reference_range_low", "reference_range_high", "interpretation_code", "observation_status")
 
 
-def _bundles(s: SparkSession, d: str) -> DataFrame:
-    return fhir.parse_bundles(fx.fhir_raw(s, d))
+def _bundles(s: SparkSession, d: str, *kinds: str) -> DataFrame:
+    """Parsed bundles with what all resources have, and the fields of these kinds."""
+    return fhir.parse_bundles(fx.fhir_raw(s, d), kinds=kinds)
 
 
 def _resources(s: SparkSession, d: str) -> DataFrame:
@@ -176,7 +177,7 @@ def _resources(s: SparkSession, d: str) -> DataFrame:
 
 def _of(s: SparkSession, d: str, kind: str) -> DataFrame:
     """A parse for resources of one kind and their subjects."""
-    return fhir.resources(fhir.parse_bundles(fx.fhir_raw(s, d), kinds=(kind,)), keep_bundle=False)
+    return fhir.resources(_bundles(s, d, kind), keep_bundle=False)
 
 
 def fhir_bundles(s: SparkSession, d: str) -> DataFrame:
@@ -188,7 +189,7 @@ def fhir_resources(s: SparkSession, d: str) -> DataFrame:
 
 
 def fhir_patients(s: SparkSession, d: str) -> DataFrame:
-    return fhir.patient_identities(_resources(s, d)).select("source_id", "source_mrn", "family_name", "given_name", _day("birth_date").alias("birth_date"), "postal_code").distinct()
+    return fhir.patient_identities(_of(s, d, "Patient")).select("source_id", "source_mrn", "family_name", "given_name", _day("birth_date").alias("birth_date"), "postal_code").distinct()
 
 
 def fhir_observations(s: SparkSession, d: str) -> DataFrame:
@@ -207,7 +208,7 @@ def fhir_conditions(s: SparkSession, d: str) -> DataFrame:
 
 
 def fhir_dq(s: SparkSession, d: str) -> DataFrame:
-    parsed = _bundles(s, d)
+    parsed = _bundles(s, d, "Patient")
     return dq.fhir_findings(parsed).select("error_code", "source_record_id")
 
 

@@ -6,7 +6,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from carelattice.operators import gold
-from carelattice.plans import fixtures as fx, queries as plans
+from carelattice.plans import fixtures as fx, queries as plans, written
+from carelattice.sources import files
 
 SF = "/root/testdata/sf0.001"
 
@@ -30,3 +31,40 @@ def test_readmission_ties_by_place_in_the_table(spark, tmp_path):
     frame = spark.createDataFrame(lines, "i int, l_orderkey long, l_partkey long, l_linenumber int, l_linestatus string").coalesce(1).sortWithinPartitions("i").drop("i")
     frame.write.parquet(f"{tmp_path}/lineitem.parquet")
     assert {r.primary_dx for r in plans.readmission_30d(spark, str(tmp_path)).collect()} == {fx.CODES[2]}
+
+
+def test_bundle_text_is_not_shuffled(spark):
+    optimized = fx.fhir_raw(spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    below = optimized[optimized.index("Join LeftOuter") :]
+    assert "to_json" not in below and "resourceType" not in below
+
+
+@pytest.mark.parametrize("name", ["fhir_resources", "fhir_dq", "fhir_patients", "fhir_conditions", "fhir_encounters", "fhir_observations", "fhir_bundles", "fhir_counts"])
+def test_bundles_are_made_and_parsed_once(spark, name):
+    plan = plans.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("lineitem") + plan.count("l_orderkey#") > 0 and plan.count("collect_list(") == 1
+
+
+@pytest.mark.parametrize("name", ["hl7_fault_findings", "hl7_birth_dates"])
+def test_messages_are_parsed_once(spark, name):
+    plan = plans.queries()[name](spark, SF)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("Relation [") == 1 and "Join" not in plan
+
+
+def test_blocks_keep_texts_where_they_are_read(spark, tmp_path):
+    spark.createDataFrame([(f'{{"id": {i}}}',) for i in range(50)], "v string").coalesce(1).write.text(str(tmp_path / "f"))
+    for found in (files.fhir_files(spark, str(tmp_path / "f")), files.csv_records(spark, str(tmp_path / "f"))):
+        assert found.count()
+        assert "REPARTITION_BY_COL" not in plan(found) and "BroadcastHashJoin" in plan(found)
+
+
+def test_wide_rows_of_a_small_table_are_spread(spark):
+    assert fx.csv_raw(spark, SF).rdd.getNumPartitions() == int(spark.conf.get("spark.sql.shuffle.partitions"))
+
+
+def test_summaries_are_worked_out_once(spark, monkeypatch):
+    made = []
+    monkeypatch.setattr(written, "replace_run", lambda rows, *_: made.append(rows._jdf.queryExecution().optimizedPlan().toString()))
+    monkeypatch.setattr(written, "append", lambda rows, *_: made.append(rows._jdf.queryExecution().optimizedPlan().toString()))
+    written.stored_summaries(spark, SF)
+    assert made and not any("parquet" in p and "l_orderkey" in p for p in made)
