@@ -69,7 +69,7 @@ def json_array(s: SparkSession, d: str) -> DataFrame:
 def _records(s: SparkSession, d: str) -> DataFrame:
     """Three records for each customer, one a run: by what the second is known again follows from the key modulo 4."""
     c = F.col("c_custkey")
-    people = fx.base(s, d, "customer").select(c, c.cast("string").alias("x"), F.date_add(F.lit(fx.AS_OF), (-c % 20000).cast("int")).alias("birth_date"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(3).cast("long"))).alias("run"))
+    people = fx.spread(fx.base(s, d, "customer").select(c), "c_custkey").select(c, c.cast("string").alias("x"), F.date_add(F.lit(fx.AS_OF), (-c % 20000).cast("int")).alias("birth_date"), F.explode(F.sequence(F.lit(1).cast("long"), F.lit(3).cast("long"))).alias("run"))
     i, again = c % 4, F.col("run") == 2
     own = lambda prefix: F.concat(F.lit(prefix), F.col("x"))
     return people.select(
