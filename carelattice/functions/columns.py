@@ -65,7 +65,12 @@ def hl7_timestamp(c: Column, lenient: bool = False) -> Column:
 
     lenient: fields of one digit are accepted wherever the whole still fits, from the longest form to the shortest.
     """
-    raw = strip(F.substring_index(F.substring_index(c, "+", 1), "-", 1))
+    # through an array, so that the stripped text is made once and not for each use
+    plain = strip(F.substring_index(F.substring_index(c, "+", 1), "-", 1))
+    return F.get(F.transform(F.array(plain), lambda raw: _timestamp(raw, lenient)), F.lit(0))
+
+
+def _timestamp(raw: Column, lenient: bool) -> Column:
     n = F.length(raw)
     if not lenient:
         at = lambda size, pattern: F.try_to_timestamp(F.substr(raw, F.lit(1), F.lit(size)), F.lit(pattern))

@@ -25,8 +25,15 @@ def _split(line: Column, separator: Column) -> Column:
 def msh_fields(raw: Column) -> Column:
     """Struct of the MSH fields; all null without an MSH line. The fourth character separates."""
     line = _line(_lines(raw), "MSH")
+    return _header(F.substr(line, F.lit(4), F.lit(1)), _msh_split(line))
+
+
+def _msh_split(line: Column) -> Column:
     separator = F.substr(line, F.lit(4), F.lit(1))
-    fields = F.when(separator != "", _split(line, separator))
+    return F.when(separator != "", _split(line, separator))
+
+
+def _header(separator: Column, fields: Column) -> Column:
     at = lambda i: blank_to_null(F.get(fields, F.lit(i)))
     named = {"sending_application": 2, "sending_facility": 3, "receiving_application": 4, "receiving_facility": 5, "message_time": 6, "message_type": 8, "control_id": 9, "version": 11}
     return F.struct(blank_to_null(separator).alias("separator"), *(at(i).alias(n) for n, i in named.items()), F.get(fields, F.lit(3)).alias("raw_facility"))
@@ -38,9 +45,14 @@ def ztn_pairs(raw: Column, separator: Column) -> Column:
     return F.transform(F.filter(fields, lambda x: F.instr(x, "=") > 0), lambda x: F.struct(strip(F.substring_index(x, "=", 1)).alias("key"), strip(F.substr(x, F.instr(x, F.lit("=")) + 1)).alias("value")))
 
 
+def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with a value that comes out of a generator, so that Spark doesn't copy its expression to each use."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def with_ztn(rows: DataFrame, raw: Column, separator: Column) -> DataFrame:
-    """rows with ztn, their ztn_pairs. They come out of a generator, so that Spark doesn't copy the expression to each use."""
-    return rows.select("*", F.explode(F.array(ztn_pairs(raw, separator))).alias("ztn"))
+    """rows with ztn, their ztn_pairs."""
+    return _once(rows, "ztn", ztn_pairs(raw, separator))
 
 
 def ztn_value(key: str) -> Column:
@@ -57,7 +69,9 @@ def parse_messages(messages: DataFrame, default_tenant: str | None = None, raw:
 
     Tenant: the ZTN segment, else default_tenant, else the sending facility, else UNKNOWN; empty values don't count.
     """
-    df = messages.withColumn("msh", msh_fields(F.col(raw)))
+    df = _once(messages, "_msh_line", _line(_lines(F.col(raw)), "MSH"))
+    df = _once(df, "_msh", _msh_split(F.col("_msh_line")))
+    df = df.withColumn("msh", _header(F.substr("_msh_line", F.lit(4), F.lit(1)), F.col("_msh")))
     df, ztn = with_ztn(df, F.col(raw), F.coalesce("msh.separator", F.lit("|"))), ztn_value
     bad = F.col("msh.separator").isNull()
     default = F.lit(default_tenant or None).cast("string")
@@ -91,8 +105,7 @@ def segments(raw: Column) -> Column:
 
 def segment(of: Column, name: str) -> Column:
     """The last segment of this name (null if none)."""
-    found = F.filter(of, lambda s: F.get(s, F.lit(0)) == name)
-    return F.get(found, F.size(found) - 1)
+    return F.try_element_at(F.filter(of, lambda s: F.get(s, F.lit(0)) == name), F.lit(-1))
 
 
 def _field(seg: Column, i: int) -> Column:
