@@ -5,7 +5,7 @@ from __future__ import annotations
 import re
 from collections.abc import Iterable, Mapping
 
-from pyspark.sql import Column
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 
@@ -14,6 +14,25 @@ def strip(c: Column) -> Column:
     return F.regexp_replace(c, r"^[\s\x{1c}-\x{1f}]+|[\s\x{1c}-\x{1f}]+$", "")
 
 
+def strip_column(c: Column) -> Column:
+    """strip of a column or a lambda's variable (not of an expression: c is repeated), for texts of any length: only ends are compared, no pattern runs over the text.
+
+    Before a last U+0085, U+2028 or U+2029 the pattern's `$` matches as well, so there the pattern stays.
+    """
+    other_end = c.endswith("\x85") | c.endswith("\u2028") | c.endswith("\u2029")
+    return F.when(other_end, strip(c)).otherwise(F.btrim(c, F.lit(" \t\n\x0b\f\r\x1c\x1d\x1e\x1f")))
+
+
+def not_blank(c: Column) -> Column:
+    """strip leaves something of c: found at its first character that isn't white space. False for null."""
+    return F.coalesce(c.rlike(r"[^\s\x{1c}-\x{1f}]"), F.lit(False))
+
+
+def once(rows: DataFrame, name: str, value: Column) -> DataFrame:
+    """rows with a value that comes out of a generator, so that Spark doesn't copy its expression to each use."""
+    return rows.select("*", F.explode(F.array(value)).alias(name))
+
+
 def blank_to_null(c: Column) -> Column:
     return F.nullif(c, F.lit(""))
 

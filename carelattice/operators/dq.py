@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.functions.codes import SEXES, SNOMED
-from carelattice.functions.columns import hl7_timestamp, iso_date, lookup, stable_id, strip, to_float
+from carelattice.functions.columns import hl7_timestamp, iso_date, lookup, not_blank, once, stable_id, strip, strip_column, to_float
 
 from .csvbatch import REQUIRED
 from .fhir import TENANT_TAG
@@ -20,10 +20,6 @@ _FOUND = "array<struct<tenant_id:string,source_record_id:string,f:struct<error_c
 LONGEST = 2000
 
 
-def _filled(c: Column) -> Column:
-    return F.coalesce(strip(c), F.lit("")) != ""
-
-
 def finding(when: Column, code: str, field: str, message: Column | str, raw: Column | None = None, severity: str = "ERROR", longest: int | None = None) -> Column:
     text = F.lit(None).cast("string") if raw is None else raw.cast("string") if longest is None else F.substr(raw.cast("string"), F.lit(1), F.lit(longest))
     row = F.struct(F.lit(code).alias("error_code"), F.lit(severity).alias("error_severity"), (F.lit(message) if isinstance(message, str) else message).alias("error_message"), F.lit(field).alias("field_path"), text.alias("raw_value"))
@@ -85,18 +81,29 @@ def fhir_findings(parsed: DataFrame, uri: str = TENANT_TAG, raw: str = "raw_bund
 
 def csv_bronze_findings(rows: DataFrame, kind: str, keep: tuple[str, ...] = ("file_name",)) -> DataFrame:
     """Findings on rows as they came. kind: patients or labs; rows have row_idx."""
-    key = "patient_id" if kind == "patients" else "result_id"
-    rules = [finding(~_filled(F.col(c)), "CSV_MISSING_REQUIRED_FIELD", c, f"Required field {c} is empty") for c in REQUIRED[kind]]
-    if kind == "patients":
-        rows = with_first_row(rows, "patient_id")
-        dob = strip(F.col("dob"))
-        rules += [
-            finding(F.col("row_idx") > F.col("first_row_idx"), "CSV_DUPLICATE_RECORD", "patient_id", F.concat(F.lit("First seen in row "), F.col("first_row_idx").cast("string")), F.col("patient_id"), longest=LONGEST),
-            finding(_filled(dob) & iso_date(dob).isNull(), "CSV_MALFORMED_DOB", "dob", "Expected YYYY-MM-DD", dob, longest=LONGEST),
-        ]
-    else:
-        rules.append(finding(_filled(F.col("result_value")) & to_float(F.col("result_value")).isNull(), "CSV_NON_NUMERIC_RESULT", "result_value", "Not a number", F.col("result_value"), "WARNING", LONGEST))
-    return findings(rows, rules, F.concat_ws(":", F.col("row_idx").cast("string"), F.coalesce(F.col(key), F.lit(""))), list(keep))
+    rules = [finding(~not_blank(F.col(c)), "CSV_MISSING_REQUIRED_FIELD", c, f"Required field {c} is empty") for c in REQUIRED[kind]]
+    if kind == "labs":
+        rules.append(finding(not_blank(F.col("result_value")) & to_float(F.col("result_value")).isNull(), "CSV_NON_NUMERIC_RESULT", "result_value", "Not a number", F.col("result_value"), "WARNING", LONGEST))
+        return findings(rows, rules, _csv_record("result_id"), list(keep))
+    dob = F.col("_dob")
+    rules.append(finding((dob != "") & iso_date(dob).isNull(), "CSV_MALFORMED_DOB", "dob", "Expected YYYY-MM-DD", dob, longest=LONGEST))
+    own = findings(once(rows, "_dob", strip_column(F.col("dob"))), rules, _csv_record("patient_id"), list(keep))
+    return own.unionByName(_repeated_patients(rows, keep, "CSV_DUPLICATE_RECORD", longest=LONGEST))
+
+
+def _csv_record(key: str) -> Column:
+    return F.concat_ws(":", F.col("row_idx").cast("string"), F.coalesce(F.col(key), F.lit("")))
+
+
+def _repeated_patients(rows: DataFrame, keep: tuple[str, ...], code: str, severity: str = "ERROR", longest: int | None = None) -> DataFrame:
+    """Findings on rows whose patient came in an earlier row of their file. Only ids and places are joined; the other rules need no join, so long values stay where they are read."""
+    narrow = with_first_row(rows.select(*dict.fromkeys([*keep, *_file_columns(rows), "row_idx", "patient_id"])), "patient_id")
+    rule = finding(F.col("row_idx") > F.col("first_row_idx"), code, "patient_id", F.concat(F.lit("First seen in row "), F.col("first_row_idx").cast("string")), F.col("patient_id"), severity, longest)
+    return findings(narrow, [rule], _csv_record("patient_id"), list(keep))
+
+
+def _file_columns(rows: DataFrame) -> list[str]:
+    return [c for c in ("batch_id", "file_name") if c in rows.columns]
 
 
 def with_first_row(rows: DataFrame, key: str) -> DataFrame:
@@ -104,24 +111,24 @@ def with_first_row(rows: DataFrame, key: str) -> DataFrame:
 
     Keys are counted before they are joined back, so blank and very frequent keys don't gather in one task.
     """
-    text = strip(F.coalesce(F.col(key), F.lit("")))
-    of = [*(c for c in ("batch_id", "file_name") if c in rows.columns), "_key"]
+    text = F.coalesce(strip_column(F.col(key)), F.lit(""))
+    of = [*_file_columns(rows), "_key"]
     first = rows.withColumn("_key", text).filter("_key <> ''").groupBy(*of).agg(F.min("row_idx").alias("first_row_idx"), F.count("*").alias("_n")).filter("_n > 1").drop("_n")
     return rows.withColumn("_key", text).join(first, of, "left").drop("_key").withColumn("first_row_idx", F.coalesce("first_row_idx", "row_idx"))
 
 
 def csv_silver_findings(rows: DataFrame, keep: tuple[str, ...] = ("file_name",)) -> DataFrame:
     """Findings on patient rows on their way to the clinical tables."""
-    rows = with_first_row(rows, "patient_id")
-    dob, dx = strip(F.col("dob")), strip(F.col("primary_dx_icd10"))
+    dob, dx = F.col("_dob"), F.col("_dx")
     rules = [
-        finding(~_filled(F.col("first_name")), "CSV_BLANK_NAME", "first_name", "First name is blank", severity="WARNING"),
-        finding(~_filled(F.col("last_name")), "CSV_BLANK_NAME", "last_name", "Last name is blank", severity="WARNING"),
-        finding(_filled(dob) & iso_date(dob).isNull(), "CSV_MALFORMED_DOB", "dob", "Expected YYYY-MM-DD", dob, "WARNING"),
-        finding(F.col("row_idx") > F.col("first_row_idx"), "CSV_DUPLICATE_ROW", "patient_id", F.concat(F.lit("First seen in row "), F.col("first_row_idx").cast("string")), F.col("patient_id"), "WARNING"),
-        finding(_filled(dx) & lookup(dx, SNOMED).isNull(), "CSV_INVALID_ICD10", "primary_dx_icd10", "Diagnosis has no SNOMED code", dx, "WARNING"),
+        finding(~not_blank(F.col("first_name")), "CSV_BLANK_NAME", "first_name", "First name is blank", severity="WARNING"),
+        finding(~not_blank(F.col("last_name")), "CSV_BLANK_NAME", "last_name", "Last name is blank", severity="WARNING"),
+        finding((dob != "") & iso_date(dob).isNull(), "CSV_MALFORMED_DOB", "dob", "Expected YYYY-MM-DD", dob, "WARNING"),
+        finding((dx != "") & lookup(dx, SNOMED).isNull(), "CSV_INVALID_ICD10", "primary_dx_icd10", "Diagnosis has no SNOMED code", dx, "WARNING"),
     ]
-    return findings(rows, rules, F.concat_ws(":", F.col("row_idx").cast("string"), F.coalesce("patient_id", F.lit(""))), list(keep))
+    clean = once(once(rows, "_dob", strip_column(F.col("dob"))), "_dx", strip_column(F.col("primary_dx_icd10")))
+    own = findings(clean, rules, _csv_record("patient_id"), list(keep))
+    return own.unionByName(_repeated_patients(rows, keep, "CSV_DUPLICATE_ROW", "WARNING"))
 
 
 def csv_lab_findings(coded: DataFrame, keep: tuple[str, ...] = ("file_name",)) -> DataFrame:

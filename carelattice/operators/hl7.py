@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.functions.codes import PATIENT_CLASS
-from carelattice.functions.columns import blank_to_null, first_filled, hl7_date, hl7_datetime, hl7_timestamp, lookup, part, stable_id, strip
+from carelattice.functions.columns import blank_to_null, first_filled, hl7_date, hl7_datetime, hl7_timestamp, lookup, once, part, stable_id, strip
 
 
 def _lines(raw: Column) -> Column:
@@ -45,14 +45,9 @@ def ztn_pairs(raw: Column, separator: Column) -> Column:
     return F.transform(F.filter(fields, lambda x: F.instr(x, "=") > 0), lambda x: F.struct(strip(F.substring_index(x, "=", 1)).alias("key"), strip(F.substr(x, F.instr(x, F.lit("=")) + 1)).alias("value")))
 
 
-def _once(rows: DataFrame, name: str, value: Column) -> DataFrame:
-    """rows with a value that comes out of a generator, so that Spark doesn't copy its expression to each use."""
-    return rows.select("*", F.explode(F.array(value)).alias(name))
-
-
 def with_ztn(rows: DataFrame, raw: Column, separator: Column) -> DataFrame:
     """rows with ztn, their ztn_pairs."""
-    return _once(rows, "ztn", ztn_pairs(raw, separator))
+    return once(rows, "ztn", ztn_pairs(raw, separator))
 
 
 def ztn_value(key: str) -> Column:
@@ -69,8 +64,8 @@ def parse_messages(messages: DataFrame, default_tenant: str | None = None, raw:
 
     Tenant: the ZTN segment, else default_tenant, else the sending facility, else UNKNOWN; empty values don't count.
     """
-    df = _once(messages, "_msh_line", _line(_lines(F.col(raw)), "MSH"))
-    df = _once(df, "_msh", _msh_split(F.col("_msh_line")))
+    df = once(messages, "_msh_line", _line(_lines(F.col(raw)), "MSH"))
+    df = once(df, "_msh", _msh_split(F.col("_msh_line")))
     df = df.withColumn("msh", _header(F.substr("_msh_line", F.lit(4), F.lit(1)), F.col("_msh")))
     df, ztn = with_ztn(df, F.col(raw), F.coalesce("msh.separator", F.lit("|"))), ztn_value
     bad = F.col("msh.separator").isNull()

@@ -5,7 +5,8 @@ from __future__ import annotations
 import pytest
 from pyspark.sql import functions as F
 
-from carelattice.operators import gold
+from carelattice.functions.columns import not_blank, strip, strip_column
+from carelattice.operators import dq, gold
 from carelattice.plans import fixtures as fx, queries as plans, written
 from carelattice.sources import files
 
@@ -68,3 +69,25 @@ def test_summaries_are_worked_out_once(spark, monkeypatch):
     monkeypatch.setattr(written, "append", lambda rows, *_: made.append(rows._jdf.queryExecution().optimizedPlan().toString()))
     written.stored_summaries(spark, SF)
     assert made and not any("parquet" in p and "l_orderkey" in p for p in made)
+
+
+def _joined(node) -> list[str]:
+    """The inputs of all joins of an optimized plan."""
+    sides = [node.children().apply(i) for i in range(node.children().size())]
+    return [s.toString() for s in sides if node.nodeName() == "Join"] + [t for s in sides for t in _joined(s)]
+
+
+@pytest.mark.parametrize("found", [lambda rows: dq.csv_bronze_findings(rows, "patients"), dq.csv_silver_findings])
+def test_long_values_are_not_joined_to_find_duplicates(spark, found):
+    rows = fx.csv_raw(spark, SF).withColumn("dob", F.repeat(F.lit("19/"), (F.col("row_idx") % 1500).cast("int")))
+    plan = found(rows)._jdf.queryExecution().optimizedPlan()
+    inputs = _joined(plan)
+    assert inputs and not any("repeat(" in i for i in inputs) and plan.toString().count("repeat(") == 1
+
+
+def test_ends_are_stripped_as_by_the_pattern(spark):
+    ends = ["", " ", "\n", "\r\n", "\t \x0b\x0c\x1c\x1f", "\x85", " \x85", " \u2028", "\u2029 ", "\xa0 ", " \n\x85\n", "\u3000"]
+    texts = [a + m + b for a in ends for m in ("", "x", "a \n b", "é\x1d\U0001f600") for b in ends]
+    rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
+    got = rows.select("t", strip(F.col("t")).alias("a"), strip_column(F.col("t")).alias("b"), not_blank(F.col("t")).alias("some")).collect()
+    assert [r.a for r in got] == [r.b for r in got] and [r.some for r in got] == [(r.a or "") != "" for r in got]
