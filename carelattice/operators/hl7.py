@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from carelattice.functions.codes import PATIENT_CLASS
-from carelattice.functions.columns import blank_to_null, first_filled, hl7_date, hl7_datetime, hl7_timestamp, lookup, once, part, stable_id, strip
+from carelattice.functions.columns import blank_to_null, first_filled, hl7_date, hl7_datetime, hl7_timestamp, lookup, once, part, stable_id, strip, strip_column
 
 
 def _lines(raw: Column) -> Column:
@@ -19,7 +19,8 @@ def _line(lines: Column, segment: str) -> Column:
 
 
 def _split(line: Column, separator: Column) -> Column:
-    return F.split(line, F.concat(F.lit(r"\Q"), separator, F.lit(r"\E")))
+    # the usual separator is split at without compiling a pattern for each line
+    return F.when(separator == "|", F.split(line, r"\|")).otherwise(F.split(line, F.concat(F.lit(r"\Q"), separator, F.lit(r"\E"))))
 
 
 def msh_fields(raw: Column) -> Column:
@@ -42,7 +43,8 @@ def _header(separator: Column, fields: Column) -> Column:
 def ztn_pairs(raw: Column, separator: Column) -> Column:
     """Array of the first ZTN line's (key, value) fields; null without one."""
     fields = _split(_line(_lines(raw), "ZTN"), separator)
-    return F.transform(F.filter(fields, lambda x: F.instr(x, "=") > 0), lambda x: F.struct(strip(F.substring_index(x, "=", 1)).alias("key"), strip(F.substr(x, F.instr(x, F.lit("=")) + 1)).alias("value")))
+    cut = F.transform(F.filter(fields, lambda x: F.instr(x, "=") > 0), lambda x: F.struct(F.substring_index(x, "=", 1).alias("key"), F.substr(x, F.instr(x, F.lit("=")) + 1).alias("value")))
+    return F.transform(cut, lambda p: F.struct(strip_column(p["key"]).alias("key"), strip_column(p["value"]).alias("value")))
 
 
 def with_ztn(rows: DataFrame, raw: Column, separator: Column) -> DataFrame:
@@ -94,7 +96,8 @@ def parse_messages(messages: DataFrame, default_tenant: str | None = None, raw:
 
 def segments(raw: Column) -> Column:
     """Array of segments, each split at `|`; any line ends, lines trimmed."""
-    lines = F.transform(F.split(F.regexp_replace(raw, r"\r\n?", "\n"), "\n"), strip)
+    text = F.replace(F.replace(raw, F.lit("\r\n"), F.lit("\n")), F.lit("\r"), F.lit("\n"))
+    lines = F.transform(F.split(text, "\n"), strip_column)
     return F.transform(F.filter(lines, lambda x: x != ""), lambda x: F.split(x, r"\|"))
 
 

@@ -30,7 +30,7 @@ def _folder(s: SparkSession) -> str:
 def hl7_files_read(s: SparkSession, d: str) -> DataFrame:
     """Messages by line, the segments of each on lines of their own, read from files in blocks."""
     path = _folder(s)
-    fx.hl7_raw(s, d).select(F.translate("raw_message", "\r", "\n")).write.text(path)
+    fx.hl7_raw(s, d).select(F.replace("raw_message", F.lit("\r"), F.lit("\n"))).write.text(path)
     rows = hl7.parse_adt(hl7.parse_messages(hl7_files(s, path)))
     return rows.select("message_control_id", "tenant_id", "mrn", "validation_status", F.size(F.split("raw_message", "\n")).alias("segments"))
 

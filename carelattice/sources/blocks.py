@@ -9,7 +9,7 @@ summed up for each state it could begin in, and a fold over the sums of a file's
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable, Iterator, Sequence
 from itertools import chain, groupby
 from operator import itemgetter
 
@@ -26,6 +26,8 @@ FILE = ["file_path", "file_name", "file_size"]
 _MADE = "file_path string, file_name string, file_size long, block long, idx long, last boolean, record binary"
 #: Gets the pieces of a block and the state it begins in; gives (whether the record begins here, its pieces) of each record.
 Cut = Callable[[Iterator[bytes], dict], Iterator[tuple[bool, list[bytes]]]]
+#: Gives the records that a block's edges may cut (the rest of an earlier one, and the block's last), or all others.
+Records = Callable[[bool], DataFrame]
 
 
 def pieces(spark: SparkSession, path: str, separator: str | None = None) -> DataFrame:
@@ -37,64 +39,118 @@ def pieces(spark: SparkSession, path: str, separator: str | None = None) -> Data
     )
 
 
-def _runs(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[tuple[str, int], dict, list[bytes]]]:
+def _slices(batches: Iterator[pa.RecordBatch], file: str = "file_path") -> Iterator[tuple[tuple, dict, pa.Array]]:
     """Rows of one block that come in one batch: the block, its columns, its pieces."""
     for batch in batches:
         if not batch.num_rows:
             continue
-        start, path = np.asarray(batch.column("block")), batch.column("file_path")
+        start, path = np.asarray(batch.column("block")), batch.column(file)
         other = (start[1:] != start[:-1]) | np.asarray(pc.not_equal(path[1:], path[:-1]))
         cuts = [0, *(np.flatnonzero(other) + 1).tolist(), batch.num_rows]
-        values, rest = batch.column("value").to_pylist(), [c for c in batch.schema.names if c != "value"]
+        values, rest = batch.column("value"), [c for c in batch.schema.names if c != "value"]
         for a, b in zip(cuts[:-1], cuts[1:], strict=True):
             info = {c: batch.column(c)[a].as_py() for c in rest}
-            yield (info["file_path"], info["block"]), info, values[a:b]
+            yield (info[file], info["block"]), info, values[a:b]
 
 
 def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Iterator[bytes]]]:
     """The blocks of a task, one after another: the columns of its first row, and its pieces."""
-    for _, runs in groupby(_runs(batches), key=itemgetter(0)):
+    for _, runs in groupby(_slices(batches), key=itemgetter(0)):
         _, info, first = next(runs)
-        yield info, chain(first, chain.from_iterable(run[2] for run in runs))
+        yield info, chain(first.to_pylist(), chain.from_iterable(run[2].to_pylist() for run in runs))
 
 
-def records_of_blocks(rows: DataFrame, cut: Cut, joiner: bytes) -> DataFrame:
+def records_of_blocks(rows: DataFrame, cut: Cut, joiner: bytes) -> Records:
     """Each record of each block with its number in it (-1: the rest of an earlier one); a task's rows are in order."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        out: list[tuple] = []
-        size = 0
-        for info, values in blocks(batches):
-            held, idx = None, -1
-            for begins, found in cut(values, info):
-                if held is not None:
-                    out.append((*held, False, joiner.join(text)))
-                    size += len(out[-1][-1])
-                idx += begins
-                held, text = (info["file_path"], info["file_name"], info["file_size"], info["block"], idx if begins else -1), found
-                if size > 1 << 23 or len(out) >= 5000:
-                    yield _batch(out)
-                    out, size = [], 0
-            if held is not None:
-                out.append((*held, True, joiner.join(text)))
-        yield _batch(out)
-
-    return rows.mapInArrow(run, _MADE)
+    def make(edges: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            out: list[tuple] = []
+            size = 0
+            for info, values in blocks(batches):
+                held, idx = None, -1
+                for begins, found in cut(values, info):
+                    if held is not None and (held[-1] < 0) == edges:
+                        out.append((*held, False, joiner.join(text)))
+                        size += len(out[-1][-1])
+                    idx += begins
+                    held, text = (*(info[c] for c in FILE), info["block"], idx if begins else -1), found
+                    if size > 1 << 23 or len(out) >= 5000:
+                        yield _batch(out)
+                        out, size = [], 0
+                if held is not None and edges:
+                    out.append((*held, True, joiner.join(text)))
+            yield _batch(out)
+
+        return rows.mapInArrow(run, _MADE)
+
+    return make
+
+
+def records_at(spark: SparkSession, path: str, starts: Callable[[pa.Array], pa.Array], joiner: bytes) -> Records:
+    """Records of lines where a line alone says that one begins with it: starts marks those among many lines, which are joined at once.
+
+    A line goes to the task's Python with a file number; names, several times as long, are joined to records.
+    """
+    file = spark.read.format("binaryFile").load(path).select(*(F.col(f"_metadata.{c}").alias(c) for c in FILE))  # no contents
+    files = checkpoint(file.withColumn("file", F.monotonically_increasing_id()))
+    rows = pieces(spark, path).join(F.broadcast(files.select("file_path", "file")), "file_path").select("file", "block", "value")
+
+    def make(edges: bool) -> DataFrame:
+        def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+            for key, runs in groupby(_slices(batches, "file"), key=itemgetter(0)):
+                held, idx = [], -1
+                for _, _, values in runs:
+                    at = np.flatnonzero(starts(values))
+                    first, after = (at[0], at[-1]) if len(at) else (len(values), len(values))
+                    if first:
+                        held.append(_joined(values, [0, first], joiner)[0].as_py())
+                    if not len(at):
+                        continue
+                    if held and (idx < 0) == edges:
+                        yield _records(key, [idx], False, [joiner.join(held)])
+                    if len(at) > 1 and not edges:
+                        yield _records(key, np.arange(idx + 1, idx + len(at)), False, _joined(values, at, joiner))
+                    idx += len(at)
+                    held = [_joined(values, [after, len(values)], joiner)[0].as_py()]
+                if edges:
+                    yield _records(key, [idx], True, [joiner.join(held)])
+
+        made = rows.mapInArrow(run, "file long, block long, idx long, last boolean, record binary")
+        return made.join(F.broadcast(files), "file").select(*_NAMES)
+
+    return make
+
+
+def _records(key: tuple[int, int], idx: Sequence[int], last: bool, records: pa.Array | list[bytes]) -> pa.RecordBatch:
+    n = len(idx)
+    same = [pa.repeat(pa.scalar(k, pa.int64()), n) for k in key]
+    return pa.RecordBatch.from_arrays([*same, pa.array(idx, pa.int64()), pa.repeat(last, n), pa.array(records, pa.binary())], names=["file", "block", "idx", "last", "record"])
+
+
+def _joined(values: pa.Array, cuts: Sequence[int], joiner: bytes) -> pa.Array:
+    """The values from each cut to the next one, joined."""
+    first, last = int(cuts[0]), int(cuts[-1])
+    offsets = pa.array(np.asarray(cuts, dtype=np.int32) - first, pa.int32())
+    return pc.binary_join(pa.ListArray.from_arrays(offsets, values[first:last]), pa.scalar(joiner, values.type)).cast(pa.binary())
+
+
+_NAMES = [x.split()[0] for x in _MADE.split(", ")]
+_KINDS = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
 
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    kinds = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(kinds)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds, strict=True)], names=[x.split()[0] for x in _MADE.split(", ")])
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_KINDS)
+    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=_NAMES)
 
 
-def stitched(made: DataFrame, joiner: bytes) -> DataFrame:
+def stitched(made: Records, joiner: bytes) -> DataFrame:
     """file_path, file_name, file_size, arrival_seq (the record's number in its file, from 0), record.
 
     What stands before a file's first record counts as one if it isn't blank.
     """
-    # two rows a block are kept, so that all that follows from them takes no further pass over the files
-    edge = checkpoint(made.filter("idx < 0 or last"))
+    # two rows a block are kept, so that all that follows from them takes no further pass over the files; the pass for them hands over no other record
+    edge = checkpoint(made(True))
     order = Window.partitionBy("file_path").orderBy("block", "idx")
     n = F.when(F.col("idx") >= 0, F.col("idx") + 1).otherwise(0)
     edge = edge.withColumns({"before": F.sum(n).over(order) - n, "of": F.sum((F.col("idx") >= 0).cast("long")).over(order)})
@@ -107,7 +163,7 @@ def stitched(made: DataFrame, joiner: bytes) -> DataFrame:
     shift = whole.filter("of = 0 and record rlike '\\\\S'").select("file_path", F.lit(1).alias("shift"))
     starts = edge.groupBy("file_path", "block").agg(F.min("before").alias("before"))
     shifted = lambda df: df.join(shift, "file_path", "left").withColumn("shift", F.coalesce("shift", F.lit(0)))
-    inner = made.filter("idx >= 0 and not last").join(F.broadcast(shifted(starts)), ["file_path", "block"])  # a row for each block; records stay where they are
+    inner = made(False).join(F.broadcast(shifted(starts)), ["file_path", "block"])  # a row for each block; records stay where they are
     inner = inner.select(*FILE, (F.col("before") + F.col("idx") + F.col("shift")).alias("arrival_seq"), F.col("record").cast("string").alias("record"))
     outer = shifted(whole).filter("of > 0 or shift = 1")
     seq = F.when(F.col("of") == 0, F.lit(0)).otherwise(F.col("first.before") + F.col("first.idx") + F.col("shift"))

@@ -11,12 +11,13 @@ from itertools import batched
 
 import pandas as pd
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from carelattice.functions.columns import strip
+from carelattice.functions.columns import not_blank, strip, strip_column
 
-from .blocks import FILE, blocks, pieces, records_of_blocks, stitched, with_states
+from .blocks import FILE, blocks, pieces, records_at, records_of_blocks, stitched, with_states
 
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
@@ -33,22 +34,10 @@ def split_messages(files: DataFrame, content: str = "value") -> DataFrame:
     return files.select("*", F.posexplode(F.filter(parts, lambda x: x != "")).alias("arrival_seq", "raw_message")).drop(content)
 
 
-def _messages(lines: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
-    begins, held = False, []
-    for line in lines:
-        if line.startswith(b"MSH|"):
-            if held:
-                yield begins, held
-            begins, held = True, []
-        held.append(line)
-    if held:
-        yield begins, held
-
-
 def hl7_files(spark: SparkSession, path: str) -> DataFrame:
     """file_path, file_name, file_size, arrival_seq, raw_message: lines of any end, read in blocks; messages begin at a line `MSH|`."""
-    found = stitched(records_of_blocks(pieces(spark, path), _messages, b"\n"), b"\n")
-    return found.select(*FILE, "arrival_seq", strip(F.col("record")).alias("raw_message")).filter("raw_message <> ''")
+    found = stitched(records_at(spark, path, lambda lines: pc.starts_with(lines, b"MSH|"), b"\n"), b"\n")
+    return found.filter(not_blank(F.col("record"))).select(*FILE, "arrival_seq", strip_column(F.col("record")).alias("raw_message"))
 
 
 def split_bundles(files: DataFrame, content: str = "value") -> DataFrame:

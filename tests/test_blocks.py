@@ -5,6 +5,7 @@ from __future__ import annotations
 import csv
 import json
 import random
+from urllib.parse import unquote
 
 import pytest
 from pyspark.sql import functions as F
@@ -101,3 +102,30 @@ def test_large_file_is_read_by_many_tasks(spark, tmp_path):
         assert got.filter(~F.col("raw_message").contains(F.concat(F.lit("|"), F.col("arrival_seq").cast("string"), F.lit("|P")))).isEmpty()
     finally:
         spark.conf.unset("spark.sql.files.maxPartitionBytes")
+
+
+def test_hl7_blocks_and_batches(spark, tmp_path, cut):
+    rng = random.Random(7)
+    lines = ["MSH|a", "MSH|", "MSH", "", " ", "PID|MSH|x", "OBX|é", "\x1f", "NTE|" + "z" * 150]
+    texts = {f"{i} é%.txt": "".join(rng.choice(lines) + rng.choice(["\n", "\r\n"] if i % 2 else ["\r"]) for _ in range(rng.randrange(40))) for i in range(8)}
+    texts |= {"end.txt": "MSH|1\nPID|\nMSH|", "mark.txt": "\ufeffMSH|1\nMSH|2"}
+    for name, text in texts.items():
+        (tmp_path / name).write_bytes(text.encode())
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", "3")
+    try:
+        rows = files.hl7_files(spark, str(tmp_path))
+        got, sizes = ({unquote(n): x for n, x in found.items()} for found in (_in_order(rows, "raw_message"), {r.file_name: r.file_size for r in rows.collect()}))
+    finally:
+        spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+    expected = _in_order(files.split_messages(spark.createDataFrame([(n, t.removeprefix("\ufeff")) for n, t in texts.items()], "file_name string, value string")), "raw_message")
+    assert got == expected and sizes == {n: len(texts[n].encode()) for n in got}
+
+
+def test_lines_are_read_without_names_and_edges_alone_are_kept(spark, tmp_path):
+    (tmp_path / "m.txt").write_text("".join(f"MSH|{i}\nPID|\n" for i in range(500)))
+    plan = files.hl7_files(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    given = [line for line in plan.splitlines() if "MapInArrow" in line]
+    assert given and not any("file_path" in line or "file_name" in line for line in given)
+    for made in (files.records_at(spark, str(tmp_path), lambda v: files.pc.starts_with(v, b"MSH|"), b"\n"), files.records_of_blocks(files.pieces(spark, str(tmp_path)), files._rows, b"\n")):
+        edge, inner = made(True).collect(), made(False).collect()
+        assert len(edge) == 1 and edge[0].last and edge[0].idx == len(inner) and sorted(r.idx for r in inner) == list(range(len(inner)))
