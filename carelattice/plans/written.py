@@ -40,10 +40,10 @@ def fhir_arrays(s: SparkSession, d: str) -> DataFrame:
     path, n = _folder(s), F.lit(1 << 40)
     rows = fx.fhir_parts(s, d).withColumns({"file": F.col("o_orderkey") % FILES, "at": F.col("o_orderkey")})
     ends = s.range(FILES).select(F.col("id").alias("file"), F.explode(F.array(F.struct(F.lit(-1).cast("long").alias("at"), F.lit(f"[ {BROKEN},").alias("value")), F.struct(n.alias("at"), F.lit("17]").alias("value")))).alias("x"))
-    ordered = rows.unionByName(ends.select("file", "x.*"), allowMissingColumns=True).repartition("file").sortWithinPartitions("file", "at")
+    ordered = rows.unionByName(ends.select("file", "x.*"), allowMissingColumns=True).repartitionById(FILES, F.col("file").cast("int")).sortWithinPartitions("file", "at")  # a task for each file
     # texts are made where they are written: neither shuffled nor sorted
     ordered.select("file", F.coalesce("value", F.concat(fx.bundle_text(), F.lit(","))).alias("value")).write.partitionBy("file").text(path)
-    parsed = fhir.parse_bundles(fhir_files(s, path))
+    parsed = fhir.parse_bundles(fhir_files(s, path), kinds=())  # no resource is taken in, types are common fields
     return parsed.select(F.when(F.col("validation_status") == "PASS", F.col("bundle_id")).alias("bundle_id"), "validation_status", "tenant_id", F.array_join("resource_types", ",").alias("resource_types"), F.when(F.col("validation_status") == "ERROR", F.col("raw_bundle")).alias("raw"))
 
 

@@ -23,9 +23,12 @@ from pyspark.sql import functions as F
 from carelattice.operators.shared import checkpoint
 
 FILE = ["file_path", "file_name", "file_size"]
+_NUMBERED = "file long, block long, idx long, last boolean, record binary"
 _MADE = "file_path string, file_name string, file_size long, block long, idx long, last boolean, record binary"
 #: Gets the pieces of a block and the state it begins in; gives (whether the record begins here, its pieces) of each record.
 Cut = Callable[[Iterator[bytes], dict], Iterator[tuple[bool, list[bytes]]]]
+#: What is known of a block, by file and block.
+States = dict[tuple[str, int], dict]
 #: Gives the records that a block's edges may cut (the rest of an earlier one, and the block's last), or all others.
 Records = Callable[[bool], DataFrame]
 
@@ -39,6 +42,26 @@ def pieces(spark: SparkSession, path: str, separator: str | None = None) -> Data
     )
 
 
+def numbered_pieces(spark: SparkSession, path: str, separator: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """The pieces with a number, file, for their file's path and name, which are several times as long; and the files with it."""
+    file = F.xxhash64("file_path").alias("file")
+    files = spark.read.format("binaryFile").load(path).select(*(F.col(f"_metadata.{c}").alias(c) for c in FILE))  # no contents
+    return pieces(spark, path, separator).select(file, "file_size", "block", "length", "value"), files.select(file, *FILE)
+
+
+#: Bytes of a piece up to which it counts as short.
+SHORT = 1 << 15
+
+
+def short_pieces(spark: SparkSession, path: str, separator: str) -> bool:
+    """Whether all pieces between separators are short. The reader is told to leave longer ones out, so that none is held whole: then a file's bytes are missing."""
+    reader = spark.read.option("lineSep", separator).option("mapreduce.input.linerecordreader.line.maxlength", str(SHORT))
+    size = F.sum(F.octet_length("value") + len(separator.encode()))
+    read = reader.text(path).groupBy(F.input_file_name().alias("file")).agg(size.alias("read"))
+    files = spark.read.format("binaryFile").load(path).select(F.input_file_name().alias("file"), F.col("_metadata.file_size").alias("file_size"))
+    return files.join(read, "file", "left").filter(F.col("file_size") > F.coalesce("read", F.lit(0))).isEmpty()
+
+
 def _slices(batches: Iterator[pa.RecordBatch], file: str = "file_path") -> Iterator[tuple[tuple, dict, pa.Array]]:
     """Rows of one block that come in one batch: the block, its columns, its pieces."""
     for batch in batches:
@@ -53,36 +76,43 @@ def _slices(batches: Iterator[pa.RecordBatch], file: str = "file_path") -> Itera
             yield (info[file], info["block"]), info, values[a:b]
 
 
-def blocks(batches: Iterator[pa.RecordBatch]) -> Iterator[tuple[dict, Iterator[bytes]]]:
+def blocks(batches: Iterator[pa.RecordBatch], file: str = "file_path") -> Iterator[tuple[dict, Iterator[bytes]]]:
     """The blocks of a task, one after another: the columns of its first row, and its pieces."""
-    for _, runs in groupby(_slices(batches), key=itemgetter(0)):
+    for _, runs in groupby(_slices(batches, file), key=itemgetter(0)):
         _, info, first = next(runs)
         yield info, chain(first.to_pylist(), chain.from_iterable(run[2].to_pylist() for run in runs))
 
 
-def records_of_blocks(rows: DataFrame, cut: Cut, joiner: bytes) -> Records:
-    """Each record of each block with its number in it (-1: the rest of an earlier one); a task's rows are in order."""
+def records_of_blocks(rows: DataFrame, cut: Cut, joiner: bytes, states: States | None = None, files: DataFrame | None = None) -> Records:
+    """Each record of each block with its number in it (-1: the rest of an earlier one); a task's rows are in order.
+
+    States go to the tasks with the code, so that pieces, which are many and short, are neither joined nor shuffled nor sorted.
+    files: if rows are numbered_pieces, those that their numbers stand for.
+    """
+    known, own = states or {}, FILE if files is None else ["file"]
 
     def make(edges: bool) -> DataFrame:
         def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             out: list[tuple] = []
             size = 0
-            for info, values in blocks(batches):
+            for info, values in blocks(batches, own[0]):
                 held, idx = None, -1
-                for begins, found in cut(values, info):
+                for begins, found in cut(values, info | known.get((info[own[0]], info["block"]), {})):
                     if held is not None and (held[-1] < 0) == edges:
                         out.append((*held, False, joiner.join(text)))
                         size += len(out[-1][-1])
                     idx += begins
-                    held, text = (*(info[c] for c in FILE), info["block"], idx if begins else -1), found
+                    held, text = (*(info[c] for c in own), info["block"], idx if begins else -1), found
                     if size > 1 << 23 or len(out) >= 5000:
-                        yield _batch(out)
+                        yield _batch(out, own)
                         out, size = [], 0
                 if held is not None and edges:
                     out.append((*held, True, joiner.join(text)))
-            yield _batch(out)
+            yield _batch(out, own)
 
-        return rows.mapInArrow(run, _MADE)
+        if files is None:
+            return rows.mapInArrow(run, _MADE)
+        return rows.mapInArrow(run, _NUMBERED).join(F.broadcast(files), "file").select(*_NAMES)
 
     return make
 
@@ -116,7 +146,7 @@ def records_at(spark: SparkSession, path: str, starts: Callable[[pa.Array], pa.A
                 if edges:
                     yield _records(key, [idx], True, [joiner.join(held)])
 
-        made = rows.mapInArrow(run, "file long, block long, idx long, last boolean, record binary")
+        made = rows.mapInArrow(run, _NUMBERED)
         return made.join(F.broadcast(files), "file").select(*_NAMES)
 
     return make
@@ -136,12 +166,13 @@ def _joined(values: pa.Array, cuts: Sequence[int], joiner: bytes) -> pa.Array:
 
 
 _NAMES = [x.split()[0] for x in _MADE.split(", ")]
-_KINDS = [pa.string(), pa.string(), pa.int64(), pa.int64(), pa.int64(), pa.bool_(), pa.binary()]
+_KINDS = {"file_path": pa.string(), "file_name": pa.string(), "file_size": pa.int64(), "file": pa.int64(), "block": pa.int64(), "idx": pa.int64(), "last": pa.bool_(), "record": pa.binary()}
 
 
-def _batch(rows: list[tuple]) -> pa.RecordBatch:
-    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(_KINDS)
-    return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, _KINDS, strict=True)], names=_NAMES)
+def _batch(rows: list[tuple], own: list[str]) -> pa.RecordBatch:
+    names = [*own, "block", "idx", "last", "record"]
+    columns = list(zip(*rows, strict=True)) if rows else [[]] * len(names)
+    return pa.RecordBatch.from_arrays([pa.array(c, _KINDS[n]) for c, n in zip(columns, names, strict=True)], names=names)
 
 
 def stitched(made: Records, joiner: bytes) -> DataFrame:
@@ -170,11 +201,11 @@ def stitched(made: Records, joiner: bytes) -> DataFrame:
     return inner.unionByName(outer.select(*FILE, seq.cast("long").alias("arrival_seq"), "record"))
 
 
-def with_states(rows: DataFrame, sums: DataFrame, fold: Callable[[pd.DataFrame], pd.DataFrame], state: str) -> DataFrame:
-    """rows with the state their block begins in (null for a file's first), where and as they are read. sums: file_path, block and what a block sums up to.
+def states_of(sums: DataFrame, fold: Callable[[pd.DataFrame], pd.DataFrame], state: str) -> States:
+    """The state that each block after a file's first begins in. sums: file_path or file, block and what a block sums up to.
 
-    fold gets the sums of one file's blocks in order, one row a block, and gives file_path, block and the columns of `state`.
-    States, a row for each later block, are sent to all tasks, so that texts are neither shuffled nor sorted.
+    fold gets the sums of one file's blocks in order, one row a block, and gives a frame of the file, block and the columns of `state`.
     """
-    states = sums.groupBy("file_path").applyInPandas(lambda pdf: fold(pdf.sort_values("block")), f"file_path string, block long, {state}")
-    return rows.join(F.broadcast(states.filter("block > 0")), ["file_path", "block"], "left")
+    file, kind = sums.dtypes[0]
+    states = sums.groupBy(file).applyInPandas(lambda pdf: fold(pdf.sort_values("block")), f"{file} {kind}, block long, {state}")
+    return {(r[file], r["block"]): r.asDict() for r in states.filter("block > 0").collect()}  # one row a block

@@ -7,8 +7,9 @@ from __future__ import annotations
 
 import re
 from collections.abc import Iterator
-from itertools import batched
+from functools import partial
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -17,7 +18,7 @@ from pyspark.sql import functions as F
 
 from carelattice.functions.columns import not_blank, strip, strip_column
 
-from .blocks import FILE, blocks, pieces, records_at, records_of_blocks, stitched, with_states
+from .blocks import FILE, blocks, numbered_pieces, pieces, records_at, records_of_blocks, short_pieces, states_of, stitched
 
 
 def whole_files(spark: SparkSession, path: str) -> DataFrame:
@@ -73,21 +74,70 @@ def _is_array(chunk: bytes) -> bool:
     return chunk.lstrip(_BLANK).startswith(b"[")
 
 
-def _elements(chunks: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
-    """The elements of a file's array, or its objects. Chunks end before a `}`, so objects end where chunks do."""
+#: What each byte does to the depth, as a signed byte; 2: a quote.
+_KINDS = bytes(1 if b in b"{[" else 255 if b in b"}]" else 2 if b == ord('"') else 0 for b in range(256))
+#: Bytes of chunks that are searched at once.
+_MANY = 1 << 18
+
+
+def _many(chunks: Iterator[bytes]) -> Iterator[list[bytes]]:
+    """Chunks in lists of bounded bytes."""
+    out, size = [], 0
+    for chunk in chunks:
+        out.append(chunk)
+        size += len(chunk) + 1
+        if size >= _MANY:
+            yield out
+            out, size = [], 0
+    if out:
+        yield out
+
+
+def _brackets(text: bytes, inside: bool) -> tuple[np.ndarray, np.ndarray, bool] | None:
+    """Where brackets stand outside of strings, what they do to the depth, and whether the text ends in a string. None if a backslash stands outside of strings."""
+    kinds = np.frombuffer(text.translate(_KINDS), np.int8)
+    at = np.flatnonzero(kinds)
+    kind = kinds[at]
+    quote = kind == 2
+    if slashes := b"\\" in text:
+        slash = np.flatnonzero(np.frombuffer(text, np.uint8) == ord("\\"))
+        new = np.diff(slash, prepend=-2) != 1
+        first, last = slash[new], slash[np.append(new[1:], True)]
+        escaped = np.zeros(len(text) + 1, bool)
+        escaped[last[(last - first) % 2 == 0] + 1] = True
+        quote &= ~escaped[at]
+    within = (np.cumsum(quote) + inside) & 1
+    if slashes and not ((np.searchsorted(at[quote], slash) + inside) & 1).all():
+        return None
+    outside = (within == 0) & (kind != 2)
+    return at[outside], kind[outside], bool(within[-1]) if len(within) else inside
+
+
+def _ends(text: bytes, inside: bool, depth: int, base: int) -> tuple[list[int], bool, bool, int]:
+    """Where objects end in a text, up to a `}` that closes none; whether that is all of it; the string state and depth it ends in."""
+    found = _brackets(text, inside)
+    if found is None:
+        return [], False, inside, depth
+    at, kind, inside = found
+    level = depth + np.cumsum(kind)
+    closing = np.frombuffer(text, np.uint8)[at] == ord("}")
+    ends, low = at[closing] + 1, level[closing]
+    wrong = np.flatnonzero(low < base)
+    stop = wrong[0] if len(wrong) else len(low)
+    return ends[:stop][low[:stop] <= base].tolist(), not len(wrong), inside, int(level[-1]) if len(level) else depth
+
+
+def _elements(chunks: Iterator[bytes], info: dict, separator: bytes = b"}") -> Iterator[tuple[bool, list[bytes]]]:
+    """The elements of a file's array, or its objects. Chunks end before a separator, which begins with `}`, so blocks begin behind one.
+
+    Many chunks are searched at once; what holds other elements than objects, or brackets that don't match, chunk by chunk.
+    """
     inside, depth, array, at = info.get("inside") or False, info.get("depth") or 0, info.get("array"), info.get("at") or 0
     base, held = int(bool(array)), []
     begins = depth <= base and not inside
-    ahead = next(chunks, None)
-    while ahead is not None:
-        chunk, ahead = ahead, next(chunks, None)
-        at += len(chunk) + 1
-        closed = ahead is not None or at != info["file_size"] + 1  # only what ends a file may lack its bracket
-        if array is None:
-            array = _is_array(chunk)
-            base = depth = int(array)
-            if array:
-                chunk = chunk.lstrip(_BLANK)[1:]
+
+    def single(chunk: bytes, closed: bool = True) -> Iterator[tuple[bool, list[bytes]]]:
+        nonlocal inside, depth, held, begins
         if begins and not held:
             loose, chunk = _loose(chunk, array)
             for x in loose:  # elements that are no objects
@@ -101,6 +151,52 @@ def _elements(chunks: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[
             depth = base
             yield begins, held
             held, begins = [], True
+
+    def start(text: bytes, after: int) -> int:
+        """Where what comes after a place goes on or begins; -1 if more than a comma stands before an object."""
+        if held or not begins:
+            return after
+        first = text.find(b"{", after)
+        return first if first >= 0 and text[after:first].strip(_BLANK) in ((b"", b",") if array else (b"",)) else -1
+
+    several, after = _many(chunks), separator[1:]
+    lead = after if info["block"] else b""  # what the separator before has behind its bracket
+    some = next(several, None)
+    while some:
+        ahead = next(several, None)
+        at += sum(map(len, some)) + len(some) * len(separator)
+        closed = ahead is not None or at != info["file_size"] + len(separator)  # only what ends a file may lack its bracket
+        if array is None:
+            array = _is_array(some[0])
+            base = depth = int(array)
+            if array:
+                some[0] = some[0].lstrip(_BLANK)[1:]
+        text, done = lead + separator.join(some) + b"}" * closed, 0
+        cut = text.rfind(b"}") + 1
+        text, rest, lead = text[:cut], text[cut:], after
+        if ahead is None and at == info["file_size"]:
+            rest = after  # the file ends with a separator
+        if text:
+            ends, matched, *state = _ends(text, inside, depth, base)
+            for end in ends:
+                if (first := start(text, done)) < 0:
+                    break
+                yield begins, [*held, text[first:end]]
+                held, begins, done = [], True, end
+            else:
+                first = start(text, done) if matched and done < len(text) else -1
+                if first >= 0:
+                    held.append(text[first:])
+                if first >= 0 or done == len(text):
+                    (inside, depth), done = state, len(text)
+            if done < len(text):
+                if done:
+                    inside, depth = False, base
+                for chunk in text[done:-1].split(b"}"):
+                    yield from single(chunk)
+        if rest:
+            yield from single(rest, closed=False)
+        some = ahead
     if held:
         yield begins, held
 
@@ -120,31 +216,34 @@ def _loose(chunk: bytes, array: bool) -> tuple[list[bytes], bytes]:
     return [x for x in found if x], chunk[at:]
 
 
-def _bundle_sums(rows: DataFrame) -> DataFrame:
+def _bundle_sums(rows: DataFrame, separator: bytes) -> DataFrame:
     """For each block of a file with several: depth and string state at its end, for either string state at its start."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for info, chunks in blocks(batches):
+        for info, chunks in blocks(batches, "file"):
             ends, first, size = [[False, 0], [True, 0]], None, 0
-            for some in batched(chunks, 4096):  # many chunks as one text
-                whole = b"}".join(some) + b"}"
+            for some in _many(chunks):  # many chunks as one text
+                whole = separator.join(some) + separator
                 size += len(whole)
                 first = some[0] if first is None else first
                 for end in ends:
-                    text, end[0] = _outside(whole, end[0])
-                    end[1] += _depth(text) - text.count(b"}")
-            yield pa.RecordBatch.from_pylist([{"file_path": info["file_path"], "block": info["block"], "size": size, "array": _is_array(first or b""), "inside0": ends[0][0], "depth0": ends[0][1], "inside1": ends[1][0], "depth1": ends[1][1]}])
+                    if found := _brackets(whole, end[0]):
+                        end[0], end[1] = found[2], end[1] + int(found[1].sum())
+                    else:
+                        text, end[0] = _outside(whole, end[0])
+                        end[1] += _depth(text) - text.count(b"}")
+            yield pa.RecordBatch.from_pylist([{"file": info["file"], "block": info["block"], "size": size, "array": _is_array(first or b""), "inside0": ends[0][0], "depth0": ends[0][1], "inside1": ends[1][0], "depth1": ends[1][1]}])
 
-    return rows.filter("length < file_size").mapInArrow(run, "file_path string, block long, size long, array boolean, inside0 boolean, depth0 long, inside1 boolean, depth1 long")
+    return rows.filter("length < file_size").mapInArrow(run, "file long, block long, size long, array boolean, inside0 boolean, depth0 long, inside1 boolean, depth1 long")
 
 
 def _bundle_states(pdf: pd.DataFrame) -> pd.DataFrame:
     out, inside, depth, array, at = [], False, 0, bool(pdf["array"].iloc[0]), 0
     for r in pdf.itertuples(index=False):
-        out.append((r.file_path, r.block, inside, depth, array, at))
+        out.append((r.file, r.block, inside, depth, array, at))
         at += r.size
         inside, depth = (r.inside1, depth + r.depth1) if inside else (r.inside0, depth + r.depth0)
-    return pd.DataFrame(out, columns=["file_path", "block", "inside", "depth", "array", "at"])
+    return pd.DataFrame(out, columns=["file", "block", "inside", "depth", "array", "at"])
 
 
 def fhir_files(spark: SparkSession, path: str) -> DataFrame:
@@ -152,9 +251,12 @@ def fhir_files(spark: SparkSession, path: str) -> DataFrame:
 
     Elements that are no JSON stay as they are; an unclosed one reaches to the end of its file.
     """
-    chunks = pieces(spark, path, "}")
-    stated = with_states(chunks, _bundle_sums(chunks), _bundle_states, "inside boolean, depth long, array boolean, at long")
-    return stitched(records_of_blocks(stated, _elements, b""), b"").select(*FILE, "arrival_seq", strip(F.col("record")).alias("raw_bundle")).filter("raw_bundle <> ''")
+    separator = "},\n" if short_pieces(spark, path, "},\n") else "}"  # few pieces where objects stand on lines of their own
+    chunks, files = numbered_pieces(spark, path, separator)
+    mark = separator.encode()
+    states = states_of(_bundle_sums(chunks, mark), _bundle_states, "inside boolean, depth long, array boolean, at long")
+    found = stitched(records_of_blocks(chunks, partial(_elements, separator=mark), b"", states, files), b"")
+    return found.filter(not_blank(F.col("record"))).select(*FILE, "arrival_seq", strip_column(F.col("record")).alias("raw_bundle"))
 
 
 def _rows(lines: Iterator[bytes], info: dict) -> Iterator[tuple[bool, list[bytes]]]:
@@ -190,7 +292,7 @@ def csv_records(spark: SparkSession, path: str) -> DataFrame:
     lines = pieces(spark, path)
     text = F.col("value").cast("string")
     sums = lines.groupBy("file_path", "block").agg(F.sum(F.length(text) - F.length(F.replace(text, F.lit('"'), F.lit("")))).alias("quotes"))
-    return stitched(records_of_blocks(with_states(lines, sums, _parities, "odd boolean"), _rows, _LINE.encode()), _LINE.encode())
+    return stitched(records_of_blocks(lines, _rows, _LINE.encode(), states_of(sums, _parities, "odd boolean")), _LINE.encode())
 
 
 def csv_rows(spark: SparkSession, path: str, columns: list[str] | None = None) -> DataFrame:

@@ -2,7 +2,10 @@
 
 from __future__ import annotations
 
+import json
+
 import pytest
+from pyspark.sql import DataFrameWriter
 from pyspark.sql import functions as F
 
 from carelattice.functions.columns import not_blank, strip, strip_column
@@ -91,3 +94,66 @@ def test_ends_are_stripped_as_by_the_pattern(spark):
     rows = spark.createDataFrame([(t,) for t in [*texts, None]], "t string")
     got = rows.select("t", strip(F.col("t")).alias("a"), strip_column(F.col("t")).alias("b"), not_blank(F.col("t")).alias("some")).collect()
     assert [r.a for r in got] == [r.b for r in got] and [r.some for r in got] == [(r.a or "") != "" for r in got]
+
+
+def _bundle_array(n: int, gap: str) -> bytes:
+    inner = ", ".join(f'{{"resource": {{"id": "{i}", "text": "a}}{{ \\\\\\" ]"}}}}' for i in range(20))
+    return ("[" + gap.join(f'{{"id": "B{i}", "entry": [{inner}]}}' for i in range(n)) + "]").encode()
+
+
+def test_elements_are_found_many_chunks_at_once(monkeypatch):
+    looked = []
+    monkeypatch.setattr(files, "_outside", lambda chunk, inside: looked.append(chunk) or (b"", inside))
+    text = _bundle_array(500, ",\n")
+    found = list(files._elements(iter(text.split(b"}")), {"file_size": len(text), "block": 0}))
+    assert [json.loads(b"".join(parts))["id"] for _, parts in found] == [f"B{i}" for i in range(500)]
+    assert len(looked) <= 1
+
+
+@pytest.mark.parametrize("separator", [b"}", b"},\n"])
+@pytest.mark.parametrize("tail", ["", "\n", ",\n", ',\n17, "x}"\n]', ']\n{"b":1},\n', ',\n{"a": [1, {"b": 2}'])
+def test_separators_give_the_same_elements(monkeypatch, separator, tail):
+    text = _bundle_array(30, ",\n")[:-1] + tail.encode()
+    chunks = text.split(b"}")
+    one = [b"".join(p) for _, p in files._elements(iter(chunks if chunks[-1] else chunks[:-1]), {"file_size": len(text), "block": 0})]
+    monkeypatch.setattr(files, "_MANY", 100)
+    chunks = text.split(separator)
+    assert one == [b"".join(p) for _, p in files._elements(iter(chunks if chunks[-1] else chunks[:-1]), {"file_size": len(text), "block": 0}, separator)]
+
+
+@pytest.mark.parametrize("gap", [",\n", ",", "},\n"])
+def test_bundles_on_lines_are_few_pieces(spark, tmp_path, monkeypatch, gap):
+    made, whole = [], files.numbered_pieces
+    monkeypatch.setattr(files, "numbered_pieces", lambda *a: made.append(whole(*a)) or made[-1])
+    (tmp_path / "a.json").write_bytes(_bundle_array(200, gap) if gap != "},\n" else b'{"id": "x"},\n' + b"y" * 40_000)
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", 10_007)
+    try:
+        found = [r.raw_bundle for r in files.fhir_files(spark, str(tmp_path)).orderBy("arrival_seq").collect()]
+    finally:
+        spark.conf.set("spark.sql.files.maxPartitionBytes", before)
+    if gap == "},\n":
+        assert found == ['{"id": "x"}', ",\n" + "y" * 40_000] and made[0][0].count() == 2  # a piece that isn't short: cut at brackets
+    else:
+        assert [json.loads(x)["id"] for x in found] == [f"B{i}" for i in range(200)]
+        assert made[0][0].count() == 200 if gap == ",\n" else made[0][0].count() > 4000
+
+
+def test_block_states_are_not_joined_to_pieces(spark, tmp_path):
+    (tmp_path / "a.json").write_bytes(_bundle_array(20, ","))
+    found = files.fhir_files(spark, str(tmp_path))._jdf.queryExecution().optimizedPlan().toString()
+    below = found[found.index("MapInArrow") :]
+    assert found.count("MapInArrow") == 1 and "FlatMapGroupsInPandas" not in found and "Join" not in below[: below.index("Relation")]
+
+
+def test_each_bundle_file_has_a_task_of_its_own(spark, monkeypatch):
+    tasks = []
+    write = DataFrameWriter.text
+
+    def text(writer, path):
+        tasks.extend(r.n for r in writer._df.groupBy(F.spark_partition_id()).agg(F.count_distinct("file").alias("n")).collect())
+        write(writer, path)
+
+    monkeypatch.setattr(DataFrameWriter, "text", text)
+    written.fhir_arrays(spark, SF)
+    assert tasks == [1] * written.FILES
